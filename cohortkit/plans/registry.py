@@ -42,3 +42,295 @@ def q_activity_snapshots(spark, sf):
 def q_activity_snapshots_step2(spark, sf):
     return snap.activity_snapshots_on_grid(td.user_hist(spark, sf), td.GRID_FIRST,
                                            td.GRID_LAST, 2)
+
+
+# --- peer lift report -------------------------------------------------------
+
+from cohortkit.functions.predicates import tier_label  # noqa: E402
+from cohortkit.operators import panel as panel_ops  # noqa: E402
+from cohortkit.plans.lift_report import lift_stages  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+# The sf0.01 fixture has no dealer above 10 first-pass peers; the registered
+# matching queries lower the thresholds so every branch of the rule runs.
+SMALL_LOW, SMALL_HIGH = 2, 3
+
+
+def _stages(spark, sf, **kw):
+    return lift_stages(td.fact_funded(spark, sf), td.dim_account(spark, sf), td.AS_OF, **kw)
+
+
+def _money(df, *cols):
+    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("a01_month_spine")
+def q_spine(spark, sf):
+    return _stages(spark, sf).spine
+
+
+@register("a02_enrolment_cohorts")
+def q_cohorts(spark, sf):
+    return _stages(spark, sf).cohorts
+
+
+@register("a03_monthly_measures")
+def q_monthly(spark, sf):
+    return _money(_stages(spark, sf).monthly, "Orig")
+
+
+@register("a04_cohort_baseline")
+def q_baseline(spark, sf):
+    return _money(_stages(spark, sf).baseline, "Orig")
+
+
+@register("a05_growth_profile")
+def q_profile(spark, sf):
+    return _money(_stages(spark, sf).profile, "M0_Orig")
+
+
+@register("a08_candidate_profiles")
+def q_candidates(spark, sf):
+    return _money(_stages(spark, sf).candidates, "M0_Orig")
+
+
+@register("a09_never_enrolled")
+def q_never_enrolled(spark, sf):
+    from cohortkit.operators.cohorts import never_enrolled
+    dealers = td.fact_funded(spark, sf).select("dealership_id").distinct()
+    return never_enrolled(dealers, td.dim_account(spark, sf))
+
+
+_PAIR_COLS = ["M0", "dealership_id__c", "Peer_Dealership_id", "within_M0_Fund_Ind",
+              "within_MP1_Fund_MoM_1", "within_MP1_Fund_MoM_2L", "within_MP1_Fund_MoM_2H",
+              "Peer_Sel_1_Ind"]
+
+
+@register("a10_match_flags")
+def q_match(spark, sf):
+    return _stages(spark, sf).pairs.select(*_PAIR_COLS)
+
+
+@register("a11_adaptive_peers")
+def q_adaptive(spark, sf):
+    return _stages(spark, sf).adaptive.select(
+        *_PAIR_COLS, "Peer_Cnt_Sel_1", "Peer_Sel_2_Ind", "Peer_Cnt_Final")
+
+
+@register("a11_adaptive_peers_low_thresholds")
+def q_adaptive_small(spark, sf):
+    return _stages(spark, sf, low=SMALL_LOW, high=SMALL_HIGH).adaptive.select(
+        *_PAIR_COLS, "Peer_Cnt_Sel_1", "Peer_Sel_2_Ind", "Peer_Cnt_Final")
+
+
+@register("a12_peer_normaliser")
+def q_normaliser(spark, sf):
+    return _money(_stages(spark, sf).normaliser, "M0_Orig", "Peer_tot_M0_Orig")
+
+
+@register("a13_peer_monthly")
+def q_peer_monthly(spark, sf):
+    return _money(_stages(spark, sf).peer_months, "Orig_Amt")
+
+
+@register("a14_synthetic_peer")
+def q_synthetic(spark, sf):
+    return _money(_stages(spark, sf).synthetic, "Orig")
+
+
+@register("a15_dense_panel")
+def q_panel(spark, sf):
+    return _stages(spark, sf).panel
+
+
+@register("a16_fill_panel")
+def q_fill(spark, sf):
+    return _money(_stages(spark, sf).filled, "Orig_amt")
+
+
+@register("a17_cohort_sizes")
+def q_sizes(spark, sf):
+    return _stages(spark, sf).sizes
+
+
+@register("a18_lift_panel")
+def q_lift_panel(spark, sf):
+    lp = _stages(spark, sf).lift_panel
+    return _money(lp.select("M0", "M0_PrequalD_Cnt", "M0_PrequalD_wPeer_Cnt", "dealership_id__c",
+                            "w_Peer_Ind", "Peer_Cnt", "Calendar_MM", "MM", "Funded_app",
+                            "Orig_amt", "Norm_Funded", "Norm_Orig"), "Orig_amt")
+
+
+@register("a19_cohort_tenure")
+def q_tenure(spark, sf):
+    return _stages(spark, sf).tenure
+
+
+@register("a20_tier_label")
+def q_tier(spark, sf):
+    acc = td.dim_account(spark, sf)
+    return acc.select("dealership_id__c", tier_label("powersports_sales_tier__c").alias("Dealership_Tier"))
+
+
+@register("a21_peer_lift_report")
+def q_lift_report(spark, sf):
+    return _stages(spark, sf).report
+
+
+@register("a21_peer_lift_report_low_thresholds")
+def q_lift_report_small(spark, sf):
+    return _stages(spark, sf, low=SMALL_LOW, high=SMALL_HIGH).report
+
+
+@register("a22_lift")
+def q_lift(spark, sf):
+    return panel_ops.lift(_stages(spark, sf).lift_panel)
+
+
+# --- sales contest ----------------------------------------------------------
+
+from cohortkit.functions.predicates import vehicle_class_filter  # noqa: E402
+from cohortkit.operators import events as ev  # noqa: E402
+from cohortkit.operators import ledger as led  # noqa: E402
+from cohortkit.plans import contest as ct  # noqa: E402
+
+CONTEST = ct.ContestParams(
+    start=td.CONTEST_START, end=td.CONTEST_END, lookback_start=td.LOOKBACK_START,
+    enrol_floor=td.ENROL_FLOOR, level_dates=td.LEVEL_DATES,
+    rep_region_overrides=td.REP_REGION_OVERRIDES, excluded_reps=td.EXCLUDED_REPS)
+# the feature-enrolment metric has no event in the contest window at sf0.01
+CONTEST_WIDE_FEATURE = ct.ContestParams(**{**CONTEST.__dict__, "feature_window": td.FEATURE_WINDOW_WIDE})
+
+
+def _contest_sources(spark, sf) -> ct.Sources:
+    return ct.Sources(td.fact_funded(spark, sf), td.fact_apps(spark, sf), td.dim_account(spark, sf),
+                      td.status_monthly(spark, sf), td.region_rep(spark, sf),
+                      td.manual_report(spark, sf), td.bounty(spark, sf))
+
+
+def _spec(team, metric_id):
+    return next(m for m in ct.METRICS if m.team == team and m.metric_id == metric_id)
+
+
+def _metric(team, metric_id, params=CONTEST):
+    def q(spark, sf):
+        df = _spec(team, metric_id).build(_contest_sources(spark, sf), params)
+        return df.select("region", "dealership_id", "date")
+    return q
+
+
+@register("a23_vehicle_class_filter")
+def q_vehicle(spark, sf):
+    fact = td.fact_funded(spark, sf)
+    return fact.where(vehicle_class_filter()).select("dealership_id", "funding_pending_date", "vehicle_type")
+
+
+@register("a24_yoy_new_threshold")
+def q_yoy(spark, sf):
+    s = _contest_sources(spark, sf)
+    return ev.yoy_new_threshold(s.fact, s.account, CONTEST.yoy_n, CONTEST.start, CONTEST.end, tier="A")
+
+
+@register("a25_cumulative_threshold_date")
+def q_cum_threshold(spark, sf):
+    rows = ev.funded_rows(td.fact_funded(spark, sf), None, td.AS_OF)
+    return ev.cumulative_threshold_date(rows, 5)
+
+
+REGISTRY["a26_first_event_flex"] = _metric("RSM", 4)
+REGISTRY["a26_first_event_new_active_a"] = _metric("RSM", 5)
+REGISTRY["a26_first_event_funding"] = _metric("BDR", 3)
+REGISTRY["a26_first_event_new_active_b"] = _metric("BDR", 9)
+REGISTRY["a27_enrolled_in_window"] = _metric("BDR", 2)
+REGISTRY["a27_enrolled_in_window_a_tier"] = _metric("RSM", 6)
+REGISTRY["a28_status_level_up"] = _metric("BDR", 4)
+REGISTRY["a29_feature_enrolled_in_window"] = _metric("BDR", 5, CONTEST_WIDE_FEATURE)
+
+
+@register("a30_new_threshold_vs_history")
+def q_history(spark, sf):
+    s = _contest_sources(spark, sf)
+    return ev.new_threshold_vs_history(s.fact, CONTEST.history_n, CONTEST.lookback_start,
+                                       CONTEST.start, CONTEST.end)
+
+
+REGISTRY["a31_nth_event_after_enrolment"] = _metric("BDR", 7)
+
+
+@register("a32_event_ledger")
+def q_ledger(spark, sf):
+    return ct.metric_ledger(_contest_sources(spark, sf), CONTEST)
+
+
+@register("a33_attribute_to_rep")
+def q_attribute(spark, sf):
+    s = _contest_sources(spark, sf)
+    return led.attribute_to_rep(ct.metric_ledger(s, CONTEST), s.region_rep, CONTEST.rep_region_overrides)
+
+
+@register("a34_manual_event_rows")
+def q_manual(spark, sf):
+    s = _contest_sources(spark, sf)
+    return led.manual_event_rows(s.manual_report, s.region_rep, CONTEST.excluded_reps,
+                                 CONTEST.rep_region_overrides)
+
+
+@register("a35_price_events")
+def q_price(spark, sf):
+    s = _contest_sources(spark, sf)
+    rows = led.contest_rows(ct.attributed_rows(s, CONTEST), CONTEST.end)
+    return led.price_events(rows, s.bounty)
+
+
+@register("a36_attach_dealer_name")
+def q_names(spark, sf):
+    s = _contest_sources(spark, sf)
+    rows = led.contest_rows(ct.attributed_rows(s, CONTEST), CONTEST.end)
+    return led.attach_dealer_name(rows, s.account)
+
+
+@register("a37_volume_flags")
+def q_flags(spark, sf):
+    s = _contest_sources(spark, sf)
+    return led.volume_flags(ct.attributed_rows(s, CONTEST))
+
+
+@register("a38_running_points")
+def q_running(spark, sf):
+    return led.running_points(ct.priced_rows(_contest_sources(spark, sf), CONTEST))
+
+
+@register("a39_milestone_first_reach")
+def q_first_reach(spark, sf):
+    rows = led.running_points(ct.priced_rows(_contest_sources(spark, sf), CONTEST))
+    return led.first_reach(led.milestone_dates(rows))
+
+
+@register("a40_contest_dashboard")
+def q_dashboard(spark, sf):
+    return ct.contest_dashboard(_contest_sources(spark, sf), CONTEST)
+
+
+@register("a40_contest_dashboard_wide_feature")
+def q_dashboard_wide(spark, sf):
+    return ct.contest_dashboard(_contest_sources(spark, sf), CONTEST_WIDE_FEATURE)
+
+
+@register("a45_first_n_to_reach")
+def q_first_n(spark, sf):
+    rows = led.running_points(ct.priced_rows(_contest_sources(spark, sf), CONTEST))
+    return led.first_n_to_reach(rows, 250000, 3)
+
+
+@register("a26_first_event_dealer_apps")
+def q_first_dealer_app(spark, sf):
+    apps = td.fact_apps(spark, sf).withColumn("region", F.col("rsm_territory_regions__c"))
+    return ev.first_event_in_window(apps, CONTEST.start, CONTEST.end, "submitted_at",
+                                    lookback_start=CONTEST.lookback_start,
+                                    where=F.col("app_type").isin(list(ev.DEALER_APP_TYPES)))
+
+
+@register("a30_new_threshold_vs_history_n6")
+def q_history_n6(spark, sf):
+    s = _contest_sources(spark, sf)
+    return ev.new_threshold_vs_history(s.fact, 6, CONTEST.lookback_start, CONTEST.start, CONTEST.end)
