@@ -53,6 +53,33 @@ def funded_monthly(fact: DataFrame, case_sensitive: bool = False) -> DataFrame:
     return monthly_measures(fact, where=where)
 
 
+def dealer_month_activity(fact: DataFrame, case_sensitive: bool = False,
+                          date_col: str = "funding_pending_date") -> DataFrame:
+    """One pass over the fact: per dealer and month, all rows and the funded measures.
+
+    Both the month spine (months with any row) and the funded dealer-month
+    measures are projections of this aggregate, so the fact is scanned once.
+    """
+    funded = funded_predicate(case_sensitive=case_sensitive)
+    return (fact.where(F.col(date_col).isNotNull())
+            .groupBy("dealership_id", month_start(date_col).alias("Funding_MM"))
+            .agg(F.count(F.when(funded, F.lit(1))).alias("n_funded"),
+                 F.sum(F.when(funded, F.col("count"))).alias("Funded"),
+                 F.sum(F.when(funded, F.col("total_financed"))).alias("Orig")))
+
+
+def funded_from_activity(activity: DataFrame) -> DataFrame:
+    """Dealer-months with at least one funded row (same rows as ``funded_monthly``)."""
+    return activity.where(F.col("n_funded") > 0).select("dealership_id", "Funding_MM", "Funded", "Orig")
+
+
+def spine_from_activity(activity: DataFrame, as_of: dt.date) -> DataFrame:
+    """Months with any fact row up to the last complete month (same rows as ``month_spine``)."""
+    cut_month = last_complete_day(as_of).replace(day=1)
+    return (activity.where(F.col("Funding_MM") <= F.lit(cut_month))
+            .select(F.col("Funding_MM").alias("Calendar_MM")).distinct())
+
+
 def enrolment_cohorts(account: DataFrame, as_of: dt.date,
                       candidate_filter: Column | None = None) -> DataFrame:
     """Treated dealers: enrolled by the cut-off and not unenrolled; M0 and MP1 months."""

@@ -13,9 +13,11 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortkit.functions.dates import add_months_py
 from cohortkit.functions.predicates import vehicle_class_filter
 from cohortkit.operators import events as E
 from cohortkit.operators import ledger as L
@@ -125,6 +127,32 @@ METRICS: tuple[MetricSpec, ...] = (
 )
 
 
+def narrow_sources(s: Sources, p: ContestParams, persist: bool = True) -> Sources:
+    """One filtered, column-pruned slice per large source, shared by all built-in metrics.
+
+    Every fact metric keeps funded rows (case-sensitive) of a qualifying
+    vehicle class dated between the earliest look-back and the contest end;
+    application metrics keep flex applications up to the end, or dealer-type
+    applications since the look-back.  The filters reach the parquet scan
+    (and prune date partitions), so each large table is read once per run
+    instead of once per metric; the slices are persisted for the metrics.
+    """
+    lo = min(p.lookback_start, add_months_py(p.start, -12))
+    fact = E.funded_rows(s.fact, lo, p.end).select(
+        "dealership_id", "funding_pending_date", "is_funded", "count", "vehicle_type",
+        "rsm_territory_regions__c")
+    d = F.col("submitted_at")
+    apps = s.apps.where((d <= F.lit(p.end)) & (
+        ((F.col("source_client") == p.flex_client) & vehicle_class_filter())
+        | ((d >= F.lit(p.lookback_start)) & F.col("app_type").isin(list(E.DEALER_APP_TYPES)))))
+    status = s.status.where(F.col("partition_date").isin(list(p.level_dates)))
+    account = s.account
+    if persist:
+        fact, apps, status, account = (x.persist(StorageLevel.MEMORY_AND_DISK)
+                                       for x in (fact, apps, status, account))
+    return Sources(fact, apps, account, status, s.region_rep, s.manual_report, s.bounty)
+
+
 def metric_ledger(s: Sources, p: ContestParams,
                   metrics: Sequence[MetricSpec] = METRICS) -> DataFrame:
     return L.event_ledger([L.stamp_metric(m.build(s, p), m.team, m.metric_id, m.metric_name)
@@ -144,7 +172,15 @@ def priced_rows(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec] = ME
     return L.volume_flags(L.attach_dealer_name(L.price_events(rows, s.bounty), s.account))
 
 
-def contest_dashboard(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec] = METRICS) -> DataFrame:
-    """The 20-column dashboard: one row per qualifying event with running points and milestones."""
+def contest_dashboard(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec] = METRICS,
+                      narrow: bool | None = None) -> DataFrame:
+    """The 20-column dashboard: one row per qualifying event with running points and milestones.
+
+    ``narrow`` (default: on for the built-in metrics) reads each large source
+    once through ``narrow_sources``; custom metrics may need rows outside
+    those slices, so it defaults to off for them.
+    """
+    if narrow if narrow is not None else metrics is METRICS:
+        s = narrow_sources(s, p)
     rows = L.running_points(priced_rows(s, p, metrics))
     return L.milestone_dates(rows, p.milestones).select(*L.DASHBOARD_COLUMNS)

@@ -9,11 +9,12 @@ Stages:
 4. band join on (M0, log-size bucket); adaptive counts by aggregation
 5. normaliser, synthetic peer, dense panel, cohort sizes, tenure, names
 
-Relations consumed by several later stages (dealer-month measures, profile,
-adaptive pairs, normaliser) are persisted (memory and disk; lost blocks are
-recomputed from lineage), so the fact is scanned once per run instead of once
-per consumer.  With ``materialize=True`` and a shared ``spark.checkpoint.dir``
-the matched pairs are also checkpointed, cutting the lineage.
+The fact is scanned once: the dealer-month activity aggregate feeds both the
+funded measures and the month spine.  Relations consumed by several later
+stages (activity, profile, adaptive pairs, normaliser) are persisted (memory
+and disk; lost blocks are recomputed from lineage).  When the session names a
+shared ``spark.checkpoint.dir`` (and ``materialize`` is left on) the matched
+pairs are checkpointed there instead, cutting the lineage before the fan-out.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from cohortkit.operators import cohorts as C
 from cohortkit.operators import matching as M
 from cohortkit.operators import panel as P
-from cohortkit.session import cut_lineage
+from cohortkit.session import checkpoint_dir
 
 
 class LiftStages:
@@ -37,14 +38,17 @@ class LiftStages:
                  high: int = 10, size_tol: float = C.SIZE_TOLERANCE,
                  growth_tols: dict[str, float] = C.GROWTH_TOLERANCES,
                  candidate_filter: Column | None = None, case_sensitive: bool = False,
-                 persist: bool = True, materialize: bool = False):
+                 persist: bool = True, materialize: bool = True):
         self.fact, self.account, self.as_of = fact, account, as_of
         self.low, self.high, self.size_tol, self.growth_tols = low, high, size_tol, growth_tols
         self.candidate_filter, self.case_sensitive = candidate_filter, case_sensitive
         self.persist, self.materialize = persist, materialize
         self._persisted: list[DataFrame] = []
 
-    def _keep(self, df: DataFrame) -> DataFrame:
+    def _keep(self, df: DataFrame, checkpoint: bool = False) -> DataFrame:
+        """Reuse ``df`` across consumers: reliable checkpoint (shared folder) or persist."""
+        if checkpoint and self.materialize and checkpoint_dir(df.sparkSession):
+            return df.checkpoint(eager=True)
         if self.persist:
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._persisted.append(df)
@@ -56,13 +60,17 @@ class LiftStages:
             df.unpersist()
         self._persisted.clear()
 
+    @cached_property
+    def activity(self) -> DataFrame:
+        return self._keep(C.dealer_month_activity(self.fact, case_sensitive=self.case_sensitive))
+
     @cached_property
     def monthly(self) -> DataFrame:
-        return self._keep(C.funded_monthly(self.fact, case_sensitive=self.case_sensitive))
+        return C.funded_from_activity(self.activity)
 
     @cached_property
     def spine(self) -> DataFrame:
-        return C.month_spine(self.fact, self.as_of)
+        return C.spine_from_activity(self.activity, self.as_of)
 
     @cached_property
     def cohorts(self) -> DataFrame:
@@ -87,8 +95,7 @@ class LiftStages:
 
     @cached_property
     def adaptive(self) -> DataFrame:
-        df = M.adaptive_peers(self.pairs, self.low, self.high)
-        return cut_lineage(df) if self.materialize else self._keep(df)
+        return self._keep(M.adaptive_peers(self.pairs, self.low, self.high), checkpoint=True)
 
     @cached_property
     def selected(self) -> DataFrame:

@@ -202,10 +202,12 @@ CONTEST = ct.ContestParams(
 CONTEST_WIDE_FEATURE = ct.ContestParams(**{**CONTEST.__dict__, "feature_window": td.FEATURE_WINDOW_WIDE})
 
 
-def _contest_sources(spark, sf) -> ct.Sources:
-    return ct.Sources(td.fact_funded(spark, sf), td.fact_apps(spark, sf), td.dim_account(spark, sf),
-                      td.status_monthly(spark, sf), td.region_rep(spark, sf),
-                      td.manual_report(spark, sf), td.bounty(spark, sf))
+def _contest_sources(spark, sf, narrow: bool = True) -> ct.Sources:
+    s = ct.Sources(td.fact_funded(spark, sf), td.fact_apps(spark, sf), td.dim_account(spark, sf),
+                   td.status_monthly(spark, sf), td.region_rep(spark, sf),
+                   td.manual_report(spark, sf), td.bounty(spark, sf))
+    # every registered contest query uses the built-in metrics, whose rows the slices hold
+    return ct.narrow_sources(s, CONTEST) if narrow else s
 
 
 def _spec(team, metric_id):
@@ -308,12 +310,12 @@ def q_first_reach(spark, sf):
 
 @register("a40_contest_dashboard")
 def q_dashboard(spark, sf):
-    return ct.contest_dashboard(_contest_sources(spark, sf), CONTEST)
+    return ct.contest_dashboard(_contest_sources(spark, sf), CONTEST, narrow=False)
 
 
 @register("a40_contest_dashboard_wide_feature")
 def q_dashboard_wide(spark, sf):
-    return ct.contest_dashboard(_contest_sources(spark, sf), CONTEST_WIDE_FEATURE)
+    return ct.contest_dashboard(_contest_sources(spark, sf), CONTEST_WIDE_FEATURE, narrow=False)
 
 
 @register("a45_first_n_to_reach")
