@@ -42,17 +42,30 @@ def activity_snapshots(hist: DataFrame, report_dates: Sequence[dt.date],
     A row of ``hist`` belongs to report date i when its partition date, cast
     to DATE, equals i; rows without a dealer are dropped.
     """
+    snap = snapshot_logins(hist, report_dates, user_types, partition_col, dealer_col)
+    return with_days_since(snap, user_types)
+
+
+def snapshot_logins(hist: DataFrame, report_dates: Sequence[dt.date],
+                    user_types: Mapping[str, str] = USER_TYPES,
+                    partition_col: str = "partition_date",
+                    dealer_col: str = "dealership_id") -> DataFrame:
+    """Latest logins per (report date, partition, dealer); the mergeable part of a snapshot."""
     report = to_date_col(partition_col)
     rows = (hist.where(report.isin(list(report_dates)) & F.col(dealer_col).isNotNull())
             .withColumn("Report_Date", report))
     snap = last_activity_by_type(rows, ["Report_Date", partition_col, dealer_col], user_types)
+    return snap.select("Report_Date", F.col(partition_col).alias("partition_date"),
+                       F.col(dealer_col).alias("Dealership_id"), "Last_Login_anyuser",
+                       *[f"Last_Login_{s}" for s in user_types])
+
+
+def with_days_since(snap: DataFrame, user_types: Mapping[str, str] = USER_TYPES) -> DataFrame:
+    """Adds the whole days from each latest login to the report date."""
     suffixes = {"AnyUser": "anyuser", **{s: s for s in user_types}}
     days = [F.datediff(F.col("Report_Date"), to_date_col(f"Last_Login_{src}"))
             .alias(f"Day_sin_lastlog_{name}") for name, src in suffixes.items()]
-    return snap.select(
-        "Report_Date", F.col(partition_col).alias("partition_date"),
-        F.col(dealer_col).alias("Dealership_id"), "Last_Login_anyuser",
-        *[f"Last_Login_{s}" for s in user_types], *days)
+    return snap.select("*", *days)
 
 
 def activity_snapshots_on_grid(hist: DataFrame, first: dt.date | str, last: dt.date | str,
