@@ -24,11 +24,13 @@ from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from cohortkit.operators import cohorts as C
 from cohortkit.operators import matching as M
 from cohortkit.operators import panel as P
 from cohortkit.session import checkpoint_dir
+from cohortkit.sources.contracts import require_unique
 
 
 class LiftStages:
@@ -45,6 +47,12 @@ class LiftStages:
         self.persist, self.materialize = persist, materialize
         self._persisted: list[DataFrame] = []
 
+    def validate(self) -> "LiftStages":
+        """Check the account is unique per dealer (the joins on the dealer id assume it)."""
+        require_unique(self.account.where(F.col("dealership_id__c").isNotNull()),
+                       ["dealership_id__c"], "account")
+        return self
+
     def _keep(self, df: DataFrame, checkpoint: bool = False) -> DataFrame:
         """Reuse ``df`` across consumers: reliable checkpoint (shared folder) or persist."""
         if checkpoint and self.materialize and checkpoint_dir(df.sparkSession):

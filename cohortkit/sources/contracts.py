@@ -65,3 +65,18 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     schema = CONTRACTS[name]
     require_columns(df, schema.fieldNames(), name)
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def require_unique(df: DataFrame, keys: list[str], what: str = "input", show: int = 20) -> None:
+    """Fail when ``keys`` repeat, naming up to ``show`` offending keys.
+
+    A distributed aggregation; only the offending keys (at most ``show``)
+    come back to the driver.
+    """
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    dup = (df.where(present)
+           .groupBy(*keys).count().where(F.col("count") > 1).limit(show).collect())
+    if dup:
+        raise ValueError(f"{what} is not unique on {keys}: {[tuple(r)[:-1] for r in dup]}")

@@ -150,3 +150,38 @@ def test_bucketed_band_join_finds_every_pair(spark):
     want = {(i, 100 + j) for i, s in enumerate(sizes) for j, c in enumerate(sizes)
             if s * 0.75 <= c <= s * 1.25}
     assert got == want
+
+
+def test_duplicate_account_rows_are_rejected(spark):
+    facts, accounts, _ = random_peer_world()
+    accounts = accounts + [accounts[0]]
+    st = lift_stages(frame(spark, "fact_funded", facts), frame(spark, "dim_account", accounts), AS_OF)
+    with pytest.raises(ValueError, match="not unique"):
+        st.validate()
+
+
+def test_empty_fact_gives_empty_report(spark):
+    _, accounts, _ = random_peer_world()
+    st = lift_stages(frame(spark, "fact_funded", []), frame(spark, "dim_account", accounts), AS_OF)
+    assert st.report.count() == 0 and st.normaliser.where("Peer_Cnt > 0").count() == 0
+
+
+def test_inactive_previous_month_and_zero_origination_peers(spark):
+    from tests.fixtures import account_row, fact_row
+    m0 = D(2021, 3, 1)
+    facts = [fact_row(1, D(2021, 3, 2), count=10, amount="500.00"),          # MP1 = 0: no growth
+             fact_row(2, D(2021, 3, 2), count=10, amount="500.00"),
+             fact_row(2, D(2021, 2, 2), count=10, amount="500.00"),
+             fact_row(3, D(2021, 3, 9), count=10, amount="0.00"),            # peer without origination
+             fact_row(3, D(2021, 2, 9), count=10, amount="0.00"),
+             fact_row(3, D(2021, 4, 9), count=4, amount="0.00")]
+    accounts = [account_row(1, prequal=D(2021, 3, 5)), account_row(2, prequal=D(2021, 3, 7)),
+                account_row(3)]
+    st = lift_stages(frame(spark, "fact_funded", facts), frame(spark, "dim_account", accounts), AS_OF)
+    norm = {r.dealership_id__c: r for r in st.normaliser.collect()}
+    assert norm[1].Peer_Cnt == 0 and norm[1].w_Peer_Ind == 0 and norm[1].Norm_Ratio_Fund is None
+    assert norm[2].Peer_Cnt == 1 and norm[2].Norm_Ratio_Orig == 0.0 and norm[2].Norm_Ratio_Fund == 1.0
+    rows = {(r.Dealership_ID, r.Calendar_MM): r for r in st.report.collect()}
+    april = rows[(2, D(2021, 4, 1))]
+    assert april.Funding_Peer == 4.0 and april.Orig_Peer is None      # 0 ratio: no division
+    assert rows[(1, m0)].Funding_Peer is None and rows[(1, m0)].Funding == 10
