@@ -35,7 +35,8 @@ def stamp_metric(rows: DataFrame, team: str, metric_id: int, metric_name: str) -
 
 def event_ledger(metrics: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL of the stamped metric rows (columns by name)."""
-    return reduce(lambda a, b: a.unionByName(b), [m.select(*LEDGER_COLUMNS) for m in metrics])
+    # every input is projected to the same column order, so a positional union is exact
+    return reduce(lambda a, b: a.union(b), [m.select(*LEDGER_COLUMNS) for m in metrics])
 
 
 def _region2(rep: Column, region: Column, overrides: Mapping[str, str]) -> Column:
