@@ -52,6 +52,15 @@ def day_ladder(rows: DataFrame, part_keys: Sequence[str], date_col: str,
     units = F.sum(units_col) if units_col else F.count(F.lit(1))
     daily = rows.groupBy(*attr_keys, *part_keys, date_col).agg(
         F.count(F.lit(1)).alias("_rows"), units.alias("_units"))
+    return ladder_from_days(daily, part_keys, date_col)
+
+
+def ladder_from_days(daily: DataFrame, part_keys: Sequence[str], date_col: str) -> DataFrame:
+    """Running totals by day within ``part_keys`` over day rows carrying ``_rows``/``_units``.
+
+    RANGE frames over the day number, so every attribute row of the same day
+    sees the day's full total.  A partition is one dealer-month: <= 31 days.
+    """
     w = Window.partitionBy(*part_keys).orderBy(F.unix_date(F.col(date_col)))
     before = w.rangeBetween(Window.unboundedPreceding, -1)
     through = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -63,6 +72,29 @@ def day_ladder(rows: DataFrame, part_keys: Sequence[str], date_col: str,
         F.sum("_units").over(Window.partitionBy(*part_keys)).alias("_units_total"))
 
 
+def funded_days(fact: DataFrame, start: dt.date | None, end: dt.date,
+                region_col: str = "rsm_territory_regions__c") -> DataFrame:
+    """Funded qualifying rows (case-sensitive, vehicle class) combined per (region, dealer, day).
+
+    ``_rows`` counts rows (for n-th row rules), ``_units`` sums ``count``
+    (for month totals).  Built with a partial + final hash aggregate, so the
+    raw rows never cross the network; every fact metric of the contest can be
+    answered from these day rows.
+    """
+    return (funded_rows(fact, start, end)
+            .groupBy(F.col(region_col).alias("region"), "dealership_id", "funding_pending_date")
+            .agg(F.count(F.lit(1)).alias("_rows"), F.sum("count").alias("_units")))
+
+
+def _in_days(days: DataFrame, start: dt.date, end: dt.date) -> Column:
+    return F.col("funding_pending_date").between(F.lit(start), F.lit(end))
+
+
+def _ladder(days: DataFrame) -> DataFrame:
+    with_month = days.withColumn("month", month_start("funding_pending_date"))
+    return ladder_from_days(with_month, ["dealership_id", "month"], "funding_pending_date")
+
+
 def cumulative_threshold_date(rows: DataFrame, n: int, keys: Sequence[str] = ("dealership_id",),
                               date_col: str = "funding_pending_date",
                               units_col: str = "count") -> DataFrame:
@@ -86,19 +118,20 @@ def yoy_new_threshold(fact: DataFrame, account: DataFrame, n: int, start: dt.dat
     (region, dealer, month of year): ``date`` = day the current-year running
     total reached n, ``py_mm_fund`` / ``cy_mm_fund`` = month totals.
     """
+    days = funded_days(fact, add_months_py(start, -12), end, region_col)
+    return yoy_new_threshold_days(days, account, n, start, end, tier)
+
+
+def yoy_new_threshold_days(days: DataFrame, account: DataFrame, n: int, start: dt.date,
+                           end: dt.date, tier: str | None = "A") -> DataFrame:
+    """``yoy_new_threshold`` over ``funded_days`` rows."""
     py_start, py_end = add_months_py(start, -12), add_months_py(end, -12)
-    d = F.col("funding_pending_date")
-    acc = account.select(F.col("dealership_id__c"), F.col("powersports_sales_tier__c"))
-    rows = fact.join(acc, fact.dealership_id == acc.dealership_id__c)
-    cond = (vehicle_class_filter() & (F.col("is_funded") == "Yes")
-            & (d.between(F.lit(start), F.lit(end)) | d.between(F.lit(py_start), F.lit(py_end))))
+    rows = days.where(_in_days(days, start, end) | _in_days(days, py_start, py_end))
     if tier is not None:
-        cond = cond & tier_prefix("powersports_sales_tier__c", tier)
-    rows = rows.where(cond).select(F.col(region_col).alias("region"), "dealership_id",
-                                   "funding_pending_date", "count",
-                                   month_start("funding_pending_date").alias("month"))
-    ladder = day_ladder(rows, ["dealership_id", "month"], "funding_pending_date", "count",
-                        attr_keys=["region"])
+        dealers = (account.where(tier_prefix("powersports_sales_tier__c", tier))
+                   .select(F.col("dealership_id__c").alias("_acc_id")))
+        rows = rows.join(dealers, rows.dealership_id == dealers._acc_id, "left_semi")
+    ladder = _ladder(rows)
     cy, py = start.year, start.year - 1
     year = F.year("month")
     reached = F.when(F.col("_units_through") >= n, F.col("funding_pending_date"))
@@ -195,13 +228,15 @@ def new_threshold_vs_history(fact: DataFrame, n: int, lookback_start: dt.date, s
     before / from ``start``.  Row count (n-th row) and month total (sum of
     ``count``) are distinct measures, as in the source program.
     """
-    rows = funded_rows(fact, lookback_start, end).select(
-        F.col(region_col).alias("region"), "dealership_id", "funding_pending_date", "count",
-        month_start("funding_pending_date").alias("month"))
-    ladder = day_ladder(rows, ["dealership_id", "month"], "funding_pending_date", "count",
-                        attr_keys=["region"])
-    d = F.col("funding_pending_date")
-    after = d >= F.lit(start)
+    days = funded_days(fact, lookback_start, end, region_col)
+    return new_threshold_vs_history_days(days, n, lookback_start, start, end)
+
+
+def new_threshold_vs_history_days(days: DataFrame, n: int, lookback_start: dt.date,
+                                  start: dt.date, end: dt.date) -> DataFrame:
+    """``new_threshold_vs_history`` over ``funded_days`` rows."""
+    ladder = _ladder(days.where(_in_days(days, lookback_start, end)))
+    after = F.col("funding_pending_date") >= F.lit(start)
     out = ladder.groupBy("region", "dealership_id").agg(
         F.min(F.when(after, _nth_row_day(ladder, n, "funding_pending_date"))).alias("date"),
         F.max(F.when(~after, F.col("_units_total")).otherwise(0)).alias("prior_max_fund"),
@@ -217,19 +252,30 @@ def nth_event_after_enrolment(fact: DataFrame, account: DataFrame, n: int, start
     Per (region, dealer): the earliest day holding the n-th row of one of
     its months in [start, end].
     """
+    days = funded_days(fact, start, end, region_col)
+    return nth_event_after_enrolment_days(days, account, n, start, end, enrol_floor)
+
+
+def nth_event_after_enrolment_days(days: DataFrame, account: DataFrame, n: int, start: dt.date,
+                                   end: dt.date, enrol_floor: dt.date) -> DataFrame:
+    """``nth_event_after_enrolment`` over ``funded_days`` rows."""
     acc = (without_enrolled_predecessor(account)
            .where(F.col("enrolled_time_stamp__c") >= F.lit(enrol_floor))
            .select(F.col("dealership_id__c").alias("_acc_id")))
-    rows = funded_rows(fact, start, end)
-    rows = rows.join(acc, rows.dealership_id == acc._acc_id).select(
-        F.col(region_col).alias("region"), "dealership_id", "funding_pending_date",
-        month_start("funding_pending_date").alias("month"))
-    ladder = day_ladder(rows, ["dealership_id", "month"], "funding_pending_date",
-                        attr_keys=["region"])
-    nth = ladder.where(F.col("_rows_before") < n).where(F.col("_rows_through") >= n)
+    rows = days.where(_in_days(days, start, end))
+    rows = rows.join(acc, rows.dealership_id == acc._acc_id, "left_semi")
+    ladder = _ladder(rows)
+    nth = ladder.where((F.col("_rows_before") < n) & (F.col("_rows_through") >= n))
     return nth.groupBy("region", "dealership_id").agg(F.min("funding_pending_date").alias("date"))
 
 
+def first_funding_in_window_days(days: DataFrame, start: dt.date, end: dt.date,
+                                 lookback_start: dt.date) -> DataFrame:
+    """First funded qualifying day since ``lookback_start`` falls in [start, end] (over day rows)."""
+    return first_event_in_window(days, start, end, "funding_pending_date",
+                                 lookback_start=lookback_start)
+
+
 def dealer_apps(apps: DataFrame, account: DataFrame, start: dt.date, end: dt.date,
                 lookback_start: dt.date, tier: str, vehicle_filter: bool,
                 app_types: Sequence[str] = DEALER_APP_TYPES) -> DataFrame:

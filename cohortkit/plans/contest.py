@@ -49,6 +49,11 @@ class Sources:
     region_rep: DataFrame
     manual_report: DataFrame
     bounty: DataFrame
+    # funded qualifying fact rows combined per (region, dealer, day); see ``narrow_sources``
+    fact_days: DataFrame | None = None
+
+    def days(self, lo: dt.date, end: dt.date) -> DataFrame:
+        return self.fact_days if self.fact_days is not None else E.funded_days(self.fact, lo, end)
 
 
 @dataclass(frozen=True)
@@ -64,7 +69,8 @@ def _fact_region(df: DataFrame) -> DataFrame:
 
 
 def m_new_e5_a_dealer(s: Sources, p: ContestParams) -> DataFrame:
-    return E.yoy_new_threshold(s.fact, s.account, p.yoy_n, p.start, p.end, tier="A")
+    days = s.days(add_months_py(p.start, -12), p.end)
+    return E.yoy_new_threshold_days(days, s.account, p.yoy_n, p.start, p.end, tier="A")
 
 
 def m_flex_dealer(s: Sources, p: ContestParams) -> DataFrame:
@@ -85,9 +91,8 @@ def m_enrolment(s: Sources, p: ContestParams) -> DataFrame:
 
 
 def m_new_e1(s: Sources, p: ContestParams) -> DataFrame:
-    rows = _fact_region(E.funded_rows(s.fact, p.lookback_start, p.end))
-    return E.first_event_in_window(rows, p.start, p.end, "funding_pending_date",
-                                   lookback_start=p.lookback_start)
+    days = s.days(p.lookback_start, p.end)
+    return E.first_funding_in_window_days(days, p.start, p.end, p.lookback_start)
 
 
 def m_level_up(s: Sources, p: ContestParams) -> DataFrame:
@@ -100,11 +105,13 @@ def m_feature_integration(s: Sources, p: ContestParams) -> DataFrame:
 
 
 def m_new_e3(s: Sources, p: ContestParams) -> DataFrame:
-    return E.new_threshold_vs_history(s.fact, p.history_n, p.lookback_start, p.start, p.end)
+    days = s.days(p.lookback_start, p.end)
+    return E.new_threshold_vs_history_days(days, p.history_n, p.lookback_start, p.start, p.end)
 
 
 def m_enrolment_to_e5(s: Sources, p: ContestParams) -> DataFrame:
-    return E.nth_event_after_enrolment(s.fact, s.account, p.nth_n, p.start, p.end, p.enrol_floor)
+    days = s.days(p.start, p.end)
+    return E.nth_event_after_enrolment_days(days, s.account, p.nth_n, p.start, p.end, p.enrol_floor)
 
 
 def m_new_active_b_dealer(s: Sources, p: ContestParams) -> DataFrame:
@@ -128,19 +135,19 @@ METRICS: tuple[MetricSpec, ...] = (
 
 
 def narrow_sources(s: Sources, p: ContestParams, persist: bool = True) -> Sources:
-    """One filtered, column-pruned slice per large source, shared by all built-in metrics.
+    """One filtered, reduced slice per large source, shared by all built-in metrics.
 
-    Every fact metric keeps funded rows (case-sensitive) of a qualifying
+    Every fact metric uses funded rows (case-sensitive) of a qualifying
     vehicle class dated between the earliest look-back and the contest end;
-    application metrics keep flex applications up to the end, or dealer-type
-    applications since the look-back.  The filters reach the parquet scan
-    (and prune date partitions), so each large table is read once per run
-    instead of once per metric; the slices are persisted for the metrics.
+    they are read once (filters reach the parquet scan and prune date
+    partitions) and combined per (region, dealer, day) -- the four fact
+    metrics are answered from these day rows, each applying its own date
+    window before its running totals.  Application metrics keep flex
+    applications up to the end, or dealer-type applications since the
+    look-back.  The slices are persisted for the metrics.
     """
     lo = min(p.lookback_start, add_months_py(p.start, -12))
-    fact = E.funded_rows(s.fact, lo, p.end).select(
-        "dealership_id", "funding_pending_date", "is_funded", "count", "vehicle_type",
-        "rsm_territory_regions__c")
+    days = E.funded_days(s.fact, lo, p.end)
     d = F.col("submitted_at")
     apps = s.apps.where((d <= F.lit(p.end)) & (
         ((F.col("source_client") == p.flex_client) & vehicle_class_filter())
@@ -148,9 +155,16 @@ def narrow_sources(s: Sources, p: ContestParams, persist: bool = True) -> Source
     status = s.status.where(F.col("partition_date").isin(list(p.level_dates)))
     account = s.account
     if persist:
-        fact, apps, status, account = (x.persist(StorageLevel.MEMORY_AND_DISK)
-                                       for x in (fact, apps, status, account))
-    return Sources(fact, apps, account, status, s.region_rep, s.manual_report, s.bounty)
+        days, apps, status, account = (x.persist(StorageLevel.MEMORY_AND_DISK)
+                                       for x in (days, apps, status, account))
+    return Sources(s.fact, apps, account, status, s.region_rep, s.manual_report, s.bounty, days)
+
+
+def release_sources(s: Sources) -> None:
+    """Drop the persisted slices of ``narrow_sources`` once the dashboard is written."""
+    for df in (s.fact_days, s.apps, s.status, s.account):
+        if df is not None and df.is_cached:
+            df.unpersist()
 
 
 def metric_ledger(s: Sources, p: ContestParams,
