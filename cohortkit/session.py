@@ -57,14 +57,3 @@ def ensure_test_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="cohortkit-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(path)
     return path
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the cluster's checkpoint folder.
-
-    Without a configured folder the plan is returned unchanged: Spark then
-    recovers lost partitions from lineage and shuffle files.
-    """
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df
