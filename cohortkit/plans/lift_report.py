@@ -56,7 +56,12 @@ class LiftStages:
     def _keep(self, df: DataFrame, checkpoint: bool = False) -> DataFrame:
         """Reuse ``df`` across consumers: reliable checkpoint (shared folder) or persist."""
         if checkpoint and self.materialize and checkpoint_dir(df.sparkSession):
-            return df.checkpoint(eager=True)
+            # persist first: the eager count fills the cache and the checkpoint write
+            # reads it, instead of computing the plan a second time
+            staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+            out = staged.checkpoint(eager=True)
+            staged.unpersist()
+            return out
         if self.persist:
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._persisted.append(df)
