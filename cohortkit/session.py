@@ -57,3 +57,21 @@ def ensure_test_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="cohortkit-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def recommended_conf(input_bytes: int, cores: int, target_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the input volume (bytes of the largest fact read by a program).
+
+    Shuffle partitions start at about one per ``target_bytes`` of input (at
+    least 2 per core) and AQE coalesces them down or splits skewed ones; file
+    splits match the same target so each task's slice fits executor memory.
+    """
+    parts = max(2 * cores, -(-input_bytes // target_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+    }

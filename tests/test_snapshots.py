@@ -43,3 +43,20 @@ def test_dynamic_partition_overwrite_keeps_other_dates(spark, tmp_path):
     assert sorted(str(r.Report_Date) for r in back.select("Report_Date").distinct().collect()) == [
         "2021-01-01", "2021-03-01"]
     assert back.count() == 2
+
+
+def test_grid_prunes_date_partitions(spark, tmp_path):
+    out = str(tmp_path / "hist")
+    hist(spark).write.partitionBy("partition_date").parquet(out)
+    stored = spark.read.parquet(out)
+    snaps = activity_snapshots(stored, [D(2021, 1, 1), D(2021, 3, 1)])
+    plan = snaps._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "partition_date" in plan.split("PartitionFilters: [")[1]
+    assert {(r.Report_Date, r.Dealership_id) for r in snaps.collect()} == {(D(2021, 1, 1), 1), (D(2021, 3, 1), 2)}
+
+
+def test_recommended_conf_scales_with_input():
+    from cohortkit.session import recommended_conf
+    small, big = recommended_conf(1 << 20, 8), recommended_conf(100 << 40, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
