@@ -27,7 +27,8 @@ BUCKET_SLACK = 1e-9
 
 def size_bucket(col, ratio: float):
     """``floor(ln(x) / ln(ratio))``: a band [x(1-t), x(1+t)] spans at most 2 buckets."""
-    return F.floor(F.log(F.col(col).cast("double")) / F.lit(math.log(ratio))).cast("int")
+    x = F.col(col) if isinstance(col, str) else col
+    return F.floor(F.log(x.cast("double")) / F.lit(math.log(ratio))).cast("int")
 
 
 def match_pairs(profile: DataFrame, candidates: DataFrame, size_tol: float = SIZE_TOLERANCE,
@@ -44,8 +45,8 @@ def match_pairs(profile: DataFrame, candidates: DataFrame, size_tol: float = SIZ
 
     treated = (profile.where(F.col("M0_Fund_Min").isNotNull() & F.col(lo_w).isNotNull())
                .withColumn("bucket", F.explode(F.sequence(
-                   F.floor(F.log(F.col("M0_Fund_Min") * (1 - BUCKET_SLACK)) / math.log(ratio)).cast("int"),
-                   F.floor(F.log(F.col("M0_Fund_Max") * (1 + BUCKET_SLACK)) / math.log(ratio)).cast("int")))))
+                   size_bucket(F.col("M0_Fund_Min") * (1 - BUCKET_SLACK), ratio),
+                   size_bucket(F.col("M0_Fund_Max") * (1 + BUCKET_SLACK), ratio)))))
     cand = (candidates.where((F.col("M0_Fund") > 0) & F.col("MP1_Fund_MoM").isNotNull())
             .select(F.col("M0").alias("c_M0"),
                     F.col("dealership_id").alias("Peer_Dealership_id"),

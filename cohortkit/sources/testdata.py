@@ -36,16 +36,16 @@ BOUNTY_ROWS = (
 )
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[str, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The raw test table; the reader (file listing, footer) is made once per session and path."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    cached = _TABLES.get(path)
+    if cached is None or cached.sparkSession is not spark:
+        cached = _TABLES[path] = spark.read.parquet(path)
+    return cached
 
 
 def _with_region(spark: SparkSession, sf_dir: str, df: DataFrame, key: str, dim_table: str,

@@ -1,5 +1,6 @@
 import datetime as dt
 from collections import defaultdict
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,7 +145,7 @@ def test_bucketed_band_join_finds_every_pair(spark):
         cols += [glo.alias(f"MP1_Fund_MoM_Min_{name}"), ghi.alias(f"MP1_Fund_MoM_Max_{name}")]
     treated = treated.select("*", *cols)
     cands = spark.createDataFrame(
-        [(100 + j, m0, __import__("decimal").Decimal("1.00"), s, 1, 0.0) for j, s in enumerate(sizes)],
+        [(100 + j, m0, Decimal("1.00"), s, 1, 0.0) for j, s in enumerate(sizes)],
         "dealership_id long, M0 date, M0_Orig decimal(28,2), M0_Fund long, MP1_Fund long, MP1_Fund_MoM double")
     got = {(r.dealership_id__c, r.Peer_Dealership_id) for r in M.match_pairs(treated, cands).collect()}
     want = {(i, 100 + j) for i, s in enumerate(sizes) for j, c in enumerate(sizes)
