@@ -299,12 +299,12 @@ def q_flags(spark, sf):
 
 @register("a38_running_points")
 def q_running(spark, sf):
-    return led.running_points(ct.priced_rows(_contest_sources(spark, sf), CONTEST))
+    return ct.ranked_rows(_contest_sources(spark, sf), CONTEST)
 
 
 @register("a39_milestone_first_reach")
 def q_first_reach(spark, sf):
-    rows = led.running_points(ct.priced_rows(_contest_sources(spark, sf), CONTEST))
+    rows = ct.ranked_rows(_contest_sources(spark, sf), CONTEST)
     return led.first_reach(led.milestone_dates(rows))
 
 
@@ -320,7 +320,7 @@ def q_dashboard_wide(spark, sf):
 
 @register("a45_first_n_to_reach")
 def q_first_n(spark, sf):
-    rows = led.running_points(ct.priced_rows(_contest_sources(spark, sf), CONTEST))
+    rows = ct.ranked_rows(_contest_sources(spark, sf), CONTEST)
     return led.first_n_to_reach(rows, 250000, 3)
 
 
