@@ -281,14 +281,16 @@ def dealer_apps(apps: DataFrame, account: DataFrame, start: dt.date, end: dt.dat
                 app_types: Sequence[str] = DEALER_APP_TYPES) -> DataFrame:
     """New active dealer of a tier: first dealer-type application since lookback is in the window.
 
-    Region comes from the account.
+    Region comes from the account.  The tier test is per dealer, so the first
+    application is taken per dealer first (partial aggregate: one row per
+    dealer crosses the network) and only then joined to the account.
     """
-    acc = account.select(F.col("dealership_id__c").alias("_id"),
-                         F.col("rsm_territory_regions__c").alias("region"),
-                         "powersports_sales_tier__c")
-    rows = apps.join(acc, apps.dealership_id == acc._id)
-    where = F.col("app_type").isin(list(app_types)) & tier_prefix("powersports_sales_tier__c", tier)
+    where = F.col("app_type").isin(list(app_types))
     if vehicle_filter:
         where = where & vehicle_class_filter()
-    return first_event_in_window(rows, start, end, "submitted_at", lookback_start=lookback_start,
-                                 where=where)
+    first = first_event_in_window(apps, start, end, "submitted_at", keys=("dealership_id",),
+                                  lookback_start=lookback_start, where=where)
+    acc = (account.where(tier_prefix("powersports_sales_tier__c", tier))
+           .select(F.col("dealership_id__c").alias("_id"),
+                   F.col("rsm_territory_regions__c").alias("region")))
+    return first.join(acc, first.dealership_id == acc._id).select("region", "dealership_id", "date")
