@@ -9,8 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cohortkit.functions.predicates import tier_label, vehicle_class_filter
+from cohortkit.operators import events as ev
+from cohortkit.operators import ledger as led
+from cohortkit.operators import panel as panel_ops
 from cohortkit.operators import snapshots as snap
+from cohortkit.plans import contest as ct
+from cohortkit.plans.lift_report import lift_stages
 from cohortkit.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,10 +53,6 @@ def q_activity_snapshots_step2(spark, sf):
 
 # --- peer lift report -------------------------------------------------------
 
-from cohortkit.functions.predicates import tier_label  # noqa: E402
-from cohortkit.operators import panel as panel_ops  # noqa: E402
-from cohortkit.plans.lift_report import lift_stages  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 # The sf0.01 fixture has no dealer above 10 first-pass peers; the registered
 # matching queries lower the thresholds so every branch of the rule runs.
@@ -189,10 +192,6 @@ def q_lift(spark, sf):
 
 # --- sales contest ----------------------------------------------------------
 
-from cohortkit.functions.predicates import vehicle_class_filter  # noqa: E402
-from cohortkit.operators import events as ev  # noqa: E402
-from cohortkit.operators import ledger as led  # noqa: E402
-from cohortkit.plans import contest as ct  # noqa: E402
 
 CONTEST = ct.ContestParams(
     start=td.CONTEST_START, end=td.CONTEST_END, lookback_start=td.LOOKBACK_START,
