@@ -1,0 +1,19 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Lookups above this many rows are joined the ordinary way (planner / AQE decide).
+SMALL_LOOKUP_ROWS = 100_000
+
+
+def small_side(df: DataFrame, max_rows: int = SMALL_LOOKUP_ROWS) -> DataFrame:
+    """Broadcast hint for a user-supplied lookup only after checking it is small.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
+    early), so it stays cheap whatever the table; a larger lookup is returned
+    unhinted and joined by the planner's own strategy.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

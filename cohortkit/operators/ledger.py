@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortkit.functions.joins import small_side
+
 LEDGER_COLUMNS = ["team", "metric_id", "metric_name", "region", "dealership_id", "date",
                   "metric_volume"]
 BI_REPORT = "BI Report: by Dealership_ID"
@@ -50,11 +52,11 @@ def attribute_to_rep(ledger: DataFrame, region_rep: DataFrame,
                      overrides: Mapping[str, str] | None = None) -> DataFrame:
     """Rep by (region, team); unmatched rows are kept with a NULL rep.
 
-    The rep lookup has one row per (region, team) and is broadcast.
+    The rep lookup (one row per region and team) is broadcast once its size is checked.
     """
     overrides = overrides or {}
-    reps = F.broadcast(region_rep.select(F.col("region").alias("_r"), F.col("team").alias("_t"),
-                                         "sales_name"))
+    reps = small_side(region_rep.select(F.col("region").alias("_r"), F.col("team").alias("_t"),
+                                        "sales_name"))
     out = ledger.join(reps, (ledger.region == reps._r) & (ledger.team == reps._t), "left")
     return out.select(
         F.lit(BI_REPORT).alias("Report_Type"), "sales_name", "team", "metric_id", "metric_name",
@@ -80,7 +82,7 @@ def manual_event_rows(report: DataFrame, region_rep: DataFrame, excluded: Sequen
     reps = region_rep.where(F.col("sales_name").isNotNull())
     if excluded:
         reps = reps.where(~F.col("sales_name").isin(list(excluded)))
-    reps = F.broadcast(reps.select(F.col("sales_name").alias("_s"), F.col("region").alias("_region")))
+    reps = small_side(reps.select(F.col("sales_name").alias("_s"), F.col("region").alias("_region")))
     out = report.join(reps, report.sales_name == reps._s, "left")
     return out.select(
         F.lit(PERSON_REPORT).alias("Report_Type"), "sales_name", "team", "metric_id",
@@ -92,8 +94,8 @@ def manual_event_rows(report: DataFrame, region_rep: DataFrame, excluded: Sequen
 
 def price_events(ledger: DataFrame, bounty: DataFrame) -> DataFrame:
     """Points per unit by (metric, team); ``bounty`` = volume x unit, NULL when unpriced."""
-    b = F.broadcast(bounty.select(F.col("metric_id").alias("_m"), F.col("team").alias("_t"),
-                                  "bounty_per_unit"))
+    b = small_side(bounty.select(F.col("metric_id").alias("_m"), F.col("team").alias("_t"),
+                                 "bounty_per_unit"))
     out = ledger.join(b, (ledger.metric_id == b._m) & (ledger.team == b._t), "left")
     return out.drop("_m", "_t").withColumn("bounty", F.col("metric_volume") * F.col("bounty_per_unit"))
 
