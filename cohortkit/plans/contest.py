@@ -21,6 +21,7 @@ from cohortkit.functions.dates import add_months_py
 from cohortkit.functions.predicates import vehicle_class_filter
 from cohortkit.operators import events as E
 from cohortkit.operators import ledger as L
+from cohortkit.sources.contracts import require_unique
 
 
 @dataclass(frozen=True)
@@ -186,14 +187,27 @@ def priced_rows(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec] = ME
     return L.volume_flags(L.attach_dealer_name(L.price_events(rows, s.bounty), s.account))
 
 
+def validate_sources(s: Sources, p: ContestParams) -> None:
+    """Fail loudly on inputs the dashboard's joins assume unique.
+
+    A rep with several regions would have each hand-reported row counted
+    once per region; a repeated dealer id would repeat its events.
+    """
+    L.assert_unique_reps(s.region_rep, p.excluded_reps)
+    require_unique(s.account, ["dealership_id__c"], "account")
+
+
 def contest_dashboard(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec] = METRICS,
-                      narrow: bool | None = None) -> DataFrame:
+                      narrow: bool | None = None, validate: bool = False) -> DataFrame:
     """The 20-column dashboard: one row per qualifying event with running points and milestones.
 
     ``narrow`` (default: on for the built-in metrics) reads each large source
     once through ``narrow_sources``; custom metrics may need rows outside
-    those slices, so it defaults to off for them.
+    those slices, so it defaults to off for them.  ``validate`` runs
+    ``validate_sources`` first.
     """
+    if validate:
+        validate_sources(s, p)
     if narrow if narrow is not None else metrics is METRICS:
         s = narrow_sources(s, p)
     return L.milestone_dates(ranked_rows(s, p, metrics), p.milestones).select(*L.DASHBOARD_COLUMNS)

@@ -161,3 +161,16 @@ def test_ledger_keeps_every_metric_row(spark):
     counts = {(m.team, m.metric_id): m.build(s, CONTEST).count() for m in ct.METRICS}
     ledger = ct.metric_ledger(s, CONTEST).groupBy("team", "metric_id").count().collect()
     assert {(r.team, r.metric_id): r["count"] for r in ledger} == {k: v for k, v in counts.items() if v}
+
+
+def test_dashboard_validation_names_offending_reps(spark):
+    from dataclasses import replace
+    from cohortkit.plans import contest as ct
+    from cohortkit.plans.registry import CONTEST, _contest_sources
+    from tests.conftest import SMOKE
+    s = _contest_sources(spark, SMOKE, narrow=False)
+    ct.validate_sources(s, CONTEST)
+    doubled = s.region_rep.unionByName(
+        s.region_rep.where("sales_name = 'rsm_asia'").withColumn("region", F.lit("EUROPE")))
+    with pytest.raises(ValueError, match="rsm_asia"):
+        ct.contest_dashboard(replace(s, region_rep=doubled), CONTEST, validate=True)
