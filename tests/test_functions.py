@@ -94,3 +94,29 @@ def test_small_side_broadcasts_only_checked_small_lookups(spark):
     hinted = small_side(df, max_rows=10)._jdf.queryExecution().analyzed().toString()
     plain = small_side(df, max_rows=2)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
+
+
+def test_grid_matches_recursive_sql_grid():
+    """Property: the driver-side grid equals a do-while grid built by DuckDB's own month add."""
+    import duckdb
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    con = duckdb.connect()
+
+    @settings(max_examples=60, deadline=None)
+    @given(first=st.dates(min_value=D(1990, 1, 1), max_value=D(2030, 12, 31)),
+           span_days=st.integers(min_value=0, max_value=2000),
+           step=st.integers(min_value=1, max_value=14))
+    def check(first, span_days, step):
+        last = first + dt.timedelta(days=span_days)
+        sql = f"""
+            WITH RECURSIVE g(d, n) AS (
+                SELECT DATE '{first}', 0
+                UNION ALL
+                SELECT CAST(d + INTERVAL ({step}) MONTH AS DATE), n + 1 FROM g
+                WHERE n = 0 OR d < DATE '{last}')
+            SELECT d FROM g ORDER BY n"""
+        assert report_grid(first, last, step) == [r[0] for r in con.execute(sql).fetchall()]
+
+    check()
