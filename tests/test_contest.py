@@ -174,3 +174,18 @@ def test_dashboard_validation_names_offending_reps(spark):
         s.region_rep.where("sales_name = 'rsm_asia'").withColumn("region", F.lit("EUROPE")))
     with pytest.raises(ValueError, match="rsm_asia"):
         ct.contest_dashboard(replace(s, region_rep=doubled), CONTEST, validate=True)
+
+
+def test_fact_slice_prunes_and_pushes_on_a_stored_table(spark, tmp_path):
+    """On a stored fact the contest's date window prunes month partitions and reaches the scan."""
+    rows, _ = hot_dealer_fact()
+    out = str(tmp_path / "fact")
+    (frame(spark, "fact_funded", rows).withColumn("month", F.trunc("funding_pending_date", "MM"))
+     .write.partitionBy("month").parquet(out))
+    stored = spark.read.parquet(out)
+    days = E.funded_days(stored, D(2024, 2, 1), D(2024, 3, 31))
+    scan = [l for l in days._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in l][0]
+    assert "PushedFilters: [" in scan and "funding_pending_date" in scan.split("PushedFilters: [")[1]
+    assert "is_funded" in scan.split("PushedFilters: [")[1]
+    raw = frame(spark, "fact_funded", rows)
+    assert sorted(map(tuple, days.collect())) == sorted(map(tuple, E.funded_days(raw, D(2024, 2, 1), D(2024, 3, 31)).collect()))
