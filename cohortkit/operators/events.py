@@ -86,7 +86,7 @@ def funded_days(fact: DataFrame, start: dt.date | None, end: dt.date,
             .agg(F.count(F.lit(1)).alias("_rows"), F.sum("count").alias("_units")))
 
 
-def _in_days(days: DataFrame, start: dt.date, end: dt.date) -> Column:
+def _in_window(start: dt.date, end: dt.date) -> Column:
     return F.col("funding_pending_date").between(F.lit(start), F.lit(end))
 
 
@@ -126,7 +126,7 @@ def yoy_new_threshold_days(days: DataFrame, account: DataFrame, n: int, start: d
                            end: dt.date, tier: str | None = "A") -> DataFrame:
     """``yoy_new_threshold`` over ``funded_days`` rows."""
     py_start, py_end = add_months_py(start, -12), add_months_py(end, -12)
-    rows = days.where(_in_days(days, start, end) | _in_days(days, py_start, py_end))
+    rows = days.where(_in_window(start, end) | _in_window(py_start, py_end))
     if tier is not None:
         dealers = (account.where(tier_prefix("powersports_sales_tier__c", tier))
                    .select(F.col("dealership_id__c").alias("_acc_id")))
@@ -235,7 +235,7 @@ def new_threshold_vs_history(fact: DataFrame, n: int, lookback_start: dt.date, s
 def new_threshold_vs_history_days(days: DataFrame, n: int, lookback_start: dt.date,
                                   start: dt.date, end: dt.date) -> DataFrame:
     """``new_threshold_vs_history`` over ``funded_days`` rows."""
-    ladder = _ladder(days.where(_in_days(days, lookback_start, end)))
+    ladder = _ladder(days.where(_in_window(lookback_start, end)))
     after = F.col("funding_pending_date") >= F.lit(start)
     out = ladder.groupBy("region", "dealership_id").agg(
         F.min(F.when(after, _nth_row_day(ladder, n, "funding_pending_date"))).alias("date"),
@@ -262,7 +262,7 @@ def nth_event_after_enrolment_days(days: DataFrame, account: DataFrame, n: int,
     acc = (without_enrolled_predecessor(account)
            .where(F.col("enrolled_time_stamp__c") >= F.lit(enrol_floor))
            .select(F.col("dealership_id__c").alias("_acc_id")))
-    rows = days.where(_in_days(days, start, end))
+    rows = days.where(_in_window(start, end))
     rows = rows.join(acc, rows.dealership_id == acc._acc_id, "left_semi")
     ladder = _ladder(rows)
     nth = ladder.where((F.col("_rows_before") < n) & (F.col("_rows_through") >= n))
