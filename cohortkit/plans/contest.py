@@ -198,22 +198,28 @@ def validate_sources(s: Sources, p: ContestParams) -> None:
 
 
 def contest_dashboard(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec] = METRICS,
-                      narrow: bool | None = None, validate: bool = False) -> DataFrame:
+                      narrow: bool | None = None, validate: bool = False,
+                      kept: list[DataFrame] | None = None) -> DataFrame:
     """The 20-column dashboard: one row per qualifying event with running points and milestones.
 
     ``narrow`` (default: on for the built-in metrics) reads each large source
     once through ``narrow_sources``; custom metrics may need rows outside
     those slices, so it defaults to off for them.  ``validate`` runs
-    ``validate_sources`` first.
+    ``validate_sources`` first.  Relations persisted on the way are appended
+    to ``kept`` (when given) so the caller can release them after writing.
     """
     if validate:
         validate_sources(s, p)
     if narrow if narrow is not None else metrics is METRICS:
         s = narrow_sources(s, p)
-    return L.milestone_dates(ranked_rows(s, p, metrics), p.milestones).select(*L.DASHBOARD_COLUMNS)
+        if kept is not None:
+            kept.extend(x for x in (s.fact_days, s.apps, s.status, s.account) if x is not None)
+    rows = ranked_rows(s, p, metrics, kept)
+    return L.milestone_dates(rows, p.milestones).select(*L.DASHBOARD_COLUMNS)
 
 
-def ranked_rows(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec] = METRICS) -> DataFrame:
+def ranked_rows(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec] = METRICS,
+                kept: list[DataFrame] | None = None) -> DataFrame:
     """Priced rows with running points.
 
     The running total reads the priced rows twice (day totals per rep, and the
@@ -222,4 +228,6 @@ def ranked_rows(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec] = ME
     once instead of once per reader.
     """
     priced = priced_rows(s, p, metrics).persist(StorageLevel.MEMORY_AND_DISK)
+    if kept is not None:
+        kept.append(priced)
     return L.running_points(priced)
