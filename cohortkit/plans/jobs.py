@@ -5,7 +5,7 @@ contract (checked, cast, pruned).  Results are written with ``write_result``:
 the lift report and the dashboard replace their table, the snapshots replace
 only the report dates they contain.
 
-    spark-submit -m cohortkit.plans.jobs lift --fact sales.funded --account crm.accounts \
+    python -m cohortkit.plans.jobs lift --fact sales.funded --account crm.accounts \
         --as-of 2024-04-15 --out analytics.peer_lift
 """
 
