@@ -164,7 +164,7 @@ def enrolled_predecessors(account: DataFrame) -> DataFrame:
             .select(F.col("dealership_id__c").alias("_prev_id")).distinct())
 
 
-def without_enrolled_predecessor(account: DataFrame, prev_col: str = "previous_octane_dealer_id__c") -> DataFrame:
+def without_enrolled_predecessor(account: DataFrame, prev_col: str = "previous_dealer_id__c") -> DataFrame:
     """Account rows whose previous-owner dealer is absent or never enrolled (anti join)."""
     prev = enrolled_predecessors(account)
     return account.join(prev, F.col(prev_col) == prev._prev_id, "left_anti")

@@ -36,7 +36,7 @@ CONTRACTS: dict[str, T.StructType] = {
         ("rsm_territory_regions__c", S),
         ("prequal_integrated_enrolled_date__c", D),
         ("prequal_integrated_unenrolled_date__c", D),
-        ("enrolled_time_stamp__c", TS), ("previous_octane_dealer_id__c", L)),
+        ("enrolled_time_stamp__c", TS), ("previous_dealer_id__c", L)),
     # monthly loyalty status with the prior state on the same row
     "status_monthly": _schema(
         ("dealership_id__c", L), ("partition_date", D), ("full_status", S),

@@ -123,7 +123,7 @@ def dim_account(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 35 == 0, F.date_add(enrolled, 200)).alias("prequal_integrated_unenrolled_date__c"),
         F.when(k % 3 != 0, F.date_add(F.lit(dt.date(1997, 12, 1)), ((k * 11) % 150).cast("int"))
                .cast("timestamp_ntz")).alias("enrolled_time_stamp__c"),
-        F.when(k % 4 == 0, k + 1).alias("previous_octane_dealer_id__c"))
+        F.when(k % 4 == 0, k + 1).alias("previous_dealer_id__c"))
     return conform(df, "dim_account")
 
 

@@ -58,7 +58,7 @@ VIEWS: dict[str, str] = {
            CASE WHEN s.s_suppkey % 3 <> 0
                 THEN CAST(DATE '1997-12-01' + CAST((s.s_suppkey * 11) % 150 AS INTEGER) AS TIMESTAMP) END
                AS enrolled_time_stamp__c,
-           CASE WHEN s.s_suppkey % 4 = 0 THEN s.s_suppkey + 1 END AS previous_octane_dealer_id__c
+           CASE WHEN s.s_suppkey % 4 = 0 THEN s.s_suppkey + 1 END AS previous_dealer_id__c
     FROM supplier s JOIN ({SUPPLIER_REGION}) sr ON s.s_suppkey = sr.s_suppkey""",
     "status_monthly": """
     SELECT dealership_id__c, partition_date, full_status,
