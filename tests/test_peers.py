@@ -129,16 +129,18 @@ def test_report_shape_and_synthetic_peer_at_m0(spark):
         assert sorted(mms) == list(range(len(mms)))
 
 
-def test_bucketed_band_join_finds_every_pair(spark):
+@pytest.mark.parametrize("tol", [0.05, 0.25, 0.4, 0.6])
+def test_bucketed_band_join_finds_every_pair(spark, tol):
     """Size bands around integers of every magnitude: bucketed join == brute force."""
     import random
     from cohortkit.functions.bands import growth_band, size_band
-    rnd = random.Random(3)
+    rnd = random.Random(int(tol * 100))
     m0 = D(2021, 3, 1)
-    sizes = [rnd.choice([1, 2, 3, 4, 5, 7, 8, 12, 13, 16, 20, 47, 48, 80, 1000, 1001]) for _ in range(80)]
+    sizes = [rnd.choice([1, 2, 3, 4, 5, 7, 8, 12, 13, 16, 20, 47, 48, 80, 1000, 1001, 10**9 + 7])
+             for _ in range(80)]
     treated = spark.createDataFrame([(i, m0, s, 0.0) for i, s in enumerate(sizes)],
                                     "dealership_id__c long, M0 date, M0_Fund long, MP1_Fund_MoM double")
-    lo, hi = size_band("M0_Fund", 0.25)
+    lo, hi = size_band("M0_Fund", tol)
     cols = [lo.alias("M0_Fund_Min"), hi.alias("M0_Fund_Max")]
     for name, t in C.GROWTH_TOLERANCES.items():
         glo, ghi = growth_band("MP1_Fund_MoM", t)
@@ -147,9 +149,11 @@ def test_bucketed_band_join_finds_every_pair(spark):
     cands = spark.createDataFrame(
         [(100 + j, m0, Decimal("1.00"), s, 1, 0.0) for j, s in enumerate(sizes)],
         "dealership_id long, M0 date, M0_Orig decimal(28,2), M0_Fund long, MP1_Fund long, MP1_Fund_MoM double")
-    got = {(r.dealership_id__c, r.Peer_Dealership_id) for r in M.match_pairs(treated, cands).collect()}
+    got = {(r.dealership_id__c, r.Peer_Dealership_id)
+           for r in M.match_pairs(treated, cands, size_tol=tol).collect()}
     want = {(i, 100 + j) for i, s in enumerate(sizes) for j, c in enumerate(sizes)
-            if s * 0.75 <= c <= s * 1.25}
+            if s * (1 - tol) <= c <= s * (1 + tol)}
+    assert want
     assert got == want
 
 
