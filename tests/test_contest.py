@@ -189,3 +189,30 @@ def test_fact_slice_prunes_and_pushes_on_a_stored_table(spark, tmp_path):
     assert "is_funded" in scan.split("PushedFilters: [")[1]
     raw = frame(spark, "fact_funded", rows)
     assert sorted(map(tuple, days.collect())) == sorted(map(tuple, E.funded_days(raw, D(2024, 2, 1), D(2024, 3, 31)).collect()))
+
+
+def test_running_points_property(spark):
+    """Random ledgers (ties, NULL points, hot reps): two-level running total == single total order."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.sampled_from(["a", "b", "hot", "hot", "hot"]), st.integers(1, 4),
+                    st.integers(1, 3), st.sampled_from([None, 0, 5, 50, 500]))
+
+    @settings(max_examples=12, deadline=None)
+    @given(st.lists(row, min_size=1, max_size=40))
+    def check(items):
+        rows = [("BI", rep, "RSM", metric, "R", i % 3, D(2024, 2, day), f"n{i}", 1, pts)
+                for i, (rep, day, metric, pts) in enumerate(items)]
+        got = sorted((r.note, r.cum_sum) for r in L.running_points(ledger_rows(spark, rows)).collect())
+        order = lambda r: (r[6], r[0], r[2], r[3], r[4], r[5], r[7], r[8])
+        want = []
+        for rep in {r[1] for r in rows}:
+            total = None
+            for r in sorted((r for r in rows if r[1] == rep), key=order):
+                if r[9] is not None:
+                    total = (total or 0) + r[9]
+                want.append((r[7], total))
+        assert got == sorted(want)
+
+    check()
