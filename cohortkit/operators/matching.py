@@ -32,11 +32,17 @@ def size_bucket(col, ratio: float):
 
 
 def match_pairs(profile: DataFrame, candidates: DataFrame, size_tol: float = SIZE_TOLERANCE,
-                growth_tols: dict[str, float] = GROWTH_TOLERANCES) -> DataFrame:
+                growth_tols: dict[str, float] = GROWTH_TOLERANCES, salt: int = 8) -> DataFrame:
     """Treated x candidate pairs of the same M0 inside the size and widest growth band.
 
     Output: one row per pair with the band flags of every tolerance and the
     first-pass flag ``Peer_Sel_1_Ind`` (size and first growth band).
+
+    ``salt`` splits every (M0, bucket) over that many join keys: candidates
+    take ``pmod(hash(dealer), salt)``, each treated row is repeated once per
+    salt value.  A bucket holding a third of all candidates is then worked
+    by ``salt`` tasks; the treated side (one row per treated dealer and
+    bucket) is the one multiplied.
     """
     ratio = (1 + size_tol) / (1 - size_tol)
     widest = max(growth_tols, key=growth_tols.get)
@@ -46,7 +52,8 @@ def match_pairs(profile: DataFrame, candidates: DataFrame, size_tol: float = SIZ
     treated = (profile.where(F.col("M0_Fund_Min").isNotNull() & F.col(lo_w).isNotNull())
                .withColumn("bucket", F.explode(F.sequence(
                    size_bucket(F.col("M0_Fund_Min") * (1 - BUCKET_SLACK), ratio),
-                   size_bucket(F.col("M0_Fund_Max") * (1 + BUCKET_SLACK), ratio)))))
+                   size_bucket(F.col("M0_Fund_Max") * (1 + BUCKET_SLACK), ratio))))
+               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(max(salt, 1) - 1)))))
     cand = (candidates.where((F.col("M0_Fund") > 0) & F.col("MP1_Fund_MoM").isNotNull())
             .select(F.col("M0").alias("c_M0"),
                     F.col("dealership_id").alias("Peer_Dealership_id"),
@@ -54,11 +61,13 @@ def match_pairs(profile: DataFrame, candidates: DataFrame, size_tol: float = SIZ
                     F.col("M0_Fund").alias("Peer_M0_Fund"),
                     F.col("MP1_Fund").alias("Peer_MP1_Fund"),
                     F.col("MP1_Fund_MoM").alias("Peer_MP1_Fund_MoM"),
-                    size_bucket("M0_Fund", ratio).alias("c_bucket")))
+                    size_bucket("M0_Fund", ratio).alias("c_bucket"),
+                    F.pmod(F.hash("dealership_id"), F.lit(max(salt, 1))).alias("c_salt")))
     cond = ((treated.M0 == cand.c_M0) & (treated.bucket == cand.c_bucket)
+            & (treated.salt == cand.c_salt)
             & cand.Peer_M0_Fund.between(treated.M0_Fund_Min, treated.M0_Fund_Max)
             & cand.Peer_MP1_Fund_MoM.between(treated[lo_w], treated[hi_w]))
-    pairs = treated.join(cand, cond).drop("bucket", "c_bucket", "c_M0")
+    pairs = treated.join(cand, cond).drop("bucket", "c_bucket", "c_M0", "salt", "c_salt")
     flags = [F.lit(1).alias("within_M0_Fund_Ind")]
     for name in growth_tols:
         inside = F.col("Peer_MP1_Fund_MoM").between(F.col(f"MP1_Fund_MoM_Min_{name}"),
