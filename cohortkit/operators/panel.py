@@ -94,17 +94,20 @@ def lift_panel(filled: DataFrame, synthetic: DataFrame, sizes: DataFrame) -> Dat
         "Peer_Funded_Raw", "Peer_Orig_Raw", "Norm_Ratio_Fund", "Norm_Ratio_Orig")
 
 
-def cohort_tenure(cohort_m0: DataFrame, spine: DataFrame) -> DataFrame:
+def cohort_tenure(cohort_m0: DataFrame, spine: DataFrame, as_of: dt.date) -> DataFrame:
     """Per cohort month: ``M0_Tenure``, the largest ``MM`` of its panel rows.
 
     Every dealer of a cohort is paired with the same spine months, so the
-    cohort's largest MM is the distance from M0 to the last spine month.  It
-    is computed from the cohort months and the spine (both bounded by the
-    calendar) instead of re-reading the panel or windowing over a cohort.
+    cohort's largest MM is the distance from M0 to the last spine month at
+    or after it.  Computed on the cohort months alone (months generated
+    per cohort, equi-joined with the broadcast spine), not on the panel and
+    not with a window over a cohort.
     """
-    m0 = cohort_m0.select("M0").distinct()
-    months = F.broadcast(spine)
-    return (m0.join(months, months.Calendar_MM >= m0.M0)
+    last_month = F.lit(last_complete_day(as_of).replace(day=1))
+    m0 = cohort_m0.select("M0").distinct().where(F.col("M0") <= last_month)
+    months = m0.withColumn("Calendar_MM", F.explode(
+        F.sequence(F.col("M0"), last_month, F.expr("INTERVAL 1 MONTH"))))
+    return (months.join(F.broadcast(spine), "Calendar_MM")
             .groupBy("M0").agg(F.max(month_diff("M0", "Calendar_MM")).alias("M0_Tenure")))
 
 

@@ -140,7 +140,7 @@ class LiftStages:
 
     @cached_property
     def tenure(self) -> DataFrame:
-        return P.cohort_tenure(self.cohorts, self.spine)
+        return P.cohort_tenure(self.cohorts, self.spine, self.as_of)
 
     @cached_property
     def lift_panel(self) -> DataFrame:
