@@ -1,5 +1,5 @@
 """Input contracts and source views."""
 
-from cohortkit.sources.contracts import CONTRACTS, conform, require_columns
+from cohortkit.sources.contracts import CONTRACTS, conform, require_columns, require_unique
 
-__all__ = ["CONTRACTS", "conform", "require_columns"]
+__all__ = ["CONTRACTS", "conform", "require_columns", "require_unique"]
