@@ -41,7 +41,7 @@ _TABLES: dict[str, DataFrame] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The raw test table; the reader (file listing, footer) is made once per session and path."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    path = f"{str(sf_dir).rstrip('/')}/{name}.parquet"
     cached = _TABLES.get(path)
     if cached is None or cached.sparkSession is not spark:
         cached = _TABLES[path] = spark.read.parquet(path)
