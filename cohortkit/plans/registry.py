@@ -335,3 +335,15 @@ def q_first_dealer_app(spark, sf):
 def q_history_n6(spark, sf):
     s = _contest_sources(spark, sf)
     return ev.new_threshold_vs_history(s.fact, 6, CONTEST.lookback_start, CONTEST.start, CONTEST.end)
+
+
+SHORT_LOOKBACK = td.dt.date(1998, 1, 1)
+
+
+@register("a26_first_event_funding_short_lookback")
+def q_first_funding_short(spark, sf):
+    # the fixture's dealers fund every month since the contest look-back, so the BDR metric is
+    # empty there; with a one-month look-back the same operator has rows to check
+    days = ev.funded_days(td.fact_funded(spark, sf), SHORT_LOOKBACK, CONTEST.end)
+    return ev.first_funding_in_window_days(days, CONTEST.start, CONTEST.end, SHORT_LOOKBACK)
+
