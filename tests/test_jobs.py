@@ -44,3 +44,14 @@ def test_contest_job_releases_what_it_persisted(spark, tmp_path):
     assert other.storageLevel != StorageLevel.NONE     # the job releases only its own relations
     assert spark.read.parquet(str(tmp_path / "dash")).count() > 0
     other.unpersist()
+
+
+def test_lift_job_cli(spark, tmp_path):
+    facts, accounts, treated = random_peer_world()
+    fact_path, acc_path, out = (str(tmp_path / n) for n in ("fact", "acc", "out"))
+    frame(spark, "fact_funded", facts).write.parquet(fact_path)
+    frame(spark, "dim_account", accounts).where("dealership_id__c IS NOT NULL").write.parquet(acc_path)
+    main(["lift", "--fact", fact_path, "--account", acc_path, "--as-of", "2022-01-15",
+          "--low", "2", "--high", "3", "--out", out])
+    written = spark.read.parquet(out)
+    assert {r.Dealership_ID for r in written.select("Dealership_ID").distinct().collect()} == set(treated)
