@@ -9,7 +9,8 @@ from tools_compare import TABLES, frame_rows
 
 KEYS = ["a21_peer_lift_report", "a21_peer_lift_report_low_thresholds", "a22_lift",
         "a40_contest_dashboard", "a40_contest_dashboard_wide_feature", "a43_activity_snapshots",
-        "a24_yoy_new_threshold", "a45_first_n_to_reach"]
+        "a24_yoy_new_threshold", "a45_first_n_to_reach", "a10_match_flags",
+        "a11_adaptive_peers_low_thresholds", "a33_attribute_to_rep", "a38_running_points"]
 
 
 @pytest.fixture(scope="module")
