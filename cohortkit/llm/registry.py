@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from cohortkit.llm.bpe import op6_bpe_merge_rounds
+from cohortkit.llm.langid import op10_kneser_ney_langid
 
 QUERIES = {
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
+    "op10_kneser_ney_langid": op10_kneser_ney_langid,
 }
 
 ORACLES: dict[str, str] = {}
