@@ -191,9 +191,11 @@ def window_names(names: np.ndarray, starts: np.ndarray, width: int, salt: int =
 
 # ---------------------------------------------------------------- batch exchange
 
-def batched(docs: DataFrame, per_partition: int = 4) -> tuple[DataFrame, int]:
+def batched(docs: DataFrame, per_partition: int = 4, rest: bool = False) -> tuple[DataFrame, int]:
     """(batch, doc_id, text) dealt by ranges of doc_id, and the number of partitions.
 
+    With ``rest``, all other columns come along inside one struct column, so their names can't clash.
+
     A batch holds all rows of its doc_ids, and batches ascend with doc_id, so (batch, place in the
     batch) orders all documents. The cut points are quantiles of all doc_ids. Null ids come first.
     """
@@ -208,7 +210,9 @@ def batched(docs: DataFrame, per_partition: int = 4) -> tuple[DataFrame, int]:
         batch = F.when(F.col("doc_id").isNull(), 0).otherwise(batch)
     else:
         batch = F.lit(0)
-    dealt = docs.select(batch.cast("int").alias("batch"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    along = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest")] if rest and others else []
+    dealt = docs.select(batch.cast("int").alias("batch"), F.col("doc_id").cast("long").alias("doc_id"), "text", *along)
     return dealt.repartition(parts, "batch"), parts
 
 
@@ -217,8 +221,10 @@ def in_order(table: pa.Table) -> pa.Table:
     return table.sort_by([("doc_id", "ascending"), ("text", "ascending")]) if table.num_rows > 1 else table
 
 
-ASK = pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("data", pa.binary())])
-ASK_SQL = "bucket int, batch int, data binary"
+#: kind 0 asks a bucket; kind 1 is a note of the batch to its own next step, which buckets pass on.
+ASK = pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
+ASK_SQL = "bucket int, batch int, kind int, data binary"
+NOTE = 1
 
 
 def bucket_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
@@ -233,12 +239,15 @@ def deal(keys: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.concatenate([[0], np.cumsum(np.bincount(buckets, minlength=n_buckets))])
 
 
-def ask_rows(batch: int, order: np.ndarray, bounds: np.ndarray, *arrays: np.ndarray) -> pa.Table:
-    """One row per non-empty bucket: the arrays' slices, one after the other, as bytes."""
-    filled = np.flatnonzero(np.diff(bounds))
+def ask_rows(batch: int, order: np.ndarray, bounds: np.ndarray, *arrays: np.ndarray, note: bytes | None = None) -> pa.Table:
+    """One row per non-empty bucket: the arrays' slices, one after the other, as bytes; then the note."""
+    filled = np.flatnonzero(np.diff(bounds)).tolist()
     data = [b"".join(a[order[bounds[b]:bounds[b + 1]]].tobytes() for a in arrays) for b in filled]
+    kind = [0] * len(filled)
+    if note is not None:
+        filled, data, kind = [*filled, batch % (len(bounds) - 1)], [*data, note], [*kind, NOTE]
     return pa.table({"bucket": pa.array(filled, pa.int32()), "batch": pa.array([batch] * len(filled), pa.int32()),
-                     "data": pa.array(data, pa.binary())}, schema=ASK)
+                     "kind": pa.array(kind, pa.int32()), "data": pa.array(data, pa.binary())}, schema=ASK)
 
 
 def unpack(data: bytes, *dtypes) -> list[np.ndarray]:
@@ -251,32 +260,69 @@ def unpack(data: bytes, *dtypes) -> list[np.ndarray]:
     return out
 
 
-def answers(asked: DataFrame, parts: int, n_buckets: int, answer: Callable) -> DataFrame:
-    """Each bucket's rows meet in one task; ``answer(list of (batch, data)) -> list of bytes``, one per row.
+def answers(asked: DataFrame, n_buckets: int, answer: Callable[[list[tuple[int, bytes]]], list[bytes]]) -> DataFrame:
+    """Each bucket's rows meet in one task; ``answer`` gets (batch, data) by ascending batch and returns one reply each.
 
-    Buckets are partition ids, so a task holds one bucket: 1/n_buckets of the distinct keys of all batches.
+    Buckets are partition ids, so a task holds one bucket: 1/n_buckets of what all batches ask.
     """
-    def bucket(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: dict[int, list[tuple[int, bytes]]] = {}
+    def replies(bucket: int, rows: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+        rows.sort(key=lambda r: (r[0], r[1]))
+        ask = [(batch, data) for batch, kind, data in rows if kind != NOTE]
+        said = iter(answer(ask) if ask else [])
+        for i in range(0, len(rows), 64):
+            part = rows[i:i + 64]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([bucket] * len(part), pa.int32()), pa.array([r[0] for r in part], pa.int32()),
+                 pa.array([r[1] for r in part], pa.int32()),
+                 pa.array([r[2] if r[1] == NOTE else next(said) for r in part], pa.binary())], schema=ASK)
+
+    def partition(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: dict[int, list[tuple[int, int, bytes]]] = {}
         for r in rows:
-            for b, batch, data in zip(r.column("bucket").to_pylist(), r.column("batch").to_pylist(),
-                                      r.column("data").to_pylist()):
-                got.setdefault(b, []).append((batch, data))
-        for b in sorted(got):
-            mine = sorted(got.pop(b), key=lambda x: x[0])
-            said = answer(mine)
-            for i in range(0, len(mine), 256):
-                part = mine[i:i + 256]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b] * len(part), pa.int32()), pa.array([x[0] for x in part], pa.int32()),
-                     pa.array(said[i:i + 256], pa.binary())], schema=ASK)
-
-    return asked.repartitionById(n_buckets, F.col("bucket")).mapInArrow(bucket, ASK_SQL)
-
-
-def answered(table: pa.Table) -> dict[int, bytes]:
-    """bucket -> answer of one batch."""
-    return dict(zip(table.column("bucket").to_pylist(), table.column("data").to_pylist()))
+            for bucket, batch, kind, data in zip(*(r.column(c).to_pylist() for c in ("bucket", "batch", "kind", "data"))):
+                got.setdefault(bucket, []).append((batch, kind, data))
+        for bucket in sorted(got):
+            yield from replies(bucket, got.pop(bucket))
+
+    return asked.repartitionById(n_buckets, F.col("bucket")).mapInArrow(partition, ASK_SQL)
+
+
+def answered(table: pa.Table) -> tuple[dict[int, bytes], bytes]:
+    """(bucket -> reply, the note) of one batch."""
+    said, note = {}, b""
+    for bucket, kind, data in zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "data"))):
+        if kind == NOTE:
+            note = data
+        else:
+            said[bucket] = data
+    return said, note
+
+
+def replies_in_order(said: dict[int, bytes], order: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Two bits for each key, as ``firsts`` packs them, back in the order of the keys."""
+    out = np.zeros((len(order), 2), bool)
+    for b in np.flatnonzero(np.diff(bounds)):
+        mine = order[bounds[b]:bounds[b + 1]]
+        out[mine] = np.unpackbits(np.frombuffer(said[b], np.uint8), count=2 * len(mine)).astype(bool).reshape(-1, 2)
+    return out
+
+
+def firsts(asked: list[np.ndarray], *more: list[np.ndarray]) -> list[bytes]:
+    """For each key: is it there again anywhere, and is there an earlier one? Two packed bits each.
+
+    ``more`` are further parts of the same keys. Earlier: in an earlier array, or before it in its own.
+    """
+    flat = [np.concatenate(a) for a in (asked, *more)]
+    order = np.lexsort(flat[::-1]) if more else np.argsort(flat[0], kind="stable")
+    same = np.ones(max(0, len(order) - 1), bool)
+    for a in flat:
+        s = a[order]
+        same &= s[1:] == s[:-1]
+    bits = np.zeros((len(order), 2), bool)
+    bits[order, 1] = np.append(False, same)[:len(order)]
+    bits[order, 0] = (np.append(False, same) | np.append(same, False))[:len(order)]
+    ends = np.cumsum([len(a) for a in asked])
+    return [np.packbits(bits[e - len(a):e].reshape(-1)).tobytes() for a, e in zip(asked, ends)]
 
 
 def slug(text: str) -> str:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from cohortkit.llm.bpe import op6_bpe_merge_rounds
 from cohortkit.llm.langid import op10_kneser_ney_langid
+from cohortkit.llm.recompression import op1_recompression_dedup
 
 QUERIES = {
+    "op1_recompression_dedup": op1_recompression_dedup,
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
     "op10_kneser_ney_langid": op10_kneser_ney_langid,
 }
