@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from cohortkit.llm.bpe import op6_bpe_merge_rounds
 from cohortkit.llm.langid import op10_kneser_ney_langid
+from cohortkit.llm.mixing import ORACLE as OP4_SQL
+from cohortkit.llm.mixing import op4_hierarchical_budgets
+from cohortkit.llm.neardup import op3_similarity_sketch_neardup
 from cohortkit.llm.recompression import op1_recompression_dedup
 
 QUERIES = {
     "op1_recompression_dedup": op1_recompression_dedup,
+    "op3_similarity_sketch_neardup": op3_similarity_sketch_neardup,
+    "op4_hierarchical_budgets": op4_hierarchical_budgets,
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
     "op10_kneser_ney_langid": op10_kneser_ney_langid,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_hierarchical_budgets": OP4_SQL,
+}
