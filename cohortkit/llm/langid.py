@@ -221,14 +221,20 @@ SLACK_NATS, SLACK_SPREADS, SHORT_NATS = 1.0, 4.0, 12.0
 PREDICTED_SQL = ("doc_id long, lang_pred string, score double, n_chars long, nats_per_char double, rejected boolean")
 
 
-def predict(docs: DataFrame, models, extra: str | None = None) -> DataFrame:
+def predict(docs: DataFrame, models, extra: str | None = None, rest: bool = False) -> DataFrame:
     """doc_id, lang_pred, score, n_chars, nats_per_char, rejected (and the column ``extra``), one row per row.
 
+    With ``rest`` the whole row comes along in a struct column ``rest``, so that no name can clash.
+
     ``models`` is a broadcast CharModels (None inside: nothing was learned, every text is ``und``). A null text or
     one without a letter is ``und`` with score 0 and is rejected; ties go to the first language by name. ``score``
     is the best language's share of the likelihood. Only the text is read.
     """
     names = ["doc_id", "text"] + ([extra] if extra else [])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest")
+    if rest:
+        extra = "rest"
+        names.append(whole)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = models.value
@@ -260,18 +266,19 @@ def predict(docs: DataFrame, models, extra: str | None = None) -> DataFrame:
                 out.append(extra)
             yield pa.RecordBatch.from_arrays(arrays, names=out)
 
-    sql = PREDICTED_SQL + (f", {extra} string" if extra else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *names[1:]).mapInArrow(run, sql)
+    asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *names[1:])
+    sql = PREDICTED_SQL + (f", {extra} {asked.schema[extra].dataType.simpleString()}" if extra else "")
+    return asked.mapInArrow(run, sql)
 
 
 def fold_of(remainders: int) -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(remainders))
 
 
-def identify(docs: DataFrame, train: DataFrame, docs_per_lang: int = 1000, extra: str | None = None) -> DataFrame:
+def identify(docs: DataFrame, train: DataFrame, docs_per_lang: int = 1000, rest: bool = False) -> DataFrame:
     """``predict`` of all ``docs`` with models fitted on ``train``."""
     models = fit(train, docs_per_lang)
-    return predict(docs, docs.sparkSession.sparkContext.broadcast(models), extra)
+    return predict(docs, docs.sparkSession.sparkContext.broadcast(models), rest=rest)
 
 
 def op10_kneser_ney_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from cohortkit.llm.bpe import op6_bpe_merge_rounds
 from cohortkit.llm.langid import op10_kneser_ney_langid
 from cohortkit.llm.mixing import ORACLE as OP4_SQL
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_hierarchical_budgets": op4_hierarchical_budgets,
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
     "op10_kneser_ney_langid": op10_kneser_ney_langid,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
