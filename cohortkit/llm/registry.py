@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from cohortkit.llm.bpe import op6_bpe_merge_rounds
+from cohortkit.llm.divergence import op8_js_divergence_rules
 from cohortkit.llm.langid import op10_kneser_ney_langid
 from cohortkit.llm.mixing import ORACLE as OP4_SQL
 from cohortkit.llm.mixing import op4_hierarchical_budgets
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_similarity_sketch_neardup": op3_similarity_sketch_neardup,
     "op4_hierarchical_budgets": op4_hierarchical_budgets,
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
+    "op8_js_divergence_rules": op8_js_divergence_rules,
     "op10_kneser_ney_langid": op10_kneser_ney_langid,
     "pipeline": corpus_pipeline.run,
 }
