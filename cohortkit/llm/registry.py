@@ -9,6 +9,8 @@ from cohortkit.llm.langid import op10_kneser_ney_langid
 from cohortkit.llm.mixing import ORACLE as OP4_SQL
 from cohortkit.llm.mixing import op4_hierarchical_budgets
 from cohortkit.llm.neardup import op3_similarity_sketch_neardup
+from cohortkit.llm.onebit import ORACLE as OP7_SQL
+from cohortkit.llm.onebit import op7_one_bit_neighbours
 from cohortkit.llm.recompression import op1_recompression_dedup
 
 QUERIES = {
@@ -16,6 +18,7 @@ QUERIES = {
     "op3_similarity_sketch_neardup": op3_similarity_sketch_neardup,
     "op4_hierarchical_budgets": op4_hierarchical_budgets,
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
+    "op7_one_bit_neighbours": op7_one_bit_neighbours,
     "op8_js_divergence_rules": op8_js_divergence_rules,
     "op10_kneser_ney_langid": op10_kneser_ney_langid,
     "pipeline": corpus_pipeline.run,
@@ -23,4 +26,5 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op4_hierarchical_budgets": OP4_SQL,
+    "op7_one_bit_neighbours": OP7_SQL,
 }
