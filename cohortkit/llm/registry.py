@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from cohortkit.llm.bloom_lm import op9_bloom_lm_score
 from cohortkit.llm.bpe import op6_bpe_merge_rounds
 from cohortkit.llm.divergence import op8_js_divergence_rules
 from cohortkit.llm.langid import op10_kneser_ney_langid
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
     "op7_one_bit_neighbours": op7_one_bit_neighbours,
     "op8_js_divergence_rules": op8_js_divergence_rules,
+    "op9_bloom_lm_score": op9_bloom_lm_score,
     "op10_kneser_ney_langid": op10_kneser_ney_langid,
     "pipeline": corpus_pipeline.run,
 }
