@@ -126,14 +126,12 @@ class MergeRounds:
             self._wide_cut = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
         return [text[a:b] for _, (a, b) in self._wide_cut.pre_tokenize_str(text)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers. Equal words are merged once."""
-        out: list[bytes] = []
-        for at in range(0, len(texts), 100_000):
-            out += self._encode(texts[at:at + 100_000])
-        return out
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, one after the other; number of each). Equal words are merged once."""
+        parts = [self._encode(texts[at:at + 100_000]) for at in range(0, len(texts), 100_000)]
+        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         joined = "".join(texts)
         plain = not self.wide.search(joined)
         special = self.cut_special is not None and self.cut_special.search(joined) is not None
@@ -162,24 +160,26 @@ class MergeRounds:
         n = count[used]
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
-        stream = flat[np.arange(total) + np.repeat(begin[used] - (ends - n), n)].astype("<u4").tobytes()
-        last = np.append(0, ends)[np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))].tolist()
-        return [stream[4 * a:4 * b] for a, b in zip([0, *last], last)]
+        stream = flat[np.arange(total) + np.repeat(begin[used] - (ends - n), n)]
+        last = np.append(0, ends)[np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))]
+        return stream, np.diff(last, prepend=0)
 
     # ------------------------------------------------------------ decode
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The text's UTF-8 bytes; bytes that are no UTF-8 become the replacement character, as in the library."""
+    def decode(self, ids: np.ndarray, count: np.ndarray) -> list[bytes]:
+        """The texts' UTF-8 bytes; bytes that are no UTF-8 become the replacement character, as in the library."""
         begin, length = self.raw_at[ids], np.diff(self.raw_at)[ids]
-        total = int(length.sum())
         ends = np.cumsum(length)
-        source = np.arange(total) + np.repeat(begin - (ends - length), length)
-        raw = self.raw[source].tobytes()
-        try:
-            raw.decode()
-            return raw
-        except UnicodeDecodeError:
-            return raw.decode("utf-8", "replace").encode()
+        total = int(ends[-1]) if len(ends) else 0
+        raw = self.raw[np.arange(total) + np.repeat(begin - (ends - length), length)].tobytes()
+        cuts = np.append(0, np.append(0, ends)[np.cumsum(count)]).tolist()
+        out = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        for i, text in enumerate(out):
+            try:
+                text.decode()
+            except UnicodeDecodeError:
+                out[i] = text.decode("utf-8", "replace").encode()
+        return out
 
 
 _OPEN: dict[str, tuple[MergeRounds, ChunkTable]] = {}
@@ -207,16 +207,18 @@ def encode_decode(docs: DataFrame, vocabulary: str, digests: bool = True) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rounds, table = opened(vocabulary)
         for batch in text_groups(batches, 4 << 20):
-            ids = list(table.texts(["" if t is None else t for t in batch.column("text").to_pylist()]))
-            back = (rounds.decode(np.frombuffer(x, "<u4")) for x in ids)
-            n = pa.array([len(x) // 4 for x in ids], pa.int64())
+            flat, count = table.texts(["" if t is None else t for t in batch.column("text").to_pylist()])
+            back = rounds.decode(flat, count)
+            raw, cuts = flat.astype("<u4").tobytes(), np.append(0, np.cumsum(4 * count)).tolist()
+            ids = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+            n = pa.array(count, pa.int64())
             if digests:
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id"), n, pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
                     pa.array([hashlib.sha256(x).hexdigest() for x in back])],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
             else:
-                yield columns(SCHEMA, doc_id=batch.column("doc_id"), n_tokens=n, ids=ids, decoded=list(back))
+                yield columns(SCHEMA, doc_id=batch.column("doc_id"), n_tokens=n, ids=ids, decoded=back)
 
     made = "ids_sha256 string, decoded_sha256 string" if digests else "ids binary, decoded binary"
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, f"doc_id long, n_tokens long, {made}")

@@ -1,49 +1,86 @@
 """Cutting a text at single spaces without changing its byte-level BPE tokens.
 
-The pre-tokenizer of the byte-level vocabularies attaches one space to the front of the word that
-follows it, and no piece crosses a space that stands between two non-space characters. So a text is
-its first chunk and then " " + chunk for each further one, and chunks can be encoded apart and kept
-in a table. Two consecutive spaces join into one piece and a special token is matched before the
-text is cut; texts with either are encoded whole.
+The pre-tokenizer of the byte-level vocabularies attaches one space to the front of the word that follows it, and
+of a run of white space it leaves the last character to what follows. So no piece crosses the front of a space that
+has a non-space character behind it, and a text is its first chunk and then " " + chunk for each further one; chunks
+can be encoded apart and kept in a table. A space before other white space joins with it, and a special token is
+matched before the text is cut; texts with either are encoded whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
+
+import numpy as np
+import regex
 
 SPECIAL = "<|endoftext|>"
+_ASCII_JOINED = ("  ", " \n", " \t", " \r", " \x0b", " \x0c", " \x1c", " \x1d", " \x1e", " \x1f")
+_OTHER_JOINED = regex.compile(r" [^\S\x00-\x7f]")
+
+
+def whole(text: str) -> bool:
+    return any(x in text for x in _ASCII_JOINED) or SPECIAL in text or (
+        not text.isascii() and _OTHER_JOINED.search(text) is not None)
+
+
+class _Numbers(dict):
+    """Chunk -> number; a new chunk gets the next one and is noted as pending."""
+
+    def __init__(self, pending: list[str], prefix: str):
+        super().__init__()
+        self.pending, self.prefix = pending, prefix
+
+    def __missing__(self, chunk: str) -> int:
+        number = self[chunk] = self.pending.next
+        self.pending.next += 1
+        self.pending.append(self.prefix + chunk)
+        return number
+
+
+class _Pending(list):
+    next = 0
 
 
 class ChunkTable:
-    """Token ids (little-endian bytes) of chunks seen so far on this worker, bounded in size.
+    """Token ids of the chunks seen so far on this worker, bounded in chunks and tokens.
 
-    ``encode`` takes a list of distinct strings and returns one bytes object of ids for each.
+    ``encode`` takes a list of strings and returns all their ids, one after the other, and the number of each.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 250_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 300_000):
         self.encode, self.most = encode, most
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def texts(self, texts: list[str]) -> Iterable[bytes]:
-        if len(self.first) + len(self.later) > self.most:
-            self.first.clear()
-            self.later.clear()
-        cut: list[list[str]] = []
-        firsts: set[str] = set()
-        laters: set[str] = set()
-        for text in texts:
-            chunks = [text] if "  " in text or SPECIAL in text else text.split(" ")
-            cut.append(chunks)
-            firsts.add(chunks[0])
-            laters.update(chunks[1:])
-        new = [c for c in firsts if c not in self.first]
-        self.first.update(zip(new, self.encode(new)))
-        new = [c for c in laters if c not in self.later]
-        self.later.update(zip(new, self.encode([" " + c for c in new])))
+        self.clear()
+
+    def clear(self) -> None:
+        self.pending = _Pending()
+        self.first, self.later = _Numbers(self.pending, ""), _Numbers(self.pending, " ")
+        self.ids, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, one after the other; number of each)."""
+        if len(self.count) > self.most or len(self.ids) > 8 * self.most:
+            self.clear()
+        used, size, once = [], [], []
         look = self.later.__getitem__
-        for chunks in cut:
-            yield self.first[chunks[0]] + b"".join(map(look, chunks[1:]))
-        for chunks in cut:  # long texts encoded whole are not worth keeping
-            if len(chunks[0]) > 1000:
-                self.first.pop(chunks[0], None)
+        for text in texts:
+            chunks = [text] if whole(text) else text.split(" ")
+            if len(chunks[0]) > 500:
+                once.append(chunks[0])
+            used.append(np.array([self.first[chunks[0]]]))
+            used.append(np.fromiter(map(look, chunks[1:]), np.int64, len(chunks) - 1))
+            size.append(len(chunks))
+        if self.pending:
+            ids, count = self.encode(list(self.pending))
+            self.pending.clear()
+            self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
+            self.count = np.concatenate([self.count, count])
+        begin = np.cumsum(self.count) - self.count
+        at = np.concatenate(used) if used else np.zeros(0, np.int64)
+        n = self.count[at]
+        ends = np.cumsum(n)
+        flat = self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin[at] - (ends - n), n)]
+        per_text = np.diff(np.append(0, np.append(0, ends)[np.cumsum(size)])) if size else np.zeros(0, np.int64)
+        for text in once:  # not worth keeping as keys
+            self.first.pop(text, None)
+        return flat, per_text

@@ -12,10 +12,12 @@ from cohortkit.llm.mixing import op4_hierarchical_budgets
 from cohortkit.llm.neardup import op3_similarity_sketch_neardup
 from cohortkit.llm.onebit import ORACLE as OP7_SQL
 from cohortkit.llm.onebit import op7_one_bit_neighbours
+from cohortkit.llm.rans import op2_rans_token_file
 from cohortkit.llm.recompression import op1_recompression_dedup
 
 QUERIES = {
     "op1_recompression_dedup": op1_recompression_dedup,
+    "op2_rans_token_file": op2_rans_token_file,
     "op3_similarity_sketch_neardup": op3_similarity_sketch_neardup,
     "op4_hierarchical_budgets": op4_hierarchical_budgets,
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
