@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from cohortkit.session import ensure_test_checkpoint_dir
 
@@ -103,9 +104,16 @@ class Scratch:
         self.root = f"{ensure_test_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         _LEFT.append((spark, self.root))
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        """Write and read again. The shuffle files of the finished write go at once, its table replaces them."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        conf, cleanup = self.spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = conf.get(cleanup, None)
+        conf.set(cleanup, "true")
+        try:
+            df.write.mode("overwrite").options(**options).parquet(path)
+        finally:
+            conf.unset(cleanup) if before is None else conf.set(cleanup, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
@@ -115,38 +123,20 @@ class Scratch:
 
 # ---------------------------------------------------------------- word names
 
-class WordNames(dict):
-    """word (bytes) -> 64-bit name, the same on every worker; bounded, refilled when full."""
-
-    def __init__(self, most: int = 400_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        import hashlib
-
-        if len(self) >= self.most:
-            self.clear()
-        name = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return name
-
-
-_NAMES = WordNames()
 _ASCII_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
 def word_names(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(names of all words, first word of each text): flat uint64 names and n+1 starts."""
+    """(names of all words, first word of each text): flat 64-bit names, the same on every worker, and n+1 starts."""
     raw = data[offsets[0]:offsets[-1]].tobytes() if len(offsets) else b""
     if lower:
         raw = raw.translate(_ASCII_LOWER)
     base = int(offsets[0]) if len(offsets) else 0
     names, starts = [], np.zeros(len(offsets), np.int64)
-    look = _NAMES.__getitem__
     for i in range(len(offsets) - 1):
         words = raw[offsets[i] - base:offsets[i + 1] - base].split()
         starts[i + 1] = starts[i] + len(words)
-        names.append(np.fromiter(map(look, words), np.uint64, len(words)))
+        names.append(np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words)))
     return (np.concatenate(names) if names else np.zeros(0, np.uint64)), starts
 
 
@@ -191,7 +181,7 @@ def window_names(names: np.ndarray, starts: np.ndarray, width: int, salt: int =
 
 # ---------------------------------------------------------------- batch exchange
 
-def batched(docs: DataFrame, per_partition: int = 4, rest: bool = False) -> tuple[DataFrame, int]:
+def batched(docs: DataFrame, per_partition: int = 2, rest: bool = False) -> tuple[DataFrame, int]:
     """(batch, doc_id, text) dealt by ranges of doc_id, and the number of partitions.
 
     With ``rest``, all other columns come along inside one struct column, so their names can't clash.
@@ -221,7 +211,7 @@ def in_order(table: pa.Table) -> pa.Table:
     return table.sort_by([("doc_id", "ascending"), ("text", "ascending")]) if table.num_rows > 1 else table
 
 
-#: kind 0 asks a bucket; kind 1 is a note of the batch to its own next step, which buckets pass on.
+#: kind 1 is a note of the batch to its own next step, which buckets pass on; all other kinds ask a bucket.
 ASK = pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 ASK_SQL = "bucket int, batch int, kind int, data binary"
 NOTE = 1
@@ -239,15 +229,16 @@ def deal(keys: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.concatenate([[0], np.cumsum(np.bincount(buckets, minlength=n_buckets))])
 
 
-def ask_rows(batch: int, order: np.ndarray, bounds: np.ndarray, *arrays: np.ndarray, note: bytes | None = None) -> pa.Table:
+def ask_rows(batch: int, order: np.ndarray, bounds: np.ndarray, *arrays: np.ndarray, note: bytes | None = None,
+             kind: int = 0) -> pa.Table:
     """One row per non-empty bucket: the arrays' slices, one after the other, as bytes; then the note."""
     filled = np.flatnonzero(np.diff(bounds)).tolist()
     data = [b"".join(a[order[bounds[b]:bounds[b + 1]]].tobytes() for a in arrays) for b in filled]
-    kind = [0] * len(filled)
+    kinds = [kind] * len(filled)
     if note is not None:
-        filled, data, kind = [*filled, batch % (len(bounds) - 1)], [*data, note], [*kind, NOTE]
+        filled, data, kinds = [*filled, batch % (len(bounds) - 1)], [*data, note], [*kinds, NOTE]
     return pa.table({"bucket": pa.array(filled, pa.int32()), "batch": pa.array([batch] * len(filled), pa.int32()),
-                     "kind": pa.array(kind, pa.int32()), "data": pa.array(data, pa.binary())}, schema=ASK)
+                     "kind": pa.array(kinds, pa.int32()), "data": pa.array(data, pa.binary())}, schema=ASK)
 
 
 def unpack(data: bytes, *dtypes) -> list[np.ndarray]:
@@ -260,21 +251,29 @@ def unpack(data: bytes, *dtypes) -> list[np.ndarray]:
     return out
 
 
-def answers(asked: DataFrame, n_buckets: int, answer: Callable[[list[tuple[int, bytes]]], list[bytes]]) -> DataFrame:
+Answer = Callable[[list[tuple[int, bytes]]], list[bytes]]
+
+
+def answers(asked: DataFrame, n_buckets: int, answer: Answer | dict[int, Answer]) -> DataFrame:
     """Each bucket's rows meet in one task; ``answer`` gets (batch, data) by ascending batch and returns one reply each.
 
-    Buckets are partition ids, so a task holds one bucket: 1/n_buckets of what all batches ask.
+    Buckets are partition ids, so a task holds one bucket: 1/n_buckets of what all batches ask. With several kinds of
+    questions there is one answer function for each.
     """
+    by_kind = answer if isinstance(answer, dict) else {0: answer}
+
     def replies(bucket: int, rows: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
         rows.sort(key=lambda r: (r[0], r[1]))
-        ask = [(batch, data) for batch, kind, data in rows if kind != NOTE]
-        said = iter(answer(ask) if ask else [])
+        said = {}
+        for kind, reply in by_kind.items():
+            ask = [(batch, data) for batch, k, data in rows if k == kind]
+            said[kind] = iter(reply(ask) if ask else [])
         for i in range(0, len(rows), 64):
             part = rows[i:i + 64]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([bucket] * len(part), pa.int32()), pa.array([r[0] for r in part], pa.int32()),
                  pa.array([r[1] for r in part], pa.int32()),
-                 pa.array([r[2] if r[1] == NOTE else next(said) for r in part], pa.binary())], schema=ASK)
+                 pa.array([r[2] if r[1] == NOTE else next(said[r[1]]) for r in part], pa.binary())], schema=ASK)
 
     def partition(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[int, list[tuple[int, int, bytes]]] = {}
@@ -287,13 +286,13 @@ def answers(asked: DataFrame, n_buckets: int, answer: Callable[[list[tuple[int,
     return asked.repartitionById(n_buckets, F.col("bucket")).mapInArrow(partition, ASK_SQL)
 
 
-def answered(table: pa.Table) -> tuple[dict[int, bytes], bytes]:
-    """(bucket -> reply, the note) of one batch."""
+def answered(table: pa.Table, kind: int = 0) -> tuple[dict[int, bytes], bytes]:
+    """(bucket -> reply to this kind of question, the note) of one batch."""
     said, note = {}, b""
-    for bucket, kind, data in zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "data"))):
-        if kind == NOTE:
+    for bucket, k, data in zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "data"))):
+        if k == NOTE:
             note = data
-        else:
+        elif k == kind:
             said[bucket] = data
     return said, note
 
