@@ -14,12 +14,14 @@ from cohortkit.llm.onebit import ORACLE as OP7_SQL
 from cohortkit.llm.onebit import op7_one_bit_neighbours
 from cohortkit.llm.rans import op2_rans_token_file
 from cohortkit.llm.recompression import op1_recompression_dedup
+from cohortkit.llm.rlindex import op5_run_length_index_dedup
 
 QUERIES = {
     "op1_recompression_dedup": op1_recompression_dedup,
     "op2_rans_token_file": op2_rans_token_file,
     "op3_similarity_sketch_neardup": op3_similarity_sketch_neardup,
     "op4_hierarchical_budgets": op4_hierarchical_budgets,
+    "op5_run_length_index_dedup": op5_run_length_index_dedup,
     "op6_bpe_merge_rounds": op6_bpe_merge_rounds,
     "op7_one_bit_neighbours": op7_one_bit_neighbours,
     "op8_js_divergence_rules": op8_js_divergence_rules,
