@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -207,8 +208,9 @@ def batched(docs: DataFrame, per_partition: int = 2, rest: bool = False) -> tupl
 
 
 def in_order(table: pa.Table) -> pa.Table:
-    """The rows of one batch by doc_id, repeated ids by text: the same order each time it is asked."""
-    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")]) if table.num_rows > 1 else table
+    """The rows of one batch by doc_id, repeated ids by text, nulls first: the same order each time it is asked."""
+    keys = [("doc_id", "ascending"), ("text", "ascending")]
+    return table.take(pc.sort_indices(table, sort_keys=keys, null_placement="at_start")) if table.num_rows > 1 else table
 
 
 #: kind 1 is a note of the batch to its own next step, which buckets pass on; all other kinds ask a bucket.
