@@ -29,9 +29,3 @@ def growth_band(col: str | Column, tol: float) -> tuple[Column, Column]:
     high = (F.when(g > 0, g * (1 + tol)).when(g < 0, g * (1 - tol))
             .when(g == 0, F.lit(tol)))
     return low, high
-
-
-def within(col: str | Column, band: tuple[Column, Column]) -> Column:
-    """Inclusive band test as a 0/1 flag; a NULL side or value gives 0."""
-    low, high = band
-    return F.when(_c(col).between(low, high), 1).otherwise(0)

@@ -27,9 +27,9 @@ def month_start(col: str | Column) -> Column:
     return F.trunc(to_date_col(col), "MM")
 
 
-def month_end(col: str | Column) -> Column:
-    """Last day of the month of ``col`` (month start + 1 month - 1 day)."""
-    return F.date_sub(F.add_months(month_start(col), 1), 1)
+def month_later(col: str | Column) -> Column:
+    """One month after ``col``, less one day (the end of its month for a first of the month)."""
+    return F.date_sub(F.add_months(to_date_col(col), 1), 1)
 
 
 def month_diff(start: str | Column, end: str | Column) -> Column:
@@ -53,6 +53,13 @@ def add_months_py(day: dt.date, months: int) -> dt.date:
     return dt.date(year, month, min(day.day, last))
 
 
+def year_before(day: dt.date) -> dt.date:
+    """The same day a year earlier; the last day of a month stays the last day of its month."""
+    if day.day == calendar.monthrange(day.year, day.month)[1]:
+        return dt.date(day.year - 1, day.month, calendar.monthrange(day.year - 1, day.month)[1])
+    return dt.date(day.year - 1, day.month, day.day)
+
+
 def report_grid(first: dt.date | str, last: dt.date | str, step_months: int) -> list[dt.date]:
     """Report dates: ``first``, then repeated month steps until a date >= ``last``.
 

@@ -31,28 +31,6 @@ def funded_predicate(col: str = "is_funded", case_sensitive: bool = False) -> Co
     return F.col(col) == "Yes" if case_sensitive else F.lower(F.col(col)) == "yes"
 
 
-def month_spine(fact: DataFrame, as_of: dt.date, date_col: str = "funding_pending_date") -> DataFrame:
-    """Distinct calendar months with any fact row up to the last complete month."""
-    return (fact.where(F.col(date_col) <= F.lit(last_complete_day(as_of)))
-            .select(month_start(date_col).alias("Calendar_MM")).distinct())
-
-
-def monthly_measures(fact: DataFrame, keys: list[str] | None = None,
-                     date_col: str = "funding_pending_date", count_col: str = "count",
-                     amount_col: str = "total_financed", where: Column | None = None) -> DataFrame:
-    """Per key and month: ``Funded = SUM(count)``, ``Orig = SUM(amount)``."""
-    keys = keys or ["dealership_id"]
-    rows = fact if where is None else fact.where(where)
-    return (rows.groupBy(*keys, month_start(date_col).alias("Funding_MM"))
-            .agg(F.sum(count_col).alias("Funded"), F.sum(amount_col).alias("Orig")))
-
-
-def funded_monthly(fact: DataFrame, case_sensitive: bool = False) -> DataFrame:
-    """Funded rows with a date, per dealer and month (shared by every peer step)."""
-    where = F.col("funding_pending_date").isNotNull() & funded_predicate(case_sensitive=case_sensitive)
-    return monthly_measures(fact, where=where)
-
-
 def dealer_month_activity(fact: DataFrame, case_sensitive: bool = False,
                           date_col: str = "funding_pending_date") -> DataFrame:
     """One pass over the fact: per dealer and month, all rows and the funded measures.
@@ -69,12 +47,12 @@ def dealer_month_activity(fact: DataFrame, case_sensitive: bool = False,
 
 
 def funded_from_activity(activity: DataFrame) -> DataFrame:
-    """Dealer-months with at least one funded row (same rows as ``funded_monthly``)."""
+    """Dealer-months with at least one funded row."""
     return activity.where(F.col("n_funded") > 0).select("dealership_id", "Funding_MM", "Funded", "Orig")
 
 
 def spine_from_activity(activity: DataFrame, as_of: dt.date) -> DataFrame:
-    """Months with any fact row up to the last complete month (same rows as ``month_spine``)."""
+    """Months with any fact row up to the last complete month."""
     cut_month = last_complete_day(as_of).replace(day=1)
     return (activity.where(F.col("Funding_MM") <= F.lit(cut_month))
             .select(F.col("Funding_MM").alias("Calendar_MM")).distinct())

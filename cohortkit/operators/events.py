@@ -7,11 +7,10 @@ Running totals and row numbers "within a dealer-month, by date" are taken
 on a day-level pre-aggregate: rows are first combined per (dealer, month,
 day) by a hash aggregate (map-side partial combine), then the windows run
 over one dealer-month, i.e. at most 31 day rows, however hot the dealer is.
-The first day on which a running total reaches n, and the day holding the
-n-th row, do not depend on how rows of the same day are ordered, so the
-results equal the row-level definitions (counts are assumed >= 0).  Region
-is carried as an attribute of the day row; when one dealer-day carries
-several regions, each of them is credited with that day.
+Rows of one dealer-month are ordered by (date, region), NULL regions first;
+rows of one region-day are alike, so the region-day that holds the n-th row
+or reaches a total is the same as at row level (counts are assumed >= 0) and
+exactly one region-day holds the n-th row.
 """
 
 from __future__ import annotations
@@ -22,8 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.functions.dates import add_months_py, month_end, month_start, to_date_col
-from cohortkit.functions.predicates import (TOP_LEVELS, level_up, tier_prefix,
+from cohortkit.functions.dates import month_later, month_start, to_date_col, year_before
+from cohortkit.functions.predicates import (EXCLUDED_VEHICLE_CLASSES, TOP_LEVELS, level_up, tier_prefix,
                                             vehicle_class_filter)
 
 # Application types counted as dealer activity.
@@ -31,13 +30,14 @@ DEALER_APP_TYPES = ("Dealer", "lightspeed")
 
 
 def funded_rows(fact: DataFrame, start: dt.date | None, end: dt.date,
-                case_sensitive: bool = True, vehicle_filter: bool = True) -> DataFrame:
+                case_sensitive: bool = True, vehicle_filter: bool = True,
+                excluded_classes: Sequence[str] = EXCLUDED_VEHICLE_CLASSES) -> DataFrame:
     """Funded fact rows in [start, end] (start None: no lower bound)."""
     d = F.col("funding_pending_date")
     cond = d <= F.lit(end) if start is None else d.between(F.lit(start), F.lit(end))
     funded = (F.col("is_funded") == "Yes") if case_sensitive else (F.lower("is_funded") == "yes")
     if vehicle_filter:
-        cond = cond & vehicle_class_filter()
+        cond = cond & vehicle_class_filter(excluded=excluded_classes)
     return fact.where(cond & funded)
 
 
@@ -45,25 +45,26 @@ def day_ladder(rows: DataFrame, part_keys: Sequence[str], date_col: str,
                units_col: str | None = None, attr_keys: Sequence[str] = ()) -> DataFrame:
     """One row per (attr, part, day) with running totals within ``part_keys`` by day.
 
-    Columns: ``_rows``/``_units`` of the day, ``_rows_before`` (strictly
-    earlier days), ``_rows_through``/``_units_through`` (up to and including
-    the day, all attrs), ``_units_total`` (whole partition).
+    Columns: ``_rows``/``_units`` of the day row, ``_rows_before`` (earlier
+    rows), ``_rows_through``/``_units_through`` (up to and including the row),
+    ``_units_total`` (whole partition).
     """
     units = F.sum(units_col) if units_col else F.count(F.lit(1))
     daily = rows.groupBy(*attr_keys, *part_keys, date_col).agg(
         F.count(F.lit(1)).alias("_rows"), units.alias("_units"))
-    return ladder_from_days(daily, part_keys, date_col)
+    return ladder_from_days(daily, part_keys, date_col, attr_keys)
 
 
-def ladder_from_days(daily: DataFrame, part_keys: Sequence[str], date_col: str) -> DataFrame:
-    """Running totals by day within ``part_keys`` over day rows carrying ``_rows``/``_units``.
+def ladder_from_days(daily: DataFrame, part_keys: Sequence[str], date_col: str,
+                     attr_keys: Sequence[str] = ()) -> DataFrame:
+    """Running totals within ``part_keys`` over day rows carrying ``_rows``/``_units``.
 
-    RANGE frames over the day number, so every attribute row of the same day
-    sees the day's full total.  A partition is one dealer-month: <= 31 days.
+    Total order: the day, then the attributes (NULLs first).  A partition is
+    one dealer-month: at most 31 days times its regions.
     """
-    w = Window.partitionBy(*part_keys).orderBy(F.unix_date(F.col(date_col)))
-    before = w.rangeBetween(Window.unboundedPreceding, -1)
-    through = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy(*part_keys).orderBy(date_col, *[F.col(c).asc_nulls_first() for c in attr_keys])
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    through = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return daily.select(
         "*",
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
@@ -73,7 +74,8 @@ def ladder_from_days(daily: DataFrame, part_keys: Sequence[str], date_col: str)
 
 
 def funded_days(fact: DataFrame, start: dt.date | None, end: dt.date,
-                region_col: str = "rsm_territory_regions__c") -> DataFrame:
+                region_col: str = "rsm_territory_regions__c",
+                excluded_classes: Sequence[str] = EXCLUDED_VEHICLE_CLASSES) -> DataFrame:
     """Funded qualifying rows (case-sensitive, vehicle class) combined per (region, dealer, day).
 
     ``_rows`` counts rows (for n-th row rules), ``_units`` sums ``count``
@@ -81,7 +83,7 @@ def funded_days(fact: DataFrame, start: dt.date | None, end: dt.date,
     raw rows never cross the network; every fact metric of the contest can be
     answered from these day rows.
     """
-    return (funded_rows(fact, start, end)
+    return (funded_rows(fact, start, end, excluded_classes=excluded_classes)
             .groupBy(F.col(region_col).alias("region"), "dealership_id", "funding_pending_date")
             .agg(F.count(F.lit(1)).alias("_rows"), F.sum("count").alias("_units")))
 
@@ -92,7 +94,7 @@ def _in_window(start: dt.date, end: dt.date) -> Column:
 
 def _ladder(days: DataFrame) -> DataFrame:
     with_month = days.withColumn("month", month_start("funding_pending_date"))
-    return ladder_from_days(with_month, ["dealership_id", "month"], "funding_pending_date")
+    return ladder_from_days(with_month, ["dealership_id", "month"], "funding_pending_date", ["region"])
 
 
 def cumulative_threshold_date(rows: DataFrame, n: int, keys: Sequence[str] = ("dealership_id",),
@@ -116,29 +118,30 @@ def yoy_new_threshold(fact: DataFrame, account: DataFrame, n: int, start: dt.dat
     Rows: funded (case-sensitive), qualifying vehicle class, dealer tier
     prefix, dated in [start, end] or the same window one year earlier.  Per
     (region, dealer, month of year): ``date`` = day the current-year running
-    total reached n, ``py_mm_fund`` / ``cy_mm_fund`` = month totals.
+    total reached n, ``py_mm_fund`` / ``cy_mm_fund`` = month totals.  A row
+    belongs to the window that holds its date, so a window may cross a year
+    end; it must not be longer than a year.
     """
-    days = funded_days(fact, add_months_py(start, -12), end, region_col)
+    days = funded_days(fact, year_before(start), end, region_col)
     return yoy_new_threshold_days(days, account, n, start, end, tier)
 
 
 def yoy_new_threshold_days(days: DataFrame, account: DataFrame, n: int, start: dt.date,
                            end: dt.date, tier: str | None = "A") -> DataFrame:
     """``yoy_new_threshold`` over ``funded_days`` rows."""
-    py_start, py_end = add_months_py(start, -12), add_months_py(end, -12)
+    py_start, py_end = year_before(start), year_before(end)
     rows = days.where(_in_window(start, end) | _in_window(py_start, py_end))
     if tier is not None:
         dealers = (account.where(tier_prefix("powersports_sales_tier__c", tier))
                    .select(F.col("dealership_id__c").alias("_acc_id")))
         rows = rows.join(dealers, rows.dealership_id == dealers._acc_id, "left_semi")
     ladder = _ladder(rows)
-    cy, py = start.year, start.year - 1
-    year = F.year("month")
+    current = _in_window(start, end)
     reached = F.when(F.col("_units_through") >= n, F.col("funding_pending_date"))
     out = ladder.groupBy("region", "dealership_id", F.month("month").alias("mm")).agg(
-        F.min(F.when(year == cy, reached)).alias("date"),
-        F.max(F.when(year == py, F.col("_units_total")).otherwise(0)).alias("py_mm_fund"),
-        F.max(F.when(year == cy, F.col("_units_total")).otherwise(0)).alias("cy_mm_fund"))
+        F.min(F.when(current, reached)).alias("date"),
+        F.max(F.when(~current, F.col("_units_total")).otherwise(0)).alias("py_mm_fund"),
+        F.max(F.when(current, F.col("_units_total")).otherwise(0)).alias("cy_mm_fund"))
     return out.where((F.col("py_mm_fund") < n) & (F.col("cy_mm_fund") >= n))
 
 
@@ -190,7 +193,7 @@ def enrolled_in_window(account: DataFrame, start: dt.date, end: dt.date, tier: s
 
 def status_level_up(status: DataFrame, account: DataFrame, dates: Sequence[dt.date],
                     top_levels: Sequence[str] = TOP_LEVELS) -> DataFrame:
-    """Dealers whose monthly state entered a top level, dated at the end of the snapshot month."""
+    """Dealers whose monthly state entered a top level, dated one month less a day after the snapshot."""
     rows = status.where(to_date_col("partition_date").isin(list(dates))).withColumn(
         "OP_levelup_ind", level_up("full_status", "full_status_prior", top_levels))
     rows = rows.where(F.col("OP_levelup_ind") == 1)
@@ -198,7 +201,7 @@ def status_level_up(status: DataFrame, account: DataFrame, dates: Sequence[dt.da
                          F.col("rsm_territory_regions__c").alias("region"))
     return rows.join(acc, rows.dealership_id__c == acc._id, "left").select(
         "region", F.col("dealership_id__c").alias("dealership_id"),
-        month_end("partition_date").alias("date"), "OP_levelup_ind")
+        month_later("partition_date").alias("date"), "OP_levelup_ind")
 
 
 def feature_enrolled_in_window(account: DataFrame, start: dt.date, end: dt.date,
@@ -250,7 +253,7 @@ def nth_event_after_enrolment(fact: DataFrame, account: DataFrame, n: int, start
     """Newly enrolled dealers (no enrolled predecessor) reaching their n-th funded row in a month.
 
     Per (region, dealer): the earliest day holding the n-th row of one of
-    its months in [start, end].
+    its months in [start, end]; one region holds the n-th row of a month.
     """
     days = funded_days(fact, start, end, region_col)
     return nth_event_after_enrolment_days(days, account, n, start, end, enrol_floor)
@@ -276,6 +279,39 @@ def first_funding_in_window_days(days: DataFrame, start: dt.date, end: dt.date,
                                  lookback_start=lookback_start)
 
 
+def first_applications(apps: DataFrame, end: dt.date, lookback_start: dt.date, flex_client: str,
+                       app_types: Sequence[str] = DEALER_APP_TYPES,
+                       excluded_classes: Sequence[str] = EXCLUDED_VEHICLE_CLASSES) -> DataFrame:
+    """First application dates per (region, dealer) up to ``end``: one row instead of the applications.
+
+    ``first_flex``: of the flex client, qualifying vehicle class, ever; ``first_dealer``: of a
+    dealer type since ``lookback_start``; ``first_dealer_class``: the same of a qualifying class.
+    """
+    d = F.col("submitted_at")
+    qualifying = vehicle_class_filter(excluded=excluded_classes)
+    flex = (F.col("source_client") == flex_client) & qualifying
+    dealer = (d >= F.lit(lookback_start)) & F.col("app_type").isin(list(app_types))
+    return (apps.where((d <= F.lit(end)) & (flex | dealer))
+            .groupBy(F.col("rsm_territory_regions__c").alias("region"), "dealership_id")
+            .agg(F.min(F.when(flex, d)).alias("first_flex"), F.min(F.when(dealer, d)).alias("first_dealer"),
+                 F.min(F.when(dealer & qualifying, d)).alias("first_dealer_class")))
+
+
+def dealer_apps_from_firsts(firsts: DataFrame, account: DataFrame, start: dt.date, tier: str,
+                            vehicle_filter: bool) -> DataFrame:
+    """``dealer_apps`` over ``first_applications`` rows."""
+    of = "first_dealer_class" if vehicle_filter else "first_dealer"
+    first = firsts.groupBy("dealership_id").agg(F.min(of).alias("date")).where(F.col("date") >= F.lit(start))
+    return _with_tier_region(first, account, tier)
+
+
+def _with_tier_region(first: DataFrame, account: DataFrame, tier: str) -> DataFrame:
+    acc = (account.where(tier_prefix("powersports_sales_tier__c", tier))
+           .select(F.col("dealership_id__c").alias("_id"),
+                   F.col("rsm_territory_regions__c").alias("region")))
+    return first.join(acc, first.dealership_id == acc._id).select("region", "dealership_id", "date")
+
+
 def dealer_apps(apps: DataFrame, account: DataFrame, start: dt.date, end: dt.date,
                 lookback_start: dt.date, tier: str, vehicle_filter: bool,
                 app_types: Sequence[str] = DEALER_APP_TYPES) -> DataFrame:
@@ -290,7 +326,4 @@ def dealer_apps(apps: DataFrame, account: DataFrame, start: dt.date, end: dt.dat
         where = where & vehicle_class_filter()
     first = first_event_in_window(apps, start, end, "submitted_at", keys=("dealership_id",),
                                   lookback_start=lookback_start, where=where)
-    acc = (account.where(tier_prefix("powersports_sales_tier__c", tier))
-           .select(F.col("dealership_id__c").alias("_id"),
-                   F.col("rsm_territory_regions__c").alias("region")))
-    return first.join(acc, first.dealership_id == acc._id).select("region", "dealership_id", "date")
+    return _with_tier_region(first, account, tier)

@@ -9,8 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.functions.joins import small_side
-
 LEDGER_COLUMNS = ["team", "metric_id", "metric_name", "region", "dealership_id", "date",
                   "metric_volume"]
 BI_REPORT = "BI Report: by Dealership_ID"
@@ -50,13 +48,9 @@ def _region2(rep: Column, region: Column, overrides: Mapping[str, str]) -> Colum
 
 def attribute_to_rep(ledger: DataFrame, region_rep: DataFrame,
                      overrides: Mapping[str, str] | None = None) -> DataFrame:
-    """Rep by (region, team); unmatched rows are kept with a NULL rep.
-
-    The rep lookup (one row per region and team) is broadcast once its size is checked.
-    """
+    """Rep by (region, team); unmatched rows are kept with a NULL rep."""
     overrides = overrides or {}
-    reps = small_side(region_rep.select(F.col("region").alias("_r"), F.col("team").alias("_t"),
-                                        "sales_name"))
+    reps = region_rep.select(F.col("region").alias("_r"), F.col("team").alias("_t"), "sales_name")
     out = ledger.join(reps, (ledger.region == reps._r) & (ledger.team == reps._t), "left")
     return out.select(
         F.lit(BI_REPORT).alias("Report_Type"), "sales_name", "team", "metric_id", "metric_name",
@@ -69,8 +63,10 @@ def assert_unique_reps(region_rep: DataFrame, excluded: Sequence[str] = ()) -> N
 
     The lookup is a small dimension, so the offending names are brought back.
     """
-    dup = (region_rep.where(~F.col("sales_name").isin(list(excluded)) if excluded else F.lit(True))
-           .groupBy("sales_name").count().where(F.col("count") > 1).limit(20).collect())
+    named = region_rep.where(F.col("sales_name").isNotNull())  # a vacant territory has no rep
+    if excluded:
+        named = named.where(~F.col("sales_name").isin(list(excluded)))
+    dup = (named.groupBy("sales_name").count().where(F.col("count") > 1).limit(20).collect())
     if dup:
         raise ValueError(f"reps with several regions: {[r.sales_name for r in dup]}")
 
@@ -82,7 +78,7 @@ def manual_event_rows(report: DataFrame, region_rep: DataFrame, excluded: Sequen
     reps = region_rep.where(F.col("sales_name").isNotNull())
     if excluded:
         reps = reps.where(~F.col("sales_name").isin(list(excluded)))
-    reps = small_side(reps.select(F.col("sales_name").alias("_s"), F.col("region").alias("_region")))
+    reps = reps.select(F.col("sales_name").alias("_s"), F.col("region").alias("_region"))
     out = report.join(reps, report.sales_name == reps._s, "left")
     return out.select(
         F.lit(PERSON_REPORT).alias("Report_Type"), "sales_name", "team", "metric_id",
@@ -94,8 +90,7 @@ def manual_event_rows(report: DataFrame, region_rep: DataFrame, excluded: Sequen
 
 def price_events(ledger: DataFrame, bounty: DataFrame) -> DataFrame:
     """Points per unit by (metric, team); ``bounty`` = volume x unit, NULL when unpriced."""
-    b = small_side(bounty.select(F.col("metric_id").alias("_m"), F.col("team").alias("_t"),
-                                 "bounty_per_unit"))
+    b = bounty.select(F.col("metric_id").alias("_m"), F.col("team").alias("_t"), "bounty_per_unit")
     out = ledger.join(b, (ledger.metric_id == b._m) & (ledger.team == b._t), "left")
     return out.drop("_m", "_t").withColumn("bounty", F.col("metric_volume") * F.col("bounty_per_unit"))
 
@@ -165,8 +160,7 @@ def first_n_to_reach(ledger: DataFrame, threshold: int, n: int, rep_col: str = "
 
 DASHBOARD_COLUMNS = ["Report_Type", "sales_name", "team", "metric_id", "metric_name", "region",
                      "region2", "date", "dealership_id", "dealership_name", "metric_volume",
-                     "metric_volume_ind", "bounty_per_unit", "bounty", "note", "cum_sum",
-                     *MILESTONES]
+                     "metric_volume_ind", "bounty_per_unit", "bounty", "note", "cum_sum"]
 
 
 def contest_rows(attributed: DataFrame, end: dt.date, rep_col: str = "sales_name") -> DataFrame:

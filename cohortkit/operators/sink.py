@@ -15,10 +15,15 @@ def write_result(df: DataFrame, path: str | None = None, *, table: str | None =
     ``mode='overwrite'`` with ``partition_by`` replaces only the partitions
     present in ``df`` (dynamic partition overwrite), so re-running one report
     date is idempotent and leaves the other dates in place.  ``append`` adds
-    rows.  Give either a shared ``path`` or a catalog ``table``.
+    rows.  Give either a shared ``path`` or a catalog ``table``.  A table that
+    exists already is inserted into, its columns matched by name: saving it
+    anew would replace all of its partitions.
     """
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path or table")
+    if table is not None and partition_by and df.sparkSession.catalog.tableExists(table):
+        _insert_partitions(df, table, overwrite=mode == "overwrite")
+        return
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
@@ -26,3 +31,16 @@ def write_result(df: DataFrame, path: str | None = None, *, table: str | None =
         writer.saveAsTable(table)
     else:
         writer.save(path)
+
+
+def _insert_partitions(df: DataFrame, table: str, overwrite: bool) -> None:
+    spark, key = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    columns = spark.table(table).columns
+    if sorted(columns) != sorted(df.columns):
+        raise ValueError(f"columns of {table} are {columns}, not {df.columns}")
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.select(*columns).write.insertInto(table, overwrite=overwrite)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

@@ -17,8 +17,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.functions.dates import add_months_py
-from cohortkit.functions.predicates import vehicle_class_filter
+from cohortkit.functions.dates import year_before
+from cohortkit.functions.predicates import EXCLUDED_VEHICLE_CLASSES, TOP_LEVELS
 from cohortkit.operators import events as E
 from cohortkit.operators import ledger as L
 from cohortkit.sources.contracts import require_unique
@@ -39,6 +39,10 @@ class ContestParams:
     excluded_reps: Sequence[str] = ()
     milestones: Mapping[str, int] = field(default_factory=lambda: dict(L.MILESTONES))
     flex_client: str = "direct_to_consumer_flex"
+    app_types: Sequence[str] = E.DEALER_APP_TYPES
+    vertical: str = "Powersports"
+    top_levels: Sequence[str] = TOP_LEVELS
+    excluded_classes: Sequence[str] = EXCLUDED_VEHICLE_CLASSES
 
 
 @dataclass(frozen=True)
@@ -52,9 +56,16 @@ class Sources:
     bounty: DataFrame
     # funded qualifying fact rows combined per (region, dealer, day); see ``narrow_sources``
     fact_days: DataFrame | None = None
+    # first application dates per (region, dealer); see ``narrow_sources``
+    app_firsts: DataFrame | None = None
 
-    def days(self, lo: dt.date, end: dt.date) -> DataFrame:
-        return self.fact_days if self.fact_days is not None else E.funded_days(self.fact, lo, end)
+    def days(self, lo: dt.date, p: ContestParams) -> DataFrame:
+        return self.fact_days if self.fact_days is not None else E.funded_days(
+            self.fact, lo, p.end, excluded_classes=p.excluded_classes)
+
+    def firsts(self, p: ContestParams) -> DataFrame:
+        return self.app_firsts if self.app_firsts is not None else E.first_applications(
+            self.apps, p.end, p.lookback_start, p.flex_client, p.app_types, p.excluded_classes)
 
 
 @dataclass(frozen=True)
@@ -65,58 +76,54 @@ class MetricSpec:
     build: Callable[[Sources, ContestParams], DataFrame]
 
 
-def _fact_region(df: DataFrame) -> DataFrame:
-    return df.withColumn("region", F.col("rsm_territory_regions__c"))
-
-
 def m_new_e5_a_dealer(s: Sources, p: ContestParams) -> DataFrame:
-    days = s.days(add_months_py(p.start, -12), p.end)
+    days = s.days(year_before(p.start), p)
     return E.yoy_new_threshold_days(days, s.account, p.yoy_n, p.start, p.end, tier="A")
 
 
 def m_flex_dealer(s: Sources, p: ContestParams) -> DataFrame:
-    where = (F.col("source_client") == p.flex_client) & vehicle_class_filter()
-    return E.first_event_in_window(_fact_region(s.apps), p.start, p.end, "submitted_at", where=where)
+    return s.firsts(p).where(F.col("first_flex") >= F.lit(p.start)).select(
+        "region", "dealership_id", F.col("first_flex").alias("date"))
 
 
 def m_new_active_a_dealer(s: Sources, p: ContestParams) -> DataFrame:
-    return E.dealer_apps(s.apps, s.account, p.start, p.end, p.lookback_start, "A", vehicle_filter=False)
+    return E.dealer_apps_from_firsts(s.firsts(p), s.account, p.start, "A", vehicle_filter=False)
 
 
 def m_a_dealer_enrolment(s: Sources, p: ContestParams) -> DataFrame:
-    return E.enrolled_in_window(s.account, p.start, p.end, tier="A")
+    return E.enrolled_in_window(s.account, p.start, p.end, tier="A", vertical=p.vertical)
 
 
 def m_enrolment(s: Sources, p: ContestParams) -> DataFrame:
-    return E.enrolled_in_window(s.account, p.start, p.end)
+    return E.enrolled_in_window(s.account, p.start, p.end, vertical=p.vertical)
 
 
 def m_new_e1(s: Sources, p: ContestParams) -> DataFrame:
-    days = s.days(p.lookback_start, p.end)
+    days = s.days(p.lookback_start, p)
     return E.first_funding_in_window_days(days, p.start, p.end, p.lookback_start)
 
 
 def m_level_up(s: Sources, p: ContestParams) -> DataFrame:
-    return E.status_level_up(s.status, s.account, p.level_dates)
+    return E.status_level_up(s.status, s.account, p.level_dates, p.top_levels)
 
 
 def m_feature_integration(s: Sources, p: ContestParams) -> DataFrame:
     lo, hi = p.feature_window or (p.start, p.end)
-    return E.feature_enrolled_in_window(s.account, lo, hi)
+    return E.feature_enrolled_in_window(s.account, lo, hi, p.vertical)
 
 
 def m_new_e3(s: Sources, p: ContestParams) -> DataFrame:
-    days = s.days(p.lookback_start, p.end)
+    days = s.days(p.lookback_start, p)
     return E.new_threshold_vs_history_days(days, p.history_n, p.lookback_start, p.start, p.end)
 
 
 def m_enrolment_to_e5(s: Sources, p: ContestParams) -> DataFrame:
-    days = s.days(p.start, p.end)
+    days = s.days(p.start, p)
     return E.nth_event_after_enrolment_days(days, s.account, p.nth_n, p.start, p.end, p.enrol_floor)
 
 
 def m_new_active_b_dealer(s: Sources, p: ContestParams) -> DataFrame:
-    return E.dealer_apps(s.apps, s.account, p.start, p.end, p.lookback_start, "B", vehicle_filter=True)
+    return E.dealer_apps_from_firsts(s.firsts(p), s.account, p.start, "B", vehicle_filter=True)
 
 
 # Team, metric id and metric name of every contest metric.
@@ -143,29 +150,20 @@ def narrow_sources(s: Sources, p: ContestParams, persist: bool = True) -> Source
     they are read once (filters reach the parquet scan and prune date
     partitions) and combined per (region, dealer, day) -- the four fact
     metrics are answered from these day rows, each applying its own date
-    window before its running totals.  Application metrics keep flex
-    applications up to the end, or dealer-type applications since the
-    look-back.  The slices are persisted for the metrics.
+    window before its running totals.  The three application metrics need
+    minima only, so the applications are reduced to first dates per (region,
+    dealer).  No fact or application row is kept; the reduced slices, the
+    contest's status rows and the account dimension are persisted.
     """
-    lo = min(p.lookback_start, add_months_py(p.start, -12))
-    days = E.funded_days(s.fact, lo, p.end)
-    d = F.col("submitted_at")
-    apps = s.apps.where((d <= F.lit(p.end)) & (
-        ((F.col("source_client") == p.flex_client) & vehicle_class_filter())
-        | ((d >= F.lit(p.lookback_start)) & F.col("app_type").isin(list(E.DEALER_APP_TYPES)))))
+    lo = min(p.lookback_start, year_before(p.start))
+    days = E.funded_days(s.fact, lo, p.end, excluded_classes=p.excluded_classes)
+    firsts = E.first_applications(s.apps, p.end, p.lookback_start, p.flex_client, p.app_types, p.excluded_classes)
     status = s.status.where(F.col("partition_date").isin(list(p.level_dates)))
     account = s.account
     if persist:
-        days, apps, status, account = (x.persist(StorageLevel.MEMORY_AND_DISK)
-                                       for x in (days, apps, status, account))
-    return Sources(s.fact, apps, account, status, s.region_rep, s.manual_report, s.bounty, days)
-
-
-def release_sources(s: Sources) -> None:
-    """Drop the persisted slices of ``narrow_sources`` once the dashboard is written."""
-    for df in (s.fact_days, s.apps, s.status, s.account):
-        if df is not None and df.is_cached:
-            df.unpersist()
+        days, firsts, status, account = (x.persist(StorageLevel.MEMORY_AND_DISK)
+                                         for x in (days, firsts, status, account))
+    return Sources(s.fact, s.apps, account, status, s.region_rep, s.manual_report, s.bounty, days, firsts)
 
 
 def metric_ledger(s: Sources, p: ContestParams,
@@ -210,12 +208,12 @@ def contest_dashboard(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec
     """
     if validate:
         validate_sources(s, p)
-    if narrow if narrow is not None else metrics is METRICS:
+    if narrow if narrow is not None else all(m in METRICS for m in metrics):
         s = narrow_sources(s, p)
         if kept is not None:
-            kept.extend(x for x in (s.fact_days, s.apps, s.status, s.account) if x is not None)
+            kept.extend((s.fact_days, s.app_firsts, s.status, s.account))
     rows = ranked_rows(s, p, metrics, kept)
-    return L.milestone_dates(rows, p.milestones).select(*L.DASHBOARD_COLUMNS)
+    return L.milestone_dates(rows, p.milestones).select(*L.DASHBOARD_COLUMNS, *p.milestones)
 
 
 def ranked_rows(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec] = METRICS,

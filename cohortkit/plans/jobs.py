@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -94,6 +95,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     con.add_argument("--enrol-floor", type=day, required=True)
     con.add_argument("--level-dates", type=lambda v: [day(x) for x in v.split(",")], required=True)
     con.add_argument("--exclude-reps", default="")
+    con.add_argument("--region-overrides", default="", help="rep=region, comma separated")
+    con.add_argument("--feature-window", type=lambda v: tuple(day(x) for x in v.split(",")))
+    con.add_argument("--milestones", default="", help="column=points, comma separated")
+    defaults = {f.name: f.default for f in fields(ContestParams)}
+    for name in ("yoy_n", "history_n", "nth_n", "flex_client", "vertical"):
+        con.add_argument(f"--{name.replace('_', '-')}", type=type(defaults[name]), default=defaults[name])
+    for name in ("app_types", "top_levels", "excluded_classes"):
+        con.add_argument(f"--{name.replace('_', '-')}", type=lambda v: tuple(v.split(",")), default=defaults[name])
     con.add_argument("--out", required=True)
     a = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
@@ -104,8 +113,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     else:
         inputs = {n: getattr(a, n) for n in ("fact_funded", "fact_apps", "dim_account",
                                              "status_monthly", "region_rep", "manual_report", "bounty")}
+        pairs = lambda text: dict(x.split("=", 1) for x in text.split(",") if x)
+        same = ("yoy_n", "history_n", "nth_n", "flex_client", "vertical", "app_types", "top_levels",
+                "excluded_classes", "feature_window")
         params = ContestParams(a.start, a.end, a.lookback_start, a.enrol_floor, a.level_dates,
-                               excluded_reps=[r for r in a.exclude_reps.split(",") if r])
+                               excluded_reps=[r for r in a.exclude_reps.split(",") if r],
+                               rep_region_overrides=pairs(a.region_overrides),
+                               **{n: getattr(a, n) for n in same})
+        if a.milestones:
+            params = replace(params, milestones={k: int(v) for k, v in pairs(a.milestones).items()})
         contest_job(spark, inputs, params, a.out)
 
 

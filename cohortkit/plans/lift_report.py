@@ -104,11 +104,13 @@ class LiftStages:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return M.match_pairs(self.profile, self.candidates, self.size_tol, self.growth_tols)
+        # the peer counts and the selection both read the pairs: kept, the band join runs once
+        return self._keep(M.match_pairs(self.profile, self.candidates, self.size_tol, self.growth_tols),
+                          checkpoint=True)
 
     @cached_property
     def adaptive(self) -> DataFrame:
-        return self._keep(M.adaptive_peers(self.pairs, self.low, self.high), checkpoint=True)
+        return M.adaptive_peers(self.pairs, self.low, self.high)
 
     @cached_property
     def selected(self) -> DataFrame:

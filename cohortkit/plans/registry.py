@@ -6,6 +6,7 @@ exposes this dict to the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,9 @@ from cohortkit.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+# what the last registered query keeps persisted; the next one releases it
+_STAGES: list = []
+_KEPT: list[DataFrame] = []
 
 
 def register(name: str) -> Callable[[Query], Query]:
@@ -51,6 +55,19 @@ def q_activity_snapshots_step2(spark, sf):
                                            td.GRID_LAST, 2)
 
 
+@register("a44_write_result")
+def q_write_result(spark, sf):
+    """Snapshots written by report date; one date is written again; the table as read back."""
+    from cohortkit.operators.sink import write_result
+    from cohortkit.session import ensure_test_checkpoint_dir
+    out = f"{ensure_test_checkpoint_dir(spark)}/a44-{uuid.uuid4().hex[:12]}"
+    snaps = q_activity_snapshots(spark, sf)
+    write_result(snaps, out, partition_by=["Report_Date"])
+    write_result(q_activity_snapshots(spark, sf).where(F.col("Report_Date") == F.lit(td.GRID_FIRST)), out,
+                 partition_by=["Report_Date"])
+    return spark.read.parquet(out).select(*snaps.columns)
+
+
 # --- peer lift report -------------------------------------------------------
 
 
@@ -60,7 +77,10 @@ SMALL_LOW, SMALL_HIGH = 2, 3
 
 
 def _stages(spark, sf, **kw):
-    return lift_stages(td.fact_funded(spark, sf), td.dim_account(spark, sf), td.AS_OF, **kw)
+    for earlier in _STAGES:
+        earlier.release()
+    _STAGES[:] = [lift_stages(td.fact_funded(spark, sf), td.dim_account(spark, sf), td.AS_OF, **kw)]
+    return _STAGES[0]
 
 
 def _money(df, *cols):
@@ -100,7 +120,7 @@ def q_candidates(spark, sf):
 @register("a09_never_enrolled")
 def q_never_enrolled(spark, sf):
     from cohortkit.operators.cohorts import never_enrolled
-    dealers = td.fact_funded(spark, sf).select("dealership_id").distinct()
+    dealers = _stages(spark, sf).monthly.select("dealership_id").distinct()
     return never_enrolled(dealers, td.dim_account(spark, sf))
 
 
@@ -205,8 +225,19 @@ def _contest_sources(spark, sf, narrow: bool = True) -> ct.Sources:
     s = ct.Sources(td.fact_funded(spark, sf), td.fact_apps(spark, sf), td.dim_account(spark, sf),
                    td.status_monthly(spark, sf), td.region_rep(spark, sf),
                    td.manual_report(spark, sf), td.bounty(spark, sf))
+    if not narrow:
+        return s
     # every registered contest query uses the built-in metrics, whose rows the slices hold
-    return ct.narrow_sources(s, CONTEST) if narrow else s
+    s = ct.narrow_sources(s, CONTEST)
+    _fresh().extend((s.fact_days, s.app_firsts, s.status, s.account))
+    return s
+
+
+def _fresh() -> list[DataFrame]:
+    for df in _KEPT:
+        df.unpersist()
+    _KEPT.clear()
+    return _KEPT
 
 
 def _spec(team, metric_id):
@@ -298,28 +329,28 @@ def q_flags(spark, sf):
 
 @register("a38_running_points")
 def q_running(spark, sf):
-    return ct.ranked_rows(_contest_sources(spark, sf), CONTEST)
+    return ct.ranked_rows(_contest_sources(spark, sf), CONTEST, kept=_KEPT)
 
 
 @register("a39_milestone_first_reach")
 def q_first_reach(spark, sf):
-    rows = ct.ranked_rows(_contest_sources(spark, sf), CONTEST)
+    rows = ct.ranked_rows(_contest_sources(spark, sf), CONTEST, kept=_KEPT)
     return led.first_reach(led.milestone_dates(rows))
 
 
 @register("a40_contest_dashboard")
 def q_dashboard(spark, sf):
-    return ct.contest_dashboard(_contest_sources(spark, sf), CONTEST, narrow=False)
+    return ct.contest_dashboard(_contest_sources(spark, sf, narrow=False), CONTEST, kept=_fresh())
 
 
 @register("a40_contest_dashboard_wide_feature")
 def q_dashboard_wide(spark, sf):
-    return ct.contest_dashboard(_contest_sources(spark, sf), CONTEST_WIDE_FEATURE, narrow=False)
+    return ct.contest_dashboard(_contest_sources(spark, sf, narrow=False), CONTEST_WIDE_FEATURE, kept=_fresh())
 
 
 @register("a45_first_n_to_reach")
 def q_first_n(spark, sf):
-    rows = ct.ranked_rows(_contest_sources(spark, sf), CONTEST)
+    rows = ct.ranked_rows(_contest_sources(spark, sf), CONTEST, kept=_KEPT)
     return led.first_n_to_reach(rows, 250000, 3)
 
 

@@ -24,14 +24,17 @@ ENROL_FLOOR = dt.date(1998, 1, 1)           # enrolment floor of the E5+ metric
 LEVEL_DATES = (dt.date(1998, 2, 1), dt.date(1998, 3, 1))
 FEATURE_WINDOW_WIDE = (dt.date(1996, 2, 1), dt.date(1996, 12, 31))
 FLEX_LAUNCH = dt.date(1998, 1, 1)           # flex applications exist from here on
-MANUAL_WINDOW = (dt.date(1998, 1, 1), dt.date(1998, 4, 30))
+NEWCOMER_START = dt.date(1998, 2, 10)       # dealers with id % 10 = 3 have no business before
+# (priority, metric id, metric name) of hand-reported events
+MANUAL_METRICS = (("1-URGENT", 8, "Referral"), ("2-HIGH", 10, "Demo"), ("3-MEDIUM", 11, "Training"),
+                  ("4-NOT SPECIFIED", 12, "Visit"), ("5-LOW", 13, "Call"))
 GRID_FIRST, GRID_LAST, GRID_STEP = dt.date(1995, 1, 1), dt.date(2001, 8, 1), 1
 REP_REGION_OVERRIDES = {"rsm_asia": "South"}
 EXCLUDED_REPS = ("bdr_africa",)
 # (team, metric_id, points per unit); ("BDR", 8) is deliberately unpriced.
 BOUNTY_ROWS = (
     ("RSM", 4, 20000), ("RSM", 5, 30000), ("RSM", 6, 25000), ("RSM", 7, 50000),
-    ("RSM", 8, 10000), ("BDR", 2, 25000), ("BDR", 3, 15000), ("BDR", 4, 20000),
+    ("RSM", 8, 10000), ("RSM", 10, 500), ("BDR", 11, 300), ("RSM", 13, 100), ("BDR", 2, 25000), ("BDR", 3, 15000), ("BDR", 4, 20000),
     ("BDR", 5, 40000), ("BDR", 6, 30000), ("BDR", 7, 50000), ("BDR", 9, 20000),
 )
 
@@ -75,11 +78,19 @@ def _lines_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "supplier", "s_suppkey", "s_nationkey")
 
 
+def _newcomer() -> F.Column:
+    return F.col("l_suppkey") % 10 == 3
+
+
+def _before_newcomer() -> F.Column:
+    return _newcomer() & (F.col("l_shipdate").cast("date") < F.lit(NEWCOMER_START))
+
+
 def fact_funded(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _lines_with_region(spark, sf_dir).select(
         F.col("l_suppkey").alias("dealership_id"),
         F.col("l_shipdate").cast("date").alias("funding_pending_date"),
-        F.when(F.col("l_returnflag") == "R", "No").otherwise("Yes").alias("is_funded"),
+        F.when((F.col("l_returnflag") == "R") | _before_newcomer(), "No").otherwise("Yes").alias("is_funded"),
         F.lit(1).cast("bigint").alias("count"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("total_financed"),
         _vehicle_type("l_linenumber").alias("vehicle_type"),
@@ -96,7 +107,8 @@ def fact_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((qty >= 2) & (qty < 4) & (ship >= F.lit(FLEX_LAUNCH)),
                "direct_to_consumer_flex").otherwise("dealer_portal").alias("source_client"),
         _vehicle_type("l_linenumber").alias("vehicle_type"),
-        F.when(qty < 2, F.when(F.col("l_linestatus") == "O", "Dealer").otherwise("lightspeed"))
+        F.when(((qty < 2) | (_newcomer() & (qty < 25))) & ~_before_newcomer(),
+               F.when(F.col("l_linestatus") == "O", "Dealer").otherwise("lightspeed"))
         .otherwise("Consumer").alias("app_type"),
         F.col("r_name").alias("rsm_territory_regions__c"))
     return conform(df, "fact_apps")
@@ -111,7 +123,7 @@ def dim_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
     tier = (F.when(k % 7 == 0, "A1 - top").when(k % 7 == 1, "A2").when(k % 7 == 2, "A3 core")
             .when(k % 7 == 3, "B1").when(k % 7 == 4, "B2 - x").when(k % 7 == 5, "B3"))
-    enrolled = F.when(k % 5 == 0, F.date_add(F.lit(dt.date(1996, 1, 10)), ((k * 37) % 1500).cast("int")))
+    enrolled = F.when(k % 5 == 0, F.date_add(F.lit(dt.date(1996, 1, 10)), ((k * 37 + 20) % 1500).cast("int")))
     df = reg.select(
         k.alias("dealership_id__c"),
         F.col("s_name").alias("name"),
@@ -160,13 +172,15 @@ def manual_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     odate = F.col("o_orderdate").cast("date")
     team = F.when(F.col("o_custkey") % 2 == 0, "RSM").otherwise("BDR")
-    picked = orders.where((F.col("o_orderpriority") == "1-URGENT")
-                          & odate.between(F.lit(MANUAL_WINDOW[0]), F.lit(MANUAL_WINDOW[1])))
-    df = (_with_region(spark, sf_dir, picked, "o_custkey", "customer", "c_custkey", "c_nationkey")
+    metric_id = name = F.lit(None)
+    for priority, number, label in MANUAL_METRICS:
+        metric_id = F.when(F.col("o_orderpriority") == priority, number).otherwise(metric_id)
+        name = F.when(F.col("o_orderpriority") == priority, label).otherwise(name)
+    df = (_with_region(spark, sf_dir, orders, "o_custkey", "customer", "c_custkey", "c_nationkey")
           .select(_rep_name(F.lower(team), F.col("r_name")).alias("sales_name"),
                   team.alias("team"),
-                  F.lit(8).alias("metric_id"),
-                  F.lit("Referral").alias("metric_name"),
+                  metric_id.cast("int").alias("metric_id"),
+                  name.alias("metric_name"),
                   odate.alias("date"),
                   F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.lit(1))
                   .cast("bigint").alias("metric_volume"),
@@ -206,7 +220,3 @@ SOURCES = {
     "status_monthly": status_monthly, "region_rep": region_rep,
     "manual_report": manual_report, "bounty": bounty, "user_hist": user_hist,
 }
-
-
-def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in SOURCES.items()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortkit.sources import testdata as P
+from sql_oracle import params as P
 
 
 def d(value) -> str:
@@ -18,11 +18,14 @@ SUPPLIER_REGION = """
 VEHICLE = """CASE l.l_linenumber % 7 WHEN 0 THEN NULL WHEN 1 THEN 'ATV' WHEN 2 THEN 'Motorcycle'
                  WHEN 3 THEN 'RV' ELSE 'Other' END"""
 
+# dealers of this kind have no business before the start date
+EARLY = f"(l.l_suppkey % 10 = 3 AND CAST(l.l_shipdate AS DATE) < {d(P.NEWCOMER_START)})"
+
 VIEWS: dict[str, str] = {
     "fact_funded": f"""
     SELECT l.l_suppkey AS dealership_id,
            CAST(l.l_shipdate AS DATE) AS funding_pending_date,
-           CASE WHEN l.l_returnflag = 'R' THEN 'No' ELSE 'Yes' END AS is_funded,
+           CASE WHEN l.l_returnflag = 'R' OR {EARLY} THEN 'No' ELSE 'Yes' END AS is_funded,
            CAST(1 AS BIGINT) AS "count",
            CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total_financed,
            {VEHICLE} AS vehicle_type,
@@ -35,7 +38,7 @@ VIEWS: dict[str, str] = {
                      AND CAST(l.l_shipdate AS DATE) >= {d(P.FLEX_LAUNCH)}
                 THEN 'direct_to_consumer_flex' ELSE 'dealer_portal' END AS source_client,
            {VEHICLE} AS vehicle_type,
-           CASE WHEN l.l_quantity < 2
+           CASE WHEN (l.l_quantity < 2 OR l.l_suppkey % 10 = 3 AND l.l_quantity < 25) AND NOT {EARLY}
                 THEN CASE WHEN l.l_linestatus = 'O' THEN 'Dealer' ELSE 'lightspeed' END
                 ELSE 'Consumer' END AS app_type,
            sr.r_name AS rsm_territory_regions__c
@@ -50,10 +53,10 @@ VIEWS: dict[str, str] = {
                AS powersports_sales_tier__c,
            sr.r_name AS rsm_territory_regions__c,
            CASE WHEN s.s_suppkey % 5 = 0
-                THEN DATE '1996-01-10' + CAST((s.s_suppkey * 37) % 1500 AS INTEGER) END
+                THEN DATE '1996-01-10' + CAST((s.s_suppkey * 37 + 20) % 1500 AS INTEGER) END
                AS prequal_integrated_enrolled_date__c,
            CASE WHEN s.s_suppkey % 35 = 0
-                THEN DATE '1996-01-10' + CAST((s.s_suppkey * 37) % 1500 AS INTEGER) + 200 END
+                THEN DATE '1996-01-10' + CAST((s.s_suppkey * 37 + 20) % 1500 AS INTEGER) + 200 END
                AS prequal_integrated_unenrolled_date__c,
            CASE WHEN s.s_suppkey % 3 <> 0
                 THEN CAST(DATE '1997-12-01' + CAST((s.s_suppkey * 11) % 150 AS INTEGER) AS TIMESTAMP) END
@@ -80,17 +83,18 @@ VIEWS: dict[str, str] = {
     SELECT CASE WHEN o.o_custkey % 2 = 0 THEN 'rsm_' ELSE 'bdr_' END
                || lower(replace(cr.r_name, ' ', '_')) AS sales_name,
            CASE WHEN o.o_custkey % 2 = 0 THEN 'RSM' ELSE 'BDR' END AS team,
-           CAST(8 AS INTEGER) AS metric_id,
-           'Referral' AS metric_name,
+           CAST(CASE o.o_orderpriority WHEN '1-URGENT' THEN 8 WHEN '2-HIGH' THEN 10 WHEN '3-MEDIUM' THEN 11
+                WHEN '4-NOT SPECIFIED' THEN 12 WHEN '5-LOW' THEN 13 END AS INTEGER) AS metric_id,
+           CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Referral' WHEN '2-HIGH' THEN 'Demo'
+                WHEN '3-MEDIUM' THEN 'Training' WHEN '4-NOT SPECIFIED' THEN 'Visit'
+                WHEN '5-LOW' THEN 'Call' END AS metric_name,
            CAST(o.o_orderdate AS DATE) AS "date",
            CAST(CASE WHEN o.o_orderstatus = 'P' THEN NULL ELSE 1 END AS BIGINT) AS metric_volume,
            'order ' || CAST(o.o_orderkey AS VARCHAR) AS note
     FROM orders o
     LEFT JOIN (SELECT c.c_custkey, r.r_name FROM customer c
                JOIN nation n ON c.c_nationkey = n.n_nationkey
-               JOIN region r ON n.n_regionkey = r.r_regionkey) cr ON o.o_custkey = cr.c_custkey
-    WHERE o.o_orderpriority = '1-URGENT'
-      AND CAST(o.o_orderdate AS DATE) BETWEEN {d(P.MANUAL_WINDOW[0])} AND {d(P.MANUAL_WINDOW[1])}""",
+               JOIN region r ON n.n_regionkey = r.r_regionkey) cr ON o.o_custkey = cr.c_custkey""",
     "bounty": "SELECT CAST(metric_id AS INTEGER) AS metric_id, team, CAST(bounty_per_unit AS BIGINT) AS bounty_per_unit FROM (VALUES "
               + ", ".join(f"({m}, '{t}', {p})" for t, m, p in P.BOUNTY_ROWS)
               + ") v(metric_id, team, bounty_per_unit)",

@@ -88,14 +88,6 @@ def test_level_up_three_valued(spark):
     assert got == [1, 1, 0, 0, 0, 0]
 
 
-def test_small_side_broadcasts_only_checked_small_lookups(spark):
-    from cohortkit.functions.joins import small_side
-    df = spark.range(5)
-    hinted = small_side(df, max_rows=10)._jdf.queryExecution().analyzed().toString()
-    plain = small_side(df, max_rows=2)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
-
-
 def test_grid_matches_recursive_sql_grid():
     """Property: the driver-side grid equals a do-while grid built by DuckDB's own month add."""
     import duckdb
