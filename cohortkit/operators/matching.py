@@ -31,50 +31,82 @@ def size_bucket(col, ratio: float):
     return F.floor(F.log(x.cast("double")) / F.lit(math.log(ratio))).cast("int")
 
 
-def match_pairs(profile: DataFrame, candidates: DataFrame, size_tol: float = SIZE_TOLERANCE,
-                growth_tols: dict[str, float] = GROWTH_TOLERANCES, salt: int = 8) -> DataFrame:
-    """Treated x candidate pairs of the same M0 inside the size and widest growth band.
-
-    Output: one row per pair with the band flags of every tolerance and the
-    first-pass flag ``Peer_Sel_1_Ind`` (size and first growth band).
-
-    ``salt`` splits every (M0, bucket) over that many join keys: candidates
-    take ``pmod(hash(dealer), salt)``, each treated row is repeated once per
-    salt value.  A bucket holding a third of all candidates is then worked
-    by ``salt`` tasks; the treated side (one row per treated dealer and
-    bucket) is the one multiplied.
+def match_cells(profile: DataFrame, candidates: DataFrame, size_tol: float = SIZE_TOLERANCE,
+                growth_tols: dict[str, float] = GROWTH_TOLERANCES) -> DataFrame:
+    """Treated cells x candidate cells of the same M0 inside the size and widest growth band.
+
+    The bands depend on (M0, M0_Fund, MP1_Fund_MoM) only, so all dealers with the same three are
+    one cell.  Output: the two cells, ``n`` candidates in the candidate cell, and the
+    band flags of every tolerance.  The join is on (M0, log-size bucket) of distinct cells, so its
+    work does not grow with the dealers of a crowded size.
     """
     ratio = (1 + size_tol) / (1 - size_tol)
     widest = max(growth_tols, key=growth_tols.get)
-    first = next(iter(growth_tols))
     lo_w, hi_w = f"MP1_Fund_MoM_Min_{widest}", f"MP1_Fund_MoM_Max_{widest}"
-
+    bands = ["M0_Fund_Min", "M0_Fund_Max", *[f"MP1_Fund_MoM_{side}_{name}" for name in growth_tols
+                                             for side in ("Min", "Max")]]
     treated = (profile.where(F.col("M0_Fund_Min").isNotNull() & F.col(lo_w).isNotNull())
+               .groupBy(*TREATED_CELL).agg(*[F.min(b).alias(b) for b in bands])
                .withColumn("bucket", F.explode(F.sequence(
                    size_bucket(F.col("M0_Fund_Min") * (1 - BUCKET_SLACK), ratio),
-                   size_bucket(F.col("M0_Fund_Max") * (1 + BUCKET_SLACK), ratio))))
-               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(max(salt, 1) - 1)))))
-    cand = (candidates.where((F.col("M0_Fund") > 0) & F.col("MP1_Fund_MoM").isNotNull())
-            .select(F.col("M0").alias("c_M0"),
-                    F.col("dealership_id").alias("Peer_Dealership_id"),
-                    F.col("M0_Orig").alias("Peer_M0_Orig"),
-                    F.col("M0_Fund").alias("Peer_M0_Fund"),
+                   size_bucket(F.col("M0_Fund_Max") * (1 + BUCKET_SLACK), ratio)))))
+    cand = (_matchable(candidates).groupBy("M0", *PEER_CELL)
+            .agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("bucket", size_bucket("Peer_M0_Fund", ratio)))
+    growth = F.col("Peer_MP1_Fund_MoM")
+    cells = treated.join(cand, ["M0", "bucket"]).where(
+        F.col("Peer_M0_Fund").between(F.col("M0_Fund_Min"), F.col("M0_Fund_Max"))
+        & growth.between(F.col(lo_w), F.col(hi_w)))
+    flags = [F.when(growth.between(F.col(f"MP1_Fund_MoM_Min_{name}"), F.col(f"MP1_Fund_MoM_Max_{name}")), 1)
+             .otherwise(0).alias(f"within_MP1_Fund_MoM_{name}") for name in growth_tols]
+    return cells.select(*TREATED_CELL, *PEER_CELL, "n", *flags)
+
+
+TREATED_CELL = ["M0", "M0_Fund", "MP1_Fund_MoM"]
+PEER_CELL = ["Peer_M0_Fund", "Peer_MP1_Fund_MoM"]
+
+
+def _matchable(candidates: DataFrame) -> DataFrame:
+    return (candidates.where((F.col("M0_Fund") > 0) & F.col("MP1_Fund_MoM").isNotNull())
+            .select("M0", F.col("dealership_id").alias("Peer_Dealership_id"),
+                    F.col("M0_Orig").alias("Peer_M0_Orig"), F.col("M0_Fund").alias("Peer_M0_Fund"),
                     F.col("MP1_Fund").alias("Peer_MP1_Fund"),
-                    F.col("MP1_Fund_MoM").alias("Peer_MP1_Fund_MoM"),
-                    size_bucket("M0_Fund", ratio).alias("c_bucket"),
-                    F.pmod(F.hash("dealership_id"), F.lit(max(salt, 1))).alias("c_salt")))
-    cond = ((treated.M0 == cand.c_M0) & (treated.bucket == cand.c_bucket)
-            & (treated.salt == cand.c_salt)
-            & cand.Peer_M0_Fund.between(treated.M0_Fund_Min, treated.M0_Fund_Max)
-            & cand.Peer_MP1_Fund_MoM.between(treated[lo_w], treated[hi_w]))
-    pairs = treated.join(cand, cond).drop("bucket", "c_bucket", "c_M0", "salt", "c_salt")
-    flags = [F.lit(1).alias("within_M0_Fund_Ind")]
-    for name in growth_tols:
-        inside = F.col("Peer_MP1_Fund_MoM").between(F.col(f"MP1_Fund_MoM_Min_{name}"),
-                                                    F.col(f"MP1_Fund_MoM_Max_{name}"))
-        flags.append(F.when(inside, 1).otherwise(0).alias(f"within_MP1_Fund_MoM_{name}"))
-    pairs = pairs.select("*", *flags)
-    return pairs.withColumn("Peer_Sel_1_Ind", F.col(f"within_MP1_Fund_MoM_{first}"))
+                    F.col("MP1_Fund_MoM").alias("Peer_MP1_Fund_MoM")))
+
+
+def match_pairs(profile: DataFrame, candidates: DataFrame, size_tol: float = SIZE_TOLERANCE,
+                growth_tols: dict[str, float] = GROWTH_TOLERANCES) -> DataFrame:
+    """Treated x candidate pairs of the same M0 inside the size and widest growth band.
+
+    Output: one row per pair with the band flags of every tolerance and the
+    first-pass flag ``Peer_Sel_1_Ind`` (size and first growth band).  All of
+    them are wanted only as a report; the lift takes ``select_peers``.
+    """
+    first = next(iter(growth_tols))
+    cells = match_cells(profile, candidates, size_tol, growth_tols).drop("n")
+    pairs = profile.join(cells, TREATED_CELL).join(_matchable(candidates), ["M0", *PEER_CELL])
+    return (pairs.withColumn("within_M0_Fund_Ind", F.lit(1))
+            .withColumn("Peer_Sel_1_Ind", F.col(f"within_MP1_Fund_MoM_{first}")))
+
+
+def select_peers(profile: DataFrame, candidates: DataFrame, low: int = 4, high: int = 10,
+                 size_tol: float = SIZE_TOLERANCE, growth_tols: dict[str, float] = GROWTH_TOLERANCES,
+                 narrow: str = "2H", wide: str = "2L", first: str = "1") -> DataFrame:
+    """(M0, dealer, peer) of the final selection, with the peer's M0 measures.
+
+    Each treated cell counts its candidates per band and picks the band (the rule of
+    ``adaptive_peers``); dealers are joined only for the cells of the picked band, so no pair is
+    made that is not selected.
+    """
+    cells = match_cells(profile, candidates, size_tol, growth_tols)
+    flag = lambda name: F.col(f"within_MP1_Fund_MoM_{name}")
+    counts = cells.groupBy(*TREATED_CELL).agg(F.sum(F.col("n") * flag(first)).alias("_n_first"))
+    picked = cells.join(counts, TREATED_CELL).where(
+        F.when(F.col("_n_first") < low, flag(wide)).when(F.col("_n_first") > high, flag(narrow))
+        .otherwise(flag(first)) == 1).select(*TREATED_CELL, *PEER_CELL)
+    dealers = profile.select(*TREATED_CELL, "dealership_id__c")
+    return (dealers.join(picked, TREATED_CELL).join(_matchable(candidates), ["M0", *PEER_CELL])
+            .select("M0", "dealership_id__c", "Peer_Dealership_id", "Peer_M0_Orig", "Peer_M0_Fund"))
 
 
 def adaptive_peers(pairs: DataFrame, low: int = 4, high: int = 10,

@@ -104,9 +104,8 @@ class LiftStages:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        # the peer counts and the selection both read the pairs: kept, the band join runs once
-        return self._keep(M.match_pairs(self.profile, self.candidates, self.size_tol, self.growth_tols),
-                          checkpoint=True)
+        # read by the counts and the selection of ``adaptive``; the report does not use them
+        return self._keep(M.match_pairs(self.profile, self.candidates, self.size_tol, self.growth_tols))
 
     @cached_property
     def adaptive(self) -> DataFrame:
@@ -114,7 +113,8 @@ class LiftStages:
 
     @cached_property
     def selected(self) -> DataFrame:
-        return M.selected_peers(self.adaptive)
+        return self._keep(M.select_peers(self.profile, self.candidates, self.low, self.high, self.size_tol,
+                                         self.growth_tols), checkpoint=True)
 
     @cached_property
     def normaliser(self) -> DataFrame:

@@ -131,11 +131,18 @@ def test_a_table_written_again_keeps_its_other_dates(spark, tmp_path):
     spark.sql("DROP DATABASE sink_test CASCADE")
 
 
-def test_the_band_join_runs_once(spark):
+def test_the_report_joins_cells_once_and_makes_selected_pairs_only(spark):
+    """The cell join is planned once for the counts and once for the pick, on distinct cells; no band join of dealers."""
+    from cohortkit.operators import matching as M
     from cohortkit.plans.registry import _stages
 
-    stages = _stages(spark, SMOKE)
-    plan = stages.adaptive._jdf.queryExecution().analyzed().toString()
-    stages.report  # builds the whole plan
-    assert stages.pairs.is_cached or "Scan ExistingRDD" in plan or "LogicalRDD" in plan
-    stages.release()
+    stages = _stages(spark, SMOKE, low=2, high=3)
+    cells = M.match_cells(stages.profile, stages.candidates)
+    assert cells.count() == cells.select(*M.TREATED_CELL, *M.PEER_CELL).distinct().count()
+    selected = sorted(map(tuple, stages.selected.collect()), key=str)
+    assert selected == sorted(map(tuple, M.selected_peers(stages.adaptive).collect()), key=str)
+    assert "pairs" in stages.__dict__  # only because the line above asked for them
+    fresh = _stages(spark, SMOKE, low=2, high=3)
+    fresh.report
+    assert "pairs" not in fresh.__dict__ and "adaptive" not in fresh.__dict__
+    fresh.release()
