@@ -29,6 +29,7 @@ BITS_PER_ENTRY, HASHES, GROWTH = 12, 5, 1.25
 PAIR_WEIGHT, PAIR_HALF = 0.5, 2.0
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 MAX_THRESHOLD = 64
+PROBES = 1 << 16
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,37 +140,33 @@ def counted(texts: DataFrame, n_buckets: int) -> DataFrame:
 
 @dataclass
 class BloomModel:
-    """The filter's segments and what else scoring needs: a few numbers."""
+    """The filter, segment after segment, and what else scoring needs: a few numbers."""
 
-    segments: list[np.ndarray]
-    bits: int
+    filter: np.ndarray
+    segments: int
+    bits: int  # of one segment
     tokens: int
     words: int
     documents: int
 
     def levels(self, key: np.ndarray, bucket: np.ndarray, first: int) -> np.ndarray:
-        """Level of each n-gram: probes go on while they are answered."""
-        flat = self._flat
-        out, left = np.zeros(len(key), np.int64), np.arange(len(key))
-        for level in range(first, len(THRESHOLDS)):
-            at = places(key[left], level, self.bits) + bucket[left].astype(np.uint64) * np.uint64(self.bits)
-            there = np.ones(len(left), bool)
-            for row in at:
-                some = np.flatnonzero(there)
-                place = row[some]
-                there[some] = flat[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
-            left = left[there]
-            if not len(left):
-                break
-            out[left] = level
+        """Level of each n-gram: probes go on while they are answered. Some at a time, to bound the memory."""
+        out = np.zeros(len(key), np.int64)
+        for begin in range(0, len(key), PROBES):
+            left = np.arange(begin, min(begin + PROBES, len(key)))
+            for level in range(first, len(THRESHOLDS)):
+                at = places(key[left], level, self.bits) + bucket[left].astype(np.uint64) * np.uint64(self.bits)
+                there = np.ones(len(left), bool)
+                for row in at:
+                    some = np.flatnonzero(there)
+                    place = row[some]
+                    there[some] = self.filter[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
+                left = left[there]
+                if not len(left):
+                    break
+                out[left] = level
         return out
 
-    @property
-    def _flat(self) -> np.ndarray:
-        if not hasattr(self, "_joined"):
-            self._joined = np.concatenate(self.segments)
-        return self._joined
-
 
 def fit(train: DataFrame, max_bits: int = MAX_BITS) -> BloomModel:
     """The model of all texts of ``train``. Per bucket a few numbers and its segment reach the driver: max_bits in all."""
@@ -213,11 +210,11 @@ def fit(train: DataFrame, max_bits: int = MAX_BITS) -> BloomModel:
                 [np.packbits(flags, bitorder="little").tobytes()], pa.binary())], names=["bucket", "bits"])
 
     built = table.repartitionById(n_buckets, F.col("bucket")).mapInArrow(segment, "bucket int, bits binary").collect()
-    segments = [np.zeros(bits // 8, np.uint8) for _ in range(n_buckets)]
+    joined = np.zeros((n_buckets, bits // 8), np.uint8)
     for r in built:
-        segments[r["bucket"]] = np.frombuffer(r["bits"], np.uint8)
+        joined[r["bucket"]] = np.frombuffer(r["bits"], np.uint8)
     scratch.drop("counts")
-    return BloomModel(segments, bits, n_tokens, n_words, n_docs)
+    return BloomModel(joined.reshape(-1), n_buckets, bits, n_tokens, n_words, n_docs)
 
 
 def score(docs: DataFrame, train: str = "true", max_bits: int = MAX_BITS) -> DataFrame:
@@ -262,7 +259,7 @@ def score(docs: DataFrame, train: str = "true", max_bits: int = MAX_BITS) -> Dat
         floor = lm.tokens + 0.5 * (lm.words + 1)
         base = np.log10((exact + 0.5) / floor)[at]
         # the model: words and pairs as the filter tells their counts
-        home = lambda k: (k >> np.uint64(32)) * np.uint64(len(lm.segments)) >> np.uint64(32)
+        home = lambda k: (k >> np.uint64(32)) * np.uint64(lm.segments) >> np.uint64(32)
         word = count_at(lm.levels(key, home(key), 1))
         alone = (word + 0.5) / floor
         begin = count_at(lm.levels(np.array([START]), home(np.array([START])), 1))[0]
