@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortkit.llm.chunks import ChunkTable
-from cohortkit.llm.common import columns, read_table, text_groups
+from cohortkit.llm.common import columns, read_table, text_groups, utf8_buffer
 
 NONE = np.int64(2**62)
 
@@ -207,7 +207,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, digests: bool = True) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rounds, table = opened(vocabulary)
         for batch in text_groups(batches, 4 << 20):
-            flat, count = table.texts(["" if t is None else t for t in batch.column("text").to_pylist()])
+            flat, count = table.texts(*utf8_buffer(batch.column("text"))[:2])
             back = rounds.decode(flat, count)
             raw, cuts = flat.astype("<u4").tobytes(), np.append(0, np.cumsum(4 * count)).tolist()
             ids = [raw[a:b] for a, b in zip(cuts, cuts[1:])]

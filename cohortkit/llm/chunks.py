@@ -12,75 +12,88 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import regex
 
-SPECIAL = "<|endoftext|>"
-_ASCII_JOINED = ("  ", " \n", " \t", " \r", " \x0b", " \x0c", " \x1c", " \x1d", " \x1e", " \x1f")
-_OTHER_JOINED = regex.compile(r" [^\S\x00-\x7f]")
+from cohortkit.llm.common import Piece
 
+SPECIAL = b"<|endoftext|>"
+#: White space of one byte, and the first, second and third bytes of the rest (0: any second or third byte).
+_SPACE = np.zeros(256, bool)
+_SPACE[[*range(9, 14), *range(28, 33)]] = True
+_WIDE = [(0xC2, [0x85, 0xA0], None), (0xE1, [0x9A], [0x80]), (0xE2, [0x80], [*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF]),
+         (0xE2, [0x81], [0x9F]), (0xE3, [0x80], [0x80])]
 
-def whole(text: str) -> bool:
-    return any(x in text for x in _ASCII_JOINED) or SPECIAL in text or (
-        not text.isascii() and _OTHER_JOINED.search(text) is not None)
 
-
-class _Numbers(dict):
-    """Chunk -> number; a new chunk gets the next one and is noted as pending."""
-
-    def __init__(self, pending: list[str], prefix: str):
-        super().__init__()
-        self.pending, self.prefix = pending, prefix
-
-    def __missing__(self, chunk: str) -> int:
-        number = self[chunk] = self.pending.next
-        self.pending.next += 1
-        self.pending.append(self.prefix + chunk)
-        return number
-
-
-class _Pending(list):
-    next = 0
+def spaces_before_spaces(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For the places of spaces: does white space follow?"""
+    one, two, three = (data[np.minimum(at + k, len(data) - 1)] for k in (1, 2, 3))
+    out = _SPACE[one]
+    for first, seconds, thirds in _WIDE:
+        out |= (one == first) & np.isin(two, seconds) & (True if thirds is None else np.isin(three, thirds))
+    return out
 
 
 class ChunkTable:
-    """Token ids of the chunks seen so far on this worker, bounded in chunks and tokens.
+    """Token ids of the chunks seen so far on this worker, by the chunks' hashes in a sorted array; bounded.
 
     ``encode`` takes a list of strings and returns all their ids, one after the other, and the number of each.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 300_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 1_500_000):
         self.encode, self.most = encode, most
         self.clear()
 
     def clear(self) -> None:
-        self.pending = _Pending()
-        self.first, self.later = _Numbers(self.pending, ""), _Numbers(self.pending, " ")
-        self.ids, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.hash, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.ids, self.begin, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, one after the other; number of each)."""
-        if len(self.count) > self.most or len(self.ids) > 8 * self.most:
+    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of a buffer, one after the other; number of each)."""
+        data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
+        if len(self.hash) > self.most or len(self.ids) > 8 * self.most:
             self.clear()
-        used, size, once = [], [], []
-        look = self.later.__getitem__
-        for text in texts:
-            chunks = [text] if whole(text) else text.split(" ")
-            if len(chunks[0]) > 500:
-                once.append(chunks[0])
-            used.append(np.array([self.first[chunks[0]]]))
-            used.append(np.fromiter(map(look, chunks[1:]), np.int64, len(chunks) - 1))
-            size.append(len(chunks))
-        if self.pending:
-            ids, count = self.encode(list(self.pending))
-            self.pending.clear()
-            self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        raw = data.tobytes()
+        whole = np.zeros(len(offsets) - 1, bool)
+        at = np.flatnonzero(data == 32)
+        text = np.searchsorted(offsets, at, side="right") - 1
+        inner = at + 1 < offsets[text + 1]
+        whole[text[inner & spaces_before_spaces(data, at)]] = True
+        found = raw.find(SPECIAL)
+        while found >= 0:
+            whole[np.searchsorted(offsets, found, side="right") - 1] = True
+            found = raw.find(SPECIAL, found + 1)
+        filled = np.flatnonzero(np.diff(offsets))
+        starts = np.sort(np.concatenate([offsets[filled], at[~whole[text]]]))
+        starts = starts[np.append(True, starts[1:] != starts[:-1])]
+        ends = np.append(starts[1:], len(data))
+        owner = np.searchsorted(offsets, starts, side="right") - 1
+        owner = np.minimum(owner, len(whole) - 1)
+        alone = whole[owner]
+
+        every = Piece(data, 0)(starts, ends)
+        order = np.argsort(every)
+        fresh = np.append(True, every[order[1:]] != every[order[:-1]])
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(fresh) - 1
+        first = order[fresh]  # one place of each chunk
+        hashes = every[first]
+        near = np.searchsorted(self.hash, hashes)
+        known = self.hash[np.minimum(near, len(self.hash) - 1)] == hashes if len(self.hash) else np.zeros(len(hashes), bool)
+        new = np.flatnonzero(~known)
+        slot = np.empty(len(hashes), np.int64)
+        slot[known] = self.slot[near[known]]
+        if len(new):
+            ids, count = self.encode([raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            slot[new] = len(self.count) + np.arange(len(new))
+            self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(count) - count])
             self.count = np.concatenate([self.count, count])
-        begin = np.cumsum(self.count) - self.count
-        at = np.concatenate(used) if used else np.zeros(0, np.int64)
-        n = self.count[at]
-        ends = np.cumsum(n)
-        flat = self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin[at] - (ends - n), n)]
-        per_text = np.diff(np.append(0, np.append(0, ends)[np.cumsum(size)])) if size else np.zeros(0, np.int64)
-        for text in once:  # not worth keeping as keys
-            self.first.pop(text, None)
-        return flat, per_text
+            self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
+            keep = new[~alone[first[new]]]  # whole texts are not worth keeping
+            self.hash = np.insert(self.hash, near[keep], hashes[keep])
+            self.slot = np.insert(self.slot, near[keep], slot[keep])
+        used = slot[number]
+        n = self.count[used]
+        stop = np.cumsum(n)
+        flat = self.ids[np.arange(int(stop[-1])) + np.repeat(self.begin[used] - (stop - n), n)]
+        return flat, np.bincount(owner, n, len(whole)).astype(np.int64)

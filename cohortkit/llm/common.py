@@ -180,6 +180,39 @@ def window_names(names: np.ndarray, starts: np.ndarray, width: int, salt: int =
     return join64(level[keep], level[keep + width - size], salt + 7919), keep
 
 
+# ---------------------------------------------------------------- rolling hashes
+
+_RANDOM = np.random.default_rng(7)
+_BYTE = _RANDOM.integers(1, 2**63, (2, 257), np.uint64)  # bytes, and an index's symbols
+_STEP = [np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F | 1)]
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """step**i and its inverse modulo 2**64."""
+    if which not in _POWERS or len(_POWERS[which][0]) < n:
+        step = int(_STEP[which])
+        out = []
+        for base in (step, pow(step, -1, 2**64)):
+            p = np.full(n, base, np.uint64)
+            p[0] = 1
+            out.append(np.multiply.accumulate(p))
+        _POWERS[which] = out[0], out[1]
+    return _POWERS[which]
+
+
+class Piece:
+    """Rolling hashes of a stretch of bytes: hash of [a, b) in constant time."""
+
+    def __init__(self, data: np.ndarray, which: int):
+        up, self.down = powers(which, len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE[which][data] * up[:len(data)], out=self.sums[1:])
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return mix64((self.sums[b] - self.sums[a]) * self.down[a] + (b - a).astype(np.uint64))
+
+
 # ---------------------------------------------------------------- batch exchange
 
 def batched(docs: DataFrame, per_partition: int = 2, rest: bool = False) -> tuple[DataFrame, int]:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortkit.llm.bpe import vocabulary_path
-from cohortkit.llm.chunks import SPECIAL, ChunkTable
-from cohortkit.llm.common import Scratch, read_table, shuffle_partitions, text_groups
+from cohortkit.llm.chunks import ChunkTable
+from cohortkit.llm.common import Scratch, read_table, shuffle_partitions, text_groups, utf8_buffer
 
-PRECISION, LANES, CHECKPOINT, BLOCK_TOKENS = 20, 1024, 128, 1 << 19
+PRECISION, LANES, CHECKPOINT, BLOCK_TOKENS = 20, 4096, 128, 1 << 20
 LOW = np.uint64(1 << 31)
 END_ID = 2
 
@@ -130,10 +131,10 @@ class LibraryEncoder:
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         count = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter((i for x in got for i in x), np.int64, int(count.sum())), count
+        return np.fromiter(chain.from_iterable(got), np.int64, int(count.sum())), count
 
     def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        joins = np.array([len(c) > 1 and c[0] == " " and not c[1].isspace() and SPECIAL not in c for c in chunks], bool)
+        joins = np.array([len(c) > 1 and c[0] == " " and not c[1].isspace() and "<|" not in c and "  " not in c for c in chunks], bool)
         together, apart = np.flatnonzero(joins), np.flatnonzero(~joins)
         some = [chunks[i] for i in together]
         ids, _ = self.ids(["".join(some[at:at + 64]) for at in range(0, len(some), 64)])
@@ -182,8 +183,8 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFra
                  pa.array([lengths], pa.list_(pa.int32())), pa.array([to_planes(ids)], pa.binary())],
                 names=["shard", "block", "doc_ids", "lengths", "ids"])
 
-        for batch in text_groups(batches, 1 << 20):
-            ids, count = table.texts(["" if t is None else t for t in batch.column("text").to_pylist()])
+        for batch in text_groups(batches, 4 << 20):
+            ids, count = table.texts(*utf8_buffer(batch.column("text"))[:2])
             ends = np.cumsum(count + 1)
             flat = np.full(int(ends[-1]), end_id, np.uint32)
             inside = np.ones(len(flat), bool)
@@ -205,15 +206,15 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFra
 
 def to_planes(ids: np.ndarray) -> bytes:
     wide = 4 if len(ids) and ids.max() > 0xFFFF else 2
-    planes = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :wide].T)
-    return bytes([wide]) + planes.tobytes()
+    return bytes([wide]) + b"".join((ids >> np.uint32(8 * k)).astype(np.uint8).tobytes() for k in range(wide))
 
 
 def from_planes(data: bytes) -> np.ndarray:
     planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
-    ids = np.zeros((planes.shape[1], 4), np.uint8)
-    ids[:, :data[0]] = planes.T
-    return ids.reshape(-1).view("<u4")
+    ids = planes[0].astype(np.uint32)
+    for k in range(1, data[0]):
+        ids |= planes[k].astype(np.uint32) << np.uint32(8 * k)
+    return ids
 
 
 def frequencies(blocks: DataFrame) -> dict[int, int]:

@@ -5,9 +5,11 @@ The strings of one anchor form a region of the text; only regions with equal anc
 corpus is cut at anchors, and four Spark steps over doc_id ranges ("batches") that ask hash buckets of anchors decide:
 
 1. Which anchors occur again? A region whose anchor is nowhere else has no repeat.
-2. Which regions occur again as a whole? Their strings are all repeats; one copy of each goes on, with all regions
-   that differ from the others of their anchor.
-3. A bucket joins the regions of its anchors and builds their run-compressed Burrows-Wheeler transform. At the first
+2. The others are cut into cells of strings that begin CELL places apart at most, counted from the anchor; the bytes
+   that all strings of a cell have in common are its core. A cell whose core is nowhere else has no repeat. Which
+   cells occur again as a whole? Their strings are all repeats; one copy of each goes on, with all cells that differ
+   from the others of their core.
+3. A bucket joins the cells of its cores and builds their run-compressed Burrows-Wheeler transform. At the first
    and the last row of each run it samples the text position and the common prefix with the row before or after.
    Inside a run the matching statistic of a position is that of the position before less one, so the samples are
    streamed through the text to give each position's longest match elsewhere; strings with ``width`` or more are marked.
@@ -27,43 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import (ASK_SQL, answered, answers, ask_rows, batched, deal, in_order, mix64, read_table,
+from cohortkit.llm.common import (ASK_SQL, Piece, answered, answers, ask_rows, batched, deal, in_order, mix64, read_table,
                                   unpack, utf8_buffer)
 
-GRAM, HOT, PIECE, INDEX_BYTES = 64, 4096, 1 << 20, 2 << 20
+GRAM, CELL, HOT, PIECE, INDEX_BYTES = 64, 64, 4096, 1 << 20, 1 << 18
 BY_NAME = 2
 
-_RANDOM = np.random.default_rng(7)
-_BYTE = _RANDOM.integers(1, 2**63, (2, 256), np.uint64)
-_STEP = [np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F | 1)]
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """step**i and its inverse modulo 2**64."""
-    if which not in _POWERS or len(_POWERS[which][0]) < n:
-        step = int(_STEP[which])
-        out = []
-        for base in (step, pow(step, -1, 2**64)):
-            p = np.full(n, base, np.uint64)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
-        _POWERS[which] = out[0], out[1]
-    return _POWERS[which]
-
-
-class Piece:
-    """Rolling hashes of a stretch of bytes: hash of [a, b) in constant time."""
-
-    def __init__(self, data: np.ndarray, which: int):
-        up, self.down = powers(which, len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[which][data] * up[:len(data)], out=self.sums[1:])
-
-    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return mix64((self.sums[b] - self.sums[a]) * self.down[a] + (b - a).astype(np.uint64))
-
-
 def least_before(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each ``width`` values in a row, by prefix and suffix minima of blocks."""
     n = len(values)
@@ -111,22 +82,35 @@ def regions(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
         new = np.append(True, (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1))[:len(start)]
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(start))[:len(first)] - 1
-        out.append(np.stack([anchor[first] + begin, start[first] + begin, start[last] + begin, key[anchor[first]]],
+        # of all grams of a window the anchor has the least hash, so that hash would fill the first buckets only
+        out.append(np.stack([anchor[first] + begin, start[first] + begin, start[last] + begin, mix64(key[anchor[first]])],
                             axis=1).astype(np.uint64) if len(first) else out[0])
     return np.concatenate(out)
 
 
-def names(data: np.ndarray, begin: np.ndarray, end: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit names of the stretches [begin, end), sorted by begin, and of ``salt``."""
-    one, two = np.zeros(len(begin), np.uint64), np.zeros(len(begin), np.uint64)
+def names(data: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
+    """64-bit names of the stretches [begin, end)."""
+    out, order = np.zeros(len(begin), np.uint64), np.argsort(begin, kind="stable")
     i = 0
-    while i < len(begin):
-        j = max(i + 1, int(np.searchsorted(begin, begin[i] + PIECE)))
-        a, b = int(begin[i]), int(end[i:j].max())
-        for which, out in ((0, one), (1, two)):
-            out[i:j] = Piece(data[a:b], which)(begin[i:j] - a, end[i:j] - a)
+    while i < len(order):
+        j = max(i + 1, int(np.searchsorted(begin[order], begin[order[i]] + PIECE)))
+        mine = order[i:j]
+        a, b = int(begin[mine[0]]), int(end[mine].max())
+        out[mine] = Piece(data[a:b], which)(begin[mine] - a, end[mine] - a)
         i = j
-    return mix64(one + salt), mix64(two ^ salt)
+    return out
+
+
+def cells(found: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Regions cut by their strings' distance to the anchor: (first, last string, core begin, core end, number of cell)."""
+    anchor, first, last = (found[:, i].astype(np.int64) for i in range(3))
+    size = min(CELL, max(1, width - min(GRAM, width)))
+    low, high = (anchor - last) // size, (anchor - first) // size
+    n = high - low + 1
+    cell = np.repeat(low, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    anchor, first, last = (np.repeat(x, n) for x in (anchor, first, last))
+    latest, earliest = anchor - cell * size, anchor - (cell + 1) * size + 1
+    return np.maximum(first, earliest), np.minimum(last, latest), latest, earliest + width, cell
 
 
 # ---------------------------------------------------------------- the index
@@ -175,7 +159,7 @@ class RunLengthIndex:
         step, longest = 7, int((self.stop - self.begin).max()) + 1
         while True:
             pair = rank * (n + count + 1) + rank[np.minimum(np.arange(n) + step, self.stop_of)]
-            order = np.argsort(pair, kind="stable")
+            order = np.argsort(pair)  # equal pairs keep equal ranks, so any order will do
             new = np.append(True, pair[order[1:]] != pair[order[:-1]])
             rank[order] = np.cumsum(new) - 1
             if new.all() or step > longest:
@@ -186,16 +170,13 @@ class RunLengthIndex:
     def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common prefix of each two suffixes, inside their texts: doubling, then halving, steps of hashes."""
         room = np.minimum(self.stop_of[a] - a, self.stop_of[b] - b)
-        piece = Piece(np.minimum(self.symbol, 255).astype(np.uint8), 0), Piece((self.symbol >> 8).astype(np.uint8), 1)
+        piece = Piece(self.symbol, 0)
         out = np.zeros(len(a), np.int64)
         step = 1 << max(0, int(room.max(initial=1)).bit_length())
         while step:
             longer = np.flatnonzero(out + step <= room)
             x, y = a[longer] + out[longer], b[longer] + out[longer]
-            same = np.ones(len(longer), bool)
-            for p in piece:
-                same &= p(x, x + step) == p(y, y + step)
-            out[longer[same]] += step
+            out[longer[piece(x, x + step) == piece(y, y + step)]] += step
             step >>= 1
         return out
 
@@ -257,11 +238,13 @@ def remove_repeats(docs: DataFrame, width: int = 400, digest: bool = False) -> D
             out[order[bounds[b]:bounds[b + 1]]] = np.frombuffer(said[b], np.uint8)
         return out
 
-    # 2. whole regions; strings of hot anchors
-    def region_names(data: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        anchor, first, last = (found[:, i].astype(np.int64) for i in range(3))
-        salt = mix64((anchor - first).astype(np.uint64) << np.uint64(32) | (last - first).astype(np.uint64))
-        return names(data, first, last + width, salt)
+    # 2. cells; strings of hot anchors
+    def cell_names(data: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(first, last string, name of the core, name of the whole)."""
+        first, last, begin, end, cell = cells(found, width)
+        core = mix64(names(data, begin, end, 0) + cell.astype(np.uint64))
+        clip = (begin - first).astype(np.uint64) << np.uint64(32) | (last - first).astype(np.uint64)
+        return first, last, core, mix64(names(data, first, last + width, 1) + mix64(clip))
 
     def distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first place of each distinct row, its number for each row, how often)."""
@@ -280,80 +263,81 @@ def remove_repeats(docs: DataFrame, width: int = 400, digest: bool = False) -> D
         first, last = hot[:, 1].astype(np.int64), hot[:, 2].astype(np.int64)
         size = last - first + 1
         at = np.arange(int(size.sum())) + np.repeat(first - (np.cumsum(size) - size), size)
-        return at, *names(data, at, at + width, np.zeros(len(at), np.uint64))
+        return at, names(data, at, at + width, 0), names(data, at, at + width, 1)
 
-    def ask_regions(group: pa.Table, said: pa.Table) -> pa.Table:
+    def ask_cells(group: pa.Table, said: pa.Table) -> pa.Table:
         _, batch, data, _ = texts(group)
         replies, note = answered(said)
         found = np.frombuffer(note, np.uint64).reshape(-1, 4)
         key, at = np.unique(found[:, 3], return_inverse=True)
         code = codes(replies, key)[at]
         shared, hot = found[code == 1], found[code > 1]
-        one, two = region_names(data, shared)
-        place, _, count = distinct(shared[:, 3], one, two)
-        rows = ask_rows(batch, *deal(shared[place, 3], parts), shared[place, 3], one[place], two[place],
-                        count.astype(np.uint64), note=np.int64(len(shared)).tobytes() + shared.tobytes() + hot.tobytes())
+        _, _, core, name = cell_names(data, shared)
+        place, _, count = distinct(core, name)
+        rows = ask_rows(batch, *deal(core[place], parts), core[place], name[place],
+                        np.minimum(count, 2).astype(np.uint8),
+                        note=np.int64(len(shared)).tobytes() + shared.tobytes() + hot.tobytes())
         _, one, two = hot_strings(data, hot)
         place, _, count = distinct(one, two)
         return pa.concat_tables([rows, ask_rows(batch, *deal(one[place], parts), one[place], two[place],
-                                                count.astype(np.uint64), kind=BY_NAME)])
-
-    def whole_regions(asked: list[tuple[int, bytes]]) -> list[bytes]:
-        """0: a repeat as a whole, no text needed; 1: a repeat as a whole, send the text; 2: send the text and ask."""
-        rows = [unpack(d, np.uint64, np.uint64, np.uint64, np.uint64) for _, d in asked]
-        key, one, two, count = (np.concatenate(x) for x in zip(*rows))
-        place, number, _ = distinct(key, one, two)
-        times = np.bincount(number, count)
-        kinds = np.bincount(np.unique(key[place], return_inverse=True)[1]) if len(place) else np.zeros(0, np.int64)
-        mixed = kinds[np.unique(key, return_inverse=True)[1]] > 1
-        again = times[number] > 1
-        first = np.zeros(len(key), bool)
-        first[place] = True  # stable: the earliest batch
-        code = np.where(again, (mixed & first).astype(np.uint8), 2).astype(np.uint8)
+                                                np.minimum(count, 2).astype(np.uint8), kind=BY_NAME)])
+
+    def whole_cells(asked: list[tuple[int, bytes]]) -> list[bytes]:
+        """0: a repeat as a whole, no text needed; 1: a repeat as a whole, send the text; 2: send the text and ask;
+        3: no repeat."""
+        rows = [unpack(d, np.uint64, np.uint64, np.uint8) for _, d in asked]
+        core, name, count = (np.concatenate(x) for x in zip(*rows))
+        place, number, _ = distinct(core, name)
+        again = np.bincount(number, count)[number] > 1
+        _, group = np.unique(core, return_inverse=True)
+        mixed = np.bincount(group[place])[group] > 1
+        first = np.zeros(len(core), bool)
+        first[place] = True  # the order is stable: the earliest batch
+        code = np.where(again, mixed & first, np.where(mixed, 2, 3)).astype(np.uint8)
         return [x.tobytes() for x in np.split(code, np.cumsum([len(r[0]) for r in rows])[:-1])]
 
     def by_name(asked: list[tuple[int, bytes]]) -> list[bytes]:
-        rows = [unpack(d, np.uint64, np.uint64, np.uint64) for _, d in asked]
+        rows = [unpack(d, np.uint64, np.uint64, np.uint8) for _, d in asked]
         one, two, count = (np.concatenate(x) for x in zip(*rows))
         _, number, _ = distinct(one, two)
         again = (np.bincount(number, count)[number] > 1).astype(np.uint8)
         return [x.tobytes() for x in np.split(again, np.cumsum([len(r[0]) for r in rows])[:-1])]
 
-    # 3. regions that differ
+    # 3. cells that differ
     def ask_index(group: pa.Table, said: pa.Table) -> pa.Table:
         _, batch, data, _ = texts(group)
         replies, note = answered(said)
         shared = np.frombuffer(note, np.uint64, offset=8).reshape(-1, 4)
         shared, hot = shared[:int(np.frombuffer(note, np.int64, 1)[0])], shared[int(np.frombuffer(note, np.int64, 1)[0]):]
-        one, two = region_names(data, shared)
-        place, number, _ = distinct(shared[:, 3], one, two)
-        code = codes(replies, shared[place, 3])
-        done = shared[(code < 2)[number]]
+        first, last, core, name = cell_names(data, shared)
+        place, number, _ = distinct(core, name)
+        code = codes(replies, core[place])
+        done = (code < 2)[number]
         at, one, two = hot_strings(data, hot)
         name_place, name_number, _ = distinct(one, two)
-        again = codes(answered(said, BY_NAME)[0], one[name_place])[name_number] > 0
-        strings = at[again]
-        send = place[code > 0]
-        ask = (code[code > 0] == 2).astype(np.uint8)
-        first, last = shared[send, 1].astype(np.int64), shared[send, 2].astype(np.int64)
-        order, bounds = deal(shared[send, 3], parts)
+        strings = at[codes(answered(said, BY_NAME)[0], one[name_place])[name_number] > 0]
+        send = place[(code == 1) | (code == 2)]
+        ask = (code[(code == 1) | (code == 2)] == 2).astype(np.uint8)
+        order, bounds = deal(core[send], parts)
         filled = np.flatnonzero(np.diff(bounds)).tolist()
         packed = []
         for b in filled:
             mine = order[bounds[b]:bounds[b + 1]]
-            packed.append(b"".join([np.int64(len(mine)).tobytes(), shared[send[mine], 3].tobytes(),
-                                    (last[mine] + width - first[mine]).tobytes(), ask[mine].tobytes(),
-                                    *[data[first[i]:last[i] + width].tobytes() for i in mine]]))
-        asked = shared[send[ask > 0]]
-        note = b"".join([np.array([len(done), len(strings)], np.int64).tobytes(), done[:, 1:3].tobytes(),
-                         strings.astype(np.int64).tobytes(), asked[:, 1:].tobytes()])
+            some = send[mine]
+            packed.append(b"".join([np.int64(len(mine)).tobytes(), core[some].tobytes(),
+                                    (last[some] + width - first[some]).tobytes(), ask[mine].tobytes(),
+                                    *[data[first[i]:last[i] + width].tobytes() for i in some]]))
+        asked = send[ask > 0]
+        note = b"".join([np.array([done.sum(), len(strings)], np.int64).tobytes(),
+                         np.stack([first[done], last[done]], axis=1).tobytes(), strings.astype(np.int64).tobytes(),
+                         np.stack([first[asked], last[asked], core[asked].view(np.int64)], axis=1).tobytes()])
         n = len(filled) + 1
         return pa.table({"bucket": pa.array([*filled, batch % parts], pa.int32()), "batch": pa.array([batch] * n, pa.int32()),
                          "kind": pa.array([0] * len(filled) + [1], pa.int32()),
                          "data": pa.array([*packed, note], pa.binary())})
 
     def index(asked: list[tuple[int, bytes]]) -> list[bytes]:
-        """The regions of some anchors at a time, whole groups together, go into an index of about INDEX_BYTES."""
+        """The cells of some cores at a time, whole groups together, go into an index of about INDEX_BYTES."""
         key, owner, ask, text = [], [], [], []
         for i, (_, d) in enumerate(asked):
             n = int(np.frombuffer(d, np.int64, 1)[0])
@@ -436,8 +420,8 @@ def remove_repeats(docs: DataFrame, width: int = 400, digest: bool = False) -> D
         "kept_sha256 string" if digest else "kept binary, spans array<struct<begin: long, end: long>>")
     by = table.groupBy("batch")
     first = answers(by.applyInArrow(ask_anchors, ASK_SQL), parts, anchors).repartition(parts, "batch")
-    second = answers(by.cogroup(first.groupBy("batch")).applyInArrow(ask_regions, ASK_SQL), parts,
-                     {0: whole_regions, BY_NAME: by_name}).repartition(parts, "batch")
+    second = answers(by.cogroup(first.groupBy("batch")).applyInArrow(ask_cells, ASK_SQL), parts,
+                     {0: whole_cells, BY_NAME: by_name}).repartition(parts, "batch")
     third = answers(by.cogroup(second.groupBy("batch")).applyInArrow(ask_index, ASK_SQL), parts, index)
     return by.cogroup(third.repartition(parts, "batch").groupBy("batch")).applyInArrow(finish, made)
 
