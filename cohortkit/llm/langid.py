@@ -18,6 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortkit.llm.common import mix64, read_table, text_groups, utf8_buffer
 
@@ -267,8 +268,8 @@ def predict(docs: DataFrame, models, extra: str | None = None, rest: bool = Fals
             yield pa.RecordBatch.from_arrays(arrays, names=out)
 
     asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *names[1:])
-    sql = PREDICTED_SQL + (f", {extra} {asked.schema[extra].dataType.simpleString()}" if extra else "")
-    return asked.mapInArrow(run, sql)
+    made = T.StructType.fromDDL(PREDICTED_SQL)
+    return asked.mapInArrow(run, made.add(asked.schema[extra]) if extra else made)
 
 
 def fold_of(remainders: int) -> F.Column:

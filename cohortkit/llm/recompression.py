@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortkit.llm.common import (ASK_SQL, answered, answers, ask_rows, batched, deal, firsts, in_order, join64, mix64,
                                   read_table, replies_in_order, unpack, utf8_buffer, window_names, word_names)
@@ -226,9 +227,10 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
         keys = [unpack(d, np.uint64, np.uint32) for _, d in asked]
         return firsts([k[0] for k in keys], [k[1] for k in keys])
 
-    made = "doc_id long, n_words long, n_removed long, " + ("kept_sha256 string" if digest else "text string")
+    made = T.StructType.fromDDL("doc_id long, n_words long, n_removed long, " + (
+        "kept_sha256 string" if digest else "text string"))
     if "rest" in table.columns:
-        made += f", rest {table.schema['rest'].dataType.simpleString()}"
+        made = made.add(table.schema["rest"])
     by = table.groupBy("batch")
     first = answers(by.applyInArrow(ask_symbols, ASK_SQL), parts, symbols).repartition(parts, "batch")
     second = answers(by.cogroup(first.groupBy("batch")).applyInArrow(ask_windows, ASK_SQL), parts, windows)
