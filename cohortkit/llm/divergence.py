@@ -127,4 +127,45 @@ def quality(docs: DataFrame) -> DataFrame:
 
 
 def op8_js_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(read_table(spark, sf_dir, "documents"))
+    return quality(read_table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
+
+
+def _sql_distance(histogram: str, refs: str) -> str:
+    """SQL of the least distance of a histogram column to the references of the table ``refs``."""
+    term = """CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END
+      + CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END"""
+    return f"""coalesce((SELECT min(sqrt(greatest(0, list_sum(list_transform(list_zip(
+      list_transform({histogram}, lambda x: x / list_sum({histogram})), q), lambda z: {term})) / 2))) FROM {refs}), 0)"""
+
+
+_LANGS = ", ".join(f"'{x}'" for x in LANGS)
+_COMMON = ", ".join(f"'{w}'" for w in VOCABULARY)
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
+w AS (SELECT r, doc_id, lang, t, regexp_extract_all(t, '[^ 	-]+') AS w,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ 	-]')) AS lines FROM d),
+tri AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n
+    FROM w, unnest(range(1, len(w) - 1)) u(i) WHERE len(w) >= 3),
+rep AS (SELECT r, count(DISTINCT i + j) AS n FROM tri, unnest(range(0, 3)) v(j) WHERE tri.n > 1 GROUP BY r),
+f AS (SELECT w.r, doc_id, lang, len(w)::BIGINT AS n_words, length(t)::BIGINT AS n_chars,
+    coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    len(regexp_extract_all(t, '{SYMBOLS}'))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+    [len(regexp_extract_all(t, '[0-9]')), len(regexp_extract_all(t, '[A-Z]')),
+     len(regexp_extract_all(t, '[.,;:!?''"()-]')), strlen(t) - length(t)] AS part,
+    list_transform([{_COMMON}], lambda k: len(list_filter(w, lambda x: x = k))) AS common
+    FROM w LEFT JOIN rep USING (r)),
+h AS (SELECT *, [n_chars - word_chars, n_symbols, part[1], part[2], part[3], part[4],
+      greatest(0, word_chars - n_symbols - list_sum(part))] AS chars,
+    list_concat(common, [n_words - list_sum(common)]) AS usual FROM f),
+cs AS (SELECT lang, i, sum(chars[i]) AS s FROM h, unnest(range(1, {CLASSES} + 1)) u(i) WHERE lang IN ({_LANGS}) GROUP BY lang, i),
+cr AS (SELECT lang, list(s::DOUBLE / total ORDER BY i) AS q FROM (SELECT *, sum(s) OVER (PARTITION BY lang) AS total FROM cs)
+    WHERE total > 0 GROUP BY lang),
+us AS (SELECT lang, i, sum(usual[i]) AS s FROM h, unnest(range(1, {len(VOCABULARY)} + 2)) u(i) WHERE lang IN ({_LANGS}) GROUP BY lang, i),
+ur AS (SELECT lang, list(s::DOUBLE / total ORDER BY i) AS q FROM (SELECT *, sum(s) OVER (PARTITION BY lang) AS total FROM us)
+    WHERE total > 0 GROUP BY lang),
+v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    CASE WHEN n_chars >= {MIN_CHARS} THEN {_sql_distance("chars", "cr")} ELSE 0 END AS cd,
+    CASE WHEN n_words >= {MIN_WORDS} THEN {_sql_distance("usual", "ur")} ELSE 0 END AS ud FROM h)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND cd <= {MAX_CHAR_DISTANCE} AND ud <= {MAX_WORD_DISTANCE} AS kept FROM v"""

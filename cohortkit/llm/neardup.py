@@ -8,9 +8,11 @@ coordinate with probability equal to their Jaccard similarity, with Chernoff con
 
 Bands of three coordinates propose pairs: with 32 bands a pair at the threshold 0.75 shares at least
 two bands but for 6e-7 of cases. Equal sets are one class and sketch as one. Within a band's bucket
-texts are compared to the bucket's smallest id first, then what is still in different components is
-compared across components, so a group of copies costs one comparison per copy, not per pair. Each
-proposed link is checked on the full shingle sets.
+texts are compared to the bucket's smallest id first, so a group of copies costs one comparison per
+copy, not per pair. The texts of buckets that still hold several components go on: a text with more
+than a quarter of its shingles in no other component can't be linked to one and is peeled off, again
+and again, and what is left meets on its rarest shared shingles, of which linked texts have one in
+common. Each proposed link is checked on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortkit.llm.common import Scratch, join64, mix64, read_table, text_groups, utf8_buffer, window_names, word_names
@@ -146,6 +148,51 @@ def verified(docs: DataFrame, pairs: DataFrame, n_pairs: int, percent: int) -> D
         sets, "doc_id long, b long, piece int, shingles binary").groupBy("b", "piece").applyInArrow(compare, "a long, b long")
 
 
+def across_components(docs: DataFrame, members: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``members`` (rep, component) of different components that may reach ``percent``; none is missed."""
+    if members.count() <= BROADCAST_ROWS:
+        members = F.broadcast(members)
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members, "rep")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_groups(batches, 4 << 20):
+            data, offsets, _ = utf8_buffer(batch.column("text"))
+            key, first = shingle_sets(data, offsets)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), batch.column("component"), pa.array(np.diff(first), pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(key.view(np.int64)))],
+                names=["rep", "component", "n", "shingles"])
+
+    held = texts.select("rep", "component", "text").mapInArrow(
+        sets, "rep long, component long, n long, shingles array<long>").withColumn(
+        "shingle", F.explode("shingles")).drop("shingles")
+    held = scratch.write(held, "held-0")
+    n, i = held.count(), 0
+    while n:
+        # shingles that two components hold, and the texts that have enough of them
+        shared = held.groupBy("shingle").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("df")).where("lo < hi")
+        left = held.drop("df", "c").join(shared.select("shingle", "df"), "shingle")
+        enough = left.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("c")).where(100 * F.col("c") >= percent * F.col("n"))
+        i += 1
+        held = scratch.write(left.join(enough.select("rep", "n", "c"), ["rep", "n"]), f"held-{i}")
+        scratch.drop(f"held-{i - 1}")
+        before, n = n, held.count()
+        if n > 0.95 * before:
+            break
+    if not n:
+        return members.sparkSession.createDataFrame([], "a long, b long")
+    rarest = Window.partitionBy("rep", "n").orderBy("df", "shingle")
+    # of c shared shingles all but need - 1 may miss the other text: one of the first c - need + 1 is in both
+    need = F.ceil(percent * F.col("n") / 100)
+    prefix = held.withColumn("place", F.row_number().over(rarest)).where(F.col("place") <= F.col("c") - need + 1)
+    other = prefix.select("shingle", *[F.col(x).alias(f"{x}_b") for x in ("rep", "component", "n", "c")])
+    most = F.least("c", "c_b")
+    near = (F.col("rep_b") < F.col("rep")) & (F.col("component") != F.col("component_b")) & (
+        100 * most >= percent * (F.col("n") + F.col("n_b") - most))
+    return prefix.join(other, "shingle").where(near).select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, component): alternating stars until nothing changes; component is the smallest node. Edges stay in Spark."""
     now = scratch.write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -209,14 +256,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
                 pairs = placed.where("rep <> hub").join(component("hub"), "hub", "left").where(
                     F.col("rep_component") != F.coalesce("hub_component", "hub")).groupBy("rep", "hub").count().where(
                     F.col("count") >= MIN_SHARED).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-            else:  # buckets that still hold several components: each text with those of other components
+            else:  # buckets that still hold several components: their texts with those of other components
                 mixed = placed.groupBy("band").agg(
                     F.min("rep_component").alias("lo"), F.max("rep_component").alias("hi")).where("lo < hi").select("band")
-                member = scratch.write(placed.join(mixed, "band").select("band", "rep", "rep_component"), "mixed")
-                other = member.select("band", F.col("rep").alias("hub"), F.col("rep_component").alias("hub_component"))
-                pairs = member.join(other, "band").where("hub < rep and rep_component <> hub_component").groupBy(
-                    "rep", "hub").count().where(F.col("count") >= MIN_SHARED).select(
-                    F.col("rep").alias("a"), F.col("hub").alias("b"))
+                members = scratch.write(placed.join(mixed, "band").select(
+                    "rep", F.col("rep_component").alias("component")).distinct(), "members")
+                pairs = across_components(docs, members, scratch, percent)
             pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.write(pairs, f"pairs-{step}")
         n = pairs.count()

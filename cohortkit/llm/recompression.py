@@ -240,3 +240,16 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
 def op1_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(read_table(spark, sf_dir, "documents"), digest=True).select(
         "doc_id", "n_words", "n_removed", F.col("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, row_number() OVER (PARTITION BY w[i:i + 19] ORDER BY doc_id, i) AS n
+  FROM d, unnest(range(1, len(w) - 18)) u(i) WHERE len(w) >= 20),
+gone AS (SELECT DISTINCT doc_id, i + j AS place FROM win, unnest(range(0, 20)) v(j) WHERE n > 1),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS t, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(kept.n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""

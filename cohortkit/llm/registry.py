@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from cohortkit.llm.bloom_lm import op9_bloom_lm_score
 from cohortkit.llm.bpe import op6_bpe_merge_rounds
+from cohortkit.llm.divergence import ORACLE as OP8_SQL
 from cohortkit.llm.divergence import op8_js_divergence_rules
 from cohortkit.llm.langid import op10_kneser_ney_langid
 from cohortkit.llm.mixing import ORACLE as OP4_SQL
@@ -13,6 +14,7 @@ from cohortkit.llm.neardup import op3_similarity_sketch_neardup
 from cohortkit.llm.onebit import ORACLE as OP7_SQL
 from cohortkit.llm.onebit import op7_one_bit_neighbours
 from cohortkit.llm.rans import op2_rans_token_file
+from cohortkit.llm.recompression import ORACLE as OP1_SQL
 from cohortkit.llm.recompression import op1_recompression_dedup
 from cohortkit.llm.rlindex import op5_run_length_index_dedup
 
@@ -31,6 +33,10 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_recompression_dedup": OP1_SQL,
+    "op8_js_divergence_rules": OP8_SQL,
     "op4_hierarchical_budgets": OP4_SQL,
     "op7_one_bit_neighbours": OP7_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

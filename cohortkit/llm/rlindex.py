@@ -211,6 +211,7 @@ def remove_repeats(docs: DataFrame, width: int = 400, digest: bool = False) -> D
     gives an empty result.
     """
     table, parts = batched(docs)
+    buckets = max(1, parts // 2)  # each batch sends a message to each bucket in every step
 
     def texts(group: pa.Table) -> tuple[pa.Table, int, np.ndarray, np.ndarray]:
         rows = in_order(group)
@@ -222,7 +223,7 @@ def remove_repeats(docs: DataFrame, width: int = 400, digest: bool = False) -> D
         _, batch, data, offsets = texts(group)
         found = regions(data, offsets, width)
         key, count = np.unique(found[:, 3], return_counts=True)
-        return ask_rows(batch, *deal(key, parts), key, count.astype(np.uint64), note=found.tobytes())
+        return ask_rows(batch, *deal(key, buckets), key, count.astype(np.uint64), note=found.tobytes())
 
     def anchors(asked: list[tuple[int, bytes]]) -> list[bytes]:
         rows = [unpack(d, np.uint64, np.uint64) for _, d in asked]
@@ -232,7 +233,7 @@ def remove_repeats(docs: DataFrame, width: int = 400, digest: bool = False) -> D
         return [x.tobytes() for x in np.split(code, np.cumsum([len(r[0]) for r in rows])[:-1])]
 
     def codes(said: dict[int, bytes], key: np.ndarray) -> np.ndarray:
-        order, bounds = deal(key, parts)
+        order, bounds = deal(key, buckets)
         out = np.zeros(len(key), np.uint8)
         for b in np.flatnonzero(np.diff(bounds)):
             out[order[bounds[b]:bounds[b + 1]]] = np.frombuffer(said[b], np.uint8)
@@ -274,12 +275,12 @@ def remove_repeats(docs: DataFrame, width: int = 400, digest: bool = False) -> D
         shared, hot = found[code == 1], found[code > 1]
         _, _, core, name = cell_names(data, shared)
         place, _, count = distinct(core, name)
-        rows = ask_rows(batch, *deal(core[place], parts), core[place], name[place],
+        rows = ask_rows(batch, *deal(core[place], buckets), core[place], name[place],
                         np.minimum(count, 2).astype(np.uint8),
                         note=np.int64(len(shared)).tobytes() + shared.tobytes() + hot.tobytes())
         _, one, two = hot_strings(data, hot)
         place, _, count = distinct(one, two)
-        return pa.concat_tables([rows, ask_rows(batch, *deal(one[place], parts), one[place], two[place],
+        return pa.concat_tables([rows, ask_rows(batch, *deal(one[place], buckets), one[place], two[place],
                                                 np.minimum(count, 2).astype(np.uint8), kind=BY_NAME)])
 
     def whole_cells(asked: list[tuple[int, bytes]]) -> list[bytes]:
@@ -318,7 +319,7 @@ def remove_repeats(docs: DataFrame, width: int = 400, digest: bool = False) -> D
         strings = at[codes(answered(said, BY_NAME)[0], one[name_place])[name_number] > 0]
         send = place[(code == 1) | (code == 2)]
         ask = (code[(code == 1) | (code == 2)] == 2).astype(np.uint8)
-        order, bounds = deal(core[send], parts)
+        order, bounds = deal(core[send], buckets)
         filled = np.flatnonzero(np.diff(bounds)).tolist()
         packed = []
         for b in filled:
@@ -332,7 +333,7 @@ def remove_repeats(docs: DataFrame, width: int = 400, digest: bool = False) -> D
                          np.stack([first[done], last[done]], axis=1).tobytes(), strings.astype(np.int64).tobytes(),
                          np.stack([first[asked], last[asked], core[asked].view(np.int64)], axis=1).tobytes()])
         n = len(filled) + 1
-        return pa.table({"bucket": pa.array([*filled, batch % parts], pa.int32()), "batch": pa.array([batch] * n, pa.int32()),
+        return pa.table({"bucket": pa.array([*filled, batch % buckets], pa.int32()), "batch": pa.array([batch] * n, pa.int32()),
                          "kind": pa.array([0] * len(filled) + [1], pa.int32()),
                          "data": pa.array([*packed, note], pa.binary())})
 
@@ -379,7 +380,7 @@ def remove_repeats(docs: DataFrame, width: int = 400, digest: bool = False) -> D
         done = np.frombuffer(note, np.int64, 2 * n_done, 16).reshape(-1, 2)
         strings = np.frombuffer(note, np.int64, n_strings, 16 + 16 * n_done)
         asked = np.frombuffer(note, np.uint64, offset=16 + 16 * n_done + 8 * n_strings).reshape(-1, 3)
-        order, bounds = deal(asked[:, 2], parts)
+        order, bounds = deal(asked[:, 2], buckets)
         edge = np.zeros(len(data) + 1, np.int32)
         np.add.at(edge, done[:, 0], 1)
         np.add.at(edge, done[:, 1] + width, -1)
@@ -419,10 +420,10 @@ def remove_repeats(docs: DataFrame, width: int = 400, digest: bool = False) -> D
     made = "doc_id long, n_bytes long, n_removed long, n_spans long, " + (
         "kept_sha256 string" if digest else "kept binary, spans array<struct<begin: long, end: long>>")
     by = table.groupBy("batch")
-    first = answers(by.applyInArrow(ask_anchors, ASK_SQL), parts, anchors).repartition(parts, "batch")
-    second = answers(by.cogroup(first.groupBy("batch")).applyInArrow(ask_cells, ASK_SQL), parts,
+    first = answers(by.applyInArrow(ask_anchors, ASK_SQL), buckets, anchors).repartition(parts, "batch")
+    second = answers(by.cogroup(first.groupBy("batch")).applyInArrow(ask_cells, ASK_SQL), buckets,
                      {0: whole_cells, BY_NAME: by_name}).repartition(parts, "batch")
-    third = answers(by.cogroup(second.groupBy("batch")).applyInArrow(ask_index, ASK_SQL), parts, index)
+    third = answers(by.cogroup(second.groupBy("batch")).applyInArrow(ask_index, ASK_SQL), buckets, index)
     return by.cogroup(third.repartition(parts, "batch").groupBy("batch")).applyInArrow(finish, made)
 
 
