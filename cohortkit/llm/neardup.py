@@ -12,7 +12,8 @@ texts are compared to the bucket's smallest id first, so a group of copies costs
 copy, not per pair. The texts of buckets that still hold several components go on: a text with more
 than a quarter of its shingles in no other component can't be linked to one and is peeled off, again
 and again, and what is left meets on its rarest shared shingles, of which linked texts have one in
-common. Each proposed link is checked on the full shingle sets.
+common: first each text with the least edited holder of such a shingle, in rounds while that finds
+links, then the rest with each other. Each proposed link is checked on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from cohortkit.llm.common import Scratch, join64, mix64, read_table, text_groups
 SHINGLE, BANDS, BAND_ROWS, MIN_SHARED = 5, 32, 3, 2
 COORDINATES = BANDS * BAND_ROWS
 MEMBERS_PER_GROUP = 256
+LEAST_EDITED_ROUNDS = 4
 BROADCAST_ROWS = 100_000  # request rows of 24 bytes: at most 2.4 MB are ever broadcast
 
 
@@ -148,8 +150,8 @@ def verified(docs: DataFrame, pairs: DataFrame, n_pairs: int, percent: int) -> D
         sets, "doc_id long, b long, piece int, shingles binary").groupBy("b", "piece").applyInArrow(compare, "a long, b long")
 
 
-def across_components(docs: DataFrame, members: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """Pairs (a, b) of ``members`` (rep, component) of different components that may reach ``percent``; none is missed."""
+def member_shingles(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(rep, n, shingle): the full sets of ``members`` (rep), one row per shingle."""
     if members.count() <= BROADCAST_ROWS:
         members = F.broadcast(members)
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members, "rep")
@@ -159,38 +161,71 @@ def across_components(docs: DataFrame, members: DataFrame, scratch: Scratch, per
             data, offsets, _ = utf8_buffer(batch.column("text"))
             key, first = shingle_sets(data, offsets)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), batch.column("component"), pa.array(np.diff(first), pa.int64()),
+                [batch.column("rep"), pa.array(np.diff(first), pa.int64()),
                  pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(key.view(np.int64)))],
-                names=["rep", "component", "n", "shingles"])
+                names=["rep", "n", "shingles"])
 
-    held = texts.select("rep", "component", "text").mapInArrow(
-        sets, "rep long, component long, n long, shingles array<long>").withColumn(
+    return texts.select("rep", "text").mapInArrow(sets, "rep long, n long, shingles array<long>").withColumn(
         "shingle", F.explode("shingles")).drop("shingles")
-    held = scratch.write(held, "held-0")
-    n, i = held.count(), 0
-    while n:
-        # shingles that two components hold, and the texts that have enough of them
-        shared = held.groupBy("shingle").agg(
+
+
+def peeled(held: DataFrame, found: DataFrame, scratch: Scratch, percent: int, name: str) -> DataFrame:
+    """Rows of ``held`` with component, df and c: shingles that two components hold, of texts that have enough of them.
+
+    A text with fewer than ``percent`` of its shingles in other components is linked to none of them. What it alone
+    shared with the others then is no longer shared, so this goes on until little changes.
+    """
+    now = held.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep"))
+    before, i = None, 0
+    while True:
+        shared = now.groupBy("shingle").agg(
             F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("df")).where("lo < hi")
-        left = held.drop("df", "c").join(shared.select("shingle", "df"), "shingle")
+        left = now.drop("df", "c").join(shared.select("shingle", "df"), "shingle")
         enough = left.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("c")).where(100 * F.col("c") >= percent * F.col("n"))
-        i += 1
-        held = scratch.write(left.join(enough.select("rep", "n", "c"), ["rep", "n"]), f"held-{i}")
-        scratch.drop(f"held-{i - 1}")
-        before, n = n, held.count()
-        if n > 0.95 * before:
-            break
-    if not n:
-        return members.sparkSession.createDataFrame([], "a long, b long")
+        now = scratch.write(left.join(enough, ["rep", "n"]), f"{name}-{i}")
+        n = now.count()
+        if i:
+            scratch.drop(f"{name}-{i - 1}")
+        if not n or before is not None and n > 0.95 * before:
+            return now
+        before, i = n, i + 1
+
+
+def prefixes(held: DataFrame, percent: int) -> DataFrame:
+    """Each text's rarest shared shingles. Of its c, all but need - 1 may miss a linked text, so one of the first
+    c - need + 1 is in both."""
     rarest = Window.partitionBy("rep", "n").orderBy("df", "shingle")
-    # of c shared shingles all but need - 1 may miss the other text: one of the first c - need + 1 is in both
     need = F.ceil(percent * F.col("n") / 100)
-    prefix = held.withColumn("place", F.row_number().over(rarest)).where(F.col("place") <= F.col("c") - need + 1)
-    other = prefix.select("shingle", *[F.col(x).alias(f"{x}_b") for x in ("rep", "component", "n", "c")])
+    return held.withColumn("place", F.row_number().over(rarest)).where(F.col("place") <= F.col("c") - need + 1).select(
+        "shingle", "rep", "component", "n", "c")
+
+
+def may_link(percent: int) -> F.Column:
+    """Different components, and at most as many shingles in common as the one that shares fewer."""
     most = F.least("c", "c_b")
-    near = (F.col("rep_b") < F.col("rep")) & (F.col("component") != F.col("component_b")) & (
-        100 * most >= percent * (F.col("n") + F.col("n_b") - most))
-    return prefix.join(other, "shingle").where(near).select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
+    return (F.col("component") != F.col("component_b")) & (100 * most >= percent * (F.col("n") + F.col("n_b") - most))
+
+
+def to_least_edited(prefix: DataFrame, percent: int) -> DataFrame:
+    """One pair (a, b) for each text: b is, of the texts that share most in their shingles' postings, the commonest.
+
+    One row per posting is joined to its texts, so a group of copies costs a pair per copy.
+    """
+    head = F.max(F.struct((F.col("c") / F.col("n")).alias("share"), (-F.col("rep")).alias("rep"), "component", "n", "c"))
+    heads = prefix.groupBy("shingle").agg(head.alias("h")).select(
+        "shingle", (-F.col("h.rep")).alias("rep_b"), F.col("h.component").alias("component_b"), F.col("h.n").alias("n_b"),
+        F.col("h.c").alias("c_b"))
+    near = prefix.join(heads, "shingle").where(may_link(percent)).groupBy("rep", "rep_b").count()
+    top = near.groupBy("rep").agg(F.max(F.struct("count", (-F.col("rep_b")).alias("rep_b"))).alias("top"))
+    return top.select(F.greatest("rep", -F.col("top.rep_b")).alias("a"), F.least("rep", -F.col("top.rep_b")).alias("b")).distinct()
+
+
+def to_all(prefix: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) that may be linked."""
+    other = prefix.select("shingle", *[F.col(x).alias(f"{x}_b") for x in ("rep", "component", "n", "c")])
+    return prefix.join(other, "shingle").where((F.col("rep_b") < F.col("rep")) & may_link(percent)).select(
+        F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -240,37 +275,49 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     tested: DataFrame | None = None
     edges = None
     found = scratch.write(sig.limit(0).select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component")), "none")
-    for step in ("best", "hubs", "across"):
-        def component(of: str) -> DataFrame:
-            return found.select(F.col("node").alias(of), F.col("component").alias(f"{of}_component"))
-
-        if step == "best":  # the bucket heads that a text shares most bands with: most texts are settled here
-            shared = multi.where("rep <> hub").groupBy("rep", "hub").count().where(F.col("count") >= MIN_SHARED)
-            pairs = shared.groupBy("rep").agg(
-                F.max(F.struct(F.col("count"), (-F.col("hub")).alias("hub"))).alias("top")).select(
-                F.col("rep").alias("a"), (-F.col("top.hub")).alias("b"))
-        else:
-            placed = multi.join(component("rep"), "rep", "left").withColumn(
-                "rep_component", F.coalesce("rep_component", "rep"))
-            if step == "hubs":  # the other bucket heads
-                pairs = placed.where("rep <> hub").join(component("hub"), "hub", "left").where(
-                    F.col("rep_component") != F.coalesce("hub_component", "hub")).groupBy("rep", "hub").count().where(
-                    F.col("count") >= MIN_SHARED).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-            else:  # buckets that still hold several components: their texts with those of other components
-                mixed = placed.groupBy("band").agg(
-                    F.min("rep_component").alias("lo"), F.max("rep_component").alias("hi")).where("lo < hi").select("band")
-                members = scratch.write(placed.join(mixed, "band").select(
-                    "rep", F.col("rep_component").alias("component")).distinct(), "members")
-                pairs = across_components(docs, members, scratch, percent)
-            pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.write(pairs, f"pairs-{step}")
+    def settle(pairs: DataFrame, step: str) -> int:
+        """Check pairs that were not checked yet; the number of new links."""
+        nonlocal tested, edges, found
+        pairs = scratch.write(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), f"pairs-{step}")
         n = pairs.count()
         if not n:
-            continue
+            return 0
         tested = pairs if tested is None else tested.unionByName(pairs)
         good = scratch.write(verified(docs, pairs, n, percent), f"edges-{step}")
-        edges = good if edges is None else edges.unionByName(good)
-        found = components(edges, scratch, f"components-{step}")
+        links = good.count()
+        if links:
+            edges = good if edges is None else edges.unionByName(good)
+            found = components(edges, scratch, f"components-{step}")
+        return links
+
+    def component(of: str) -> DataFrame:
+        return found.select(F.col("node").alias(of), F.col("component").alias(f"{of}_component"))
+
+    def placed() -> DataFrame:
+        return multi.join(component("rep"), "rep", "left").withColumn("rep_component", F.coalesce("rep_component", "rep"))
+
+    # the bucket heads that a text shares most bands with: most texts are settled here
+    shared = multi.where("rep <> hub").groupBy("rep", "hub").count().where(F.col("count") >= MIN_SHARED)
+    settle(shared.groupBy("rep").agg(F.max(F.struct(F.col("count"), (-F.col("hub")).alias("hub"))).alias("top")).select(
+        F.col("rep").alias("a"), (-F.col("top.hub")).alias("b")), "best")
+    # the other bucket heads
+    settle(placed().where("rep <> hub").join(component("hub"), "hub", "left").where(
+        F.col("rep_component") != F.coalesce("hub_component", "hub")).groupBy("rep", "hub").count().where(
+        F.col("count") >= MIN_SHARED).select(F.col("rep").alias("a"), F.col("hub").alias("b")), "hubs")
+    # buckets that still hold several components: their texts with those of other components
+    mixed = placed().groupBy("band").agg(
+        F.min("rep_component").alias("lo"), F.max("rep_component").alias("hi")).where("lo < hi").select("band")
+    members = scratch.write(multi.join(mixed, "band").select("rep").distinct(), "members")
+    held = scratch.write(member_shingles(docs, members), "held")
+    for i in range(LEAST_EDITED_ROUNDS):
+        left = peeled(held, found, scratch, percent, f"peeled-{i}")
+        if left.isEmpty() or not settle(to_least_edited(prefixes(left, percent), percent), f"least-{i}"):
+            break
+    else:
+        left = peeled(held, found, scratch, percent, "peeled-last")
+    if not left.isEmpty():
+        settle(to_all(prefixes(left, percent), percent), "all")
+    scratch.drop("held", "multi")
 
     group = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set1", "set2", F.coalesce("component", "rep").alias("component_id"))
