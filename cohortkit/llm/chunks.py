@@ -38,7 +38,7 @@ class ChunkTable:
     ``encode`` takes a list of strings and returns all their ids, one after the other, and the number of each.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 1_500_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 600_000):
         self.encode, self.most = encode, most
         self.clear()
 
