@@ -3,11 +3,11 @@
 Counts of words and word pairs over the training texts are quantised on a log scale; an n-gram of level
 q is entered q times, as (n-gram, 1) to (n-gram, q). A count is read back by probing level after level
 until one is absent, so an n-gram is never read lower than it was entered. The filter has one segment for each hash
-bucket of the counts, so each bucket's task sets its own bits; the segments, of a bounded total size, are
-broadcast, and all texts are scored with smoothed probabilities from the probes.
+bucket of the counts, so each bucket's task sets its own bits. A segment has BITS_PER_ENTRY bits for each entry of its
+bucket, so the filter grows with the n-grams found: what is entered and the error rate are the same at every size.
 
-The filter's size is bounded by a parameter. Where the n-grams that were found would fill it beyond
-BITS_PER_ENTRY, the least count that is entered rises until they fit, so that the error rate stays the same.
+The segments are a Parquet table and never meet in one place. A batch of texts asks each bucket for the levels of its
+words and pairs, the bucket reads them from its own segment, and the texts are scored with smoothed probabilities.
 """
 
 from __future__ import annotations
@@ -20,15 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import (ASK_SQL, Scratch, answered, answers, ask_rows, batched, deal, in_order, join64, mix64,
+from cohortkit.llm.common import (ASK, ASK_SQL, Scratch, answered, answers, batched, deal, in_order, join64, mix64,
                                   read_table, shuffle_partitions, text_groups, unpack, utf8_buffer, word_names)
 
-MAX_BITS = 1 << 27  # 16 MB
 BITS_PER_ENTRY, HASHES, GROWTH = 12, 5, 1.25
 #: A pair's share of its history weighs PAIR_WEIGHT * c / (c + PAIR_HALF) against the word's own probability.
 PAIR_WEIGHT, PAIR_HALF = 0.5, 2.0
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
-MAX_THRESHOLD = 64
 PROBES = 1 << 16
 
 
@@ -74,14 +72,61 @@ def places(key: np.ndarray, level: int, bits: int) -> np.ndarray:
     return (one[None, :] + np.arange(HASHES, dtype=np.uint64)[:, None] * two[None, :]) % np.uint64(bits)
 
 
+def levels(segment: np.ndarray, key: np.ndarray, first: int) -> np.ndarray:
+    """Level of each n-gram of a segment's bucket: probes go on while they are answered. Some at a time, to bound the memory."""
+    out = np.zeros(len(key), np.uint8)
+    for begin in range(0, len(key) if len(segment) else 0, PROBES):
+        left = np.arange(begin, min(begin + PROBES, len(key)))
+        for level in range(first, len(THRESHOLDS) + 1):
+            there = np.ones(len(left), bool)
+            for row in places(key[left], level, 8 * len(segment)):
+                some = np.flatnonzero(there)
+                place = row[some]
+                there[some] = segment[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
+            left = left[there]
+            if not len(left):
+                break
+            out[left] = level
+    return out
+
+
+def filled(by_order: list[tuple[int, np.ndarray, np.ndarray]]) -> bytes:
+    """The segment of (order, keys, counts): each n-gram from its order's first level up to its own."""
+    level = [level_of(n) for _, _, n in by_order]
+    entries = sum(int(np.maximum(q - FIRST_LEVEL[order] + 1, 0).sum()) for (order, _, _), q in zip(by_order, level))
+    flags = np.zeros(max(64, -(-entries * BITS_PER_ENTRY // 8) * 8), bool)
+    for (order, key, _), q in zip(by_order, level):
+        for j in range(FIRST_LEVEL[order], int(q.max(initial=0)) + 1):
+            some = key[q >= j]
+            for begin in range(0, len(some), PROBES):
+                flags[places(some[begin:begin + PROBES], j, len(flags)).reshape(-1)] = True
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def short(key: np.ndarray) -> bytes:
+    """The low six bytes of each key."""
+    return np.ascontiguousarray(key).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def widened(data: bytes) -> np.ndarray:
+    """Inverse of ``short``, the high bytes being zero."""
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return wide.reshape(-1).view(np.uint64)
+
+
 COUNTED_SQL = "bucket int, order int, data binary"
 COUNTED = pa.schema([("bucket", pa.int32()), ("order", pa.int32()), ("data", pa.binary())])
 
 
-def counted(texts: DataFrame, n_buckets: int) -> DataFrame:
-    """(bucket, order, packed keys and counts) over all texts; a pair that occurs once in the corpus is left out.
+SEGMENTS_SQL = "bucket int, tokens long, words long, documents long, bits binary"
+
 
-    Each task combines its own counts before the shuffle. Single pairs travel as six-byte keys.
+def segments(texts: DataFrame, n_buckets: int) -> DataFrame:
+    """A row for each bucket: the tokens, words and starts counted in it, and its segment of the filter over all texts.
+
+    A pair that occurs once in the corpus is left out. Each task combines its own counts before the shuffle. Single pairs
+    travel as six-byte keys.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_groups(batches, 8 << 20):
@@ -95,8 +140,7 @@ def counted(texts: DataFrame, n_buckets: int) -> DataFrame:
                     mine = at[bounds[b]:bounds[b + 1]]
                     once = n[mine] == 1
                     if order == 2:
-                        short = np.ascontiguousarray(key[mine[once]]).view(np.uint8).reshape(-1, 8)[:, :6]
-                        rows.append((b, 3, short.tobytes()))
+                        rows.append((b, 3, short(key[mine[once]])))
                         mine = mine[~once]
                         key_, n_ = key[mine] & np.uint64(2**48 - 1), n[mine]
                     else:
@@ -112,14 +156,13 @@ def counted(texts: DataFrame, n_buckets: int) -> DataFrame:
             for b, order, data in zip(*(r.column(c).to_pylist() for c in ("bucket", "order", "data"))):
                 got.setdefault(b, {}).setdefault(order, []).append(data)
         for b, by in got.items():
+            found, n_tokens, n_words, n_docs = [], 0, 0, 0
             for order in (1, 2):
                 parts = [unpack(x, np.uint64, np.uint64) for x in by.pop(order, [])]
                 keys, n = [p[0] for p in parts], [p[1] for p in parts]
                 if order == 2:
                     for x in by.pop(3, []):
-                        wide = np.zeros((len(x) // 6, 8), np.uint8)
-                        wide[:, :6] = np.frombuffer(x, np.uint8).reshape(-1, 6)
-                        keys.append(wide.reshape(-1).view(np.uint64))
+                        keys.append(widened(x))
                         n.append(np.ones(len(keys[-1]), np.uint64))
                 if not keys:
                     continue
@@ -131,93 +174,47 @@ def counted(texts: DataFrame, n_buckets: int) -> DataFrame:
                     key, count_ = key[new], np.add.reduceat(count_, new)
                 if order == 2:
                     key, count_ = key[count_ > 1], count_[count_ > 1]
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([order], pa.int32()), pa.array(
-                    [key.tobytes() + count_.tobytes()], pa.binary())], schema=COUNTED)
+                else:
+                    word = key != START
+                    n_tokens, n_words, n_docs = int(count_[word].sum()), int(word.sum()), int(count_[~word].sum())
+                found.append((order, key, count_))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b], pa.int32()), *[pa.array([x], pa.int64()) for x in (n_tokens, n_words, n_docs)],
+                 pa.array([filled(found)], pa.binary())], names=["bucket", "tokens", "words", "documents", "bits"])
 
     return texts.select("text").mapInArrow(count, COUNTED_SQL).repartitionById(n_buckets, F.col("bucket")).mapInArrow(
-        total, COUNTED_SQL)
+        total, SEGMENTS_SQL)
 
 
 @dataclass
 class BloomModel:
-    """The filter, segment after segment, and what else scoring needs: a few numbers."""
+    """The filter, a table with a segment for each bucket, and what else scoring needs: a few numbers."""
 
-    filter: np.ndarray
+    filter: DataFrame
     segments: int
-    bits: int  # of one segment
     tokens: int
     words: int
     documents: int
 
     def levels(self, key: np.ndarray, bucket: np.ndarray, first: int) -> np.ndarray:
-        """Level of each n-gram: probes go on while they are answered. Some at a time, to bound the memory."""
+        """Level of some n-grams, for a look at the model: one segment at a time comes to the driver."""
         out = np.zeros(len(key), np.int64)
-        for begin in range(0, len(key), PROBES):
-            left = np.arange(begin, min(begin + PROBES, len(key)))
-            for level in range(first, len(THRESHOLDS)):
-                at = places(key[left], level, self.bits) + bucket[left].astype(np.uint64) * np.uint64(self.bits)
-                there = np.ones(len(left), bool)
-                for row in at:
-                    some = np.flatnonzero(there)
-                    place = row[some]
-                    there[some] = self.filter[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
-                left = left[there]
-                if not len(left):
-                    break
-                out[left] = level
+        for r in self.filter.where(F.col("bucket").isin(np.unique(bucket).tolist())).toLocalIterator():
+            at = np.flatnonzero(bucket == r["bucket"])
+            out[at] = levels(np.frombuffer(r["bits"], np.uint8), key[at], first)
         return out
 
 
-def fit(train: DataFrame, max_bits: int = MAX_BITS) -> BloomModel:
-    """The model of all texts of ``train``. Per bucket a few numbers and its segment reach the driver: max_bits in all."""
+def fit(train: DataFrame) -> BloomModel:
+    """The model of all texts of ``train``. Its table stays until the session ends, as the scores read it."""
     spark = train.sparkSession
     n_buckets = shuffle_partitions(spark)
-    scratch = Scratch(spark, "bloomlm")
-    table = scratch.write(counted(train, n_buckets), "counts")
+    table = Scratch(spark, "bloomlm").write(segments(train, n_buckets), "filter")
+    total = table.agg(F.sum("tokens"), F.sum("words"), F.sum("documents")).first()
+    return BloomModel(table, n_buckets, *[int(x or 0) for x in total])
 
-    def sizes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in rows:
-            for order, data in zip(r.column("order").to_pylist(), r.column("data").to_pylist()):
-                key, n = unpack(data, np.uint64, np.uint64)
-                word = key != START if order == 1 else np.zeros(len(key), bool)
-                # entries that stay with each least count
-                level = level_of(n) - FIRST_LEVEL[order] + 1
-                kept = np.bincount(np.minimum(n.astype(np.int64), MAX_THRESHOLD), level, MAX_THRESHOLD + 1)[::-1].cumsum()[::-1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(n[word].sum())], pa.int64()), pa.array([int(word.sum())], pa.int64()),
-                     pa.array([int(n[~word].sum()) if order == 1 else 0], pa.int64()),
-                     pa.array([kept.astype(np.int64).tolist()], pa.list_(pa.int64()))],
-                    names=["tokens", "words", "documents", "entries"])
-
-    stats = table.mapInArrow(sizes, "tokens long, words long, documents long, entries array<long>")
-    total = stats.agg(F.sum("tokens"), F.sum("words"), F.sum("documents"),
-                      *[F.sum(F.col("entries")[i]) for i in range(MAX_THRESHOLD + 1)]).first()
-    n_tokens, n_words, n_docs, *entries = [int(x or 0) for x in total]
-    least = next((i for i in range(1, MAX_THRESHOLD) if entries[i] * BITS_PER_ENTRY <= max_bits), MAX_THRESHOLD)
-    bits = max(64, -(-min(max_bits, entries[least] * BITS_PER_ENTRY) // n_buckets // 8) * 8)
-
-    def segment(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine: dict[int, np.ndarray] = {}
-        for r in rows:
-            for b, order, data in zip(*(r.column(c).to_pylist() for c in ("bucket", "order", "data"))):
-                key, n = unpack(data, np.uint64, np.uint64)
-                flags = mine.setdefault(b, np.zeros(bits, bool))
-                key, level = key[n >= least], level_of(n[n >= least])
-                for j in range(FIRST_LEVEL[order], int(level.max(initial=0)) + 1):
-                    flags[places(key[level >= j], j, bits).reshape(-1)] = True
-        for b, flags in mine.items():
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array(
-                [np.packbits(flags, bitorder="little").tobytes()], pa.binary())], names=["bucket", "bits"])
-
-    built = table.repartitionById(n_buckets, F.col("bucket")).mapInArrow(segment, "bucket int, bits binary").collect()
-    joined = np.zeros((n_buckets, bits // 8), np.uint8)
-    for r in built:
-        joined[r["bucket"]] = np.frombuffer(r["bits"], np.uint8)
-    scratch.drop("counts")
-    return BloomModel(joined.reshape(-1), n_buckets, bits, n_tokens, n_words, n_docs)
-
-
-def score(docs: DataFrame, train: str = "true", max_bits: int = MAX_BITS) -> DataFrame:
+
+def score(docs: DataFrame, train: str = "true") -> DataFrame:
     """Log10 probabilities of all texts by a model of the texts for which the SQL condition ``train`` holds.
 
     ``docs`` has doc_id and text. Result, one row per row: doc_id, n_tokens (words and one end), n_known (of them, those
@@ -227,55 +224,76 @@ def score(docs: DataFrame, train: str = "true", max_bits: int = MAX_BITS) -> Dat
     """
     spark = docs.sparkSession
     flagged = docs.select("doc_id", "text", F.coalesce(F.expr(train), F.lit(False)).alias("train"))
-    model = spark.sparkContext.broadcast(fit(flagged.where("train"), max_bits))
+    lm = fit(flagged.where("train"))
+    n_tokens, n_words, begin = lm.tokens, lm.words, float(count_at(level_of(np.array([lm.documents])))[0])
     table, parts = batched(flagged, rest=True)
 
     def ask(group: pa.Table) -> pa.Table:
+        """A row for each bucket: the number of its words, the words, their counts in training texts, the pairs."""
         group = in_order(group)
         data, offsets, _ = utf8_buffer(group.column("text"))
-        names, _, starts = tokens(data, offsets)
+        names, pairs, starts = tokens(data, offsets)
         use = np.asarray(group.column("rest").combine_chunks().field("train"), dtype=bool)
         key, at = np.unique(names, return_inverse=True)
         n = np.bincount(at, np.repeat(use, np.diff(starts)), len(key)).astype(np.uint64)
-        return ask_rows(group.column("batch")[0].as_py(), *deal(key, parts), key, n)
-
-    def totals(asked: list[tuple[int, bytes]]) -> list[bytes]:
-        rows = [unpack(d, np.uint64, np.uint64) for _, d in asked]
-        _, at = np.unique(np.concatenate([r[0] for r in rows]), return_inverse=True)
-        n = np.bincount(at, np.concatenate([r[1] for r in rows])).astype(np.uint64)[at]
-        return [x.tobytes() for x in np.split(n, np.cumsum([len(r[0]) for r in rows])[:-1])]
+        pair = np.unique(pairs)
+        (order, cut), (pair_order, pair_cut) = deal(key, parts), deal(pair, parts)
+        rows = []
+        for b in np.flatnonzero(np.diff(cut) + np.diff(pair_cut)).tolist():
+            mine = order[cut[b]:cut[b + 1]]
+            rows.append((b, len(mine).to_bytes(8, "little") + key[mine].tobytes() + n[mine].tobytes()
+                         + short(pair[pair_order[pair_cut[b]:pair_cut[b + 1]]])))
+        batch = group.column("batch")[0].as_py()
+        return pa.table({"bucket": [b for b, _ in rows], "batch": [batch] * len(rows), "kind": [0] * len(rows),
+                         "data": [d for _, d in rows]}, schema=ASK)
+
+    def read(asked: list[tuple[int, bytes]], held: bytes) -> list[bytes]:
+        """For each row the counts of its words over all batches, the levels of its words and those of its pairs."""
+        segment = np.frombuffer(held, np.uint8)
+        words = [int.from_bytes(d[:8], "little") for _, d in asked]
+        key, at = np.unique(np.concatenate([np.frombuffer(d, np.uint64, k, 8) for (_, d), k in zip(asked, words)]),
+                            return_inverse=True)
+        n = np.concatenate([np.frombuffer(d, np.uint64, k, 8 + 8 * k) for (_, d), k in zip(asked, words)])
+        n, level = np.bincount(at, n, len(key)).astype(np.uint64)[at], levels(segment, key, FIRST_LEVEL[1])[at]
+        pairs = [widened(d[8 + 16 * k:]) for (_, d), k in zip(asked, words)]
+        pair, pair_at = np.unique(np.concatenate(pairs), return_inverse=True)
+        pair_level = levels(segment, pair, FIRST_LEVEL[2])[pair_at]
+        ends, pair_ends = np.cumsum(words)[:-1], np.cumsum([len(p) for p in pairs])[:-1]
+        return [x.tobytes() + y.tobytes() + z.tobytes() for x, y, z in zip(
+            np.split(n, ends), np.split(level, ends), np.split(pair_level, pair_ends))]
 
     def finish(group: pa.Table, said: pa.Table) -> pa.Table:
         group = in_order(group)
-        lm = model.value
         data, offsets, _ = utf8_buffer(group.column("text"))
         names, pairs, starts = tokens(data, offsets)
         key, at = np.unique(names, return_inverse=True)
-        order, bounds = deal(key, parts)
-        exact = np.zeros(len(key), np.float64)
+        pair, pair_at = np.unique(pairs, return_inverse=True)
+        (order, cut), (pair_order, pair_cut) = deal(key, parts), deal(pair, parts)
+        exact, level, pair_level = np.zeros(len(key)), np.zeros(len(key), np.int64), np.zeros(len(pair), np.int64)
         replies, _ = answered(said)
-        for b in np.flatnonzero(np.diff(bounds)):
-            exact[order[bounds[b]:bounds[b + 1]]] = np.frombuffer(replies[b], np.uint64)
-        floor = lm.tokens + 0.5 * (lm.words + 1)
+        for b in np.flatnonzero(np.diff(cut) + np.diff(pair_cut)):
+            mine = order[cut[b]:cut[b + 1]]
+            exact[mine] = np.frombuffer(replies[b], np.uint64, len(mine))
+            level[mine] = np.frombuffer(replies[b], np.uint8, len(mine), 8 * len(mine))
+            pair_level[pair_order[pair_cut[b]:pair_cut[b + 1]]] = np.frombuffer(replies[b], np.uint8, offset=9 * len(mine))
+        floor = n_tokens + 0.5 * (n_words + 1)
         base = np.log10((exact + 0.5) / floor)[at]
         # the model: words and pairs as the filter tells their counts
-        home = lambda k: (k >> np.uint64(32)) * np.uint64(lm.segments) >> np.uint64(32)
-        word = count_at(lm.levels(key, home(key), 1))
+        word = count_at(level)
         alone = (word + 0.5) / floor
-        begin = count_at(lm.levels(np.array([START]), home(np.array([START])), 1))[0]
-        pair, pair_at = np.unique(pairs, return_inverse=True)
-        both = count_at(lm.levels(pair & np.uint64(2**48 - 1), home(pair), 2))[pair_at]
+        both = count_at(pair_level)[pair_at]
         history = np.append(0.0, word[at][:-1])[:len(names)]
         history[starts[:-1]] = begin
         weight = PAIR_WEIGHT * history / (history + PAIR_HALF)
         model_p = weight * np.minimum(both, history) / np.maximum(history, 1) + (1 - weight) * alone[at]
         per = np.add.reduceat(np.stack([base, np.log10(model_p), exact[at] > 0]), starts[:-1], axis=1)
         return pa.table({"doc_id": group.column("doc_id"), "n_tokens": pa.array(np.diff(starts), pa.int64()),
-                         "n_known": pa.array(per[2].astype(np.int64)), "train_tokens": pa.array([lm.tokens] * len(per[0]), pa.int64()),
+                         "n_known": pa.array(per[2].astype(np.int64)), "train_tokens": pa.array([n_tokens] * len(per[0]), pa.int64()),
                          "base_score": pa.array(per[0]), "score": pa.array(per[1])})
 
     by = table.groupBy("batch")
-    said = answers(by.applyInArrow(ask, ASK_SQL), parts, totals).repartition(parts, "batch")
+    said = answers(by.applyInArrow(ask, ASK_SQL), parts, read, lm.filter.select("bucket", F.col("bits").alias("data")))
+    said = said.repartition(parts, "batch")
     return by.cogroup(said.groupBy("batch")).applyInArrow(
         finish, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 

@@ -250,6 +250,7 @@ def in_order(table: pa.Table) -> pa.Table:
 ASK = pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 ASK_SQL = "bucket int, batch int, kind int, data binary"
 NOTE = 1
+HELD = -1  # what a bucket itself holds; it comes before all that batches ask
 
 
 def bucket_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
@@ -286,23 +287,30 @@ def unpack(data: bytes, *dtypes) -> list[np.ndarray]:
     return out
 
 
-Answer = Callable[[list[tuple[int, bytes]]], list[bytes]]
+Answer = Callable[..., list[bytes]]
 
 
-def answers(asked: DataFrame, n_buckets: int, answer: Answer | dict[int, Answer]) -> DataFrame:
+def answers(asked: DataFrame, n_buckets: int, answer: Answer | dict[int, Answer], held: DataFrame | None = None) -> DataFrame:
     """Each bucket's rows meet in one task; ``answer`` gets (batch, data) by ascending batch and returns one reply each.
 
     Buckets are partition ids, so a task holds one bucket: 1/n_buckets of what all batches ask. With several kinds of
-    questions there is one answer function for each.
+    questions there is one answer function for each. With ``held``, a table of (bucket, data) with a row a bucket at most,
+    the function gets its bucket's data as well, or none as empty bytes.
     """
     by_kind = answer if isinstance(answer, dict) else {0: answer}
 
+    own = held is not None
+    if own:
+        nobody = [F.lit(x).cast("int").alias(c) for c, x in (("batch", HELD), ("kind", HELD))]
+        asked = asked.unionByName(held.select("bucket", *nobody, "data"))
+
     def replies(bucket: int, rows: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
-        rows.sort(key=lambda r: (r[0], r[1]))
+        mine = (next((data for _, k, data in rows if k == HELD), b""),) if own else ()
+        rows = sorted((r for r in rows if r[1] != HELD), key=lambda r: (r[0], r[1]))
         said = {}
         for kind, reply in by_kind.items():
             ask = [(batch, data) for batch, k, data in rows if k == kind]
-            said[kind] = iter(reply(ask) if ask else [])
+            said[kind] = iter(reply(ask, *mine) if ask else [])
         for i in range(0, len(rows), 64):
             part = rows[i:i + 64]
             yield pa.RecordBatch.from_arrays(

@@ -278,6 +278,18 @@ def test_filter_never_reads_a_count_too_low_and_seldom_too_high(spark):
     assert bloom_lm.level_of(np.array([0, 1, 2, 3])).tolist() == [0, 1, 2, 3]
 
 
+def test_more_words_than_one_filter_of_fixed_size_would_hold_are_all_learned(spark):
+    texts = spark.range(0, 1150, 1, 8).selectExpr(
+        "array_join(transform(sequence(id * 10000, id * 10000 + 9999), x -> hex(x)), ' ') as text")  # 11.5 million words, each once
+    model = bloom_lm.fit(texts)
+    from xxhash import xxh3_64_intdigest
+
+    key = np.array([xxh3_64_intdigest(f"{x:x}".encode()) for x in range(0, 11_500_000, 5000)], np.uint64)
+    bucket = (key >> np.uint64(32)) * np.uint64(model.segments) >> np.uint64(32)
+    level = model.levels(key, bucket, 1)
+    assert (level >= 1).all() and (level > 1).mean() < 0.05
+
+
 # ------------------------------------------------------------------ language ID
 
 def language_rows(n=40, seed=10):
