@@ -51,8 +51,6 @@ def thresholds() -> np.ndarray:
 
 
 THRESHOLDS = thresholds()
-#: Pairs are entered from a count of two on, so their first level is the second.
-FIRST_LEVEL = {1: 1, 2: 2}
 
 
 def level_of(count: np.ndarray) -> np.ndarray:
@@ -72,7 +70,7 @@ def places(key: np.ndarray, level: int, bits: int) -> np.ndarray:
     return (one[None, :] + np.arange(HASHES, dtype=np.uint64)[:, None] * two[None, :]) % np.uint64(bits)
 
 
-def levels(segment: np.ndarray, key: np.ndarray, first: int) -> np.ndarray:
+def levels(segment: np.ndarray, key: np.ndarray, first: int = 1) -> np.ndarray:
     """Level of each n-gram of a segment's bucket: probes go on while they are answered. Some at a time, to bound the memory."""
     out = np.zeros(len(key), np.uint8)
     for begin in range(0, len(key) if len(segment) else 0, PROBES):
@@ -90,13 +88,12 @@ def levels(segment: np.ndarray, key: np.ndarray, first: int) -> np.ndarray:
     return out
 
 
-def filled(by_order: list[tuple[int, np.ndarray, np.ndarray]]) -> bytes:
-    """The segment of (order, keys, counts): each n-gram from its order's first level up to its own."""
-    level = [level_of(n) for _, _, n in by_order]
-    entries = sum(int(np.maximum(q - FIRST_LEVEL[order] + 1, 0).sum()) for (order, _, _), q in zip(by_order, level))
-    flags = np.zeros(max(64, -(-entries * BITS_PER_ENTRY // 8) * 8), bool)
-    for (order, key, _), q in zip(by_order, level):
-        for j in range(FIRST_LEVEL[order], int(q.max(initial=0)) + 1):
+def filled(found: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
+    """The segment of (keys, counts): each n-gram from the first level up to its own."""
+    level = [level_of(n) for _, n in found]
+    flags = np.zeros(max(64, -(-sum(int(q.sum()) for q in level) * BITS_PER_ENTRY // 8) * 8), bool)
+    for (key, _), q in zip(found, level):
+        for j in range(1, int(q.max(initial=0)) + 1):
             some = key[q >= j]
             for begin in range(0, len(some), PROBES):
                 flags[places(some[begin:begin + PROBES], j, len(flags)).reshape(-1)] = True
@@ -125,8 +122,7 @@ SEGMENTS_SQL = "bucket int, tokens long, words long, documents long, bits binary
 def segments(texts: DataFrame, n_buckets: int) -> DataFrame:
     """A row for each bucket: the tokens, words and starts counted in it, and its segment of the filter over all texts.
 
-    A pair that occurs once in the corpus is left out. Each task combines its own counts before the shuffle. Single pairs
-    travel as six-byte keys.
+    Each task combines its own counts before the shuffle. Pairs that a task saw once travel as six-byte keys.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_groups(batches, 8 << 20):
@@ -172,12 +168,10 @@ def segments(texts: DataFrame, n_buckets: int) -> DataFrame:
                 new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
                 if len(new):
                     key, count_ = key[new], np.add.reduceat(count_, new)
-                if order == 2:
-                    key, count_ = key[count_ > 1], count_[count_ > 1]
-                else:
+                if order == 1:
                     word = key != START
                     n_tokens, n_words, n_docs = int(count_[word].sum()), int(word.sum()), int(count_[~word].sum())
-                found.append((order, key, count_))
+                found.append((key, count_))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b], pa.int32()), *[pa.array([x], pa.int64()) for x in (n_tokens, n_words, n_docs)],
                  pa.array([filled(found)], pa.binary())], names=["bucket", "tokens", "words", "documents", "bits"])
@@ -254,10 +248,10 @@ def score(docs: DataFrame, train: str = "true") -> DataFrame:
         key, at = np.unique(np.concatenate([np.frombuffer(d, np.uint64, k, 8) for (_, d), k in zip(asked, words)]),
                             return_inverse=True)
         n = np.concatenate([np.frombuffer(d, np.uint64, k, 8 + 8 * k) for (_, d), k in zip(asked, words)])
-        n, level = np.bincount(at, n, len(key)).astype(np.uint64)[at], levels(segment, key, FIRST_LEVEL[1])[at]
+        n, level = np.bincount(at, n, len(key)).astype(np.uint64)[at], levels(segment, key)[at]
         pairs = [widened(d[8 + 16 * k:]) for (_, d), k in zip(asked, words)]
         pair, pair_at = np.unique(np.concatenate(pairs), return_inverse=True)
-        pair_level = levels(segment, pair, FIRST_LEVEL[2])[pair_at]
+        pair_level = levels(segment, pair)[pair_at]
         ends, pair_ends = np.cumsum(words)[:-1], np.cumsum([len(p) for p in pairs])[:-1]
         return [x.tobytes() + y.tobytes() + z.tobytes() for x, y, z in zip(
             np.split(n, ends), np.split(level, ends), np.split(pair_level, pair_ends))]

@@ -290,6 +290,12 @@ def test_more_words_than_one_filter_of_fixed_size_would_hold_are_all_learned(spa
     assert (level >= 1).all() and (level > 1).mean() < 0.05
 
 
+def test_a_pair_seen_once_scores_above_one_never_seen(spark):
+    rows = [(0, "p q z"), (1, "r s z"), (2, "p q"), (3, "p s")]
+    got = {r["doc_id"]: r["score"] for r in bloom_lm.score(frame(spark, rows), "doc_id < 2").collect()}
+    assert got[2] > got[3]
+
+
 # ------------------------------------------------------------------ language ID
 
 def language_rows(n=40, seed=10):
