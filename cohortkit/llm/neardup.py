@@ -258,7 +258,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     ``docs`` has doc_id and text; other columns are ignored. Result, one row per row: doc_id, n_shingles, component_id
     (smallest doc_id reachable over links), kept (doc_id = component_id). A text of under five words is one shingle;
     a null text or one without words has none and is linked with nothing. Rows with the same doc_id are versions of one
-    document: what links one of them links all. A null doc_id can't be named: such a row is its own group, with
+    document: they are in one group, and what links one of them links all, an empty one too. A null doc_id can't be named: such a row is its own group, with
     component_id null and kept true. An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -275,6 +275,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     tested: DataFrame | None = None
     edges = None
     found = scratch.write(sig.limit(0).select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component")), "none")
+    # versions of one doc_id are tied to it, whatever their sets
+    again = scratch.write(sig.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    versions = not again.isEmpty()
+    if versions:
+        edges = scratch.write(some.join(again, "doc_id").join(classes, ["set1", "set2"]).select(
+            F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct(), "versions")
+        found = components(edges, scratch, "components-versions")
+
     def settle(pairs: DataFrame, step: str) -> int:
         """Check pairs that were not checked yet; the number of new links."""
         nonlocal tested, edges, found
@@ -321,10 +329,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     group = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set1", "set2", F.coalesce("component", "rep").alias("component_id"))
-    # versions of one doc_id: the least component of any of them (they are one node of the graph)
     out = sig.select("doc_id", "n_shingles", "set1", "set2").join(group, ["set1", "set2"], "left")
+    if versions:  # an empty version goes with the others
+        out = out.join(again.join(found.withColumnRenamed("node", "doc_id"), "doc_id").withColumnRenamed(
+            "component", "of_versions"), "doc_id", "left")
+    else:
+        out = out.withColumn("of_versions", F.lit(None).cast("long"))
     component_id = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).when(
-        F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id"))
+        F.col("n_shingles") == 0, F.coalesce("of_versions", "doc_id")).otherwise(F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component_id.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from cohortkit.llm import neardup, rlindex
 from cohortkit.llm.neardup import near_duplicates
 from cohortkit.llm.recompression import dedup_substrings
@@ -89,6 +90,16 @@ def test_near_duplicates_of_odd_ids(spark):
         (0, 0, True), (0, 0, True), (7, 7, True), (7, 7, True), (8, 7, False), (9, 9, True)]
 
 
+def test_near_duplicates_of_versions_with_different_texts(spark):
+    a, b = "a b c d e f g", "k l m n o p q"
+    rows = [(3, a), (5, a), (5, b), (7, b + " r"), (5, None), (8, "x y"), (8, "z"), (9, "z"), (9, "")]
+    got = near_duplicates(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == [
+        (3, 3, True), *[(5, 3, False)] * 3, (7, 3, False), *[(8, 8, True)] * 2, *[(9, 8, False)] * 2]
+    kept = corpus_pipeline.near_duplicate(spark, frame(spark, rows), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == [3, 8]
+
+
 def test_sketch_estimates_similarity_and_fills_every_coordinate():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 2**63, 400, np.uint64)
