@@ -12,6 +12,7 @@ from __future__ import annotations
 import atexit
 import re
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -215,25 +216,70 @@ class Piece:
 
 # ---------------------------------------------------------------- batch exchange
 
+SAMPLED, PREFIX = 8, 256  # texts looked at for each cut inside a doc_id, and how many characters of them
+
+
+def text_cuts(docs: DataFrame, n: int, repeated: dict[int, int]) -> tuple[list[str], list[tuple[int, str]]]:
+    """Cut points by text inside the null ids, and (doc_id, text) inside the ids of ``repeated`` (id -> cuts wanted).
+
+    Only the balance of the batches depends on the texts that are looked at. Copies of one text are not cut apart.
+    """
+    total = docs.agg(F.count(F.lit(1)), F.count("doc_id")).first()
+    nulls = total[0] - total[1]
+    want: dict[int | None, int] = {k: v for k, v in repeated.items() if v > 0}
+    if (k := round(nulls * n / max(1, total[0])) - 1) > 0:
+        want[None] = k
+    if not want:
+        return [], []
+    # a row of a repeated id is one of about share * total
+    share = {k: SAMPLED * (v + 1) / max(1.0, nulls if k is None else (v + 1) * total[1] / n) for k, v in want.items()}
+    listed = F.lit(0.0)
+    for k, v in share.items():
+        this = F.col("doc_id").isNull() if k is None else F.col("doc_id") == k
+        listed = F.when(this, F.lit(v)).otherwise(listed)
+    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < listed * (1 << 20)
+    seen = docs.where(F.col("text").isNotNull() & drawn).groupBy("doc_id", F.substring("text", 1, PREFIX).alias("t")).count()
+    found: dict[int | None, list[tuple[bytes, int]]] = {}
+    for r in seen.collect():
+        found.setdefault(r["doc_id"], []).append((r["t"].encode(), r["count"]))
+    cuts = {}
+    for k, rows in found.items():
+        rows.sort()
+        ends = np.cumsum([c for _, c in rows])
+        at = np.searchsorted(ends, [ends[-1] * i / (want[k] + 1) for i in range(1, want[k] + 1)])
+        cuts[k] = sorted({rows[i][0] for i in at.tolist()})
+    return [t.decode() for t in cuts.pop(None, [])], [(k, t.decode()) for k in cuts for t in cuts[k]]
+
+
 def batched(docs: DataFrame, per_partition: int = 2, rest: bool = False) -> tuple[DataFrame, int]:
     """(batch, doc_id, text) dealt by ranges of doc_id, and the number of partitions.
 
     With ``rest``, all other columns come along inside one struct column, so their names can't clash.
 
-    A batch holds all rows of its doc_ids, and batches ascend with doc_id, so (batch, place in the
-    batch) orders all documents. The cut points are quantiles of all doc_ids. Null ids come first.
+    Batches ascend with doc_id, so (batch, place in the batch) orders all documents. The cut points are
+    quantiles of all doc_ids. Null ids come first. Null ids, or one doc_id, with the rows of several
+    batches are cut by ranges of the text, which is the order inside a batch too.
     """
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     n = parts * per_partition
     cuts = docs.select("doc_id").approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)) if n > 1 else []
-    cuts = sorted({int(c) for c in cuts})
+    times = Counter(int(c) for c in cuts)
+    of_null, of_ids = text_cuts(docs, n, {c: k - 1 for c, k in times.items()}) if n > 1 else ([], [])
+    cuts = sorted(times)
     if cuts:
         listed = F.array(*[F.lit(c).cast("long") for c in cuts])
         batch = F.coalesce(F.size(F.filter(listed, lambda c: c < F.col("doc_id"))), F.lit(0))
         batch = F.when(F.col("doc_id").isNull(), 0).otherwise(batch)
     else:
         batch = F.lit(0)
+    if of_ids:
+        within = F.array(*[F.struct(F.lit(i).cast("long").alias("i"), F.lit(t).alias("t")) for i, t in of_ids])
+        batch += F.coalesce(F.size(F.filter(within, lambda x: (x["i"] < F.col("doc_id")) | (
+            (x["i"] == F.col("doc_id")) & (x["t"] < F.col("text"))))), F.lit(0))
+    if of_null:
+        within = F.size(F.filter(F.array(*[F.lit(t) for t in of_null]), lambda t: t < F.col("text")))
+        batch = F.when(F.col("doc_id").isNull(), F.coalesce(within, F.lit(0))).otherwise(batch + F.lit(len(of_null) + 1))
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     along = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest")] if rest and others else []
     dealt = docs.select(batch.cast("int").alias("batch"), F.col("doc_id").cast("long").alias("doc_id"), "text", *along)

@@ -1,10 +1,13 @@
 """Recompression, similarity sketches and run-length indexes against brute force."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
 import corpus_pipeline
 from cohortkit.llm import neardup, rlindex
+from cohortkit.llm.common import batched
 from cohortkit.llm.neardup import near_duplicates
 from cohortkit.llm.recompression import dedup_substrings
 from cohortkit.llm.rlindex import remove_repeats, repeated_strings
@@ -23,6 +26,22 @@ def test_substring_dedup_equals_brute_force(spark, width):
     assert rows_of(got) == sorted(brute.substring_dedup(rows, width), key=str)
 
 
+def test_null_and_repeated_ids_are_dealt_over_several_batches_in_order(spark):
+    texts = [f"{'common start ' * 3}{i * 7919 % 400} tail {i % 5}" for i in range(400)]
+    rows = [(None, t) for t in texts] + [(7, t) for t in texts] + [(i, t) for i, t in enumerate(texts)] + [(None, None), (7, None)]
+    dealt = [(r["batch"], r["doc_id"], r["text"]) for r in batched(frame(spark, rows))[0].collect()]
+    assert sorted(map(str, (r[1:] for r in dealt))) == sorted(map(str, rows))
+    assert max(Counter(b for b, _, _ in dealt).values()) < 300
+    order = lambda i, t: (i is not None, i or 0, t is not None, (t or "").encode())
+    by_batch = {}
+    for b, i, t in dealt:
+        by_batch.setdefault(b, []).append(order(i, t))
+    ends = [(min(x), max(x)) for _, x in sorted(by_batch.items())]
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    assert rows_of(dedup_substrings(frame(spark, rows), 3, digest=True)) == sorted(brute.substring_dedup(rows, 3), key=str)
+    assert rows_of(remove_repeats(frame(spark, rows), 20, digest=True)) == sorted(brute.byte_dedup(rows, 20), key=str)
+
+
 def test_substring_dedup_keeps_other_columns_and_untouched_texts(spark):
     rows = [(1, "a  b\nc"), (2, None), (3, " ".join(f"w{i}" for i in range(25))), (4, " ".join(f"w{i}" for i in range(30)))]
     got = {r["doc_id"]: r for r in dedup_substrings(frame(spark, rows)).collect()}
