@@ -191,24 +191,29 @@ def fit(train: DataFrame, docs_per_lang: int = 1000) -> CharModels | None:
     """Models from labelled texts (doc_id, text, lang), or None if there are none.
 
     The fit reads a bounded sample: about ``docs_per_lang`` texts of each language, chosen by a hash of doc_id, and
-    as many others for the calibration of the rejection. Only the sample's gram counts reach the driver.
+    as many others for the calibration of the rejection. A language with fewer texts than both need is halved, the
+    larger half for the fit; without a text apart it has no limit. Only the sample's gram counts reach the driver.
     """
     spark = train.sparkSession
     known = train.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    totals = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    totals = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(share, 0.5).alias("half")).collect()
     if not totals:
         return None
-    cut = {lang: min(1 << 20, -(-(docs_per_lang << 20) // n)) for lang, n in totals.items()}
-    limit = F.coalesce(*[F.when(F.col("lang") == lang, c) for lang, c in sorted(cut.items())])
-    rows = count_grams(known.where(share < limit)).toPandas()
+    # texts below the first number are fitted, those from the second on are apart
+    cut = {r["lang"]: (r["half"] + 1, r["half"] + 1) for r in totals if r["n"] < 2 * docs_per_lang}
+    for lang, n in ((r["lang"], r["n"]) for r in totals if r["lang"] not in cut):
+        some = -(-(docs_per_lang << 20) // n)
+        cut[lang] = some, (1 << 20) - some
+    below, above = (F.coalesce(*[F.when(F.col("lang") == lang, c[j]) for lang, c in sorted(cut.items())]) for j in (0, 1))
+    rows = count_grams(known.where(share < below)).toPandas()
     if not len(rows):
         return None
     counts = {lang: (np.sort(p["gram"].to_numpy().view(np.uint64)),
                      p["n"].to_numpy()[np.argsort(p["gram"].to_numpy().view(np.uint64))])
               for lang, p in rows.groupby("lang")}
     models = CharModels.fit(counts)
-    apart = predict(known.where(share >= (1 << 20) - limit), spark.sparkContext.broadcast(models), extra="lang")
+    apart = predict(known.where(share >= above), spark.sparkContext.broadcast(models), extra="lang")
     stats = {r["lang"]: (r["m"], r["s"]) for r in apart.where("n_chars >= 100 and lang_pred = lang").groupBy("lang").agg(
         F.avg("nats_per_char").alias("m"), F.coalesce(F.stddev("nats_per_char"), F.lit(0.0)).alias("s")).collect()}
     models.limit = np.array([stats.get(lang, (np.inf, 0.0)) for lang in models.langs])

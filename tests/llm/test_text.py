@@ -324,6 +324,16 @@ def test_language_id_on_held_apart_texts(spark):
     assert {r["lang_pred"] for r in identify(docs, train.limit(0)).collect()} == {"und"}
 
 
+def test_limit_of_a_rare_language_is_set_by_texts_that_were_not_fitted(spark):
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200)), "xx") for i in range(40)]
+    train = spark.createDataFrame(rows[:20] + [(50, "ж" * 200, "yy")], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame(rows[20:] + [(51, "ж" * 200, None)], "doc_id long, text string, lang string")
+    got = identify(docs, train).collect()
+    assert {(r["lang_pred"], r["rejected"]) for r in got if r["doc_id"] < 50} == {("xx", False)}
+    assert {(r["lang_pred"], r["rejected"]) for r in got if r["doc_id"] == 51} == {("yy", False)}
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     texts = {"a": b"abracadabra abra cadabra", "b": b"barbara bar"}
     counts = {}
