@@ -6,9 +6,9 @@ token's bytes (several tokens inside one multibyte character, byte-fallback toke
 decoded bytes of the tokens refine them. Places where both tokenizers end a token cut the text into groups; every A
 token is linked with every B token whose bytes it shares.
 
-No token of either tokenizer begins before a space and goes on behind it unless the space stands in a run of white
-space, so both cut the words between single spaces apart from each other, and each of those places ends a group. Words
-are therefore aligned once per worker and kept in a table of bounded size.
+Neither tokenizer has a token that goes on over the front of a single space or line end, or from an ASCII letter to a full
+stop or comma (A by its pattern; B's pieces are looked through when it is opened). Each of those places therefore ends a
+group, and the words between them are aligned once per worker and kept in a table of bounded size.
 
 How many documents hold a pair of ids linked is counted by an exchange: pieces of some MB of text ask hash buckets
 of pairs about the pairs they hold, and get the totals of the whole corpus back. The pieces are cut by bytes and belong
@@ -18,6 +18,7 @@ to no key, so neither a frequent doc_id nor a group of copies makes one of them
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import count
@@ -35,37 +36,28 @@ from cohortkit.llm.common import (
     utf8_buffer,
 )
 
-PIECE_BYTES = 4 << 20  # text in one piece; a longer text is a piece of its own
-KEPT_WORDS = 100_000  # words in each of the two generations of a worker's table
+PIECE_BYTES = 3 << 20  # text in one piece; a longer text is a piece of its own
+TOGETHER = 2_000  # words handed to the tokenizers at a time
+#: Words that can stand one after the other: one space or line end, no white space at either end, nothing that B reads as a space.
+PLAIN = re.compile(rb"[ \n](?![\x80-\xbf]|[\x09-\x0d\x1c-\x20])(?!\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80|\xe2\x81|\xe3\x80)(?!.*\xe2\x96\x81)"
+                   rb".*(?<![\x09-\x0d\x1c-\x20])(?<!\xc2[\x85\xa0])(?<!\xe1\x9a\x80)(?<!\xe2[\x80\x81].)(?<!\xe3\x80.)\Z", re.DOTALL)
+FILLER = b" a"  # a word with nothing special, put before words that can't begin a text
+KEPT_WORDS = 200_000  # words in each of the two generations of a worker's table
 PIECES = 1 << 11  # pieces of one input partition, at most
 #: A pair of ids in one number: A's id, then B's.
 SHIFT = np.uint64(32)
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[*range(9, 14), *range(28, 33)]] = True
+_LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_STOP[[44, 46]] = True
 
 
-def refine(begins: list[int], ends: list[int], lengths: list[int]) -> list[int]:
-    """Byte ends of the tokens of one word: the coarse span where it holds as many bytes as the token, else those bytes."""
-    out, at = [], 0
-    for begin, end, length in zip(begins, ends, lengths):
-        at = end if begin == at and end - begin == length else at + length
-        out.append(at)
-    return out
-
-
-def groups_of(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> tuple[list[int], list[tuple[int, int]]]:
-    """(pairs linked, as a << 32 | b; (last A token, last B token) + 1 of each group)."""
-    pairs, cuts = [], []
-    i = j = 0
-    while i < len(a) and j < len(b):
-        pairs.append(a[i] << 32 | b[j])
-        x, y = a_ends[i], b_ends[j]
-        i += x <= y
-        j += y <= x
-        if x == y:
-            cuts.append((i, j))
-    return pairs, cuts
+def refine(begins: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Byte ends of tokens: the coarse span where it begins behind the token before and holds as many bytes, else those bytes."""
+    own = np.cumsum(lengths)
+    return np.where((begins == own - lengths) & (ends - begins == lengths), ends, own)
 
 
 #: What is kept of a word: numbers of A tokens, B tokens, groups and links, the links, the groups as text.
@@ -74,6 +66,20 @@ Word = tuple[int, int, int, int, bytes, bytes]
 BAD: Word = (0, 0, 0, 0, b"", b"")
 
 
+class Bytes:
+    """The bytes of each id of a vocabulary."""
+
+    def __init__(self, raw: list[bytes]):
+        self.length = np.fromiter(map(len, raw), np.int64, len(raw))
+        self.begin = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b"".join(raw), np.uint8)
+
+    def __call__(self, ids: np.ndarray) -> np.ndarray:
+        n = self.length[ids]
+        ends = np.cumsum(n)
+        return self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.begin[ids] - (ends - n), n)]
+
+
 class Aligner:
     """Both tokenizers on one worker, and the table of words seen there."""
 
@@ -86,49 +92,64 @@ class Aligner:
         self.a.no_padding()
         self.a.encode_special_tokens = True
         back = {s: i for i, s in enumerate(byte_symbols())}
-        self.a_raw = {i: bytes(back[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()
-                      if all(c in back for c in t)}
+        raw: list[bytes] = [b""] * self.a.get_vocab_size(with_added_tokens=True)
+        for token, i in self.a.get_vocab(with_added_tokens=False).items():
+            if all(c in back for c in token):
+                raw[i] = bytes(back[c] for c in token)
+        self.a_raw = Bytes(raw)
         self.b = SentencePieceProcessor(model_file=b_path)
-        self.b_raw = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-                      for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
+        self.b_raw = Bytes([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+                            for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))])
+        cut = re.compile(r"[A-Za-z][.,]|.\n|\n.|[^▁]▁", re.DOTALL)
+        if wrong := [p for p in map(self.b.id_to_piece, range(self.b.get_piece_size())) if cut.search(p)]:
+            raise ValueError(f"{b_path} has tokens over the places where words are cut, such as {wrong[0]!r}")
+        # each id as it is written inside a group and at its end
+        self.said = [b"%d%s" % (i, mark) for raw, inner, last in ((self.a_raw, b",", b"|"), (self.b_raw, b",", b";"))
+                     for mark in (inner, last) for i in range(len(raw.length))]
         self.new: dict[bytes, Word] = {}
         self.old: dict[bytes, Word] = {}
 
-    def tokens(self, words: list[bytes]) -> Iterator[tuple[bytes, list[int], list[int], list[int], list[int]] | None]:
-        """(word, A ids, A byte ends, B ids, B byte ends) of words with the space before them; None where bytes differ."""
-        texts = [w.decode() for w in words]
-        firsts = self.a.encode_batch(texts, add_special_tokens=False)
-        seconds = self.b.encode([t[1:] for t in texts], return_type="proto", num_threads=1)
-        for word, text, one, two in zip(words, texts, firsts, seconds):
-            a, spans, pieces = one.ids, one.offsets, two.pieces
-            b = [p.id for p in pieces]
-            a_raw, b_raw = [self.a_raw.get(i, b"") for i in a], [self.b_raw[i] for i in b]
-            if b"".join(a_raw) != word or b"".join(b_raw) != word:
-                yield None
-                continue
-            if len(text) == len(word):  # one byte a character: the spans are exact; B's leave out the space it adds
-                yield word, a, [e for _, e in spans], b, [p.end + 1 for p in pieces]
-                continue
-            at = np.cumsum([0, *(len(c.encode()) for c in text)]).tolist()
-            a_ends = refine([at[s] for s, _ in spans], [at[e] for _, e in spans], list(map(len, a_raw)))
-            b_ends = refine([p.begin + 1 if k else 0 for k, p in enumerate(pieces)], [p.end + 1 for p in pieces],
-                            list(map(len, b_raw)))
-            yield word, a, a_ends, b, b_ends
+    def tokens(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """(A ids, their byte ends, B ids, their byte ends) of words one after the other; None if the bytes differ."""
+        raw = b"".join(words)
+        text, data = raw.decode(), np.frombuffer(raw, np.uint8)
+        one = self.a.encode(text, add_special_tokens=False)
+        pieces = self.b.encode(text[1:], return_type="proto", num_threads=1).pieces
+        a = np.array(one.ids, np.int64)
+        b = np.array([p.id for p in pieces], np.int64)
+        if not (np.array_equal(self.a_raw(a), data) and np.array_equal(self.b_raw(b), data)):
+            return None
+        at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # byte of each character
+        spans = at[np.array(one.offsets, np.int64).reshape(-1, 2)]
+        a_ends = refine(spans[:, 0], spans[:, 1], self.a_raw.length[a])
+        ends = np.array([p.end for p in pieces], np.int64) + 1  # the space that B adds stands in the words
+        return a, a_ends, b, refine(np.append(0, ends[:-1]), ends, self.b_raw.length[b])
 
     def align(self, words: list[bytes]) -> list[Word]:
-        out = []
-        for found in self.tokens(words):
-            if found is None:
-                out.append(BAD)
-                continue
-            _, a, a_ends, b, b_ends = found
-            pairs, cuts = groups_of(a, a_ends, b, b_ends)
-            said, i, j = [], 0, 0
-            for k, m in cuts:
-                said.append(",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])))
-                i, j = k, m
-            out.append((len(a), len(b), len(cuts), len(pairs), np.array(pairs, np.uint64).tobytes(), ";".join(said).encode()))
-        return out
+        """All words at once where they can stand one after the other, otherwise one by one.
+
+        The ends of the tokens of both, taken together, give the links; the ends that both have give the groups.
+        """
+        found = self.tokens(words)
+        if found is None:
+            return [BAD] * len(words) if len(words) - (words[0] == FILLER) <= 1 else [x for w in words for x in self.align_one(w)]
+        a, a_ends, b, b_ends = found
+        every = np.union1d(a_ends, b_ends)
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        pairs = a[np.searchsorted(a_ends, every)].astype(np.uint64) << SHIFT | b[np.searchsorted(b_ends, every)].astype(np.uint64)
+        stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        n, m = len(self.a_raw.length), len(self.b_raw.length)
+        marks = np.concatenate([a + n * (cuts[a_group] == a_ends), 2 * n + b + m * (cuts[b_group] == b_ends)])
+        marks = marks[np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")]
+        said = list(map(self.said.__getitem__, marks.tolist()))
+        of_a, of_b, of_cuts, of_links = (np.searchsorted(x, stops, side="right") for x in (a_ends, b_ends, cuts, every))
+        numbers = np.diff(np.stack([of_a, of_b, of_cuts, of_links]), axis=1, prepend=0).T.tolist()
+        raw, links, tokens = pairs.tobytes(), [0, *(8 * of_links).tolist()], [0, *(of_a + of_b).tolist()]
+        return [(*four, raw[links[k]:links[k + 1]], b"".join(said[tokens[k]:tokens[k + 1]])) for k, four in enumerate(numbers)]
+
+    def align_one(self, word: bytes) -> list[Word]:
+        return self.align([word]) if word.startswith(b" ") else self.align([FILLER, word])[1:]
 
     def words(self, listed: Iterable[bytes]) -> list[Word]:
         """What is known of the words, which are distinct. Words not asked for in two generations leave the table."""
@@ -142,12 +163,17 @@ class Aligner:
                     self.new[w] = known
             out.append(known)
         missing = [k for k, x in enumerate(out) if x is None]
-        for at in range(0, len(missing), 20_000):
-            some = missing[at:at + 20_000]
-            for k, x in zip(some, self.align([listed[k] for k in some])):
-                out[k] = x
-                if len(listed[k]) <= 64:
-                    self.new[listed[k]] = x
+        plain = [bool(PLAIN.match(listed[k])) for k in missing]
+        together = [k for k, p in zip(missing, plain) if p]
+        made = []
+        for at in range(0, len(together), TOGETHER):
+            some = together[at:at + TOGETHER]
+            made += zip(some, self.align([FILLER, *(listed[k] for k in some)])[1:])
+        made += [(k, self.align_one(listed[k])[0]) for k, p in zip(missing, plain) if not p]
+        for k, x in made:
+            out[k] = x
+            if len(listed[k]) <= 64:
+                self.new[listed[k]] = x
         if len(self.new) > KEPT_WORDS:
             self.old, self.new = self.new, {}
         return out
@@ -163,24 +189,25 @@ def opened(a_path: str, b_path: str) -> Aligner:
 
 
 def cut_words(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """(the words of all texts with the space before them, number of words of each text); none of an empty text.
+    """(the words of all texts with what stands before them, number of words of each text); none of an empty text.
 
-    A cut is the front of a space that has no white space on either side. A byte before it that may end a white-space
-    character of several bytes counts as one.
+    A cut is the front of a space or line end that has no white space on either side, and the place between an ASCII
+    letter and a full stop or comma. A byte that may end a white-space character of several bytes counts as one.
     """
     n = len(offsets) - 1
     lengths = np.diff(offsets)
     filled = lengths > 0
     base = offsets[:-1] - offsets[0] + np.arange(n)  # of each text, once a space stands before every text
     full = np.insert(data[offsets[0]:offsets[-1]], (offsets[:-1] - offsets[0]), 32) if n else np.zeros(0, np.uint8)
-    at = np.flatnonzero(full == 32)
     begins = np.zeros(len(full) + 1, bool)
     begins[base] = True
+    at = np.flatnonzero((full == 32) | (full == 10))
     before, two = full[np.maximum(at - 1, 0)], full[np.maximum(at - 2, 0)]
     white = _WHITE[before] | (((before >= 0x80) & (before <= 0xAF)) & np.isin(two, [0xC2, 0x80, 0x81, 0x9A]))
     last = begins[np.minimum(at + 1, len(full))] | (at + 1 >= len(full))
     cut = at[~white & ~last & ~begins[at] & ~spaces_before_spaces(full, at)] if len(at) else at
-    starts = np.sort(np.concatenate([base[filled], cut]))
+    stop = np.flatnonzero(_LETTER[full[:-1]] & _STOP[full[1:]]) + 1
+    starts = np.sort(np.concatenate([base[filled], cut, stop]))
     owner = np.searchsorted(base, starts, side="right") - 1
     ends = np.append(starts[1:], 0)
     stop = base + 1 + lengths
@@ -207,7 +234,7 @@ def piece_row(piece: int, batch: pa.RecordBatch, aligner: Aligner) -> pa.RecordB
     stops = np.append(0, np.cumsum(n_words)).tolist()
     said = [k[5] for k in known]
     listed = slot.tolist()
-    shas = [bytes(32) if broken[i] or a == b else hashlib.sha256(b";".join([said[s] for s in listed[a:b]])).digest()
+    shas = [bytes(32) if broken[i] or a == b else hashlib.sha256(b"".join([said[s] for s in listed[a:b]])[:-1]).digest()
             for i, (a, b) in enumerate(zip(stops, stops[1:]))]
     good = ~broken[owner]
     owner, slot = owner[good], slot[good]
@@ -345,17 +372,14 @@ def aligned_spans(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     made = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
 
     def groups(aligner: Aligner, words: list[bytes]) -> list[dict]:
-        out, base = [], 0
-        for found in aligner.tokens(words):
-            if found is None:
-                return []
-            word, a, a_ends, b, b_ends = found
-            i = j = at = 0
-            for k, m in groups_of(a, a_ends, b, b_ends)[1]:
-                out.append({"start": base + at, "end": base + a_ends[k - 1], "a": a[i:k], "b": b[j:m]})
-                i, j, at = k, m, a_ends[k - 1]
-            base += len(word)
-        return out
+        found = aligner.tokens(words) if words else None
+        if found is None:
+            return []
+        a, a_ends, b, b_ends = found
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        i, j = ([0, *(np.searchsorted(x, cuts) + 1).tolist()] for x in (a_ends, b_ends))
+        begin, ends, a, b = [0, *cuts.tolist()], cuts.tolist(), a.tolist(), b.tolist()
+        return [{"start": begin[k], "end": e, "a": a[i[k]:i[k + 1]], "b": b[j[k]:j[k + 1]]} for k, e in enumerate(ends)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = opened(a_path, b_path)
