@@ -9,7 +9,7 @@ from __future__ import annotations
 import calendar
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -80,3 +80,26 @@ def report_grid(first: dt.date | str, last: dt.date | str, step_months: int) ->
         dates.append(current)
         if current >= last:
             return dates
+
+
+def report_grid_relation(bounds: DataFrame, step_months: int, first_col: str = "first",
+                         last_col: str = "last") -> DataFrame:
+    """The dates of ``report_grid`` as a relation (``report_date``), from rows of (first, last).
+
+    ``bounds`` may come from data (the span of a history) or from literals; each of its rows gives
+    its own grid, and a row with a null bound none.  The do-while runs in one expression: a step is
+    added while it is the first or the date before it is under ``last``, so month ends drift as in
+    ``report_grid``.  The steps between the bounds and one more are enough, as a step from a clipped
+    date is never shorter than to the next month of the grid.
+    """
+    if step_months <= 0:
+        raise ValueError(f"step_months must be positive, got {step_months}")
+    first, last = _c(first_col).cast("date"), _c(last_col).cast("date")
+    steps = F.greatest(F.lit(1), F.ceil(F.months_between(F.last_day(last), F.trunc(first, "MM")) / step_months) + 1)
+    latest = lambda dates: F.element_at(dates, -1)
+    grid = F.aggregate(
+        F.sequence(F.lit(1), steps.cast("int")), F.array(first),
+        lambda dates, i: F.when((i == 1) | (latest(dates) < last),
+                                F.concat(dates, F.array(F.add_months(latest(dates), step_months)))).otherwise(dates))
+    known = bounds.where(first.isNotNull() & last.isNotNull())
+    return known.select(F.explode(grid).alias("report_date"))

@@ -46,6 +46,11 @@ def dealer_month_activity(fact: DataFrame, case_sensitive: bool = False,
                  F.sum(F.when(funded, F.col("total_financed"))).alias("Orig")))
 
 
+def from_month(fact: DataFrame, first: dt.date | None, date_col: str = "funding_pending_date") -> DataFrame:
+    """Fact rows dated in ``first`` or later; none without a first month (no cohort)."""
+    return fact.where(F.lit(False)) if first is None else fact.where(F.col(date_col) >= F.lit(first))
+
+
 def funded_from_activity(activity: DataFrame) -> DataFrame:
     """Dealer-months with at least one funded row."""
     return activity.where(F.col("n_funded") > 0).select("dealership_id", "Funding_MM", "Funded", "Orig")

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,27 +111,65 @@ def volume_flags(ledger: DataFrame) -> DataFrame:
                  .withColumn("metric_volume", v)
 
 
+COPIES = 4096  # equal rows that one task spells out at a time
+
+
 def running_points(ledger: DataFrame, rep_col: str = "sales_name", points_col: str = "bounty",
-                   date_col: str = "date", tie_order: Sequence[str] = TIE_ORDER) -> DataFrame:
+                   date_col: str = "date", tie_order: Sequence[str] = TIE_ORDER,
+                   ranges: int | None = None, kept: list[DataFrame] | None = None) -> DataFrame:
     """Adds ``cum_sum``: points accumulated per rep in (date, tie order) order.
 
-    Two levels, so no window holds a whole rep: day totals per rep are
-    prefix-summed over the rep's days (one row per day), then rows are
-    prefix-summed within their (rep, day).  NULL points are skipped; the sum
-    is NULL until the first non-NULL points, as a SQL running SUM.
+    NULL points are skipped; the sum is NULL until the first non-NULL points,
+    as a SQL running SUM.  Rows equal in every column come one after another.
+
+    Prefix sums by ranges, so no task holds a rep, nor a day of one:
+
+    1. equal rows are combined to one row with their number (partial combine
+       before the shuffle, so a hot row is no hot task);
+    2. the distinct rows are dealt into ranges of the whole order (rep, date,
+       ties); a rep or a day with many rows spreads over several ranges.  The
+       dealt rows are persisted, so both steps below read one dealing of them;
+       lost blocks are dealt again by the same bounds, as no row depends on its
+       place in the input;
+    3. each range sums its rows of a rep in order, and what the rep's earlier
+       ranges hold (one row per rep and range) is added;
+    4. copies are spelled out again, COPIES at a time.
+
+    The persisted rows are appended to ``kept`` (when given) for the caller to release.
     """
-    days = ledger.groupBy(rep_col, date_col).agg(F.sum(points_col).alias("_day_pts"))
-    wd = Window.partitionBy(rep_col).orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(F.col(rep_col).alias("_rep"), F.col(date_col).alias("_day"),
-                       F.sum("_day_pts").over(wd).alias("_before"))
-    order = [F.col(c).asc_nulls_first() for c in tie_order]
-    wr = Window.partitionBy(rep_col, date_col).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    rows = ledger.withColumn("_within", F.sum(points_col).over(wr))
-    out = rows.join(days, (rows[rep_col] == days._rep) & (rows[date_col] == days._day), "left")
-    cum = F.when(F.col("_before").isNull() & F.col("_within").isNull(), F.lit(None)) \
-        .otherwise(F.coalesce("_before", F.lit(0)) + F.coalesce("_within", F.lit(0)))
-    return out.withColumn("cum_sum", cum.cast("bigint")).drop("_rep", "_day", "_before", "_within")
+    n = ranges or int(ledger.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = ledger.columns
+    order = [date_col, *tie_order, *[c for c in columns if c not in (rep_col, date_col, *tie_order)]]
+    distinct = ledger.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    dealt = (distinct.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in (rep_col, *order)])
+             .withColumn("_range", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK))
+    if kept is not None:
+        kept.append(dealt)
+    weight = F.col(points_col) * F.col("_copies")
+    earlier = Window.partitionBy(rep_col).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (dealt.groupBy(rep_col, "_range").agg(F.sum(weight).alias("_points"))
+               .select(F.col(rep_col).alias("_rep"), F.col("_range").alias("_of"),
+                       F.sum("_points").over(earlier).alias("_offset")))
+    inside = (Window.partitionBy("_range", rep_col).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+              .rowsBetween(Window.unboundedPreceding, -1))
+    rows = dealt.withColumn("_inside", F.sum(weight).over(inside))
+    rows = rows.join(offsets, (F.col("_range") == F.col("_of")) & F.col(rep_col).eqNullSafe(F.col("_rep")))
+    before = F.when(F.col("_offset").isNotNull() | F.col("_inside").isNotNull(),
+                    F.coalesce("_offset", F.lit(0)) + F.coalesce("_inside", F.lit(0)))
+    rows = rows.select(*columns, "_copies", before.alias("_before"))
+    return _spelled_out(rows, n).select(*columns, F.when(F.col(points_col).isNull(), F.col("_before")).otherwise(
+        F.coalesce("_before", F.lit(0)) + F.col("_copy") * F.col(points_col)).cast("bigint").alias("cum_sum"))
+
+
+def _spelled_out(rows: DataFrame, n: int) -> DataFrame:
+    """Each row as often as ``_copies`` says, numbered in ``_copy`` from 1; blocks of many copies are dealt anew first."""
+    few = rows.where(F.col("_copies") <= COPIES).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    blocks = (rows.where(F.col("_copies") > COPIES)
+              .withColumn("_block", F.explode(F.expr(f"sequence(0, (_copies - 1) div {COPIES})")))
+              .repartition(n, "_block"))
+    many = blocks.withColumn("_copy", F.explode(F.expr(
+        f"sequence(_block * {COPIES} + 1, least(_copies, (_block + 1) * {COPIES}))"))).drop("_block")
+    return few.unionByName(many)
 
 
 def milestone_dates(ledger: DataFrame, milestones: Mapping[str, int] = MILESTONES,

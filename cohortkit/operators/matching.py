@@ -10,7 +10,9 @@ Here only pairs that can be selected are ever produced:
   predicates -- a hash join whose output is the candidate set itself;
 * per-dealer counts come from one hash aggregation (partial combine, safe
   under a hot dealer) and are joined back on (M0, dealer), instead of a
-  window that would hold every pair of a dealer in one task.
+  window that would hold every pair of a dealer in one task;
+* the lift never makes pairs of dealers: all dealers with the same measures
+  (a *cell*) have the same peers, so peers are summed per cell.
 """
 
 from __future__ import annotations
@@ -80,7 +82,7 @@ def match_pairs(profile: DataFrame, candidates: DataFrame, size_tol: float = SIZ
 
     Output: one row per pair with the band flags of every tolerance and the
     first-pass flag ``Peer_Sel_1_Ind`` (size and first growth band).  All of
-    them are wanted only as a report; the lift takes ``select_peers``.
+    them are wanted only as a report; the lift takes ``picked_cells``.
     """
     first = next(iter(growth_tols))
     cells = match_cells(profile, candidates, size_tol, growth_tols).drop("n")
@@ -89,23 +91,31 @@ def match_pairs(profile: DataFrame, candidates: DataFrame, size_tol: float = SIZ
             .withColumn("Peer_Sel_1_Ind", F.col(f"within_MP1_Fund_MoM_{first}")))
 
 
-def select_peers(profile: DataFrame, candidates: DataFrame, low: int = 4, high: int = 10,
+def picked_cells(profile: DataFrame, candidates: DataFrame, low: int = 4, high: int = 10,
                  size_tol: float = SIZE_TOLERANCE, growth_tols: dict[str, float] = GROWTH_TOLERANCES,
                  narrow: str = "2H", wide: str = "2L", first: str = "1") -> DataFrame:
-    """(M0, dealer, peer) of the final selection, with the peer's M0 measures.
+    """(treated cell, peer cell) of the final selection, with ``n`` candidates in the peer cell.
 
     Each treated cell counts its candidates per band and picks the band (the rule of
-    ``adaptive_peers``); dealers are joined only for the cells of the picked band, so no pair is
-    made that is not selected.
+    ``adaptive_peers``).  All dealers of a treated cell have the same peers: every candidate of
+    its picked peer cells.
     """
     cells = match_cells(profile, candidates, size_tol, growth_tols)
     flag = lambda name: F.col(f"within_MP1_Fund_MoM_{name}")
     counts = cells.groupBy(*TREATED_CELL).agg(F.sum(F.col("n") * flag(first)).alias("_n_first"))
-    picked = cells.join(counts, TREATED_CELL).where(
+    return cells.join(counts, TREATED_CELL).where(
         F.when(F.col("_n_first") < low, flag(wide)).when(F.col("_n_first") > high, flag(narrow))
-        .otherwise(flag(first)) == 1).select(*TREATED_CELL, *PEER_CELL)
+        .otherwise(flag(first)) == 1).select(*TREATED_CELL, *PEER_CELL, "n")
+
+
+def select_peers(profile: DataFrame, candidates: DataFrame, picked: DataFrame) -> DataFrame:
+    """(M0, dealer, peer) of the final selection, with the peer's M0 measures.
+
+    Dealers are joined only for the picked cells, so no pair is made that is not selected.  The
+    lift itself needs no pairs: see ``cell_normaliser`` and ``panel.cell_months``.
+    """
     dealers = profile.select(*TREATED_CELL, "dealership_id__c")
-    return (dealers.join(picked, TREATED_CELL).join(_matchable(candidates), ["M0", *PEER_CELL])
+    return (dealers.join(picked.drop("n"), TREATED_CELL).join(_matchable(candidates), ["M0", *PEER_CELL])
             .select("M0", "dealership_id__c", "Peer_Dealership_id", "Peer_M0_Orig", "Peer_M0_Fund"))
 
 
@@ -143,22 +153,48 @@ def selected_peers(adaptive: DataFrame) -> DataFrame:
 
 
 def peer_normaliser(profile: DataFrame, selected: DataFrame) -> DataFrame:
-    """Per treated dealer: peer count, has-peer flag, peer totals at M0 and one ratio per measure.
-
-    Every treated dealer keeps its row; without peers the count is 0 and the
-    totals and ratios are NULL.
-    """
+    """The normaliser from pairs: per treated dealer, its peers counted and summed at M0."""
     keys = ["M0", "dealership_id__c"]
     tot = selected.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("Peer_M0_Orig").alias("Peer_tot_M0_Orig"),
         F.sum("Peer_M0_Fund").alias("Peer_tot_M0_Fund"))
-    out = profile.select(*keys, "M0_Orig", "M0_Fund", "MP1_Fund").join(tot, keys, "left")
+    return _with_ratios(profile.select(*keys, "M0_Orig", "M0_Fund", "MP1_Fund").join(tot, keys, "left"))
+
+
+def cell_normaliser(profile: DataFrame, candidates: DataFrame, picked: DataFrame) -> DataFrame:
+    """The normaliser from cells: each picked peer cell is summed once, each treated cell once over
+    its peer cells, and dealers take the totals of their cell.  No pair of dealers is made.
+    """
+    sums = _matchable(candidates).join(picked.select("M0", *PEER_CELL).distinct(), ["M0", *PEER_CELL]) \
+        .groupBy("M0", *PEER_CELL).agg(F.count(F.lit(1)).alias("_cell_n"), F.sum("Peer_M0_Orig").alias("_cell_orig"),
+                                       F.sum("Peer_M0_Fund").alias("_cell_fund"))
+    tot = picked.join(sums, ["M0", *PEER_CELL]).groupBy(*TREATED_CELL).agg(
+        F.sum("_cell_n").alias("_n"), F.sum("_cell_orig").cast("decimal(38,2)").alias("Peer_tot_M0_Orig"),
+        F.sum("_cell_fund").alias("Peer_tot_M0_Fund"))
+    dealers = profile.select(*TREATED_CELL, "dealership_id__c", "M0_Orig", "MP1_Fund")
+    return _with_ratios(dealers.join(tot, TREATED_CELL, "left").select(
+        "M0", "dealership_id__c", "M0_Orig", "M0_Fund", "MP1_Fund", "_n", "Peer_tot_M0_Orig", "Peer_tot_M0_Fund"))
+
+
+def _with_ratios(totals: DataFrame) -> DataFrame:
+    """Per treated dealer: peer count, has-peer flag, peer totals at M0 and one ratio per measure.
+
+    Every treated dealer keeps its row; without peers the count is 0 and the
+    totals and ratios are NULL.
+    """
     has = F.col("w_Peer_Ind") == 1
-    return (out.withColumn("Peer_Cnt", F.coalesce("_n", F.lit(0).cast("bigint")))
+    return (totals.withColumn("Peer_Cnt", F.coalesce("_n", F.lit(0).cast("bigint")))
             .withColumn("w_Peer_Ind", F.when(F.col("Peer_Cnt") > 0, 1).otherwise(0))
             .withColumn("Norm_Ratio_Orig", F.when(has & (F.col("M0_Orig") > 0),
                         F.col("Peer_tot_M0_Orig").cast("double") / F.col("M0_Orig").cast("double")))
             .withColumn("Norm_Ratio_Fund", F.when(has & (F.col("M0_Fund") > 0),
                         F.col("Peer_tot_M0_Fund").cast("double") / F.col("M0_Fund").cast("double")))
             .drop("_n"))
+
+
+def picked_members(candidates: DataFrame, picked: DataFrame) -> DataFrame:
+    """(M0, peer cell, peer) of the candidates in cells that some treated cell picked."""
+    wanted = picked.select("M0", *PEER_CELL).distinct()
+    return _matchable(candidates).join(wanted, ["M0", *PEER_CELL], "left_semi").select(
+        "M0", *PEER_CELL, "Peer_Dealership_id")

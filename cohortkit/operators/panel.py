@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from cohortkit.functions.dates import month_diff
 from cohortkit.functions.predicates import tier_label
 from cohortkit.operators.cohorts import last_complete_day
+from cohortkit.operators.matching import PEER_CELL, TREATED_CELL
 
 
 def peer_monthly(selected: DataFrame, monthly: DataFrame) -> DataFrame:
-    """Monthly measures of each selected peer from its dealer's M0 on.
+    """Monthly measures of each selected peer from its dealer's M0 on, a row per dealer, peer and month.
 
     Equi-join on the peer id against the dealer-month aggregate, month >= M0
-    as residual.
+    as residual.  Its size is its output's; the lift sums by ``cell_months``.
     """
     m = monthly.select(F.col("dealership_id").alias("_peer"), "Funding_MM",
                        F.col("Funded").alias("Funded_Apps"), F.col("Orig").alias("Orig_Amt"))
@@ -26,17 +27,34 @@ def peer_monthly(selected: DataFrame, monthly: DataFrame) -> DataFrame:
                     "Funded_Apps", "Orig_Amt"))
 
 
-def synthetic_peer(peer_months: DataFrame, normaliser: DataFrame) -> DataFrame:
-    """Sum the peers per dealer and month and divide by the dealer's ratios.
+def cell_months(members: DataFrame, picked: DataFrame, monthly: DataFrame) -> DataFrame:
+    """Monthly measures of all peers of each treated cell, from its M0 on: raw sums ``Funded``, ``Orig``.
+
+    Two sums, each with a partial combine: the months of each picked peer cell's members, once
+    per cohort month, then of each treated cell over its peer cells.  So a peer's months are read
+    once for a cohort however many dealers chose it, and nothing has the size dealers x peers x
+    months.
+    """
+    m = monthly.select(F.col("dealership_id").alias("_peer"), "Funding_MM",
+                       F.col("Funded").alias("_funded"), F.col("Orig").alias("_orig"))
+    of_cells = (members.join(m, (members.Peer_Dealership_id == m._peer) & (m.Funding_MM >= members.M0))
+                .groupBy("M0", *PEER_CELL, "Funding_MM")
+                .agg(F.sum("_funded").alias("_funded"), F.sum("_orig").alias("_orig")))
+    return (picked.select(*TREATED_CELL, *PEER_CELL).join(of_cells, ["M0", *PEER_CELL])
+            .groupBy(*TREATED_CELL, "Funding_MM")
+            .agg(F.sum("_funded").alias("Funded"), F.sum("_orig").cast("decimal(38,2)").alias("Orig")))
+
+
+def synthetic_peer(months: DataFrame, profile: DataFrame, normaliser: DataFrame) -> DataFrame:
+    """One synthetic peer per dealer and month: its cell's peer sums divided by the dealer's ratios.
 
     Raw sums are kept (``Funded``, ``Orig``) so cumulative figures can be
     taken exactly before the division.
     """
     keys = ["M0", "dealership_id__c"]
-    sums = peer_months.groupBy(*keys, "Funding_MM").agg(
-        F.sum("Funded_Apps").alias("Funded"), F.sum("Orig_Amt").alias("Orig"))
     ratios = normaliser.select(*keys, "Norm_Ratio_Fund", "Norm_Ratio_Orig")
-    out = sums.join(ratios, keys, "left")
+    dealers = profile.select(*TREATED_CELL, "dealership_id__c").join(ratios, keys)
+    out = dealers.join(months, TREATED_CELL)
     return out.select(
         *keys, "Funding_MM", "Norm_Ratio_Fund", "Norm_Ratio_Orig", "Funded", "Orig",
         F.try_divide(F.col("Funded").cast("double"), F.col("Norm_Ratio_Fund")).alias("Norm_Funded"),

@@ -218,14 +218,5 @@ def contest_dashboard(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec
 
 def ranked_rows(s: Sources, p: ContestParams, metrics: Sequence[MetricSpec] = METRICS,
                 kept: list[DataFrame] | None = None) -> DataFrame:
-    """Priced rows with running points.
-
-    The running total reads the priced rows twice (day totals per rep, and the
-    rows themselves), so they are persisted once: they are qualified events,
-    a tiny relation next to the fact, and the eleven metric plans then run
-    once instead of once per reader.
-    """
-    priced = priced_rows(s, p, metrics).persist(StorageLevel.MEMORY_AND_DISK)
-    if kept is not None:
-        kept.append(priced)
-    return L.running_points(priced)
+    """Priced rows with running points.  The priced rows are read once, by the first step of the running total."""
+    return L.running_points(priced_rows(s, p, metrics), kept=kept)

@@ -2,19 +2,22 @@
 
 Stages:
 
-1. fact -> dealer x month measures (partial + final hash aggregate); the
+1. account -> treated cohorts (M0, MP1) and the least MP1, which bounds the fact scan
+2. fact -> dealer x month measures (partial + final hash aggregate); the
    only relation that grows with the fact, read once and persisted
-2. account -> treated cohorts (M0, MP1); baseline by equi-join on (dealer, month)
-3. never-enrolled candidates: anti join + equi-join with the broadcast month list
-4. band join on (M0, log-size bucket); adaptive counts by aggregation
-5. normaliser, synthetic peer, dense panel, cohort sizes, tenure, names
+3. baseline by equi-join on (dealer, month); never-enrolled candidates: anti
+   join + equi-join with the broadcast month list
+4. band join of cells on (M0, log-size bucket); adaptive counts by aggregation
+5. normaliser and synthetic peer per cell; dense panel, cohort sizes, tenure, names
 
 The fact is scanned once: the dealer-month activity aggregate feeds both the
-funded measures and the month spine.  Relations consumed by several later
-stages (activity, profile, adaptive pairs, normaliser) are persisted (memory
-and disk; lost blocks are recomputed from lineage).  When the session names a
-shared ``spark.checkpoint.dir`` (and ``materialize`` is left on) the matched
-pairs are checkpointed there instead, cutting the lineage before the fan-out.
+funded measures and the month spine.  Months before the first MP1 enter neither
+(``all_time`` reads them too, for the spine or the measures alone).  Relations
+consumed by several later stages (activity, profile, candidates, normaliser) are
+persisted (memory and disk; lost blocks are recomputed from lineage).  When the
+session names a shared ``spark.checkpoint.dir`` (and ``materialize`` is left on)
+the picked cells are checkpointed there instead, cutting the lineage before the
+fan-out.
 """
 
 from __future__ import annotations
@@ -40,8 +43,9 @@ class LiftStages:
                  high: int = 10, size_tol: float = C.SIZE_TOLERANCE,
                  growth_tols: dict[str, float] = C.GROWTH_TOLERANCES,
                  candidate_filter: Column | None = None, case_sensitive: bool = False,
-                 persist: bool = True, materialize: bool = True):
+                 persist: bool = True, materialize: bool = True, all_time: bool = False):
         self.fact, self.account, self.as_of = fact, account, as_of
+        self.all_time = all_time
         self.low, self.high, self.size_tol, self.growth_tols = low, high, size_tol, growth_tols
         self.candidate_filter, self.case_sensitive = candidate_filter, case_sensitive
         self.persist, self.materialize = persist, materialize
@@ -73,9 +77,17 @@ class LiftStages:
             df.unpersist()
         self._persisted.clear()
 
+    @cached_property
+    def first_month(self) -> dt.date | None:
+        """The least MP1 of all cohorts: no earlier month enters the report.  One row of one small scan."""
+        return self.cohorts.agg(F.min("MP1")).first()[0]
+
     @cached_property
     def activity(self) -> DataFrame:
-        return self._keep(C.dealer_month_activity(self.fact, case_sensitive=self.case_sensitive))
+        fact = self.fact
+        if not self.all_time:  # the bound reaches the scan and prunes a fact partitioned by its date
+            fact = C.from_month(fact, self.first_month)
+        return self._keep(C.dealer_month_activity(fact, case_sensitive=self.case_sensitive))
 
     @cached_property
     def monthly(self) -> DataFrame:
@@ -100,7 +112,7 @@ class LiftStages:
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return C.candidate_profiles(self.monthly, self.account, self.cohorts)
+        return self._keep(C.candidate_profiles(self.monthly, self.account, self.cohorts))
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -112,21 +124,30 @@ class LiftStages:
         return M.adaptive_peers(self.pairs, self.low, self.high)
 
     @cached_property
-    def selected(self) -> DataFrame:
-        return self._keep(M.select_peers(self.profile, self.candidates, self.low, self.high, self.size_tol,
+    def picked(self) -> DataFrame:
+        return self._keep(M.picked_cells(self.profile, self.candidates, self.low, self.high, self.size_tol,
                                          self.growth_tols), checkpoint=True)
 
+    @cached_property
+    def selected(self) -> DataFrame:
+        # the pairs, for a report of them; the lift takes the cells
+        return M.select_peers(self.profile, self.candidates, self.picked)
+
     @cached_property
     def normaliser(self) -> DataFrame:
-        return self._keep(M.peer_normaliser(self.profile, self.selected))
+        return self._keep(M.cell_normaliser(self.profile, self.candidates, self.picked))
 
     @cached_property
     def peer_months(self) -> DataFrame:
         return P.peer_monthly(self.selected, self.monthly)
 
+    @cached_property
+    def cell_months(self) -> DataFrame:
+        return P.cell_months(M.picked_members(self.candidates, self.picked), self.picked, self.monthly)
+
     @cached_property
     def synthetic(self) -> DataFrame:
-        return P.synthetic_peer(self.peer_months, self.normaliser)
+        return P.synthetic_peer(self.cell_months, self.profile, self.normaliser)
 
     @cached_property
     def panel(self) -> DataFrame:

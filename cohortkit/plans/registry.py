@@ -37,6 +37,18 @@ def register(name: str) -> Callable[[Query], Query]:
 
 # --- activity snapshots -----------------------------------------------------
 
+@register("a41_report_grid")
+def q_report_grid(spark, sf):
+    """The grid over the span of the history, a step of five months."""
+    return snap.history_grid(td.user_hist(spark, sf), 5)
+
+
+@register("a43_activity_snapshots_history_grid")
+def q_activity_snapshots_history(spark, sf):
+    hist = td.user_hist(spark, sf)
+    return snap.activity_snapshots(hist, snap.history_grid(hist, 5))
+
+
 @register("a42_last_activity_by_type")
 def q_last_activity(spark, sf):
     hist = td.user_hist(spark, sf)
@@ -59,8 +71,8 @@ def q_activity_snapshots_step2(spark, sf):
 def q_write_result(spark, sf):
     """Snapshots written by report date; one date is written again; the table as read back."""
     from cohortkit.operators.sink import write_result
-    from cohortkit.session import ensure_test_checkpoint_dir
-    out = f"{ensure_test_checkpoint_dir(spark)}/a44-{uuid.uuid4().hex[:12]}"
+    from cohortkit.session import shared_folder
+    out = f"{shared_folder(spark)}/a44-{uuid.uuid4().hex[:12]}"
     snaps = q_activity_snapshots(spark, sf)
     write_result(snaps, out, partition_by=["Report_Date"])
     write_result(q_activity_snapshots(spark, sf).where(F.col("Report_Date") == F.lit(td.GRID_FIRST)), out,
@@ -89,7 +101,7 @@ def _money(df, *cols):
 
 @register("a01_month_spine")
 def q_spine(spark, sf):
-    return _stages(spark, sf).spine
+    return _stages(spark, sf, all_time=True).spine
 
 
 @register("a02_enrolment_cohorts")
@@ -99,7 +111,7 @@ def q_cohorts(spark, sf):
 
 @register("a03_monthly_measures")
 def q_monthly(spark, sf):
-    return _money(_stages(spark, sf).monthly, "Orig")
+    return _money(_stages(spark, sf, all_time=True).monthly, "Orig")
 
 
 @register("a04_cohort_baseline")
@@ -120,7 +132,7 @@ def q_candidates(spark, sf):
 @register("a09_never_enrolled")
 def q_never_enrolled(spark, sf):
     from cohortkit.operators.cohorts import never_enrolled
-    dealers = _stages(spark, sf).monthly.select("dealership_id").distinct()
+    dealers = _stages(spark, sf, all_time=True).monthly.select("dealership_id").distinct()
     return never_enrolled(dealers, td.dim_account(spark, sf))
 
 

@@ -6,6 +6,7 @@ Library operators never create a session; they take DataFrames.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,14 +50,23 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
-def ensure_test_checkpoint_dir(spark: SparkSession) -> str:
-    """Tests only: set a scratch checkpoint folder when the session has none."""
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors share, for intermediates that must be read again.
+
+    It is the cluster's ``spark.checkpoint.dir``.  Only a session in one
+    process (master ``local``), where a folder of this machine is shared by
+    itself, gets one of its own; on a cluster without the setting this fails.
+    """
     found = checkpoint_dir(spark)
     if found:
         return found
-    path = tempfile.mkdtemp(prefix="cohortkit-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohortkit-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+ensure_test_checkpoint_dir = shared_folder  # the earlier name
 
 
 def recommended_conf(input_bytes: int, cores: int, target_bytes: int = 256 << 20) -> dict[str, str]:
