@@ -180,3 +180,25 @@ def candidate_profiles(monthly: DataFrame, account: DataFrame, cohorts: DataFram
         F.coalesce("m0_orig", F.lit(0).cast("decimal(28,2)")).alias("M0_Orig"),
         m0_fund.alias("M0_Fund"), mp1_fund.alias("MP1_Fund"),
         mom_growth(m0_fund, mp1_fund).alias("MP1_Fund_MoM"))
+
+
+def candidate_counts(candidates: DataFrame, cohorts: DataFrame, pool: DataFrame) -> DataFrame:
+    """Per cohort month pair: all candidates (the pool), those with business in M0 or MP1, and those without.
+
+    The rows of ``candidate_profiles`` and the counts of the all-zero rows it does not make.
+    """
+    active = candidates.groupBy("M0", "MP1").agg(F.count(F.lit(1)).alias("n_active"))
+    out = cohorts.select("M0", "MP1").distinct().join(active, ["M0", "MP1"], "left")
+    n, active = pool.agg(F.count(F.lit(1))).scalar(), F.coalesce("n_active", F.lit(0).cast("bigint"))
+    return out.select("M0", "MP1", n.alias("n_candidates"), active.alias("n_active"), (n - active).alias("n_inactive"))
+
+
+def store_activity(activity: DataFrame, table: str, buckets: int) -> DataFrame:
+    """The dealer-month aggregate as a catalog table bucketed by dealer, and that table.
+
+    Joins on the dealer then read it in place: no exchange on its side.  Joins on dealer and month do
+    too where ``spark.sql.requireAllClusterKeysForCoPartition`` is off (see ``recommended_conf``).
+    """
+    (activity.repartition(buckets, "dealership_id").write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, "dealership_id").sortBy("dealership_id", "Funding_MM").saveAsTable(table))
+    return activity.sparkSession.table(table)

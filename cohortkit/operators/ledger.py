@@ -10,6 +10,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortkit.sources.contracts import unique_lookup
+
 LEDGER_COLUMNS = ["team", "metric_id", "metric_name", "region", "dealership_id", "date",
                   "metric_volume"]
 BI_REPORT = "BI Report: by Dealership_ID"
@@ -74,12 +76,16 @@ def assert_unique_reps(region_rep: DataFrame, excluded: Sequence[str] = ()) -> N
 
 def manual_event_rows(report: DataFrame, region_rep: DataFrame, excluded: Sequence[str] = (),
                       overrides: Mapping[str, str] | None = None) -> DataFrame:
-    """Hand-reported events: region by person (excluded reps keep their rows, lose the region)."""
+    """Hand-reported events: region by person (excluded reps keep their rows, lose the region).
+
+    A person of several regions would have each event once per region; the run fails instead.
+    """
     overrides = overrides or {}
     reps = region_rep.where(F.col("sales_name").isNotNull())
     if excluded:
         reps = reps.where(~F.col("sales_name").isin(list(excluded)))
-    reps = reps.select(F.col("sales_name").alias("_s"), F.col("region").alias("_region"))
+    reps = unique_lookup(reps.select("sales_name", F.col("region").alias("_region")), ["sales_name"],
+                         "region of a rep").withColumnRenamed("sales_name", "_s")
     out = report.join(reps, report.sales_name == reps._s, "left")
     return out.select(
         F.lit(PERSON_REPORT).alias("Report_Type"), "sales_name", "team", "metric_id",
@@ -97,8 +103,9 @@ def price_events(ledger: DataFrame, bounty: DataFrame) -> DataFrame:
 
 
 def attach_dealer_name(ledger: DataFrame, account: DataFrame) -> DataFrame:
-    """Dealer name by id; the id is hidden (NULL) on person-reported rows."""
-    acc = account.select(F.col("dealership_id__c").alias("_id"), F.col("name").alias("dealership_name"))
+    """Dealer name by id; the id is hidden (NULL) on person-reported rows.  A repeated dealer id fails the run."""
+    acc = unique_lookup(account.select("dealership_id__c", F.col("name").alias("dealership_name")),
+                        ["dealership_id__c"], "account").withColumnRenamed("dealership_id__c", "_id")
     out = ledger.join(acc, ledger.dealership_id == acc._id, "left").drop("_id")
     return out.withColumn("dealership_id", F.when(F.col("Report_Type") == PERSON_REPORT, F.lit(None))
                           .otherwise(F.col("dealership_id")).cast("bigint"))

@@ -91,6 +91,31 @@ def match_pairs(profile: DataFrame, candidates: DataFrame, size_tol: float = SIZ
             .withColumn("Peer_Sel_1_Ind", F.col(f"within_MP1_Fund_MoM_{first}")))
 
 
+def match_cell_counts(profile: DataFrame, candidates: DataFrame, pool: DataFrame, size_tol: float = SIZE_TOLERANCE,
+                      growth_tols: dict[str, float] = GROWTH_TOLERANCES, narrow: str = "2H",
+                      first: str = "1") -> DataFrame:
+    """All treated dealers against all candidates of their M0, counted by cells: the whole relation, no pairs.
+
+    A row with ``selectable`` 1 is a treated cell and a peer cell inside its size band and widest
+    growth band, with the flags of the other bands, the number of dealers and of peers.  A row with
+    ``selectable`` 0 counts the treated cell's other candidates: every dealer of ``pool`` (one row per
+    never-enrolled dealer) is a candidate of every M0, also without business in it, so they are the
+    pool less the peers inside.  A treated cell that has no candidate at all keeps such a row, with 0 peers.
+    """
+    cells = match_cells(profile, candidates, size_tol, growth_tols)
+    dealers = profile.groupBy(*TREATED_CELL).agg(F.count(F.lit(1)).alias("n_dealers"))
+    flags = [f"within_MP1_Fund_MoM_{first}", f"within_MP1_Fund_MoM_{narrow}"]
+    inside = cells.join(dealers, TREATED_CELL).select(
+        *TREATED_CELL, F.lit(1).alias("selectable"), *PEER_CELL, *flags, "n_dealers", F.col("n").alias("n_peers"))
+    held = cells.groupBy(*TREATED_CELL).agg(F.sum("n").alias("_held"))
+    size = pool.agg(F.count(F.lit(1))).scalar()
+    rest = dealers.join(held, TREATED_CELL, "left").select(
+        *TREATED_CELL, F.lit(0).alias("selectable"), *[F.lit(None).cast(t).alias(c) for c, t in (
+            (PEER_CELL[0], "bigint"), (PEER_CELL[1], "double"), (flags[0], "int"), (flags[1], "int"))],
+        "n_dealers", (size - F.coalesce("_held", F.lit(0))).alias("n_peers"))
+    return inside.unionByName(rest.where((F.col("n_peers") > 0) | (size == 0)))
+
+
 def picked_cells(profile: DataFrame, candidates: DataFrame, low: int = 4, high: int = 10,
                  size_tol: float = SIZE_TOLERANCE, growth_tols: dict[str, float] = GROWTH_TOLERANCES,
                  narrow: str = "2H", wide: str = "2L", first: str = "1") -> DataFrame:

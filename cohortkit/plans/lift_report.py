@@ -12,7 +12,8 @@ Stages:
 
 The fact is scanned once: the dealer-month activity aggregate feeds both the
 funded measures and the month spine.  Months before the first MP1 enter neither
-(``all_time`` reads them too, for the spine or the measures alone).  Relations
+(``all_time`` reads them too, for the spine, the measures or the pool alone).  With
+``activity_table`` the aggregate is stored bucketed by dealer in the catalog.  Relations
 consumed by several later stages (activity, profile, candidates, normaliser) are
 persisted (memory and disk; lost blocks are recomputed from lineage).  When the
 session names a shared ``spark.checkpoint.dir`` (and ``materialize`` is left on)
@@ -43,9 +44,10 @@ class LiftStages:
                  high: int = 10, size_tol: float = C.SIZE_TOLERANCE,
                  growth_tols: dict[str, float] = C.GROWTH_TOLERANCES,
                  candidate_filter: Column | None = None, case_sensitive: bool = False,
-                 persist: bool = True, materialize: bool = True, all_time: bool = False):
+                 persist: bool = True, materialize: bool = True, all_time: bool = False,
+                 activity_table: str | None = None, buckets: int | None = None):
         self.fact, self.account, self.as_of = fact, account, as_of
-        self.all_time = all_time
+        self.all_time, self.activity_table, self.buckets = all_time, activity_table, buckets
         self.low, self.high, self.size_tol, self.growth_tols = low, high, size_tol, growth_tols
         self.candidate_filter, self.case_sensitive = candidate_filter, case_sensitive
         self.persist, self.materialize = persist, materialize
@@ -87,7 +89,11 @@ class LiftStages:
         fact = self.fact
         if not self.all_time:  # the bound reaches the scan and prunes a fact partitioned by its date
             fact = C.from_month(fact, self.first_month)
-        return self._keep(C.dealer_month_activity(fact, case_sensitive=self.case_sensitive))
+        activity = C.dealer_month_activity(fact, case_sensitive=self.case_sensitive)
+        if self.activity_table:
+            buckets = self.buckets or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            return C.store_activity(activity, self.activity_table, buckets)
+        return self._keep(activity)
 
     @cached_property
     def monthly(self) -> DataFrame:
@@ -114,6 +120,11 @@ class LiftStages:
     def candidates(self) -> DataFrame:
         return self._keep(C.candidate_profiles(self.monthly, self.account, self.cohorts))
 
+    @cached_property
+    def pool(self) -> DataFrame:
+        """Never-enrolled dealers with any funded row in the time read."""
+        return C.never_enrolled(self.monthly.select("dealership_id").distinct(), self.account)
+
     @cached_property
     def pairs(self) -> DataFrame:
         # read by the counts and the selection of ``adaptive``; the report does not use them

@@ -17,8 +17,13 @@ from cohortkit.operators import events as ev
 from cohortkit.operators import ledger as led
 from cohortkit.operators import panel as panel_ops
 from cohortkit.operators import snapshots as snap
+from cohortkit.operators.cohorts import candidate_counts
+from cohortkit.operators.first_dates import FirstDates, first_in_window
+from cohortkit.operators.matching import match_cell_counts
+from cohortkit.operators.sink import write_result
 from cohortkit.plans import contest as ct
 from cohortkit.plans.lift_report import lift_stages
+from cohortkit.session import shared_folder
 from cohortkit.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,8 +75,6 @@ def q_activity_snapshots_step2(spark, sf):
 @register("a44_write_result")
 def q_write_result(spark, sf):
     """Snapshots written by report date; one date is written again; the table as read back."""
-    from cohortkit.operators.sink import write_result
-    from cohortkit.session import shared_folder
     out = f"{shared_folder(spark)}/a44-{uuid.uuid4().hex[:12]}"
     snaps = q_activity_snapshots(spark, sf)
     write_result(snaps, out, partition_by=["Report_Date"])
@@ -80,6 +83,32 @@ def q_write_result(spark, sf):
     return spark.read.parquet(out).select(*snaps.columns)
 
 
+def _database(spark) -> str:
+    """A database of its own in the shared folder."""
+    name = f"cohortkit_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}/{name}'")
+    return name
+
+
+@register("a44_replace_table")
+def q_replace_table(spark, sf):
+    """A catalog table of all snapshots, replaced by what is computed from itself: its report dates from 1998 on."""
+    table = f"{_database(spark)}.snapshots"
+    write_result(q_activity_snapshots(spark, sf), table=table)
+    write_result(spark.table(table).where("Report_Date >= date'1998-01-01'"), table=table)
+    return spark.table(table)
+
+
+@register("a44_append_table")
+def q_append_table(spark, sf):
+    """A catalog table of the snapshots before 1998, appended to by those from then on."""
+    table = f"{_database(spark)}.snapshots"
+    snaps = q_activity_snapshots(spark, sf)
+    write_result(snaps.where("Report_Date < date'1998-01-01'"), table=table)
+    write_result(snaps.where("Report_Date >= date'1998-01-01'"), table=table, mode="append")
+    return spark.table(table)
+
+
 # --- peer lift report -------------------------------------------------------
 
 
@@ -129,11 +158,22 @@ def q_candidates(spark, sf):
     return _money(_stages(spark, sf).candidates, "M0_Orig")
 
 
+@register("a08_candidate_counts")
+def q_candidate_counts(spark, sf):
+    st = _stages(spark, sf, all_time=True)
+    return candidate_counts(st.candidates, st.cohorts, st.pool)
+
+
 @register("a09_never_enrolled")
 def q_never_enrolled(spark, sf):
-    from cohortkit.operators.cohorts import never_enrolled
-    dealers = _stages(spark, sf, all_time=True).monthly.select("dealership_id").distinct()
-    return never_enrolled(dealers, td.dim_account(spark, sf))
+    return _stages(spark, sf, all_time=True).pool
+
+
+@register("a10_match_cells")
+def q_match_cells(spark, sf):
+    """Every treated dealer against every candidate of its M0, counted by cells, unmatched dealers included."""
+    st = _stages(spark, sf, all_time=True)
+    return match_cell_counts(st.profile, st.candidates, st.pool)
 
 
 _PAIR_COLS = ["M0", "dealership_id__c", "Peer_Dealership_id", "within_M0_Fund_Ind",
@@ -380,6 +420,17 @@ def q_history_n6(spark, sf):
     return ev.new_threshold_vs_history(s.fact, 6, CONTEST.lookback_start, CONTEST.start, CONTEST.end)
 
 
+@register("a26_first_event_state")
+def q_first_event_state(spark, sf):
+    """Active flex dealers from a state of first dates, built by two updates: up to a month into the contest, and the rest."""
+    apps = td.fact_apps(spark, sf).withColumn("region", F.col("rsm_territory_regions__c"))
+    flex = (F.col("source_client") == CONTEST.flex_client) & vehicle_class_filter()
+    state = FirstDates(spark, f"{shared_folder(spark)}/a26-{uuid.uuid4().hex[:12]}")
+    for upto in (td.LEVEL_DATES[-1], CONTEST.end):
+        state.update(apps, upto, "submitted_at", flex)
+    return first_in_window(state.read(), CONTEST.start, CONTEST.end)
+
+
 SHORT_LOOKBACK = td.dt.date(1998, 1, 1)
 
 

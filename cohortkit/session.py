@@ -84,6 +84,8 @@ def recommended_conf(input_bytes: int, cores: int, target_bytes: int = 256 << 20
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        # a table bucketed by dealer serves joins on dealer and month without an exchange
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         # checkpointed intermediates are removed from the shared folder once unreferenced
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }

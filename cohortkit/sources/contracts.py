@@ -80,3 +80,21 @@ def require_unique(df: DataFrame, keys: list[str], what: str = "input", show: in
            .groupBy(*keys).count().where(F.col("count") > 1).limit(show).collect())
     if dup:
         raise ValueError(f"{what} is not unique on {keys}: {[tuple(r)[:-1] for r in dup]}")
+
+
+def unique_lookup(df: DataFrame, keys: list[str], what: str = "lookup") -> DataFrame:
+    """``df`` with one row per key, for a join that must not repeat its rows.
+
+    The check is part of the plan: a repeated key raises when a column of its row is evaluated, so it
+    fails the run that uses the lookup and costs no job of its own.  Rows with a null key match nothing
+    and are left out.  The rows are combined by key, which a join on it needs anyway.
+    """
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    others = [c for c in df.columns if c not in keys]
+    rows = df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(c) for c in others])
+    said = F.concat(F.lit(f"{what} is not unique on {', '.join(keys)}: "),
+                    F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    return rows.select(*keys, *[F.when(F.col("_rows") == 1, F.col(c)).otherwise(F.raise_error(said)).alias(c)
+                                for c in others])
