@@ -11,9 +11,10 @@ two bands but for 6e-7 of cases. Equal sets are one class and sketch as one. Wit
 texts are compared to the bucket's smallest id first, so a group of copies costs one comparison per
 copy, not per pair. The texts of buckets that still hold several components go on: a text with more
 than a quarter of its shingles in no other component can't be linked to one and is peeled off, again
-and again, and what is left meets on its rarest shared shingles, of which linked texts have one in
-common: first each text with the least edited holder of such a shingle, in rounds while that finds
-links, then the rest with each other. Each proposed link is checked on the full shingle sets.
+and again. What is left is connected into families over each text's rarest shared shingles, of which
+linked texts have one in common, and the texts of a family are compared block by block inside
+tasks: a product of two blocks' sets gives all their intersections at once, and only links come
+back. Every link is decided on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from cohortkit.llm.common import Scratch, join64, mix64, read_table, text_groups
 SHINGLE, BANDS, BAND_ROWS, MIN_SHARED = 5, 32, 3, 2
 COORDINATES = BANDS * BAND_ROWS
 MEMBERS_PER_GROUP = 256
-LEAST_EDITED_ROUNDS = 4
 BROADCAST_ROWS = 100_000  # request rows of 24 bytes: at most 2.4 MB are ever broadcast
 
 
@@ -81,7 +81,7 @@ SIGNED_SQL = "doc_id long, n_shingles long, set1 long, set2 long, bands array<lo
 def signed(docs: DataFrame) -> DataFrame:
     """doc_id, number of shingles, 128-bit name of the set, band keys (none for an empty set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_groups(batches, 4 << 20):
+        for batch in text_groups(batches, 2 << 20):
             data, offsets, _ = utf8_buffer(batch.column("text"))
             key, first = shingle_sets(data, offsets)
             size = np.diff(first)
@@ -121,7 +121,7 @@ def verified(docs: DataFrame, pairs: DataFrame, n_pairs: int, percent: int) -> D
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(asked, "doc_id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_groups(batches, 4 << 20):
+        for batch in text_groups(batches, 2 << 20):
             data, offsets, _ = utf8_buffer(batch.column("text"))
             key, first = shingle_sets(data, offsets)
             yield pa.RecordBatch.from_arrays(
@@ -157,7 +157,7 @@ def member_shingles(docs: DataFrame, members: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members, "rep")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_groups(batches, 4 << 20):
+        for batch in text_groups(batches, 2 << 20):
             data, offsets, _ = utf8_buffer(batch.column("text"))
             key, first = shingle_sets(data, offsets)
             yield pa.RecordBatch.from_arrays(
@@ -201,31 +201,108 @@ def prefixes(held: DataFrame, percent: int) -> DataFrame:
         "shingle", "rep", "component", "n", "c")
 
 
-def may_link(percent: int) -> F.Column:
-    """Different components, and at most as many shingles in common as the one that shares fewer."""
-    most = F.least("c", "c_b")
-    return (F.col("component") != F.col("component_b")) & (100 * most >= percent * (F.col("n") + F.col("n_b") - most))
+def families(prefix: DataFrame, scratch: Scratch) -> DataFrame:
+    """(rep, family): texts connected over prefix shingles. Each posting ties its texts to its least one, a row per text."""
+    least = prefix.groupBy("shingle").agg(F.min("rep").alias("b"))
+    tied = prefix.join(least, "shingle").select(F.col("rep").alias("a"), "b")
+    return components(tied, scratch, "families").select(F.col("node").alias("rep"), F.col("component").alias("family"))
 
 
-def to_least_edited(prefix: DataFrame, percent: int) -> DataFrame:
-    """One pair (a, b) for each text: b is, of the texts that share most in their shingles' postings, the commonest.
+def block_rows(texts: DataFrame, percent: int) -> DataFrame:
+    """Each text of a family once for each pair of blocks that its own is compared in: family, lo, hi, i, j, side.
 
-    One row per posting is joined to its texts, so a group of copies costs a pair per copy.
+    Texts of a family are dealt by size into classes, so that linked texts are in one class or in neighbouring ones, and
+    each class by hash into blocks of about MEMBERS_PER_GROUP texts. Pairs of blocks (i, j) are those of one class (lo = hi,
+    i <= j) and of two neighbouring ones (hi = lo + 1). Side 0 holds the texts of block i, side 1 those of block j.
     """
-    head = F.max(F.struct((F.col("c") / F.col("n")).alias("share"), (-F.col("rep")).alias("rep"), "component", "n", "c"))
-    heads = prefix.groupBy("shingle").agg(head.alias("h")).select(
-        "shingle", (-F.col("h.rep")).alias("rep_b"), F.col("h.component").alias("component_b"), F.col("h.n").alias("n_b"),
-        F.col("h.c").alias("c_b"))
-    near = prefix.join(heads, "shingle").where(may_link(percent)).groupBy("rep", "rep_b").count()
-    top = near.groupBy("rep").agg(F.max(F.struct("count", (-F.col("rep_b")).alias("rep_b"))).alias("top"))
-    return top.select(F.greatest("rep", -F.col("top.rep_b")).alias("a"), F.least("rep", -F.col("top.rep_b")).alias("b")).distinct()
+    of = texts.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(100.001 / percent))).cast("int"))
+    sizes = of.groupBy("family", "class").agg(F.ceil(F.count(F.lit(1)) / F.lit(MEMBERS_PER_GROUP)).cast("int").alias("blocks"))
 
+    def neighbour(step: int, name: str) -> DataFrame:
+        return sizes.select("family", (F.col("class") - step).cast("int").alias("class"), F.col("blocks").alias(name))
 
-def to_all(prefix: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) that may be linked."""
-    other = prefix.select("shingle", *[F.col(x).alias(f"{x}_b") for x in ("rep", "component", "n", "c")])
-    return prefix.join(other, "shingle").where((F.col("rep_b") < F.col("rep")) & may_link(percent)).select(
-        F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
+    of = of.join(sizes, ["family", "class"]).join(neighbour(1, "above"), ["family", "class"], "left").join(
+        neighbour(-1, "below"), ["family", "class"], "left")
+    of = of.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+
+    def pairs(n: str, lo: str, hi: str, i: str, j: str, side: str) -> str:
+        listed = f"if({n} > 0, sequence(0, {n} - 1), array())"
+        return f"transform({listed}, k -> struct({lo} as lo, {hi} as hi, {i} as i, {j} as j, {side} as side))"
+
+    every = F.expr("concat(" + ", ".join([
+        pairs("blocks", "class", "class", "least(own, k)", "greatest(own, k)", "if(own <= k, 0, 1)"),
+        pairs("coalesce(above, 0)", "class", "class + 1", "own", "k", "0"),
+        pairs("coalesce(below, 0)", "class - 1", "class", "k", "own", "1")]) + ")")
+    return of.select("family", "rep", "component", "n", "shingles", F.explode(every).alias("at")).select(
+        "family", "at.*", "rep", "component", "n", "shingles")
+
+
+COLUMNS = 1 << 13  # shingles that a product of blocks holds at a time
+
+
+def products(rows: list[np.ndarray], split: int) -> np.ndarray:
+    """Number of shingles in common of each text before ``split`` with each from there on (split 0: of all with all).
+
+    Shingles that only one text holds are left out; the others are taken COLUMNS at a time.
+    """
+    key = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    _, column, times = np.unique(key, return_inverse=True, return_counts=True)
+    keep = times[column] > 1
+    number = np.cumsum(times > 1) - 1
+    column, owner = number[column[keep]], owner[keep]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    cut = split or len(rows)
+    out = np.zeros((cut, len(rows) - split), np.float32)
+    width = int(column[-1]) + 1 if len(column) else 0
+    for at in range(0, width, COLUMNS):
+        lo, hi = np.searchsorted(column, [at, at + COLUMNS])
+        held = np.zeros((len(rows), min(COLUMNS, width - at)), np.float32)
+        held[owner[lo:hi], column[lo:hi] - at] = 1
+        out += held[:cut] @ held[split:].T
+    return out
+
+
+def block_links(texts: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that tie together what is linked in ``texts`` (family, rep, component, n, shingles shared with others).
+
+    A pair of blocks meets in one task, which multiplies their sets and gives back only links between texts that nothing
+    in the task has tied yet: fewer than it has texts. So what Spark shuffles are texts, and no pairs are.
+    """
+    def compare(group: pa.Table) -> pa.Table:
+        side = group.column("side").to_numpy()
+        one_block = group.column("lo")[0] == group.column("hi")[0] and group.column("i")[0] == group.column("j")[0]
+        order = np.argsort(side, kind="stable")
+        rep, n, component = (group.column(c).to_numpy()[order] for c in ("rep", "n", "component"))
+        shingles = group.column("shingles").combine_chunks()
+        shingles = pa.concat_arrays(shingles.chunks) if isinstance(shingles, pa.ChunkedArray) else shingles
+        ends, flat = shingles.offsets.to_numpy(), shingles.values.to_numpy()
+        rows = [flat[ends[k]:ends[k + 1]] for k in order.tolist()]
+        split = 0 if one_block else int((side == 0).sum())
+        a, b = [], []
+        if one_block or 0 < split < len(rows):
+            both = products(rows, split).astype(np.int64)
+            total = (n[:split or len(n)][:, None] + n[split:][None, :]) - both
+            x, y = np.nonzero(100 * both >= percent * total)
+            if one_block:
+                x, y = x[x < y], y[x < y]
+            root = {c: c for c in component.tolist()}
+
+            def find(c: int) -> int:
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            for k, m in zip(x.tolist(), (y + split).tolist()):
+                one, two = find(int(component[k])), find(int(component[m]))
+                if one != two:
+                    root[max(one, two)] = min(one, two)
+                    a.append(int(rep[k]))
+                    b.append(int(rep[m]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return block_rows(texts, percent).groupBy("family", "lo", "hi", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -283,20 +360,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
             F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct(), "versions")
         found = components(edges, scratch, "components-versions")
 
-    def settle(pairs: DataFrame, step: str) -> int:
-        """Check pairs that were not checked yet; the number of new links."""
+    def settle(pairs: DataFrame, step: str) -> None:
+        """Check pairs that were not checked yet, and take in the new links."""
         nonlocal tested, edges, found
         pairs = scratch.write(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), f"pairs-{step}")
         n = pairs.count()
         if not n:
-            return 0
+            return
         tested = pairs if tested is None else tested.unionByName(pairs)
         good = scratch.write(verified(docs, pairs, n, percent), f"edges-{step}")
-        links = good.count()
-        if links:
+        if not good.isEmpty():
             edges = good if edges is None else edges.unionByName(good)
             found = components(edges, scratch, f"components-{step}")
-        return links
 
     def component(of: str) -> DataFrame:
         return found.select(F.col("node").alias(of), F.col("component").alias(f"{of}_component"))
@@ -317,14 +392,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         F.min("rep_component").alias("lo"), F.max("rep_component").alias("hi")).where("lo < hi").select("band")
     members = scratch.write(multi.join(mixed, "band").select("rep").distinct(), "members")
     held = scratch.write(member_shingles(docs, members), "held")
-    for i in range(LEAST_EDITED_ROUNDS):
-        left = peeled(held, found, scratch, percent, f"peeled-{i}")
-        if left.isEmpty() or not settle(to_least_edited(prefixes(left, percent), percent), f"least-{i}"):
-            break
-    else:
-        left = peeled(held, found, scratch, percent, "peeled-last")
+    left = peeled(held, found, scratch, percent, "peeled")
     if not left.isEmpty():
-        settle(to_all(prefixes(left, percent), percent), "all")
+        family = families(prefixes(left, percent), scratch)
+        texts = left.groupBy("rep", "n", "component").agg(F.collect_list("shingle").alias("shingles")).join(family, "rep")
+        good = scratch.write(block_links(texts, percent), "block-links")
+        if not good.isEmpty():
+            edges = good if edges is None else edges.unionByName(good)
+            found = components(edges, scratch, "components-blocks")
     scratch.drop("held", "multi")
 
     group = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(

@@ -135,3 +135,49 @@ def test_sketch_estimates_similarity_and_fills_every_coordinate():
 @pytest.mark.parametrize("operator", [lambda d: dedup_substrings(d, digest=True), dedup_substrings, remove_repeats, near_duplicates])
 def test_empty_tables(spark, operator):
     assert operator(frame(spark, [(1, "x")]).limit(0)).collect() == []
+
+
+def test_block_links_tie_what_all_pairs_tie(spark, monkeypatch):
+    """Families of several blocks: the links of the blocks connect exactly what links of 75 % connect."""
+    monkeypatch.setattr(neardup, "MEMBERS_PER_GROUP", 5)
+    rng = np.random.default_rng(2)
+    rows = []
+    for family in range(3):
+        base = rng.integers(0, 2**62, 60)
+        for _ in range(40):
+            kept = base[rng.random(60) < rng.choice([0.95, 0.85, 0.6])]
+            rows.append((len(rows), np.unique(np.concatenate([kept, rng.integers(0, 2**62, rng.integers(0, 12))])), family))
+    texts = spark.createDataFrame([(i, len(s), i, s.tolist(), f) for i, s, f in rows],
+                                  "rep long, n long, component long, shingles array<long>, family long").repartition(3)
+
+    def tied(pairs):
+        root = list(range(len(rows)))
+        for a, b in pairs:
+            while root[a] != a:
+                a = root[a]
+            while root[b] != b:
+                b = root[b]
+            root[max(a, b)] = min(a, b)
+        for i in range(len(root)):
+            root[i] = root[root[i]]
+        return root
+
+    sets = [set(s.tolist()) for _, s, _ in rows]
+    links = {(a, b) for a in range(len(rows)) for b in range(a) if rows[a][2] == rows[b][2]
+             and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    got = [(max(r["a"], r["b"]), min(r["a"], r["b"])) for r in neardup.block_links(texts, 75).collect()]
+    assert set(got) <= links and tied(got) == tied(links) and len(set(tied(links))) > 3
+    assert neardup.block_rows(texts, 75).select("family", "lo", "hi", "i", "j").distinct().count() > 30
+
+
+def test_products_by_columns_equal_intersections(monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 300, rng.integers(1, 200))) for _ in range(20)]
+    for columns in (7, 8192):
+        monkeypatch.setattr(neardup, "COLUMNS", columns)
+        for split in (0, 6):
+            got = neardup.products(rows, split)
+            want = [[len(np.intersect1d(a, b)) for b in rows[split:]] for a in rows[:split or len(rows)]]
+            off = ~np.eye(20, dtype=bool) if not split else np.ones(got.shape, bool)
+            assert (got == want)[off].all()
+    assert neardup.products([np.array([1]), np.array([2])], 1).tolist() == [[0.0]]
