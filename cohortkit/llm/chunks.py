@@ -1,10 +1,11 @@
-"""Cutting a text at single spaces without changing its byte-level BPE tokens.
+"""Cutting a text at single spaces, line ends and stops without changing its byte-level BPE tokens.
 
 The pre-tokenizer of the byte-level vocabularies attaches one space to the front of the word that follows it, and
 of a run of white space it leaves the last character to what follows. So no piece crosses the front of a space that
-has a non-space character behind it, and a text is its first chunk and then " " + chunk for each further one; chunks
-can be encoded apart and kept in a table. A space before other white space joins with it, and a special token is
-matched before the text is cut; texts with either are encoded whole.
+has a non-space character behind it. A line end with no white space on either side is a piece of its own, and a piece
+of letters ends before a full stop or comma. The chunks between those places can be encoded apart and kept in a table.
+A space before other white space joins with it, and a special token is matched before the text is cut; texts with
+either are encoded whole.
 """
 
 from __future__ import annotations
@@ -32,6 +33,28 @@ def spaces_before_spaces(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+_LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_STOP[[44, 46]] = True
+
+
+def white_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For places behind the first: may white space end there? Some other characters of several bytes count too."""
+    one, two = data[at - 1], data[np.maximum(at - 2, 0)]
+    return _SPACE[one] | ((one >= 0x80) & (one <= 0xAF) & np.isin(two, [0xC2, 0x80, 0x81, 0x9A]))
+
+
+def inner_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Places inside the texts that are fronts of lone line ends, or between an ASCII letter and a full stop or comma."""
+    lines = np.flatnonzero(data == 10)
+    text = np.searchsorted(offsets, lines, side="right") - 1
+    lines = lines[(lines > offsets[text]) & (lines + 1 < offsets[text + 1])]
+    if len(lines):
+        lines = lines[~white_before(data, lines) & ~spaces_before_spaces(data, lines)]
+    stops = np.flatnonzero(_LETTER[data[:-1]] & _STOP[data[1:]]) + 1
+    return np.concatenate([lines, stops])
+
+
 class ChunkTable:
     """Token ids of the chunks seen so far on this worker, by the chunks' hashes in a sorted array; bounded.
 
@@ -64,7 +87,9 @@ class ChunkTable:
             whole[np.searchsorted(offsets, found, side="right") - 1] = True
             found = raw.find(SPECIAL, found + 1)
         filled = np.flatnonzero(np.diff(offsets))
-        starts = np.sort(np.concatenate([offsets[filled], at[~whole[text]]]))
+        inner = inner_cuts(data, offsets)
+        inner = inner[~whole[np.searchsorted(offsets, inner, side="right") - 1]]
+        starts = np.sort(np.concatenate([offsets[filled], at[~whole[text]], inner]))
         starts = starts[np.append(True, starts[1:] != starts[:-1])]
         ends = np.append(starts[1:], len(data))
         owner = np.searchsorted(offsets, starts, side="right") - 1

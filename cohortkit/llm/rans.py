@@ -6,8 +6,9 @@ state, and all lanes write 32-bit words to one stream in the order in which deco
 CHECKPOINT steps the block notes its states and its place in the stream, and the checksum of the tokens from there
 to the next note, so a reader can start at any checkpoint and check each stretch alone.
 
-The file is a Parquet folder, one row per block, in shards of ascending doc_id ranges; any engine that reads Parquet
-hands out its blocks, and every block decodes without another.
+The file is a folder of two Parquet tables: ``blocks``, one row per block, in shards of ascending doc_id ranges, and
+``head``, one row with the counts of the tokens and the coder's numbers. Any engine that reads Parquet hands out the
+blocks, and every block decodes with the head alone.
 """
 
 from __future__ import annotations
@@ -24,13 +25,15 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm.bpe import vocabulary_path
 from cohortkit.llm.chunks import ChunkTable
-from cohortkit.llm.common import Scratch, read_table, shuffle_partitions, text_groups, utf8_buffer
+from cohortkit.llm.common import Scratch, read_table, shuffle_partitions, text_groups, unpack, utf8_buffer
 
 PRECISION, LANES, CHECKPOINT, BLOCK_TOKENS = 20, 4096, 128, 1 << 20
 LOW = np.uint64(1 << 31)
 END_ID = 2
+FRONT = 64  # characters of a text that its range is cut by, inside one doc_id
+HEAD_SQL = "precision int, lanes int, checkpoint int, end_id int, tokens array<int>, counts array<long>"
 
-TOKENS_SQL = "shard int, block int, doc_ids array<long>, lengths array<int>, ids binary"
+TOKENS_SQL = "shard int, block int, doc_ids array<long>, lengths array<int>, ids binary, counts binary"
 CODED_SQL = ("shard int, block int, n_tokens long, doc_ids array<long>, lengths array<int>, states binary, places binary, "
              "checksums binary, words binary")
 
@@ -134,15 +137,17 @@ class LibraryEncoder:
         return np.fromiter(chain.from_iterable(got), np.int64, int(count.sum())), count
 
     def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        joins = np.array([len(c) > 1 and c[0] == " " and not c[1].isspace() and "<|" not in c and "  " not in c for c in chunks], bool)
+        joins = np.array([len(c) > 1 and c[0] in " \n" and not c[1].isspace() and not c[-1].isspace() and "<|" not in c
+                          and "  " not in c for c in chunks], bool)
         together, apart = np.flatnonzero(joins), np.flatnonzero(~joins)
         some = [chunks[i] for i in together]
         ids, _ = self.ids(["".join(some[at:at + 64]) for at in range(0, len(some), 64)])
         ends = np.cumsum(np.fromiter((len(c.encode()) for c in some), np.int64, len(some)))
         reached = np.cumsum(self.length[ids])
         last = np.searchsorted(reached, ends)
-        if len(some) and not np.array_equal(reached[last], ends):
-            raise ValueError("a token crosses two chunks")
+        if len(some) and (len(reached) == 0 or reached[-1] != ends[-1] or not np.array_equal(reached[last], ends)):
+            together, apart = together[:0], np.arange(len(chunks))  # a token crosses two chunks: each for itself
+            ids, last = ids[:0], last[:0]
         other, n = self.ids([chunks[i] for i in apart])
         flat, count = np.concatenate([ids, other]), np.empty(len(chunks), np.int64)
         count[together], count[apart] = np.diff(last, prepend=-1), n
@@ -165,12 +170,13 @@ def chunk_table(path: str) -> ChunkTable:
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
     """Blocks of whole documents in ascending (doc_id, text) order, the end id after each document.
 
-    Ids travel as two planes of bytes, low and high, which the table's compression tells apart (four planes of an id
+    Each block brings the counts of its tokens along. Ids travel as two planes of bytes, low and high, which the table's compression tells apart (four planes of an id
     that needs more than 16 bits).
     """
     parts = shuffle_partitions(docs.sparkSession)
+    # null ids, or those of one document, are dealt by the front of their texts, which ranks like the texts
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(
-        parts, "doc_id").sortWithinPartitions("doc_id", "text")
+        parts, "doc_id", F.substring("text", 1, FRONT)).sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, shard, block = chunk_table(vocabulary), TaskContext.get().partitionId(), 0
@@ -180,8 +186,9 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFra
             ids = np.concatenate(flats)
             return pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([doc_ids], pa.list_(pa.int64())),
-                 pa.array([lengths], pa.list_(pa.int32())), pa.array([to_planes(ids)], pa.binary())],
-                names=["shard", "block", "doc_ids", "lengths", "ids"])
+                 pa.array([lengths], pa.list_(pa.int32())), pa.array([to_planes(ids)], pa.binary()),
+                 pa.array([counted(ids)], pa.binary())],
+                names=["shard", "block", "doc_ids", "lengths", "ids", "counts"])
 
         for batch in text_groups(batches, 2 << 20):
             ids, count = table.texts(*utf8_buffer(batch.column("text"))[:2])
@@ -204,6 +211,13 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFra
     return ordered.mapInArrow(run, TOKENS_SQL)
 
 
+def counted(ids: np.ndarray) -> bytes:
+    """The distinct ids and how often each stands."""
+    n = np.bincount(ids)
+    used = np.flatnonzero(n)
+    return used.astype("<u4").tobytes() + n[used].astype("<u4").tobytes()
+
+
 def to_planes(ids: np.ndarray) -> bytes:
     wide = 4 if len(ids) and ids.max() > 0xFFFF else 2
     return bytes([wide]) + b"".join((ids >> np.uint32(8 * k)).astype(np.uint8).tobytes() for k in range(wide))
@@ -222,15 +236,15 @@ def frequencies(blocks: DataFrame) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for data in batch.column("ids"):
-                n = np.bincount(from_planes(data.as_py()))
-                total, n = (total, n) if len(total) >= len(n) else (n, total)
-                total = total.copy()
-                total[:len(n)] += n
+            for data in batch.column("counts").to_pylist():
+                used, n = unpack(data, "<u4", "<u4")
+                if len(used):
+                    total = np.pad(total, (0, max(0, int(used[-1]) + 1 - len(total))))
+                    total[used] += n
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["token", "n"])
 
-    found = blocks.select("ids").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    found = blocks.select("counts").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     return {r["token"]: r["n"] for r in found.collect()}
 
 
@@ -246,24 +260,45 @@ def coded(blocks: DataFrame, table) -> DataFrame:
                      *[pa.array([x], pa.binary()) for x in made]],
                     names=["shard", "block", "n_tokens", "doc_ids", "lengths", "states", "places", "checksums", "words"])
 
-    return blocks.mapInArrow(run, CODED_SQL)
+    return blocks.drop("counts").mapInArrow(run, CODED_SQL)
+
 
+def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID) -> None:
+    """Write the token file of ``docs`` to the folder ``path``: its blocks, and the table and numbers that decode them.
 
-def write_tokens(docs: DataFrame, scratch: Scratch, vocabulary: str, end_id: int = END_ID) -> tuple[DataFrame, object]:
-    """(the written file as a table of blocks, the broadcast frequency table)."""
+    A null text is one without tokens but the end id; a null doc_id comes first, rows of one doc_id stand in the order of
+    their texts. Very long texts are encoded whole, in a block of their own size. Columns other than doc_id and text are
+    not read, so their names can't clash. An empty table makes a file without blocks.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "tokenfile")
     blocks = scratch.write(tokenized(docs, vocabulary, end_id), "tokens", compression="zstd")
-    counts = frequencies(blocks)
-    dense = np.zeros(max(counts, default=0) + 1, np.int64)
-    for token, n in counts.items():
-        dense[token] = n
-    table = docs.sparkSession.sparkContext.broadcast(Table(dense))
-    file = scratch.write(coded(blocks, table), "file", compression="uncompressed")
+    counts = sorted(frequencies(blocks).items())
+    head = spark.createDataFrame([(PRECISION, LANES, CHECKPOINT, end_id, [t for t, _ in counts], [n for _, n in counts])], HEAD_SQL)
+    head.coalesce(1).write.parquet(f"{path}/head")
+    table = spark.sparkContext.broadcast(Table(dense(counts)))
+    coded(blocks, table).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     scratch.drop("tokens")
-    return file, table
 
 
-def read_tokens(file: DataFrame, table) -> DataFrame:
-    """Per document of the file: doc_id, start, n_tokens, ids_crc32. Each block is decoded and checked alone."""
+def dense(counts: list[tuple[int, int]]) -> np.ndarray:
+    out = np.zeros(max((t for t, _ in counts), default=0) + 1, np.int64)
+    for token, n in counts:
+        out[token] = n
+    return out
+
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """Per document of the file at ``path``: doc_id, start, n_tokens, ids_crc32. Each block is decoded and checked alone.
+
+    All that decoding needs is read from the file.
+    """
+    head = spark.read.schema(HEAD_SQL).parquet(f"{path}/head").first()
+    if (head["precision"], head["lanes"], head["checkpoint"]) != (PRECISION, LANES, CHECKPOINT):
+        raise ValueError(f"{path} was written with other numbers: {head['precision']}, {head['lanes']}, {head['checkpoint']}")
+    table = spark.sparkContext.broadcast(Table(dense(list(zip(head["tokens"], head["counts"])))))
+    file = spark.read.schema(CODED_SQL).parquet(f"{path}/blocks")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -292,7 +327,7 @@ def read_tokens(file: DataFrame, table) -> DataFrame:
 
 
 def op2_rans_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nulls read as empty texts, of one token; a null doc_id comes first; rows of one doc_id stand in the order of
-    their texts; an empty table makes an empty file."""
-    file, table = write_tokens(read_table(spark, sf_dir, "documents"), Scratch(spark, "tokenfile"), vocabulary_path())
-    return read_tokens(file, table)
+    """The file is written to the shared folder and read back."""
+    path = f"{Scratch(spark, 'tokenfile').root}/file"
+    write_tokens(read_table(spark, sf_dir, "documents"), path, vocabulary_path())
+    return read_tokens(spark, path)
