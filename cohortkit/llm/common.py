@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from cohortkit.session import ensure_test_checkpoint_dir
+from cohortkit.session import shared_folder
 
 #: Words are runs of anything but the six ASCII white-space bytes; bytes.split() cuts just there.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -103,7 +103,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{ensure_test_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         _LEFT.append((spark, self.root))
 
     def write(self, df: DataFrame, name: str, **options: str) -> DataFrame:

@@ -230,17 +230,17 @@ PREDICTED_SQL = ("doc_id long, lang_pred string, score double, n_chars long, nat
 def predict(docs: DataFrame, models, extra: str | None = None, rest: bool = False) -> DataFrame:
     """doc_id, lang_pred, score, n_chars, nats_per_char, rejected (and the column ``extra``), one row per row.
 
-    With ``rest`` the whole row comes along in a struct column ``rest``, so that no name can clash.
+    With ``rest`` the row comes along, its text in a column ``text`` and all else in a struct column ``rest``, so that no
+    name can clash and the text travels once.
 
     ``models`` is a broadcast CharModels (None inside: nothing was learned, every text is ``und``). A null text or
     one without a letter is ``und`` with score 0 and is rejected; ties go to the first language by name. ``score``
     is the best language's share of the likelihood. Only the text is read.
     """
     names = ["doc_id", "text"] + ([extra] if extra else [])
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest")
     if rest:
         extra = "rest"
-        names.append(whole)
+        names.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = models.value
@@ -270,11 +270,16 @@ def predict(docs: DataFrame, models, extra: str | None = None, rest: bool = Fals
             if extra:
                 arrays.append(batch.column(extra))
                 out.append(extra)
+            if rest:
+                arrays.append(batch.column("text"))
+                out.append("text")
             yield pa.RecordBatch.from_arrays(arrays, names=out)
 
     asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *names[1:])
     made = T.StructType.fromDDL(PREDICTED_SQL)
-    return asked.mapInArrow(run, made.add(asked.schema[extra]) if extra else made)
+    if extra:
+        made = made.add(asked.schema[extra])
+    return asked.mapInArrow(run, made.add("text", "string") if rest else made)
 
 
 def fold_of(remainders: int) -> F.Column:

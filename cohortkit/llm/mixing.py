@@ -47,7 +47,7 @@ def fill(children: DataFrame, parents: list[str], name: str) -> DataFrame:
     A child is full if its capacity is at most its weighted share of what the fuller ones leave.
     """
     wide = "decimal(20,0)"
-    rank = Window.partitionBy(*parents).orderBy(F.col("cap") / F.col("weight"), name)
+    rank = Window.partitionBy(*parents).orderBy(F.coalesce(F.try_divide("cap", "weight"), F.lit(0.0)), name)
     whole = Window.partitionBy(*parents)
     upto = rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = children.withColumn("given", F.least("given", F.sum("cap").over(whole)))
@@ -71,7 +71,7 @@ def budgets(leaves: DataFrame, budget_percent: int, max_epochs: int, weights: li
     for depth in (1, 2, 3):
         nodes = x.groupBy(*TREE[:depth]).agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("tokens"))
         nodes = nodes.withColumn("weight", weight_of(F.col(TREE[depth - 1]), weights[depth - 1]).cast("long"))
-        nodes = nodes.withColumn("root", F.lit(0))
+        nodes = nodes.withColumn("cap", F.when(F.col("weight") > 0, F.col("cap")).otherwise(0)).withColumn("root", F.lit(0))
         nodes = nodes.join(given.withColumn("root", F.lit(0)), "root") if depth == 1 \
             else nodes.join(given, TREE[:depth - 1])
         filled = fill(nodes, ["root", *TREE[:depth - 1]], TREE[depth - 1])
@@ -81,7 +81,7 @@ def budgets(leaves: DataFrame, budget_percent: int, max_epochs: int, weights: li
 
 def leaf_columns(docs: DataFrame, domain: Column | None) -> list[Column]:
     source = F.coalesce(F.col("source"), F.lit(""))
-    return [(domain if domain is not None else domain_of(F.col("source"))).alias("domain"),
+    return [F.coalesce(domain if domain is not None else domain_of(F.col("source")), F.lit("")).alias("domain"),
             F.coalesce(F.col("lang"), F.lit("")).alias("lang"), source.alias("source")]
 
 
@@ -95,12 +95,15 @@ def mix(docs: DataFrame, budget_percent: int = BUDGET_PERCENT, max_epochs: int =
     """``docs`` with a column ``mix``: struct(domain, n_tokens, budget of the leaf, copies to take of this row).
 
     The budget is ``budget_percent`` of all tokens (words); ``weights`` are by domain, language and source. A null
-    language or source is a leaf of its own, named "". A null text has no tokens. Rows with the same doc_id stand
+    domain, language or source is a leaf of its own, named "". A weight of 0 takes nothing of that node, and its share goes
+    to its siblings; negative weights are refused. A null text has no tokens. Rows with the same doc_id stand
     together in the order, and are taken or left together. A leaf's tokens taken never exceed its budget. An empty
     table gives an empty result. Columns of ``docs`` keep their names and places, whatever they are; one named
     ``mix`` is replaced.
     """
     weights = weights or [DOMAIN_WEIGHTS, LANG_WEIGHTS, SOURCE_WEIGHTS]
+    if any(w < 0 for level in weights for w in level.values()):
+        raise ValueError("weights are not negative")
     scratch = Scratch(docs.sparkSession, "mixing")
     n_tokens = F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
     slim = scratch.write(docs.select("doc_id", n_tokens.alias("n_tokens"), *leaf_columns(docs, domain)), "slim")

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -20,6 +22,7 @@ from cohortkit.llm.langid import CharModels, fit, grams, identify, predict
 from cohortkit.llm.mixing import ORACLE as MIX_SQL
 from cohortkit.llm.mixing import mix
 from tests.llm import brute
+from tests.conftest import ROOT
 from tests.llm.data import clashing, frame, hard_rows
 
 SMALL = "/root/testdata/sf0.001"
@@ -47,7 +50,7 @@ def split(flat, count):
 # ------------------------------------------------------------------ BPE
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\ta'sté1!<|>中\x1f\xa0"), st.characters(codec="utf-8")), max_size=40), min_size=1))
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\ta'sté1!.,<|>中\x1f\xa0"), st.characters(codec="utf-8")), max_size=40), min_size=1))
 def test_chunks_and_merge_rounds_equal_the_library(texts):
     library = Tokenizer.from_file(vocabulary_path())
     for table in (opened(vocabulary_path())[1], rans.chunk_table(vocabulary_path())):
@@ -114,21 +117,49 @@ def test_a_reader_starts_at_any_checkpoint_and_sees_damage():
     assert len(words) < 1.02 * len(ids) * np.log2(700) / 8
 
 
-def test_token_file_equals_the_library(spark, library, monkeypatch):
+def test_token_file_equals_the_library(spark, library, monkeypatch, tmp_path):
     monkeypatch.setattr(rans, "BLOCK_TOKENS", 3000)
-    rows = hard_rows(11) + [(None, "no id"), (3, "b"), (3, "a"), (3, None)]
-    file, table = rans.write_tokens(clashing(frame(spark, rows)), Scratch(spark, "test"), vocabulary_path())
+    rows = hard_rows(11) + [(None, "no id"), (3, "b"), (3, "a"), (3, None)] + [(None, f"null id {i} " * (i % 9)) for i in range(120)]
+    path = str(tmp_path / "file")
+    rans.write_tokens(clashing(frame(spark, rows)), path, vocabulary_path())
     got = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in
-                 ({**r.asDict(), "doc_id": r["doc_id"] if r["doc_id"] is not None else -1} for r in rans.read_tokens(file, table).collect()))
+                 ({**r.asDict(), "doc_id": r["doc_id"] if r["doc_id"] is not None else -1} for r in rans.read_tokens(spark, path).collect()))
     at, want = 0, []
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
     for (i, _), ids in zip(order, ids_of(library, [t for _, t in order])):
         raw = np.array([*ids, rans.END_ID], "<u4").tobytes()
         want.append((at, -1 if i is None else i, len(ids) + 1, zlib.crc32(raw)))
         at += len(ids) + 1
-    assert got == want and file.count() > 3
-    file, table = rans.write_tokens(frame(spark, rows).limit(0), Scratch(spark, "test"), vocabulary_path())
-    assert rans.read_tokens(file, table).collect() == []
+    blocks = spark.read.parquet(f"{path}/blocks")
+    assert got == want and blocks.count() > 3
+    # null ids alone fill several ranges
+    assert blocks.where("exists(doc_ids, i -> i is null)").select("shard").distinct().count() > 1
+    empty = str(tmp_path / "empty")
+    rans.write_tokens(frame(spark, rows).limit(0), empty, vocabulary_path())
+    assert rans.read_tokens(spark, empty).collect() == []
+
+
+def test_another_process_decodes_the_file(spark, library, tmp_path):
+    path = str(tmp_path / "file")
+    rows = hard_rows(12)
+    rans.write_tokens(frame(spark, rows), path, vocabulary_path())
+    code = (f"import numpy as np, pyarrow.parquet as pq\nfrom cohortkit.llm import rans\n"
+            f"head = pq.read_table('{path}/head').to_pylist()[0]\n"
+            f"table = rans.Table(rans.dense(list(zip(head['tokens'], head['counts']))))\n"
+            f"for b in pq.read_table('{path}/blocks').sort_by([('shard', 'ascending'), ('block', 'ascending')]).to_pylist():\n"
+            f"    print(*rans.decode(b['n_tokens'], b['states'], b['places'], b['checksums'], b['words'], table))\n")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=ROOT).stdout.split()
+    order = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or ""))
+    assert list(map(int, out)) == [i for ids in ids_of(library, [t for _, t in order]) for i in [*ids, rans.END_ID]]
+
+
+def test_chunks_that_cannot_be_told_apart_are_encoded_one_by_one(library):
+    encoder = rans.LibraryEncoder(vocabulary_path())
+    chunks = [" one", "two", " three", ",", "\nfour", "\n", " five\n"]
+    wrong = encoder.length.copy()
+    encoder.length = wrong + 1  # no end of a chunk is met
+    flat, count = encoder(chunks)
+    assert split(flat, count) == ids_of(library, chunks)
 
 
 def test_ids_beyond_sixteen_bits_travel_whole():
@@ -393,3 +424,31 @@ def test_stages_take_hard_and_empty_tables(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SMALL).count() == 0
+
+
+def test_a_null_domain_is_a_leaf_and_a_weight_of_nothing_takes_nothing(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, "word " * 10, "en", s, 50) for i, s in enumerate(["a1", "b2", None, "c3"] * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    domain = F.when(F.col("source") == "a1", F.lit("kept")).when(F.col("source") == "b2", F.lit("none"))
+    got = mix(docs, budget_percent=60, max_epochs=1, domain=domain, weights=[{"none": 0}, {}, {}]).collect()
+    taken = {}
+    for r in got:
+        taken[r["mix"]["domain"]] = taken.get(r["mix"]["domain"], 0) + r["mix"]["copies"]
+    assert len(got) == 20 and taken == {"kept": 5, "none": 0, "": 6}  # 70 tokens for two sources: 35 each, three texts
+    with pytest.raises(ValueError, match="negative"):
+        mix(docs, weights=[{"a": -1}, {}, {}])
+
+
+def test_cosines_of_very_large_and_very_small_vectors(spark):
+    rows = [(0, [1e200, 2e200]), (1, [1e200, 2e200]), (2, [1e-200, 1e-200]), (3, [1.0, 1.0]), (4, [5e-324, 0.0]), (5, [1.7e308, -1.7e308])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["vec_id"]): r["score"] for r in onebit.nearest(table, table, 5).collect()}
+    unit = {i: np.array(v) / np.abs(v).max() for i, v in rows}
+    for (q, v), score in got.items():
+        assert score == pytest.approx(unit[q] @ unit[v] / np.linalg.norm(unit[q]) / np.linalg.norm(unit[v]), abs=1e-15)
+    assert len(got) == 30
+    ordinary = np.random.default_rng(1).standard_normal((50, 16))
+    plain = np.cumsum(ordinary * ordinary[0], axis=1)[:, -1] / (onebit.lengths(ordinary[:1])[0] * onebit.lengths(ordinary))
+    assert (onebit.exact(ordinary[0], ordinary) == plain).all()
