@@ -23,7 +23,8 @@ MIX_PERCENT = 70
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that no learned language accepts go, and with them null texts and those without a letter."""
     found = identify(docs, docs.where(fold_of(4) != 2), rest=True)
-    return found.where("not rejected").select("rest.*")
+    kept = [F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns]
+    return found.where("not rejected").select(*kept)
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
