@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortkit.llm.chunks import ChunkTable
-from cohortkit.llm.common import columns, read_table, text_groups, utf8_buffer
+from cohortkit.llm.common import columns, read_table, text_batches, text_groups, utf8_buffer
 
 NONE = np.int64(2**62)
 
@@ -220,6 +220,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, digests: bool = True) -> Dat
             else:
                 yield columns(SCHEMA, doc_id=batch.column("doc_id"), n_tokens=n, ids=ids, decoded=back)
 
+    text_batches(docs.sparkSession)
     made = "ids_sha256 string, decoded_sha256 string" if digests else "ids binary, decoded binary"
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, f"doc_id long, n_tokens long, {made}")
 

@@ -39,6 +39,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 # ---------------------------------------------------------------- arrow
 
+TEXTS_PER_BATCH = 2000  # rows that Spark hands to Python at a time, unless the session asks for fewer
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch to TEXTS_PER_BATCH: it was chosen for numbers, and a batch of texts is
+    held several times over on its way to a worker. It changes no result; a session that asks for fewer keeps its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXTS_PER_BATCH:
+        spark.conf.set(key, str(TEXTS_PER_BATCH))
+
+
 def utf8_buffer(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, offsets, is_null) of a string column; a null reads as an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -103,6 +114,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        text_batches(spark)
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         _LEFT.append((spark, self.root))
 
@@ -261,6 +273,7 @@ def batched(docs: DataFrame, per_partition: int = 2, rest: bool = False) -> tupl
     batches are cut by ranges of the text, which is the order inside a batch too.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     parts = shuffle_partitions(spark)
     n = parts * per_partition
     cuts = docs.select("doc_id").approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)) if n > 1 else []

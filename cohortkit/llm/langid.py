@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.llm.common import mix64, read_table, text_groups, utf8_buffer
+from cohortkit.llm.common import mix64, read_table, text_batches, text_groups, utf8_buffer
 
 ORDER = 4
 SPACE, START = 32, 1
@@ -195,6 +195,7 @@ def fit(train: DataFrame, docs_per_lang: int = 1000) -> CharModels | None:
     larger half for the fit; without a text apart it has no limit. Only the sample's gram counts reach the driver.
     """
     spark = train.sparkSession
+    text_batches(spark)
     known = train.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     totals = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(share, 0.5).alias("half")).collect()
