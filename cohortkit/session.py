@@ -66,9 +66,6 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-ensure_test_checkpoint_dir = shared_folder  # the earlier name
-
-
 def recommended_conf(input_bytes: int, cores: int, target_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized to the input volume (bytes of the largest fact read by a program).
 

@@ -10,9 +10,9 @@ if ROOT not in sys.path:
 
 @pytest.fixture(scope="session")
 def spark():
-    from cohortkit.session import ensure_test_checkpoint_dir, local_session
+    from cohortkit.session import local_session, shared_folder
     session = local_session(4, shuffle_partitions=4, app="cohortkit-tests")
-    ensure_test_checkpoint_dir(session)
+    shared_folder(session)
     yield session
     session.stop()
 
