@@ -6,8 +6,10 @@ until one is absent, so an n-gram is never read lower than it was entered. The f
 bucket of the counts, so each bucket's task sets its own bits. A segment has BITS_PER_ENTRY bits for each entry of its
 bucket, so the filter grows with the n-grams found: what is entered and the error rate are the same at every size.
 
-The segments are a Parquet table and never meet in one place. A batch of texts asks each bucket for the levels of its
-words and pairs, the bucket reads them from its own segment, and the texts are scored with smoothed probabilities.
+The segments are a Parquet table. While they have at most ``BROADCAST_BYTES`` in all they are broadcast, and the task of
+a batch of texts probes them itself. A larger filter never meets in one place: a batch asks each bucket for the levels of
+its words and pairs, and the bucket reads them from its own segment. Either way the levels, and so the scores, are the
+same; the texts are scored with smoothed probabilities.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,10 @@ from cohortkit.llm.common import (ASK, ASK_SQL, Scratch, answered, answers, batc
                                   read_table, shuffle_partitions, text_groups, unpack, utf8_buffer, word_names)
 
 BITS_PER_ENTRY, HASHES, GROWTH = 12, 5, 1.25
+#: The filter is broadcast while its segments have at most this many bytes in all, as measured on the written table.
+BROADCAST_BYTES = 16 << 20
+#: Pairs are entered and asked by the low 48 bits of their names; the bucket is that of the whole name.
+PAIR_BITS = np.uint64(2**48 - 1)
 #: A pair's share of its history weighs PAIR_WEIGHT * c / (c + PAIR_HALF) against the word's own probability.
 PAIR_WEIGHT, PAIR_HALF = 0.5, 2.0
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
@@ -88,10 +95,10 @@ def levels(segment: np.ndarray, key: np.ndarray, first: int = 1) -> np.ndarray:
     return out
 
 
-def filled(found: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
+def filled(found: list[tuple[np.ndarray, np.ndarray]], bits_per_entry: int = BITS_PER_ENTRY) -> bytes:
     """The segment of (keys, counts): each n-gram from the first level up to its own."""
     level = [level_of(n) for _, n in found]
-    flags = np.zeros(max(64, -(-sum(int(q.sum()) for q in level) * BITS_PER_ENTRY // 8) * 8), bool)
+    flags = np.zeros(max(64, -(-sum(int(q.sum()) for q in level) * bits_per_entry // 8) * 8), bool)
     for (key, _), q in zip(found, level):
         for j in range(1, int(q.max(initial=0)) + 1):
             some = key[q >= j]
@@ -119,7 +126,7 @@ COUNTED = pa.schema([("bucket", pa.int32()), ("order", pa.int32()), ("data", pa.
 SEGMENTS_SQL = "bucket int, tokens long, words long, documents long, bits binary"
 
 
-def segments(texts: DataFrame, n_buckets: int) -> DataFrame:
+def segments(texts: DataFrame, n_buckets: int, bits_per_entry: int = BITS_PER_ENTRY) -> DataFrame:
     """A row for each bucket: the tokens, words and starts counted in it, and its segment of the filter over all texts.
 
     Each task combines its own counts before the shuffle. Pairs that a task saw once travel as six-byte keys.
@@ -138,7 +145,7 @@ def segments(texts: DataFrame, n_buckets: int) -> DataFrame:
                     if order == 2:
                         rows.append((b, 3, short(key[mine[once]])))
                         mine = mine[~once]
-                        key_, n_ = key[mine] & np.uint64(2**48 - 1), n[mine]
+                        key_, n_ = key[mine] & PAIR_BITS, n[mine]
                     else:
                         key_, n_ = key[mine], n[mine]
                     rows.append((b, order, key_.tobytes() + n_.astype(np.uint64).tobytes()))
@@ -174,7 +181,7 @@ def segments(texts: DataFrame, n_buckets: int) -> DataFrame:
                 found.append((key, count_))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b], pa.int32()), *[pa.array([x], pa.int64()) for x in (n_tokens, n_words, n_docs)],
-                 pa.array([filled(found)], pa.binary())], names=["bucket", "tokens", "words", "documents", "bits"])
+                 pa.array([filled(found, bits_per_entry)], pa.binary())], names=["bucket", "tokens", "words", "documents", "bits"])
 
     return texts.select("text").mapInArrow(count, COUNTED_SQL).repartitionById(n_buckets, F.col("bucket")).mapInArrow(
         total, SEGMENTS_SQL)
@@ -189,6 +196,7 @@ class BloomModel:
     tokens: int
     words: int
     documents: int
+    bytes: int
 
     def levels(self, key: np.ndarray, bucket: np.ndarray, first: int) -> np.ndarray:
         """Level of some n-grams, for a look at the model: one segment at a time comes to the driver."""
@@ -198,27 +206,38 @@ class BloomModel:
             out[at] = levels(np.frombuffer(r["bits"], np.uint8), key[at], first)
         return out
 
+    def broadcast(self) -> Broadcast:
+        """Bucket -> segment, for all workers. Only for a filter whose ``bytes`` are known to be few."""
+        found = self.filter.select("bucket", "bits").collect()
+        return self.filter.sparkSession.sparkContext.broadcast(
+            {r["bucket"]: np.frombuffer(r["bits"], np.uint8) for r in found})
 
-def fit(train: DataFrame) -> BloomModel:
+
+def fit(train: DataFrame, bits_per_entry: int = BITS_PER_ENTRY) -> BloomModel:
     """The model of all texts of ``train``. Its table stays until the session ends, as the scores read it."""
     spark = train.sparkSession
     n_buckets = shuffle_partitions(spark)
-    table = Scratch(spark, "bloomlm").write(segments(train, n_buckets), "filter")
-    total = table.agg(F.sum("tokens"), F.sum("words"), F.sum("documents")).first()
+    table = Scratch(spark, "bloomlm").write(segments(train, n_buckets, bits_per_entry), "filter")
+    total = table.agg(F.sum("tokens"), F.sum("words"), F.sum("documents"), F.sum(F.octet_length("bits"))).first()
     return BloomModel(table, n_buckets, *[int(x or 0) for x in total])
 
 
-def score(docs: DataFrame, train: str = "true") -> DataFrame:
+def score(docs: DataFrame, train: str = "true", broadcast_bytes: int = BROADCAST_BYTES,
+          bits_per_entry: int = BITS_PER_ENTRY) -> DataFrame:
     """Log10 probabilities of all texts by a model of the texts for which the SQL condition ``train`` holds.
 
     ``docs`` has doc_id and text. Result, one row per row: doc_id, n_tokens (words and one end), n_known (of them, those
     found in a training text), train_tokens, base_score (words alone, exact counts, half a count added to each), score
     (the model). A null text is empty: it has only its end, and counts as a text of the training if its row does. A
     condition that is null does not hold. Without training texts all counts are 0. An empty table gives an empty result.
+    A very long text is scored whole, in one task with its batch. Other columns of ``docs`` are not looked at.
+
+    A filter of at most ``broadcast_bytes`` is broadcast, a larger one is asked bucket by bucket; the scores are equal.
     """
     spark = docs.sparkSession
     flagged = docs.select("doc_id", "text", F.coalesce(F.expr(train), F.lit(False)).alias("train"))
-    lm = fit(flagged.where("train"))
+    lm = fit(flagged.where("train"), bits_per_entry)
+    near = lm.broadcast() if lm.bytes <= broadcast_bytes else None
     n_tokens, n_words, begin = lm.tokens, lm.words, float(count_at(level_of(np.array([lm.documents])))[0])
     table, parts = batched(flagged, rest=True)
 
@@ -230,7 +249,7 @@ def score(docs: DataFrame, train: str = "true") -> DataFrame:
         use = np.asarray(group.column("rest").combine_chunks().field("train"), dtype=bool)
         key, at = np.unique(names, return_inverse=True)
         n = np.bincount(at, np.repeat(use, np.diff(starts)), len(key)).astype(np.uint64)
-        pair = np.unique(pairs)
+        pair = np.unique(pairs) if near is None else pairs[:0]
         (order, cut), (pair_order, pair_cut) = deal(key, parts), deal(pair, parts)
         rows = []
         for b in np.flatnonzero(np.diff(cut) + np.diff(pair_cut)).tolist():
@@ -241,8 +260,11 @@ def score(docs: DataFrame, train: str = "true") -> DataFrame:
         return pa.table({"bucket": [b for b, _ in rows], "batch": [batch] * len(rows), "kind": [0] * len(rows),
                          "data": [d for _, d in rows]}, schema=ASK)
 
-    def read(asked: list[tuple[int, bytes]], held: bytes) -> list[bytes]:
-        """For each row the counts of its words over all batches, the levels of its words and those of its pairs."""
+    def read(asked: list[tuple[int, bytes]], held: bytes = b"") -> list[bytes]:
+        """For each row the counts of its words over all batches, the levels of its words and those of its pairs.
+
+        No levels are read, and no pairs asked, where the batches have the filter themselves.
+        """
         segment = np.frombuffer(held, np.uint8)
         words = [int.from_bytes(d[:8], "little") for _, d in asked]
         key, at = np.unique(np.concatenate([np.frombuffer(d, np.uint64, k, 8) for (_, d), k in zip(asked, words)]),
@@ -267,9 +289,16 @@ def score(docs: DataFrame, train: str = "true") -> DataFrame:
         replies, _ = answered(said)
         for b in np.flatnonzero(np.diff(cut) + np.diff(pair_cut)):
             mine = order[cut[b]:cut[b + 1]]
+            mine_pairs = pair_order[pair_cut[b]:pair_cut[b + 1]]
+            if near is not None:
+                segment = near.value.get(b, np.zeros(0, np.uint8))
+                level[mine], pair_level[mine_pairs] = levels(segment, key[mine]), levels(segment, pair[mine_pairs] & PAIR_BITS)
+                if not len(mine):
+                    continue
+            else:
+                level[mine] = np.frombuffer(replies[b], np.uint8, len(mine), 8 * len(mine))
+                pair_level[mine_pairs] = np.frombuffer(replies[b], np.uint8, offset=9 * len(mine))
             exact[mine] = np.frombuffer(replies[b], np.uint64, len(mine))
-            level[mine] = np.frombuffer(replies[b], np.uint8, len(mine), 8 * len(mine))
-            pair_level[pair_order[pair_cut[b]:pair_cut[b + 1]]] = np.frombuffer(replies[b], np.uint8, offset=9 * len(mine))
         floor = n_tokens + 0.5 * (n_words + 1)
         base = np.log10((exact + 0.5) / floor)[at]
         # the model: words and pairs as the filter tells their counts
@@ -286,7 +315,8 @@ def score(docs: DataFrame, train: str = "true") -> DataFrame:
                          "base_score": pa.array(per[0]), "score": pa.array(per[1])})
 
     by = table.groupBy("batch")
-    said = answers(by.applyInArrow(ask, ASK_SQL), parts, read, lm.filter.select("bucket", F.col("bits").alias("data")))
+    held = lm.filter.select("bucket", F.col("bits").alias("data")) if near is None else None
+    said = answers(by.applyInArrow(ask, ASK_SQL), parts, read, held)
     said = said.repartition(parts, "batch")
     return by.cogroup(said.groupBy("batch")).applyInArrow(
         finish, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")

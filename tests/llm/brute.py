@@ -103,3 +103,38 @@ def unigram_scores(rows):
     n, v = sum(count.values()), len(count)
     return [(i, len(w), sum(count[x] > 0 for x in w), n,
              sum(math.log10((count[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)) for i, w in tokens]
+
+
+def quantised(count):
+    """The middle of the range of counts that share a level: ranges of one at first, then growing by a quarter."""
+    if not count:
+        return 0.0
+    low = 1
+    while True:
+        above = max(low + 1, math.ceil(low * 1.25))
+        if count < above:
+            return (low + above - 1) / 2
+        low = above
+
+
+def model_scores(rows, learns):
+    """[(doc_id, score)] of the mixture of pair and word shares, from exact counts quantised."""
+    start, end = "start", "end"  # words are bytes, so these are none
+    tokens = [(i, (t or "").encode().translate(LOWER).split() + [end]) for i, t in rows]
+    words, pairs, texts = Counter(), Counter(), 0
+    for i, w in tokens:
+        if learns(i):
+            texts += 1
+            words.update(w)
+            pairs.update(zip([start, *w], w))
+    floor = sum(words.values()) + 0.5 * (len(words) + 1)
+    out = []
+    for i, w in tokens:
+        total = 0.0
+        for before, word in zip([start, *w], w):
+            history = quantised(texts if before == start else words[before])
+            weight = 0.5 * history / (history + 2.0)
+            paired = min(quantised(pairs[before, word]), history) / max(history, 1)
+            total += math.log10(weight * paired + (1 - weight) * (quantised(words[word]) + 0.5) / floor)
+        out.append((i, total))
+    return out

@@ -275,6 +275,24 @@ def test_base_scores_equal_brute_force(spark):
     assert {r["train_tokens"] for r in alone} == {0} and {r["n_known"] for r in alone} == {0}
 
 
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 30])
+def test_model_scores_equal_brute_force(spark, broadcast_bytes):
+    """With 64 bits an entry a probe errs once in 400,000: the scores are those of the exact counts, quantised."""
+    rows = hard_rows(14, n=90)
+    found = bloom_lm.score(frame(spark, rows), FOLD, broadcast_bytes, bits_per_entry=64).collect()
+    got = {r["doc_id"]: r["score"] for r in found}
+    want = dict(brute.model_scores(rows, lambda i: zlib.crc32(str(i).encode()) % 5 != 1))
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], rel=1e-9) for i in want)
+
+
+def test_a_broadcast_filter_and_one_asked_by_buckets_give_equal_rows(spark):
+    rows = hard_rows(15, n=90) + [(None, "the of"), (3, "the"), (3, "the")]
+    one, other = (sorted(bloom_lm.score(frame(spark, rows), FOLD, most).collect(), key=str) for most in (0, 1 << 30))
+    assert one == other
+    nothing = bloom_lm.score(frame(spark, rows[:3]), "false", 1 << 30).collect()
+    assert len(nothing) == 3 and {r["n_known"] for r in nothing} == {0}
+
+
 def test_model_beats_the_base_on_held_out_texts(spark):
     rng = random.Random(8)
     after = {w: rng.sample(range(300), 4) for w in range(300)}
