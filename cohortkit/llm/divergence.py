@@ -3,25 +3,21 @@
 Two histograms of each text, of character classes and of common words, are compared to the references
 of the languages by the Jensen-Shannon distance (the square root of the divergence in bits, 0 to 1). A
 text is kept if it is near to some language in both. A histogram counts only from a least length on.
-The references are sums over all documents of the language.
+The languages are those that the documents name; the common words of each are its most frequent ones,
+counted over all documents of it, and its references are sums over all of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortkit.llm.common import Scratch, read_table
 
-#: Eight common words of each language.
-COMMON_WORDS = {
-    "de": ["der", "die", "und", "in", "den", "von", "zu", "das"],
-    "en": ["the", "of", "and", "to", "in", "a", "is", "that"],
-    "es": ["de", "la", "que", "el", "en", "y", "a", "los"],
-    "fr": ["de", "la", "le", "et", "les", "des", "en", "un"],
-}
-LANGS = sorted(COMMON_WORDS)
-VOCABULARY = sorted({w for words in COMMON_WORDS.values() for w in words})
+#: How many common words a language has, and how many words its documents must have in all for it to be a reference.
+COMMON_WORDS, LEAST_WORDS = 8, 1000
+#: A common word holds a letter of ASCII or a character beyond ASCII.
+WORDLIKE = "[A-Za-z]|[^\\x00-\\x7F]"
 SYMBOLS = "[#*$%&|<>]"
 #: white space, symbols, digits, capitals, punctuation, bytes beyond ASCII, all else
 CLASSES = 7
@@ -55,13 +51,40 @@ def repeat_words() -> str:
     return f"cast(if(size(words) < 3, 0, {counted}) as long)"
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, the base counts and the two histograms (arrays of counts), in one pass over the text."""
+def worded(docs: DataFrame) -> DataFrame:
+    """doc_id, lang, text (a null one empty) and its words."""
     t = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.coalesce("text", F.lit("")).alias("text"))
     t = t.withColumn("bare", F.expr(f"trim(BOTH {SPACES} FROM text)"))
-    t = t.withColumn("words", F.expr(f"if(bare = '', array(), split(bare, {CUT}))"))
+    return t.withColumn("words", F.expr(f"if(bare = '', array(), split(bare, {CUT}))"))
+
+
+def common_words(docs: DataFrame, n: int = COMMON_WORDS, least: int = LEAST_WORDS) -> dict[str, list[str]]:
+    """Language -> its ``n`` most frequent words over all its documents, ties to the smaller word.
+
+    Languages whose documents have fewer than ``least`` words in all are left out. Each task counts, and later ranks, its
+    own words first; ``n`` rows per language reach the driver.
+    """
+    scratch = Scratch(docs.sparkSession, "common-words")
+    counted = scratch.write(worded(docs).where("lang is not null").select("lang", F.explode("words").alias("word")).groupBy(
+        "lang", "word").count(), "counted")
+    large = counted.groupBy("lang").agg(F.sum("count").alias("total")).where(F.col("total") >= least).select("lang")
+    ranked = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
+    top = counted.where(F.col("word").rlike(WORDLIKE)).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= n)
+    found: dict[str, list[str]] = {r["lang"]: [] for r in large.collect()}
+    for r in top.join(large, "lang", "left_semi").orderBy("lang", "rank").collect():
+        found[r["lang"]].append(r["word"])
+    scratch.drop("counted")
+    return dict(sorted(found.items()))
+
+
+def features(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """doc_id, lang, the base counts and the two histograms (arrays of counts), in one pass over the text."""
+    t = worded(docs)
     t = t.withColumn("lines", F.expr(f"filter(split(text, '\\n'), l -> trim(BOTH {SPACES} FROM l) <> '')"))
-    listed = ", ".join(f"'{w}'" for w in VOCABULARY)
+    listed = F.array(*[F.lit(w) for w in vocabulary]).cast("array<string>")
+    used = F.array(F.filter("words", lambda w: w.isin(vocabulary)))  # evaluated once
+    common = F.element_at(F.transform(used, lambda f: F.transform(
+        listed, lambda k: (F.size(f) - F.size(F.array_remove(f, k))).cast("long"))), 1)
     t = t.select(
         "doc_id", "lang", F.size("words").cast("long").alias("n_words"), F.length("text").cast("long").alias("n_chars"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
@@ -72,8 +95,7 @@ def features(docs: DataFrame) -> DataFrame:
         F.regexp_count("text", F.lit("[A-Z]")).cast("long").alias("capitals"),
         F.regexp_count("text", F.lit("[.,;:!?'\"()-]")).cast("long").alias("points"),
         (F.octet_length("text") - F.length("text")).cast("long").alias("beyond"),
-        F.expr(let(f"filter(words, w -> w in ({listed}))", "f",
-                   f"transform(array({listed}), k -> cast(size(f) - size(array_remove(f, k)) as long))")).alias("common"))
+        common.alias("common"))
     spaces = F.col("n_chars") - F.col("word_chars")
     known = [spaces, *(F.col(c) for c in ("n_symbols", "digits", "capitals", "points", "beyond"))]
     rest = F.greatest(F.lit(0).cast("long"), F.col("n_chars") - sum(known[1:], known[0]))
@@ -82,43 +104,45 @@ def features(docs: DataFrame) -> DataFrame:
                     F.array(*known, rest).alias("chars"), F.concat("common", F.array(others)).alias("common"))
 
 
-def references(found: DataFrame, column: str, size: int) -> dict[str, list[float]]:
-    """Language -> shares of a histogram over all its documents: one row of sums per language reaches the driver."""
-    sums = found.where(F.col("lang").isin(LANGS)).groupBy("lang").agg(
-        *[F.sum(F.col(column)[i]).alias(f"s{i}") for i in range(size)]).collect()
-    out = {r["lang"]: [int(r[f"s{i}"]) for i in range(size)] for r in sums}
-    return {lang: [x / sum(v) for x in v] for lang, v in sorted(out.items()) if sum(v)}
+def references(found: DataFrame, langs: list[str], column: str, size: int) -> list[list[float]]:
+    """For each language the shares of a histogram over all its documents: one row of sums per language is collected."""
+    sums = found.where(F.col("lang").isin(langs)).groupBy("lang").agg(
+        *[F.sum(F.col(column)[i]).alias(f"s{i}") for i in range(size)]).orderBy("lang").collect()
+    out = [[int(r[f"s{i}"]) for i in range(size)] for r in sums]
+    return [[x / sum(v) for x in v] for v in out if sum(v)]
 
 
-def distance(column: str, reference: list[float]) -> Column:
-    """Jensen-Shannon distance of a histogram column to the reference."""
-    q = "array(" + ", ".join(f"{x!r}D" for x in reference) + ")"
+def nearest(column: str, refs: list[list[float]]) -> Column:
+    """Least Jensen-Shannon distance of a histogram column to a reference; 0 if there is none."""
+    if not refs:
+        return F.lit(0.0)
+    listed = "array(" + ", ".join("array(" + ", ".join(f"{x!r}D" for x in r) + ")" for r in refs) + ")"
     term = ("(if(p > 0, p * log2(2 * p / (p + q)), 0D) + if(q > 0, q * log2(2 * q / (p + q)), 0D)) / 2")
-    total = f"aggregate({column}, 0L, (a, b) -> a + b)"
-    shares = let(total, "n", f"transform({column}, x -> x / n)")
-    return F.expr(f"sqrt(greatest(0D, aggregate(zip_with({shares}, {q}, (p, q) -> {term}), 0D, (a, b) -> a + b)))")
-
+    distance = f"sqrt(greatest(0D, aggregate(zip_with(s, r, (p, q) -> {term}), 0D, (a, b) -> a + b)))"
+    shares = let(f"aggregate({column}, 0L, (a, b) -> a + b)", "n", f"transform({column}, x -> x / n)")
+    return F.expr(let(shares, "s", f"array_min(transform({listed}, r -> {distance}))"))
 
-def nearest(column: str, refs: dict[str, list[float]]) -> Column:
-    """Least distance to any language; 0 if there is no reference."""
-    distances = [distance(column, r) for r in refs.values()]
-    return F.least(*distances) if len(distances) > 1 else distances[0] if distances else F.lit(0.0)
 
-
-def quality(docs: DataFrame) -> DataFrame:
+def quality(docs: DataFrame, words: dict[str, list[str]] | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, lang): the base counts, the distances and the verdict.
 
+    ``words`` names the languages that are references and their common words; by default both are taken from the
+    documents (``common_words``), whatever their languages are. They are few: a language is a label of the column lang.
+
     A null text is empty, and like every text of under 50 words fails the base rule; texts with more than half of
     their words in repeated three-word windows fail it too. A histogram of a text shorter than MIN_CHARS or
-    MIN_WORDS has distance null and passes. A null or other language only means that the text adds to no reference.
-    Without any reference nothing is rejected by distance. Repeated rows each get their row; an empty table gives an
+    MIN_WORDS has distance null and passes. A null language, or one with fewer than LEAST_WORDS words, only means that the
+    text adds to no reference. Without any reference nothing is rejected by distance. Other columns are not looked at, and
+    a very long text is judged whole like any other. Repeated rows each get their row; an empty table gives an
     empty result.
     """
-    found = Scratch(docs.sparkSession, "quality").write(features(docs), "features")
-    chars = nearest("chars", references(found, "chars", CLASSES))
-    words = nearest("common", references(found, "common", len(VOCABULARY) + 1))
+    words = common_words(docs) if words is None else words
+    langs, vocabulary = sorted(words), sorted({w for listed in words.values() for w in listed})
+    found = Scratch(docs.sparkSession, "quality").write(features(docs, vocabulary), "features")
+    chars = nearest("chars", references(found, langs, "chars", CLASSES))
+    common = nearest("common", references(found, langs, "common", len(vocabulary) + 1))
     out = found.withColumn("char_distance", F.when(F.col("n_chars") >= MIN_CHARS, chars)).withColumn(
-        "word_distance", F.when(F.col("n_words") >= MIN_WORDS, words))
+        "word_distance", F.when(F.col("n_words") >= MIN_WORDS, common))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     near = (F.coalesce("char_distance", F.lit(0.0)) <= MAX_CHAR_DISTANCE) & (
         F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE)
@@ -138,12 +162,15 @@ def _sql_distance(histogram: str, refs: str) -> str:
       list_transform({histogram}, lambda x: x / list_sum({histogram})), q), lambda z: {term})) / 2))) FROM {refs}), 0)"""
 
 
-_LANGS = ", ".join(f"'{x}'" for x in LANGS)
-_COMMON = ", ".join(f"'{w}'" for w in VOCABULARY)
 ORACLE = rf"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
-w AS (SELECT r, doc_id, lang, t, regexp_extract_all(t, '[^ 	-]+') AS w,
-    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^ 	-]')) AS lines FROM d),
+w AS (SELECT r, doc_id, lang, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM d),
+lw AS (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(w) AS word FROM w WHERE lang IS NOT NULL) GROUP BY lang, word),
+lg AS (SELECT lang FROM lw GROUP BY lang HAVING sum(n) >= {LEAST_WORDS}),
+top AS (SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS k
+    FROM lw SEMI JOIN lg USING (lang) WHERE regexp_matches(word, '{WORDLIKE}')),
+voc AS (SELECT coalesce(list(DISTINCT word ORDER BY word), []) AS v FROM top WHERE k <= {COMMON_WORDS}),
 tri AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n
     FROM w, unnest(range(1, len(w) - 1)) u(i) WHERE len(w) >= 3),
 rep AS (SELECT r, count(DISTINCT i + j) AS n FROM tri, unnest(range(0, 3)) v(j) WHERE tri.n > 1 GROUP BY r),
@@ -153,15 +180,15 @@ f AS (SELECT w.r, doc_id, lang, len(w)::BIGINT AS n_words, length(t)::BIGINT AS
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
     [len(regexp_extract_all(t, '[0-9]')), len(regexp_extract_all(t, '[A-Z]')),
      len(regexp_extract_all(t, '[.,;:!?''"()-]')), strlen(t) - length(t)] AS part,
-    list_transform([{_COMMON}], lambda k: len(list_filter(w, lambda x: x = k))) AS common
+    list_transform((SELECT v FROM voc), lambda k: len(list_filter(w, lambda x: x = k))) AS common
     FROM w LEFT JOIN rep USING (r)),
 h AS (SELECT *, [n_chars - word_chars, n_symbols, part[1], part[2], part[3], part[4],
       greatest(0, word_chars - n_symbols - list_sum(part))] AS chars,
     list_concat(common, [n_words - list_sum(common)]) AS usual FROM f),
-cs AS (SELECT lang, i, sum(chars[i]) AS s FROM h, unnest(range(1, {CLASSES} + 1)) u(i) WHERE lang IN ({_LANGS}) GROUP BY lang, i),
+cs AS (SELECT lang, i, sum(chars[i]) AS s FROM h, unnest(range(1, {CLASSES} + 1)) u(i) WHERE lang IN (SELECT lang FROM lg) GROUP BY lang, i),
 cr AS (SELECT lang, list(s::DOUBLE / total ORDER BY i) AS q FROM (SELECT *, sum(s) OVER (PARTITION BY lang) AS total FROM cs)
     WHERE total > 0 GROUP BY lang),
-us AS (SELECT lang, i, sum(usual[i]) AS s FROM h, unnest(range(1, {len(VOCABULARY)} + 2)) u(i) WHERE lang IN ({_LANGS}) GROUP BY lang, i),
+us AS (SELECT lang, i, sum(usual[i]) AS s FROM h, unnest(range(1, len(usual) + 1)) u(i) WHERE lang IN (SELECT lang FROM lg) GROUP BY lang, i),
 ur AS (SELECT lang, list(s::DOUBLE / total ORDER BY i) AS q FROM (SELECT *, sum(s) OVER (PARTITION BY lang) AS total FROM us)
     WHERE total > 0 GROUP BY lang),
 v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,

@@ -5,8 +5,10 @@ import random
 import subprocess
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -17,7 +19,8 @@ import corpus_pipeline
 from cohortkit.llm import bloom_lm, onebit, rans
 from cohortkit.llm.bpe import MergeRounds, encode_decode, opened, vocabulary_path
 from cohortkit.llm.common import Scratch, utf8_buffer
-from cohortkit.llm.divergence import quality
+from cohortkit.llm.divergence import ORACLE as QUALITY_SQL
+from cohortkit.llm.divergence import common_words, quality
 from cohortkit.llm.langid import CharModels, fit, grams, identify, predict
 from cohortkit.llm.mixing import ORACLE as MIX_SQL
 from cohortkit.llm.mixing import mix
@@ -259,6 +262,50 @@ def test_divergence_keeps_prose_and_rejects_junk(spark):
     assert sum(got[i]["kept"] or got[i]["base_failed"] for i, _ in prose) == len(prose)
 
 
+def prose(rng, words, n):
+    """Texts whose words come by Zipf's law, so that the first ones are the common words."""
+    share = [1 / (k + 2) for k in range(len(words))]
+    return [" ".join(rng.choices(words, share, k=rng.randrange(150, 300))) + "." for _ in range(n)]
+
+
+def many_languages(rng):
+    """(doc_id, text, lang) of three languages, one in letters beyond ASCII, one with a quote in its name and its words."""
+    words = {"xx": [f"{a}{b}" for a in "kptmn" for b in ("a", "ai", "o", "u", "ere", "inda")],
+             "el": [f"{a}{b}" for a in "κπτμν" for b in ("α", "αι", "ο", "ου", "ερε", "ινδα")],
+             "o'c": [f"{a}'{b}" for a in "ldscj" for b in ("a", "ai", "o", "u", "ere", "inda\\")]}
+    rows = [(t, lang) for lang, listed in words.items() for t in prose(rng, listed, 25)]
+    rows += [("%$#& <>|* " * 60, None), ("| " * 400, "xx"), (None, "xx"), ("", "el"), ("a few words", "rare")]
+    return [(i, t, lang) for i, (t, lang) in enumerate(rows)]
+
+
+def test_languages_and_their_common_words_come_from_the_documents(spark):
+    rows = many_languages(random.Random(21))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    found = common_words(docs)
+    assert sorted(found) == ["el", "o'c", "xx"]  # the rare one has too few words
+    for lang, listed in found.items():
+        count = Counter(w for _, t, x in rows if x == lang for w in (t or "").split() if any(c.isalpha() for c in w))
+        assert listed == [w for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0].encode()))[:8]]
+    got = {r["doc_id"]: r for r in quality(docs).collect()}
+    assert all(got[i]["kept"] != got[i]["base_failed"] for i, t, _ in rows[:75])
+    assert not got[75]["kept"] and not got[76]["kept"]
+    # judged by another language's words alone, texts of letters beyond ASCII are refused
+    alone = {r["doc_id"]: r["kept"] for r in quality(docs, {"xx": found["xx"]}).collect()}
+    assert not any(alone[i] for i, _, lang in rows[:75] if lang == "el")
+
+
+def test_quality_equals_its_sql(spark):
+    import duckdb
+
+    rows = many_languages(random.Random(22))
+    con = duckdb.connect()
+    con.register("documents", pa.table({c: list(x) for c, x in zip(("doc_id", "text", "lang"), zip(*rows))}))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({QUALITY_SQL}) ORDER BY 1").fetchall()
+    assert sorted(map(tuple, quality(docs).select(*columns).collect())) == want
+
+
 # ------------------------------------------------------------------ language model
 
 FOLD = "pmod(crc32(cast(cast(doc_id as string) as binary)), 5) <> 1"
@@ -314,8 +361,6 @@ def test_filter_never_reads_a_count_too_low_and_seldom_too_high(spark):
     rng = np.random.default_rng(9)
     words = [f"w{x}" for x in np.minimum(rng.zipf(1.4, 20000), 3000)]
     model = bloom_lm.fit(spark.createDataFrame([(" ".join(words[i:i + 100]),) for i in range(0, 20000, 100)], "text string"))
-    from collections import Counter
-
     from xxhash import xxh3_64_intdigest
 
     count = Counter(words)
