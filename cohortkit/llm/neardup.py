@@ -418,3 +418,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 def op3_similarity_sketch_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM w, unnest(range(1, greatest(1, len(w) - 4) + 1)) u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.y FROM reach r JOIN edge e ON e.x = r.other),
+reached AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN reached USING (doc_id) LEFT JOIN n USING (doc_id)"""

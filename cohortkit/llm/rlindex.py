@@ -430,3 +430,21 @@ def remove_repeats(docs: DataFrame, width: int = 400, digest: bool = False) -> D
 def op5_run_length_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"), digest=True).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+win AS (SELECT doc_id, i, md5(array_slice(b, i, i + 399)) AS h
+  FROM d, unnest(range(1, octet_length(b) - 398)) u(i) WHERE octet_length(b) >= 400),
+again AS (SELECT doc_id, i FROM win SEMI JOIN (SELECT h FROM win GROUP BY h HAVING count(*) > 1) USING (h)),
+cut AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 400, true) AS fresh FROM again),
+run AS (SELECT doc_id, min(i) AS first, max(i) + 400 AS past
+  FROM (SELECT *, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM cut) GROUP BY doc_id, k),
+piece AS (SELECT doc_id, lag(past, 1, 1) OVER (PARTITION BY doc_id ORDER BY first) AS first, first AS past FROM run
+  UNION ALL SELECT d.doc_id, coalesce(max(run.past), 1), any_value(octet_length(b)) + 1 FROM d LEFT JOIN run USING (doc_id) GROUP BY d.doc_id),
+kept AS (SELECT doc_id, string_agg(hex(array_slice(b, first, past - 1)), '' ORDER BY first) AS bytes
+  FROM piece JOIN d USING (doc_id) WHERE past > first GROUP BY doc_id),
+gone AS (SELECT doc_id, sum(past - first) AS n, count(*) AS spans FROM run GROUP BY doc_id)
+SELECT d.doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(gone.n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(bytes, ''))) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)"""
