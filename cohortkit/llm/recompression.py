@@ -9,9 +9,11 @@ carries its *context*, the stretch of words that its being parsed so depends on.
 Three Spark steps over doc_id ranges ("batches") that ask hash buckets of symbols:
 
 1. Every batch parses its documents and asks for its low symbols, each with its context, and its
-   high symbols. A bucket tells of each whether it is there again, and whether it was there before.
+   high symbols, each with a second name made of the words it stands for, apart from any parse. A
+   bucket tells of each whether it is there again, and whether it was there before.
 2. A window that holds a whole context found nowhere else is unique. A window inside a high symbol
-   that was there before is a repeat. The batch asks for the 96-bit names of the windows left over.
+   that was there before, in both its names, is a repeat. The batch asks for the 96-bit names of the
+   windows left over.
 3. Repeats of both kinds are marked and the words that they cover are removed.
 
 A group of copies thus costs one question per high symbol and copy, not one per window.
@@ -29,10 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortkit.llm.common import (ASK_SQL, answered, answers, ask_rows, batched, deal, firsts, in_order, join64, mix64,
-                                  read_table, replies_in_order, unpack, utf8_buffer, window_names, word_names)
+                                  powers, read_table, replies_in_order, unpack, utf8_buffer, window_names, word_names)
 
 LOW_ROUNDS = 4
 HIGH_ROUNDS = (12, 16)
+HIGH = 2  # kind of the questions about high symbols
 RUNS_AFTER = frozenset({0, 6, 9, 12, 14})
 
 
@@ -109,7 +112,7 @@ class Batch:
         """Low symbols with their contexts, high symbols of at least a window's length, and their keys."""
         at = np.arange(len(self.names))
         parse = Parse(self.names, at, at + 1, at, at + 1, self.doc).runs(0)
-        keys, high = [], []
+        high, high_keys = [], []
         for r in range(1, max(HIGH_ROUNDS) + 1):
             parse = parse.pairs(r)
             if r in RUNS_AFTER:
@@ -118,14 +121,21 @@ class Batch:
                 use = (parse.high - parse.low <= self.width) & (parse.low >= self.starts[parse.doc]) \
                     & (parse.high <= self.starts[parse.doc + 1])
                 self.low = parse.low[use], parse.high[use]
-                keys.append(self.context_names(parse.name[use], *self.low))
+                self.low_keys = self.context_names(parse.name[use], *self.low)
             if r in HIGH_ROUNDS:
                 use = parse.end - parse.begin >= self.width
                 high.append((parse.begin[use], parse.end[use]))
                 # a symbol that stays as it is from one round to a later one is asked about apart in each
-                keys.append(mix64(parse.name[use] + np.uint64(r)))
+                high_keys.append(mix64(parse.name[use] + np.uint64(r)))
         self.high = tuple(np.concatenate(x) for x in zip(*high))
-        self.keys = np.concatenate(keys)
+        self.high_keys = np.concatenate(high_keys)
+
+    def span_names(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """32-bit names of stretches of words of any length, from a rolling hash of the words."""
+        up, down = powers(0, len(self.names) + 1)
+        sums = np.zeros(len(self.names) + 1, np.uint64)
+        np.cumsum(mix64(self.names + np.uint64(71)) * up[:len(self.names)], out=sums[1:])
+        return (mix64((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
     def context_names(self, name: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Symbol and the words of its context as one name."""
@@ -139,12 +149,14 @@ class Batch:
             step *= 2
         return join64(out, name, 17)
 
-    def settle(self, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window starts known to be repeats, window starts still to be asked about), as flags by word."""
-        n, m = len(self.names), len(self.low[0])
-        again, before = bits[:, 0], bits[:, 1]
-        low, high = (x[~again[:m]] for x in self.low)
-        begin, end = (x[before[m:]] for x in self.high)
+    def settle(self, again: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window starts known to be repeats, window starts still to be asked about), as flags by word.
+
+        ``again``: low symbols that are anywhere else; ``before``: high symbols that were there before.
+        """
+        n = len(self.names)
+        low, high = (x[~again] for x in self.low)
+        begin, end = (x[before] for x in self.high)
         unique = spans(np.maximum(high - self.width, 0), low + 1, n)
         repeat = spans(begin, end - self.width + 1, n) & self.whole
         return repeat, self.whole & ~unique & ~repeat
@@ -179,13 +191,17 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
     def ask_symbols(group: pa.Table) -> pa.Table:
         batch = Batch(group, width)
         batch.symbols()
-        return ask_rows(group.column("batch")[0].as_py(), *deal(batch.keys, parts), batch.keys)
+        number = group.column("batch")[0].as_py()
+        return pa.concat_tables([
+            ask_rows(number, *deal(batch.low_keys, parts), batch.low_keys),
+            ask_rows(number, *deal(batch.high_keys, parts), batch.high_keys, batch.span_names(*batch.high), kind=HIGH)])
 
     def ask_windows(group: pa.Table, said: pa.Table) -> pa.Table:
         batch = Batch(group, width)
         batch.symbols()
-        order, bounds = deal(batch.keys, parts)
-        repeat, left = batch.settle(replies_in_order(answered(said)[0], order, bounds))
+        again = replies_in_order(answered(said)[0], *deal(batch.low_keys, parts))[:, 0]
+        before = replies_in_order(answered(said, HIGH)[0], *deal(batch.high_keys, parts))[:, 1]
+        repeat, left = batch.settle(again, before)
         one, two = batch.windows(left)
         note = np.packbits(np.concatenate([repeat, left])).tobytes()
         return ask_rows(group.column("batch")[0].as_py(), *deal(one, parts), one, two, note=note)
@@ -223,7 +239,7 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
     def symbols(asked: list[tuple[int, bytes]]) -> list[bytes]:
         return firsts([np.frombuffer(d, np.uint64) for _, d in asked])
 
-    def windows(asked: list[tuple[int, bytes]]) -> list[bytes]:
+    def doubly_named(asked: list[tuple[int, bytes]]) -> list[bytes]:
         keys = [unpack(d, np.uint64, np.uint32) for _, d in asked]
         return firsts([k[0] for k in keys], [k[1] for k in keys])
 
@@ -232,8 +248,8 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
     if "rest" in table.columns:
         made = made.add(table.schema["rest"])
     by = table.groupBy("batch")
-    first = answers(by.applyInArrow(ask_symbols, ASK_SQL), parts, symbols).repartition(parts, "batch")
-    second = answers(by.cogroup(first.groupBy("batch")).applyInArrow(ask_windows, ASK_SQL), parts, windows)
+    first = answers(by.applyInArrow(ask_symbols, ASK_SQL), parts, {0: symbols, HIGH: doubly_named}).repartition(parts, "batch")
+    second = answers(by.cogroup(first.groupBy("batch")).applyInArrow(ask_windows, ASK_SQL), parts, doubly_named)
     return by.cogroup(second.repartition(parts, "batch").groupBy("batch")).applyInArrow(finish, made)
 
 

@@ -2,14 +2,19 @@
 
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from cohortkit.llm import neardup, rlindex
-from cohortkit.llm.common import batched
+from cohortkit.llm.common import batched, firsts
+from cohortkit.llm.neardup import ORACLE as SETS_SQL
 from cohortkit.llm.neardup import near_duplicates
-from cohortkit.llm.recompression import dedup_substrings
+from cohortkit.llm.recompression import ORACLE as WORDS_SQL
+from cohortkit.llm.recompression import Batch, dedup_substrings
+from cohortkit.llm.rlindex import ORACLE as BYTES_SQL
 from cohortkit.llm.rlindex import remove_repeats, repeated_strings
 from tests.llm import brute
 from tests.llm.data import clashing, frame, hard_rows
@@ -181,3 +186,34 @@ def test_products_by_columns_equal_intersections(monkeypatch):
             off = ~np.eye(20, dtype=bool) if not split else np.ones(got.shape, bool)
             assert (got == want)[off].all()
     assert neardup.products([np.array([1]), np.array([2])], 1).tolist() == [[0.0]]
+
+
+def test_second_names_of_symbols_come_from_their_words():
+    """Equal stretches have equal second names wherever they lie; others differ, and so do parts of a run."""
+    words = [f"w{i}" for i in range(50)]
+    texts = [" ".join(words), " ".join(["before", *words, "after"]), " ".join([*words[:49], "other"]), "run " * 40]
+    batch = Batch(pa.table({"doc_id": list(range(4)), "text": texts}), 20)
+    starts = batch.starts[:-1]
+    begin = np.array([starts[0], starts[1] + 1, starts[2], starts[3], starts[3] + 5, starts[3]])
+    end = begin + np.array([50, 50, 50, 30, 30, 31])
+    a, b, other, run, shifted, longer = batch.span_names(begin, end).tolist()
+    assert a == b != other and run == shifted != longer
+
+
+def test_symbols_with_equal_names_but_other_words_are_no_repeat():
+    """What was there before under one name only stays: the second part of the key decides."""
+    said = firsts([np.array([7, 7], np.uint64), np.array([7], np.uint64)], [np.array([1, 2], np.uint32), np.array([2], np.uint32)])
+    bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=2 * n).reshape(-1, 2).tolist() for x, n in zip(said, (2, 1))]
+    assert bits == [[[0, 0], [1, 0]], [[1, 1]]]
+
+
+@pytest.mark.parametrize("operator, sql, columns", [
+    (near_duplicates, SETS_SQL, ["doc_id", "n_shingles", "component_id", "kept"]),
+    (lambda docs: remove_repeats(docs, digest=True), BYTES_SQL, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]),
+    (lambda docs: dedup_substrings(docs, digest=True), WORDS_SQL, ["doc_id", "n_words", "n_removed", "kept_sha256"])])
+def test_rows_equal_their_sql(spark, operator, sql, columns):
+    rows = hard_rows(31, n=70)
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]}))
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({sql}) ORDER BY 1").fetchall()
+    assert sorted(map(tuple, operator(frame(spark, rows)).select(*columns).collect())) == want
