@@ -10,6 +10,7 @@ recomputed from lineage and no task sees more than one batch or one bucket at a
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import uuid
 from collections import Counter
@@ -65,6 +66,14 @@ def utf8_buffer(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, offsets, null
 
 
+def release() -> None:
+    """Give freed memory back to the system. A worker lives on from task to task, and its executor pays for what it keeps."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; other systems do without
+    if trim is not None:
+        trim(0)
+
+
 def text_groups(batches: Iterable[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that one piece holds about ``most_bytes`` of text (a single longer text stays whole)."""
     for batch in batches:
@@ -77,6 +86,7 @@ def text_groups(batches: Iterable[pa.RecordBatch], most_bytes: int = 8 << 20) ->
             end = min(max(end, at + 1), batch.num_rows)
             yield batch.slice(at, end - at)
             at = end
+    release()
 
 
 def columns(schema: pa.Schema, **arrays) -> pa.RecordBatch:
@@ -201,16 +211,21 @@ _STEP = [np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F | 1)]
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+def fresh_powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """step**i and its inverse modulo 2**64."""
+    step = int(_STEP[which])
+    out = []
+    for base in (step, pow(step, -1, 2**64)):
+        p = np.full(n, base, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p, out=p))
+    return out[0], out[1]
+
+
+def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same, kept for the next call."""
     if which not in _POWERS or len(_POWERS[which][0]) < n:
-        step = int(_STEP[which])
-        out = []
-        for base in (step, pow(step, -1, 2**64)):
-            p = np.full(n, base, np.uint64)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
-        _POWERS[which] = out[0], out[1]
+        _POWERS[which] = fresh_powers(which, n)
     return _POWERS[which]
 
 
@@ -384,6 +399,7 @@ def answers(asked: DataFrame, n_buckets: int, answer: Answer | dict[int, Answer]
                 got.setdefault(bucket, []).append((batch, kind, data))
         for bucket in sorted(got):
             yield from replies(bucket, got.pop(bucket))
+        release()
 
     return asked.repartitionById(n_buckets, F.col("bucket")).mapInArrow(partition, ASK_SQL)
 

@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.llm.common import (ASK_SQL, answered, answers, ask_rows, batched, deal, firsts, in_order, join64, mix64,
-                                  powers, read_table, replies_in_order, unpack, utf8_buffer, window_names, word_names)
+from cohortkit.llm.common import (ASK_SQL, answered, answers, ask_rows, batched, deal, firsts, fresh_powers, in_order, join64, mix64,
+                                  read_table, release, replies_in_order, unpack, utf8_buffer, window_names, word_names)
 
 LOW_ROUNDS = 4
 HIGH_ROUNDS = (12, 16)
@@ -132,7 +132,7 @@ class Batch:
 
     def span_names(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """32-bit names of stretches of words of any length, from a rolling hash of the words."""
-        up, down = powers(0, len(self.names) + 1)
+        up, down = fresh_powers(0, len(self.names) + 1)
         sums = np.zeros(len(self.names) + 1, np.uint64)
         np.cumsum(mix64(self.names + np.uint64(71)) * up[:len(self.names)], out=sums[1:])
         return (mix64((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -189,6 +189,7 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
     table, parts = batched(docs, rest=not digest)
 
     def ask_symbols(group: pa.Table) -> pa.Table:
+        release()
         batch = Batch(group, width)
         batch.symbols()
         number = group.column("batch")[0].as_py()
@@ -197,6 +198,7 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
             ask_rows(number, *deal(batch.high_keys, parts), batch.high_keys, batch.span_names(*batch.high), kind=HIGH)])
 
     def ask_windows(group: pa.Table, said: pa.Table) -> pa.Table:
+        release()
         batch = Batch(group, width)
         batch.symbols()
         again = replies_in_order(answered(said)[0], *deal(batch.low_keys, parts))[:, 0]
@@ -207,6 +209,7 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
         return ask_rows(group.column("batch")[0].as_py(), *deal(one, parts), one, two, note=note)
 
     def finish(group: pa.Table, said: pa.Table) -> pa.Table:
+        release()
         batch = Batch(group, width)
         n = len(batch.names)
         replies, note = answered(said)
