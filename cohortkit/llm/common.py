@@ -41,14 +41,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
 # ---------------------------------------------------------------- arrow
 
 TEXTS_PER_BATCH = 2000  # rows that Spark hands to Python at a time, unless the session asks for fewer
+BYTES_PER_BATCH = 4 << 20  # or the row that reaches so many bytes, if that comes first
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Lower the session's rows per Arrow batch to TEXTS_PER_BATCH: it was chosen for numbers, and a batch of texts is
-    held several times over on its way to a worker. It changes no result; a session that asks for fewer keeps its own."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= TEXTS_PER_BATCH:
-        spark.conf.set(key, str(TEXTS_PER_BATCH))
+    """Lower the session's rows and bytes per Arrow batch to TEXTS_PER_BATCH and BYTES_PER_BATCH: they were chosen for
+    numbers, and a batch of texts is held several times over on its way to a worker. It changes no result; a session that
+    asks for fewer rows, or for any number of bytes, keeps its own."""
+    rows, size = (f"spark.sql.execution.arrow.{x}PerBatch" for x in ("maxRecords", "maxBytes"))
+    if not 0 < int(spark.conf.get(rows)) <= TEXTS_PER_BATCH:
+        spark.conf.set(rows, str(TEXTS_PER_BATCH))
+    if spark.conf.get(size, None) is None:
+        spark.conf.set(size, str(BYTES_PER_BATCH))
 
 
 def utf8_buffer(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

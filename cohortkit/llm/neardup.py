@@ -31,6 +31,8 @@ from cohortkit.llm.common import Scratch, join64, mix64, read_table, text_groups
 SHINGLE, BANDS, BAND_ROWS, MIN_SHARED = 5, 32, 3, 2
 COORDINATES = BANDS * BAND_ROWS
 MEMBERS_PER_GROUP = 256
+PARTNERS_PER_GROUP = 64  # sets that meet their hub's in one task, whatever their length
+SHINGLES_PER_GROUP = 400_000  # a block of long texts has fewer members: 3 MB of names, and one text's more at most
 BROADCAST_ROWS = 100_000  # request rows of 24 bytes: at most 2.4 MB are ever broadcast
 
 
@@ -108,9 +110,9 @@ def signed(docs: DataFrame) -> DataFrame:
 def verified(docs: DataFrame, pairs: DataFrame, n_pairs: int, percent: int) -> DataFrame:
     """Those (a, b) of ``pairs`` whose shingle sets have 100 * intersection >= percent * union.
 
-    The sets of a hub b and of its partners meet in groups of about MEMBERS_PER_GROUP partners, however many there are.
+    The sets of a hub b and of its partners meet in groups of about PARTNERS_PER_GROUP partners, however many there are.
     """
-    pieces = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / F.lit(MEMBERS_PER_GROUP)).cast("int").alias("pieces"))
+    pieces = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / F.lit(PARTNERS_PER_GROUP)).cast("int").alias("pieces"))
     of_a = pairs.join(pieces, "b").select(
         F.col("a").alias("doc_id"), "b", F.pmod(F.xxhash64("a"), F.col("pieces")).cast("int").alias("piece"))
     of_b = pieces.select(F.col("b").alias("doc_id"), "b",
@@ -212,11 +214,12 @@ def block_rows(texts: DataFrame, percent: int) -> DataFrame:
     """Each text of a family once for each pair of blocks that its own is compared in: family, lo, hi, i, j, side.
 
     Texts of a family are dealt by size into classes, so that linked texts are in one class or in neighbouring ones, and
-    each class by hash into blocks of about MEMBERS_PER_GROUP texts. Pairs of blocks (i, j) are those of one class (lo = hi,
+    each class by hash into blocks of about MEMBERS_PER_GROUP texts, or SHINGLES_PER_GROUP shingles if that is less. Pairs of blocks (i, j) are those of one class (lo = hi,
     i <= j) and of two neighbouring ones (hi = lo + 1). Side 0 holds the texts of block i, side 1 those of block j.
     """
     of = texts.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(100.001 / percent))).cast("int"))
-    sizes = of.groupBy("family", "class").agg(F.ceil(F.count(F.lit(1)) / F.lit(MEMBERS_PER_GROUP)).cast("int").alias("blocks"))
+    sizes = of.groupBy("family", "class").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / F.lit(MEMBERS_PER_GROUP), F.sum("n") / F.lit(SHINGLES_PER_GROUP))).cast("int").alias("blocks"))
 
     def neighbour(step: int, name: str) -> DataFrame:
         return sizes.select("family", (F.col("class") - step).cast("int").alias("class"), F.col("blocks").alias(name))

@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from cohortkit.llm import neardup, rlindex
-from cohortkit.llm.common import batched, firsts
+from cohortkit.llm.common import BYTES_PER_BATCH, TEXTS_PER_BATCH, batched, firsts, text_batches
 from cohortkit.llm.neardup import ORACLE as SETS_SQL
 from cohortkit.llm.neardup import near_duplicates
 from cohortkit.llm.recompression import ORACLE as WORDS_SQL
@@ -96,6 +96,24 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == {i: (n, c, c == i) for i, (n, c) in want.items()}
 
 
+def test_batches_of_texts_are_bounded_by_rows_and_bytes(spark):
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    for key in (rows, size):
+        spark.conf.unset(key)
+    text_batches(spark)
+    assert int(spark.conf.get(rows)) == TEXTS_PER_BATCH and int(spark.conf.get(size)) == BYTES_PER_BATCH
+    many = spark.range(400).selectExpr("id as doc_id", "repeat('x', 100000) as text").coalesce(1)
+    sent = many.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+    n = [r["n"] for r in sent.collect()]
+    assert sum(n) == 400 and len(n) > 5 and max(n) < 100
+    spark.conf.set(rows, "10")
+    spark.conf.set(size, "1000")
+    text_batches(spark)
+    assert (spark.conf.get(rows), spark.conf.get(size)) == ("10", "1000")
+    for key in (rows, size):
+        spark.conf.unset(key)
+
+
 def test_near_duplicates_chain_and_threshold(spark):
     words = [f"w{i}" for i in range(60)]
     # each text shares 52 of 60 shingle places with the next one only: a chain far longer than one link
@@ -142,9 +160,11 @@ def test_empty_tables(spark, operator):
     assert operator(frame(spark, [(1, "x")]).limit(0)).collect() == []
 
 
-def test_block_links_tie_what_all_pairs_tie(spark, monkeypatch):
-    """Families of several blocks: the links of the blocks connect exactly what links of 75 % connect."""
-    monkeypatch.setattr(neardup, "MEMBERS_PER_GROUP", 5)
+@pytest.mark.parametrize("members, shingles", [(5, 400_000), (256, 250)])
+def test_block_links_tie_what_all_pairs_tie(spark, monkeypatch, members, shingles):
+    """Families of several blocks, cut by texts or by shingles: the links of the blocks connect exactly what links of 75 % connect."""
+    monkeypatch.setattr(neardup, "MEMBERS_PER_GROUP", members)
+    monkeypatch.setattr(neardup, "SHINGLES_PER_GROUP", shingles)
     rng = np.random.default_rng(2)
     rows = []
     for family in range(3):
