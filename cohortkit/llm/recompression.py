@@ -30,12 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.llm.common import (ASK_SQL, answered, answers, ask_rows, batched, deal, firsts, fresh_powers, in_order, join64, mix64,
+from cohortkit.llm.common import (ASK, ASK_SQL, answered, answers, ask_rows, batched, deal, firsts, fresh_powers, in_order, join64, mix64,
                                   read_table, release, replies_in_order, unpack, utf8_buffer, window_names, word_names)
 
 LOW_ROUNDS = 4
 HIGH_ROUNDS = (12, 16)
-HIGH = 2  # kind of the questions about high symbols
 RUNS_AFTER = frozenset({0, 6, 9, 12, 14})
 
 
@@ -169,6 +168,31 @@ class Batch:
         return one[use], (two[use] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
+def two_in_one(first: bytes, second: bytes) -> bytes:
+    """What goes between a batch and a bucket about low and about high symbols, as one message."""
+    return len(first).to_bytes(8, "little") + first + second
+
+
+def one_of_two(data: bytes) -> tuple[bytes, bytes]:
+    """Inverse of ``two_in_one``."""
+    end = 8 + int.from_bytes(data[:8], "little")
+    return data[8:end], data[end:]
+
+
+def symbol_rows(number: int, batch: Batch, parts: int) -> pa.Table:
+    """A batch's questions about its symbols: one row a bucket, of both kinds."""
+    low_order, low_bounds = deal(batch.low_keys, parts)
+    high_order, high_bounds = deal(batch.high_keys, parts)
+    second = batch.span_names(*batch.high)
+    filled = np.flatnonzero(np.diff(low_bounds) + np.diff(high_bounds)).tolist()
+    data = []
+    for b in filled:
+        low, high = low_order[low_bounds[b]:low_bounds[b + 1]], high_order[high_bounds[b]:high_bounds[b + 1]]
+        data.append(two_in_one(batch.low_keys[low].tobytes(), batch.high_keys[high].tobytes() + second[high].tobytes()))
+    return pa.table({"bucket": pa.array(filled, pa.int32()), "batch": pa.array([number] * len(filled), pa.int32()),
+                     "kind": pa.array([0] * len(filled), pa.int32()), "data": pa.array(data, pa.binary())}, schema=ASK)
+
+
 def spans(begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
     """Flags of all places that some [begin, end) covers."""
     edge = np.zeros(n + 1, np.int64)
@@ -192,17 +216,15 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
         release()
         batch = Batch(group, width)
         batch.symbols()
-        number = group.column("batch")[0].as_py()
-        return pa.concat_tables([
-            ask_rows(number, *deal(batch.low_keys, parts), batch.low_keys),
-            ask_rows(number, *deal(batch.high_keys, parts), batch.high_keys, batch.span_names(*batch.high), kind=HIGH)])
+        return symbol_rows(group.column("batch")[0].as_py(), batch, parts)
 
     def ask_windows(group: pa.Table, said: pa.Table) -> pa.Table:
         release()
         batch = Batch(group, width)
         batch.symbols()
-        again = replies_in_order(answered(said)[0], *deal(batch.low_keys, parts))[:, 0]
-        before = replies_in_order(answered(said, HIGH)[0], *deal(batch.high_keys, parts))[:, 1]
+        replies = {b: one_of_two(d) for b, d in answered(said)[0].items()}
+        again = replies_in_order({b: d[0] for b, d in replies.items()}, *deal(batch.low_keys, parts))[:, 0]
+        before = replies_in_order({b: d[1] for b, d in replies.items()}, *deal(batch.high_keys, parts))[:, 1]
         repeat, left = batch.settle(again, before)
         one, two = batch.windows(left)
         note = np.packbits(np.concatenate([repeat, left])).tobytes()
@@ -239,19 +261,22 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
                 out["rest"] = batch.table.column("rest")
         return pa.table(out)
 
-    def symbols(asked: list[tuple[int, bytes]]) -> list[bytes]:
-        return firsts([np.frombuffer(d, np.uint64) for _, d in asked])
-
     def doubly_named(asked: list[tuple[int, bytes]]) -> list[bytes]:
         keys = [unpack(d, np.uint64, np.uint32) for _, d in asked]
         return firsts([k[0] for k in keys], [k[1] for k in keys])
 
+    def symbols(asked: list[tuple[int, bytes]]) -> list[bytes]:
+        both = [one_of_two(d) for _, d in asked]
+        low = firsts([np.frombuffer(d, np.uint64) for d, _ in both])
+        high = doubly_named([(batch, d) for (batch, _), (_, d) in zip(asked, both)])
+        return [two_in_one(*x) for x in zip(low, high)]
+
     made = T.StructType.fromDDL("doc_id long, n_words long, n_removed long, " + (
         "kept_sha256 string" if digest else "text string"))
     if "rest" in table.columns:
         made = made.add(table.schema["rest"])
     by = table.groupBy("batch")
-    first = answers(by.applyInArrow(ask_symbols, ASK_SQL), parts, {0: symbols, HIGH: doubly_named}).repartition(parts, "batch")
+    first = answers(by.applyInArrow(ask_symbols, ASK_SQL), parts, symbols).repartition(parts, "batch")
     second = answers(by.cogroup(first.groupBy("batch")).applyInArrow(ask_windows, ASK_SQL), parts, doubly_named)
     return by.cogroup(second.repartition(parts, "batch").groupBy("batch")).applyInArrow(finish, made)
 
