@@ -1,5 +1,6 @@
 """Recompression, similarity sketches and run-length indexes against brute force."""
 
+import tracemalloc
 from collections import Counter
 
 import duckdb
@@ -8,7 +9,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from cohortkit.llm import neardup, rlindex
+from cohortkit.llm import neardup, recompression, rlindex
 from cohortkit.llm.common import BYTES_PER_BATCH, TEXTS_PER_BATCH, batched, firsts, text_batches
 from cohortkit.llm.neardup import ORACLE as SETS_SQL
 from cohortkit.llm.neardup import near_duplicates
@@ -220,6 +221,39 @@ def test_second_names_of_symbols_come_from_their_words():
     assert a == b != other and run == shifted != longer
 
 
+@pytest.mark.parametrize("width", [3, 20])
+def test_stretches_of_a_batch_give_the_symbols_and_windows_of_the_whole(monkeypatch, width):
+    rows = sorted((i, t) for i, t in hard_rows(12, n=120))
+    said = []
+    for words in (1, 700, 1 << 30):
+        monkeypatch.setattr(recompression, "WORDS", words)
+        batch = Batch(pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]}), width)
+        batch.symbols()
+        assert words > 700 or len(list(batch.stretches())) > 5
+        low, high = (*batch.low, batch.low_keys), (*batch.high, batch.high_keys, batch.span_names(*batch.high))
+        one, two = batch.windows(batch.whole)
+        said.append([sorted(zip(*(x.tolist() for x in some))) for some in (low, high)] + [one.tolist(), two.tolist()])
+    assert said[0] == said[1] == said[2] and all(said[0][1:])
+
+
+def test_memory_of_a_batch_does_not_grow_with_its_parse():
+    """Beside names and keys, the parse and the windows take what a stretch of texts needs, not six numbers for each word."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 30_000, 500)) for _ in range(1200)]
+    batch = Batch(pa.table({"doc_id": list(range(len(texts))), "text": texts}), 20)
+    tracemalloc.start()
+    try:
+        batch.symbols()
+        parsed = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        batch.windows(batch.whole)
+        named = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert parsed < 60 * len(batch.names) and named < 50 * len(batch.names)
+
+
 def test_symbols_with_equal_names_but_other_words_are_no_repeat():
     """What was there before under one name only stays: the second part of the key decides."""
     said = firsts([np.array([7, 7], np.uint64), np.array([7], np.uint64)], [np.array([1, 2], np.uint32), np.array([2], np.uint32)])
