@@ -7,9 +7,10 @@ bucket of the counts, so each bucket's task sets its own bits. A segment has BIT
 bucket, so the filter grows with the n-grams found: what is entered and the error rate are the same at every size.
 
 The segments are a Parquet table. While they have at most ``BROADCAST_BYTES`` in all they are broadcast, and the task of
-a batch of texts probes them itself. A larger filter never meets in one place: a batch asks each bucket for the levels of
-its words and pairs, and the bucket reads them from its own segment. Either way the levels, and so the scores, are the
-same; the texts are scored with smoothed probabilities.
+a batch of texts probes them itself: all segments at once, so that its work follows its words and not the number of
+buckets. A larger filter never meets in one place: a batch asks each bucket for the levels of its words and pairs, and
+the bucket reads them from its own segment. Either way the levels, and so the scores, are the same; the texts are scored
+with smoothed probabilities.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import (ASK, ASK_SQL, Scratch, answered, answers, batched, deal, in_order, join64, mix64,
-                                  read_table, shuffle_partitions, text_groups, unpack, utf8_buffer, word_names)
+from cohortkit.llm.common import (ASK, ASK_SQL, Scratch, answered, answers, batched, bucket_of, deal, in_order,
+                                  join64, mix64, read_table, shuffle_partitions, text_groups, unpack, utf8_buffer, word_names)
 
 BITS_PER_ENTRY, HASHES, GROWTH = 12, 5, 1.25
 #: The filter is broadcast while its segments have at most this many bytes in all, as measured on the written table.
@@ -70,23 +71,30 @@ def count_at(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (low + np.maximum(low, THRESHOLDS[np.minimum(level, len(THRESHOLDS) - 1)] - 1)) / 2, 0.0)
 
 
-def places(key: np.ndarray, level: int, bits: int) -> np.ndarray:
-    """Bits of (n-gram, level) in its segment, one row per hash."""
+def places(key: np.ndarray, level: int, bits: int | np.ndarray) -> np.ndarray:
+    """Bits of (n-gram, level) in its segment of so many bits, one row per hash."""
     h = mix64(key + np.uint64(level * 0x9E3779B97F4A7C15 & (2**64 - 1)))
     one, two = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32) | np.uint64(1)
-    return (one[None, :] + np.arange(HASHES, dtype=np.uint64)[:, None] * two[None, :]) % np.uint64(bits)
+    return (one[None, :] + np.arange(HASHES, dtype=np.uint64)[:, None] * two[None, :]) % np.asarray(bits, np.uint64)
 
 
-def levels(segment: np.ndarray, key: np.ndarray, first: int = 1) -> np.ndarray:
-    """Level of each n-gram of a segment's bucket: probes go on while they are answered. Some at a time, to bound the memory."""
+def levels(segment: np.ndarray, key: np.ndarray, first: int = 1,
+           own: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Level of each n-gram of a segment's bucket: probes go on while they are answered. Some at a time, to bound the memory.
+
+    ``segment`` may hold the segments of several buckets: ``own`` then tells for each n-gram where its own begins and how
+    long it is, in bits. An n-gram whose bucket has none is at level 0.
+    """
     out = np.zeros(len(key), np.uint8)
     for begin in range(0, len(key) if len(segment) else 0, PROBES):
         left = np.arange(begin, min(begin + PROBES, len(key)))
+        if own is not None:
+            left = left[own[1][left] > 0]
         for level in range(first, len(THRESHOLDS) + 1):
             there = np.ones(len(left), bool)
-            for row in places(key[left], level, 8 * len(segment)):
+            for row in places(key[left], level, 8 * len(segment) if own is None else own[1][left]):
                 some = np.flatnonzero(there)
-                place = row[some]
+                place = row[some] if own is None else row[some] + own[0][left[some]]
                 there[some] = segment[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
             left = left[there]
             if not len(left):
@@ -187,6 +195,19 @@ def segments(texts: DataFrame, n_buckets: int, bits_per_entry: int = BITS_PER_EN
         total, SEGMENTS_SQL)
 
 
+def joined(found: dict[int, bytes], n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(all segments one after the other, where in them the segment of each bucket begins, in bytes, and the last ends)."""
+    by = [found.get(b, b"") for b in range(n_buckets)]
+    return np.frombuffer(b"".join(by), np.uint8), np.cumsum([0, *map(len, by)])
+
+
+def levels_in(filter_: tuple[np.ndarray, np.ndarray], key: np.ndarray, bucket: np.ndarray, first: int = 1) -> np.ndarray:
+    """Level of n-grams of any buckets from ``joined`` segments, in as many rounds of probes as for one bucket."""
+    bits, begin = filter_
+    begin = 8 * begin.astype(np.uint64)
+    return levels(bits, key, first, (begin[bucket], np.diff(begin)[bucket]))
+
+
 @dataclass
 class BloomModel:
     """The filter, a table with a segment for each bucket, and what else scoring needs: a few numbers."""
@@ -207,10 +228,9 @@ class BloomModel:
         return out
 
     def broadcast(self) -> Broadcast:
-        """Bucket -> segment, for all workers. Only for a filter whose ``bytes`` are known to be few."""
-        found = self.filter.select("bucket", "bits").collect()
-        return self.filter.sparkSession.sparkContext.broadcast(
-            {r["bucket"]: np.frombuffer(r["bits"], np.uint8) for r in found})
+        """``joined`` segments, for all workers. Only for a filter whose ``bytes`` are known to be few."""
+        found = {r["bucket"]: r["bits"] for r in self.filter.select("bucket", "bits").collect()}
+        return self.filter.sparkSession.sparkContext.broadcast(joined(found, self.segments))
 
 
 def fit(train: DataFrame, bits_per_entry: int = BITS_PER_ENTRY) -> BloomModel:
@@ -284,21 +304,18 @@ def score(docs: DataFrame, train: str = "true", broadcast_bytes: int = BROADCAST
         names, pairs, starts = tokens(data, offsets)
         key, at = np.unique(names, return_inverse=True)
         pair, pair_at = np.unique(pairs, return_inverse=True)
-        (order, cut), (pair_order, pair_cut) = deal(key, parts), deal(pair, parts)
+        (order, cut), (pair_order, pair_cut) = deal(key, parts), deal(pair if near is None else pair[:0], parts)
         exact, level, pair_level = np.zeros(len(key)), np.zeros(len(key), np.int64), np.zeros(len(pair), np.int64)
+        if near is not None:
+            level = levels_in(near.value, key, bucket_of(key, parts))
+            pair_level = levels_in(near.value, pair & PAIR_BITS, bucket_of(pair, parts))
         replies, _ = answered(said)
         for b in np.flatnonzero(np.diff(cut) + np.diff(pair_cut)):
             mine = order[cut[b]:cut[b + 1]]
-            mine_pairs = pair_order[pair_cut[b]:pair_cut[b + 1]]
-            if near is not None:
-                segment = near.value.get(b, np.zeros(0, np.uint8))
-                level[mine], pair_level[mine_pairs] = levels(segment, key[mine]), levels(segment, pair[mine_pairs] & PAIR_BITS)
-                if not len(mine):
-                    continue
-            else:
-                level[mine] = np.frombuffer(replies[b], np.uint8, len(mine), 8 * len(mine))
-                pair_level[mine_pairs] = np.frombuffer(replies[b], np.uint8, offset=9 * len(mine))
             exact[mine] = np.frombuffer(replies[b], np.uint64, len(mine))
+            if near is None:
+                level[mine] = np.frombuffer(replies[b], np.uint8, len(mine), 8 * len(mine))
+                pair_level[pair_order[pair_cut[b]:pair_cut[b + 1]]] = np.frombuffer(replies[b], np.uint8, offset=9 * len(mine))
         floor = n_tokens + 0.5 * (n_words + 1)
         base = np.log10((exact + 0.5) / floor)[at]
         # the model: words and pairs as the filter tells their counts

@@ -340,6 +340,27 @@ def test_a_broadcast_filter_and_one_asked_by_buckets_give_equal_rows(spark):
     assert len(nothing) == 3 and {r["n_known"] for r in nothing} == {0}
 
 
+def test_a_broadcast_filter_is_probed_at_once_whatever_the_number_of_buckets(monkeypatch):
+    """One word with a count of a million brought each bucket of each batch as many rounds of probes as its level has."""
+    rng, n_buckets = np.random.default_rng(10), 211
+    key = rng.integers(0, 2**64, 5000, np.uint64)
+    bucket, count = bloom_lm.bucket_of(key, n_buckets), rng.integers(1, 1_000_000, len(key))
+    found = {b: bloom_lm.filled([(key[bucket == b], count[bucket == b])]) for b in range(1, n_buckets)}  # bucket 0 has no segment
+    rounds, places = [], bloom_lm.places
+    monkeypatch.setattr(bloom_lm, "places", lambda *args: rounds.append(1) or places(*args))
+    asked = np.append(key, rng.integers(0, 2**64, 5000, np.uint64))
+    of = bloom_lm.bucket_of(asked, n_buckets)
+    got = bloom_lm.levels_in(bloom_lm.joined(found, n_buckets), asked, of)
+    assert len(rounds) <= got.max() + 1
+    want = np.zeros(len(asked), np.uint8)
+    for b in range(n_buckets):
+        want[of == b] = bloom_lm.levels(np.frombuffer(found.get(b, b""), np.uint8), asked[of == b])
+    assert (got == want).all() and (got[of == 0] == 0).all()
+    assert (got[:5000] >= bloom_lm.level_of(count))[bucket > 0].all() and (got[5000:] > 0).mean() < 0.02
+    nothing = bloom_lm.levels_in(bloom_lm.joined({}, n_buckets), asked, of)
+    assert len(nothing) == len(asked) and not nothing.any()
+
+
 def test_model_beats_the_base_on_held_out_texts(spark):
     rng = random.Random(8)
     after = {w: rng.sample(range(300), 4) for w in range(300)}
