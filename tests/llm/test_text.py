@@ -241,6 +241,83 @@ def test_one_bit_bounds_hold():
     assert (np.abs(guess - true) <= slack).mean() > 0.999 and codes.shape == (500, 4)
 
 
+def random_vectors(rng, n, dimension=16):
+    return [[float(x) for x in v] for v in rng.standard_normal((n, dimension)).astype(np.float32)]
+
+
+def test_the_search_reads_a_block_of_data_once_for_many_queries(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    frames = type(spark.range(0))
+    seen, real = {}, frames.mapInArrow
+
+    def noted(self, run, *more):
+        seen[run.__name__] = self
+        return real(self, run, *more)
+
+    monkeypatch.setattr(frames, "mapInArrow", noted)
+    rows = list(enumerate(random_vectors(np.random.default_rng(8), 4000)))
+    table = spark.createDataFrame(rows, VECTORS).coalesce(1)
+    onebit.nearest(table, table)
+    read = seen["search"]
+    binary = [c for c, t in read.dtypes if t == "binary"]
+    total = read.agg(*[F.sum(F.length(c)).alias(c) for c in binary]).first()
+    assert sum(x or 0 for x in total) < 20 * 4000 * 16 * 4  # data and queries, for each of the groups
+
+
+def test_neighbours_over_many_cells_with_a_common_vector(spark, monkeypatch):
+    monkeypatch.setattr(onebit, "QUERY_BYTES", 4000)
+    monkeypatch.setattr(onebit, "PAIRS_PER_TASK", 2000)
+    rng = np.random.default_rng(9)
+    v = random_vectors(rng, 1500, 7)
+    rows = [(i, v[i]) for i in range(1500)] + [(i, v[0]) for i in range(2000, 2060)] + [(0, v[0])] * 20 + [(2003, v[0])] * 9
+    rng.shuffle(rows)
+    rows = [(int(i), [float(x) for x in w]) for i, w in rows]
+    table = spark.createDataFrame(rows, VECTORS).repartition(3)
+    asked = {0, 7, 2003, *range(20, 60)}
+    got = onebit.nearest(table, table.where(f"vec_id in ({', '.join(map(str, asked))})")).collect()
+    assert sorted(map(tuple, got)) == brute_neighbours(rows, asked, 5)
+
+
+@pytest.mark.parametrize("spread", [1.0, 0.01, 0.0], ids=["apart", "close", "equal"])
+def test_a_search_block_by_block_equals_all_cosines(spread):
+    rng = np.random.default_rng(10)
+    x = rng.standard_normal(16) * (spread < 1) + rng.standard_normal((3000, 16)) * spread
+    turn, asked = onebit.rotation(16), np.arange(0, 3000, 9)
+    search = onebit.Search(asked, x[asked], turn, 5)
+    for at in range(0, 3000, 700):
+        ids = np.arange(at, min(at + 700, 3000))
+        search.meet(ids, x[ids], *onebit.encode(x[ids], turn))
+    got = {}
+    for part in search.result():
+        for r in part.to_pylist():
+            got.setdefault(r["query_id"], []).append((-r["score"], r["vec_id"]))
+    for q in asked.tolist():
+        score = onebit.exact(x[q], x)
+        assert got[q] == sorted((-float(s), i) for i, s in enumerate(score) if i != q)[:5]
+
+
+def test_no_query_loses_a_neighbour_to_collapsed_copies():
+    rng = np.random.default_rng(11)
+    ids, kinds = rng.integers(0, 12, 400), rng.integers(0, 6, 400)
+    kinds[:200] = 0
+    vectors = np.arange(6.0)[kinds, None] + np.ones(3)
+    kept = onebit.most_needed(ids, vectors, 4)
+    assert len(kept) <= 6 * 8
+    for kind in range(6):
+        for query in range(-1, 12):
+            every, left = (sorted(i for i, c in zip(ids[x].tolist(), kinds[x].tolist()) if c == kind and i != query)[:4]
+                           for x in (np.arange(400), kept))
+            assert every == left
+
+
+def test_the_grid_bounds_what_a_task_holds():
+    for rows, asked, cores in ((500, 10, 8), (51_282, 1_026, 6), (15_000_000, 300_000, 6), (10**9, 10**7, 2000), (0, 0, 2)):
+        query_groups, data_groups = onebit.grid(rows, asked, 704, 304, cores)
+        assert asked * 704 <= query_groups * onebit.QUERY_BYTES
+        assert query_groups * data_groups <= 2 * max(query_groups, onebit.TASKS_PER_CORE * cores)
+
+
 # ------------------------------------------------------------------ quality rules
 
 def test_quality_base_equals_brute_force(spark):
