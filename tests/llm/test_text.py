@@ -267,7 +267,7 @@ def test_the_search_reads_a_block_of_data_once_for_many_queries(spark, monkeypat
 
 def test_neighbours_over_many_cells_with_a_common_vector(spark, monkeypatch):
     monkeypatch.setattr(onebit, "QUERY_BYTES", 4000)
-    monkeypatch.setattr(onebit, "PAIRS_PER_TASK", 2000)
+    monkeypatch.setattr(onebit, "PAIRS_PER_TASK", (2000, 1 << 37))
     rng = np.random.default_rng(9)
     v = random_vectors(rng, 1500, 7)
     rows = [(i, v[i]) for i in range(1500)] + [(i, v[0]) for i in range(2000, 2060)] + [(0, v[0])] * 20 + [(2003, v[0])] * 9
@@ -315,7 +315,9 @@ def test_the_grid_bounds_what_a_task_holds():
     for rows, asked, cores in ((500, 10, 8), (51_282, 1_026, 6), (15_000_000, 300_000, 6), (10**9, 10**7, 2000), (0, 0, 2)):
         query_groups, data_groups = onebit.grid(rows, asked, 704, 304, cores)
         assert asked * 704 <= query_groups * onebit.QUERY_BYTES
-        assert query_groups * data_groups <= 2 * max(query_groups, onebit.TASKS_PER_CORE * cores)
+        assert rows * asked <= query_groups * data_groups * onebit.PAIRS_PER_TASK[1]
+        assert data_groups == 1 or query_groups * data_groups < query_groups + max(
+            onebit.TASKS_PER_CORE * cores, -(-rows * asked // onebit.PAIRS_PER_TASK[1]))
 
 
 # ------------------------------------------------------------------ quality rules
